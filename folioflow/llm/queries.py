@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, chat_format, exact_dedup, fingerprint, neardup, packing, warc
+from . import bpe, chat_format, exact_dedup, fingerprint, lm_scoring, neardup, packing, quality, toxicity, warc
 from .common import load
 
 
@@ -15,6 +15,16 @@ def _vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.lm_score(load(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text")
+    net = toxicity.train(documents, load(spark, sf_dir, "labels"))
+    return toxicity.scored(documents, net).select("doc_id", "held_out", "score", "predicted")
+
+
 def op3_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = load(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     tricky = "\\### Assistant: </turn> ok"
@@ -32,6 +42,12 @@ def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_dedup(load(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = load(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.train(documents, load(spark, sf_dir, "labels"))
+    return quality.scored(documents, model).select("doc_id", "held_out", "score", "predicted")
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(warc.archive_pages(load(spark, sf_dir, "pages").select("page_id", "url", "html")))
 
@@ -49,7 +65,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {f.__name__: f for f in (op3_chat_format, op4_bpe, op5_exact_dedup, op7_warc, op8_fingerprint, op9_packing, op10_minhash)}
+    return {f.__name__: f for f in (op1_lm_scoring, op2_toxicity, op3_chat_format, op4_bpe, op5_exact_dedup, op6_quality, op7_warc, op8_fingerprint, op9_packing, op10_minhash)}
 
 
 _OP3_SQL = r"""

@@ -8,6 +8,14 @@ from pyspark.sql import functions as F
 from .common import stored
 
 
+LEAST_TASKS, LINKS_A_TASK = 8, 200_000
+
+
+def _written(df: DataFrame, tasks: int) -> DataFrame:
+    """``df`` stored by as many tasks as its rows are worth."""
+    return stored(df.coalesce(tasks), "labels")
+
+
 def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     """(node, component) for every node of ``links`` (a, b): component is the smallest node that it can reach.
 
@@ -15,12 +23,13 @@ def components(links: DataFrame, rounds: int = 40) -> DataFrame:
     until nothing changes. Labels are stored in the shared folder each round; nothing but a count reaches the driver.
     """
     both = stored(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct(), "links")
-    labels = stored(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), "labels")
+    tasks = max(LEAST_TASKS, both.count() // LINKS_A_TASK)
+    labels = _written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), tasks)
     for _ in range(rounds):
         near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("_near"))
         taken = labels.join(near, "node").select("node", F.least("component", "_near").alias("_label"), F.col("component").alias("_was"))
         jump = taken.join(labels.select(F.col("node").alias("_n"), F.col("component").alias("_up")), F.col("_label") == F.col("_n"), "left")
-        out = stored(jump.select("node", F.least("_label", F.coalesce("_up", "_label")).alias("component"), "_was"), "labels")
+        out = _written(jump.select("node", F.least("_label", F.coalesce("_up", "_label")).alias("component"), "_was"), tasks)
         labels = out.select("node", "component")
         if not out.filter("component <> _was").limit(1).count():
             break

@@ -4,14 +4,18 @@
    same set are one node from here on, so groups of copies cost no pairs.
 2. Inverted lists of the INDEXED smallest values: each node meets the hub of its lists (the first by a fixed order of
    nodes), so a list of n nodes gives n - 1 pairs. A node's likeliest hub by the union sketch is verified on full sets.
+   Then, in STAR_ROUNDS rounds, nodes outside their lists' largest components meet a member of these.
 3. Components of those links. What remains are pairs in one list but in different components: lists of up to
-   LIST_ROWS nodes give all of them, counted by how many lists they share; longer lists are compared in blocks
-   of sketches, and only pairs that the union sketch lets pass leave a block. Candidates are verified on full sets.
+   LIST_ROWS nodes give all of them, counted by how many lists they share, estimated by the union sketch and verified,
+   of each two components the likeliest first, then all whose ends are still apart; longer lists are compared in
+   blocks of full sets, and only links leave a block.
 4. Components of all links; every row takes its node's.
 
-A pair at similarity 0.75 shares about 24 of 32 indexed values; it goes unseen if it shares fewer than SHARED of them
-or if its union sketch estimates below ESTIMATE, which is 4.6 standard deviations off. Links between different texts
-are verified exactly before they count, so none is added wrongly.
+A pair at similarity 0.75 shares about 24 of 32 indexed values. So a node whose values are mostly its own (fewer than
+HIT_SHARE of them on lists) has no partner and drops out. Of a node with at most half of its values on long lists, the
+rest is enough to meet every partner on short ones; only pairs of nodes above that half are left to the long lists. A
+pair goes unseen if it shares fewer than SHARED short lists there or if its union sketch estimates below ESTIMATE, 3.5
+standard deviations off. Links between different texts are verified exactly before they count: none is added wrongly.
 """
 
 from __future__ import annotations
@@ -28,9 +32,9 @@ from .components import components
 from .shingles import jaccard_at_least, shingle_set
 
 PERCENT = 75
-K, INDEXED, SHARED, ESTIMATE = 64, 32, 3, 0.5
-#: Lists of more nodes than this are hot; blocks of so many sketches are compared at once; a node's hot lists in use.
-LIST_ROWS, BLOCK_ROWS, HOT_LISTS = 32, 512, 8
+K, INDEXED, SHARED, ESTIMATE, HIT_SHARE = 64, 32, 3, 0.56, 0.4
+#: Lists of more nodes than this are hot; blocks of so many nodes (and matrices of so many cells) are compared at once; a node's long lists in use.
+LIST_ROWS, BLOCK_ROWS, BLOCK_CELLS, HOT_LISTS, STAR_ROUNDS = 32, 1024, 8_000_000, 6, 1
 ADDED = ("n_shingles", "component_id", "kept")
 _SIGN = np.uint64(1 << 63)
 
@@ -101,42 +105,100 @@ def _short_lists(hits: DataFrame) -> DataFrame:
     return rows.filter(F.col("shared") >= F.least(F.lit(SHARED), F.greatest(F.lit(1), F.floor(F.col("most") / 4)))).select("a", "b")
 
 
-def _long_lists(hits: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs of different components in longer lists whose estimate is at least ESTIMATE.
+def _long_lists(hits: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components in longer lists, among nodes that are mostly on such.
 
     Only nodes outside their list's largest component ask; they and the list are cut into blocks, and each pair of
-    blocks is compared in one place. A node asks in its HOT_LISTS smallest long lists.
+    blocks is compared in one place, on full sets by products of 0-1 matrices. A node asks in its HOT_LISTS smallest
+    long lists, and names one partner in each other component of a block: any link joins the two.
     """
-    hot = hits.filter(F.col("n") > LIST_ROWS)
-    parts = hot.groupBy("value", "component").count().groupBy("value").agg(F.max(F.struct("count", "component")).alias("top"), F.count(F.lit(1)).alias("c"))
-    parts = parts.filter("c > 1").select("value", F.col("top.component").alias("top"))
+    hot = hits.filter((F.col("n") > LIST_ROWS) & (F.col("long") * 2 > F.col("indexed")))
     least = hot.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("value")), 1, HOT_LISTS).alias("few"))
-    asked = hot.join(parts, "value").join(least, "node").filter(F.array_contains("few", F.col("value"))).select("value", "node", "component", "n", "top")
-    sk = nodes.select("node", "sketch")
+    lists = _largest(hot).join(least, "node").filter(F.array_contains("few", F.col("value"))).select("value", "node", "component", "n", "top")
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int"))
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.sequence(F.lit(0), blocks - F.lit(1))
-    full = asked.join(sk, "node")
-    left = full.filter(F.col("component") != F.col("top")).select(F.col("value").alias("v1"), own.alias("i1"), F.explode(every).alias("j1"), F.col("node").alias("node1"), F.col("component").alias("component1"), F.col("sketch").alias("sketch1"))
-    right = full.select(F.col("value").alias("v2"), F.explode(every).alias("i2"), own.alias("j2"), F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("sketch").alias("sketch2"))
+    few = stored(lists, "long-lists")
+    its = texts.join(few.select(F.col("node").alias("doc_id")).distinct(), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
+    full = stored(few.join(its.withColumnRenamed("doc_id", "node"), "node"), "long-lists")
+    left = full.filter(F.col("component") != F.col("top")).select(F.col("value").alias("v1"), own.alias("i1"), F.explode(every).alias("j1"), F.col("node").alias("node1"), F.col("component").alias("component1"), F.col("text").alias("text1"))
+    right = full.select(F.col("value").alias("v2"), F.explode(every).alias("i2"), own.alias("j2"), F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("text").alias("text2"))
+
+    def marked(sets, common):
+        size = np.array([len(x) for x in sets])
+        values = np.concatenate(sets)
+        at = np.searchsorted(common, values)
+        at[at == len(common)] = 0
+        hit = common[at] == values
+        m = np.zeros((len(size), len(common)), np.float32)
+        m[np.repeat(np.arange(len(size)), size)[hit], at[hit]] = 1
+        return m, size
+
+    def compared(one, two):
+        common = np.intersect1d(np.concatenate(one[2]), np.concatenate(two[2]))
+        step = max(1, BLOCK_CELLS // max(1, len(common)))
+        for i in range(0, len(one[0]) if len(common) else 0, step):
+            a, n = marked(one[2][i : i + step], common)
+            for j in range(0, len(two[0]), step):
+                b, m = marked(two[2][j : j + step], common)
+                shared, parts, ids = a @ b.T, two[1][j : j + step], two[0][j : j + step]
+                linked = (100 * shared >= percent * (n[:, None] + m[None] - shared)) & (one[1][i : i + step, None] != parts[None])
+                for k in np.flatnonzero(linked.any(1)):
+                    at = np.flatnonzero(linked[k])
+                    for x in at[np.unique(parts[at], return_index=True)[1]]:
+                        yield max(one[0][i + k], ids[x]), min(one[0][i + k], ids[x])
+
+    def by_size(frame, k):
+        """Rows by the logarithm of the set's size: partners are in the same class or the next."""
+        sets = [shingle_set(t) for t in frame[f"text{k}"]]
+        level = np.floor(np.log([max(1, len(x)) for x in sets]) / np.log(100 / percent)).astype(int)
+        ids, parts = frame[f"node{k}"].to_numpy(), frame[f"component{k}"].to_numpy()
+        return {v: (ids[at], parts[at], [sets[i] for i in at]) for v in np.unique(level) if len(at := np.flatnonzero(level == v))}
 
     def compare(askers, members):
         import pandas as pd
 
-        out = []
+        rows = []
         if len(askers) and len(members):
-            flat = np.concatenate(members["sketch2"].to_list())
-            lengths = np.array([len(x) for x in members["sketch2"]])
-            starts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            ids, parts_ = members["node2"].to_numpy(), members["component2"].to_numpy()
-            for node, component, sketch in zip(askers["node1"], askers["component1"], askers["sketch1"], strict=True):
-                both = np.add.reduceat(np.isin(flat, sketch), starts)
-                for k in np.flatnonzero((parts_ != component) & (both * 4 >= np.minimum(lengths, len(sketch)))):
-                    if estimate(np.asarray(sketch), np.asarray(members["sketch2"].iloc[k])) >= ESTIMATE:
-                        out.append((max(node, ids[k]), min(node, ids[k])))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+            one, two = by_size(askers, 1), by_size(members, 2)
+            for v, group in one.items():
+                for w in (v - 1, v, v + 1):
+                    if w in two:
+                        rows += compared(group, two[w])
+        return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
 
-    return left.groupBy("v1", "i1", "j1").cogroup(right.groupBy("v2", "i2", "j2")).applyInPandas(compare, "a long, b long")
+    return left.groupBy("v1", "i1", "j1").cogroup(right.groupBy("v2", "i2", "j2")).applyInPandas(compare, "a long, b long").distinct()
+
+
+def _apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
+    """``pairs`` (a, b) of different components, which are named as _two."""
+    part = labelled.select("node", "component").distinct()
+    side = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"_c{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b").filter("_ca <> _cb")
+    return both.withColumn("_two", F.struct(F.least("_ca", "_cb"), F.greatest("_ca", "_cb"))).drop("_ca", "_cb")
+
+
+def _likeliest(estimated: DataFrame) -> DataFrame:
+    """Of each a the pair of the largest estimate."""
+    return estimated.groupBy("a").agg(F.max(F.struct("likely", "b")).alias("_b")).select("a", F.col("_b.b").alias("b"))
+
+
+def _labelled(hits: DataFrame, links: DataFrame) -> DataFrame:
+    """``hits`` with the component of each node by ``links``, stored."""
+    out = hits.select("node", "indexed", "long", "value", "n").join(components(links), "node", "left")
+    return stored(out.withColumn("component", F.coalesce("component", "node")), "labelled")
+
+
+def _largest(labelled: DataFrame) -> DataFrame:
+    """``labelled`` with the largest component of each list that has several, and a member of it as hub.
+
+    The member is the first by a hash of value and node, so a node gets other hubs in other lists.
+    """
+    order = F.min(F.struct(F.xxhash64("value", "node").alias("o"), "node")).getField("node")
+    parts = labelled.groupBy("value", "component", "n").agg(F.count(F.lit(1)).alias("m"), order.alias("hub"))
+    top = parts.groupBy("value", "n").agg(F.max(F.struct("m", "component", "hub")).alias("_t"), F.count(F.lit(1)).alias("c")).filter("c > 1")
+    top = top.select("value", F.col("n").alias("list_n"), F.col("_t.component").alias("top"), F.col("_t.hub").alias("hub"))
+    return attach_groups(labelled, top, "value", "list_n", labelled.count(), "node")
 
 
 def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -151,27 +213,36 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     rows = sk.count()
     nodes = sk.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("members"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     nodes = stored(nodes, "nodes")
-    single = nodes.filter("node is not null").select("node", "sketch")
+    single = nodes.filter("node is not null").select("node", "sketch", "n_shingles")
     texts = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
 
     postings = single.select("node", F.least(F.size("sketch"), F.lit(INDEXED)).alias("indexed"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
     lists = stored(postings.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("o"), "node")).getField("node").alias("hub")).filter("n > 1"), "lists")
-    hits = stored(attach_groups(postings, lists, "value", "n", rows, "node"), "hits")
+    mine = attach_groups(postings, lists, "value", "n", rows, "node").groupBy("node", "indexed").agg(F.collect_list(F.struct("value", "n", "hub")).alias("l"), F.count(F.when(F.col("n") > LIST_ROWS, 1)).alias("long"))
+    mine = stored(mine.filter(F.size("l") >= F.col("indexed") * HIT_SHARE), "hits")  # at most INDEXED in a row
+    hits = mine.select("node", "indexed", "long", F.explode("l").alias("_l")).select("node", "indexed", "long", "_l.*")
 
-    # 2. each node with its likeliest hub
+    # 2. each node with its likeliest hub, then those outside their lists' largest components with a member of these
     star = hits.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    best = _estimated(star, single).groupBy("a").agg(F.max(F.struct("likely", "b")).alias("_b")).select("a", F.col("_b.b").alias("b"))
-    first = stored(_verified(best, texts, percent), "star-links")
-
-    # 3. what lies in one list, but not in one component
-    found = components(first)
-    labelled = hits.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    labelled = stored(labelled.select("value", "node", "n", "indexed", "component"), "labelled")
-    wanted = _estimated(_short_lists(labelled), single).select("a", "b").union(_long_lists(labelled, single)).distinct()
-    second = stored(_verified(wanted, texts, percent), "list-links")
+    links = stored(_verified(_likeliest(_estimated(star, single)), texts, percent), "star-links")
+    labelled = _labelled(hits, links)
+    for _ in range(STAR_ROUNDS):
+        star = _largest(labelled).filter("component <> top").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
+        more = stored(_verified(_likeliest(_estimated(star, single)), texts, percent), "star-links")
+        links = links.union(more)
+        labelled = _labelled(hits, links)
+
+    # 3. what lies in one list, but not in one component: in short lists the likeliest of each two components first
+    wanted = stored(_apart(_estimated(_short_lists(labelled), single), labelled), "wanted")
+    best = wanted.groupBy("_two").agg(F.max(F.struct("likely", "a", "b")).alias("_b")).select("_b.a", "_b.b")
+    links = links.union(stored(_verified(best, texts, percent), "list-links"))
+    labelled = _labelled(hits, links)
+    rest = _apart(wanted.select("a", "b").join(best, ["a", "b"], "left_anti"), labelled)
+    more = _verified(rest, texts, percent).union(_long_lists(labelled, single, texts, percent))
+    links = links.union(stored(more, "list-links"))
 
     # 4. components of all links, and each row's
-    linked = components(first.union(second))
+    linked = components(links)
     final = nodes.join(linked, "node", "left").select("digest", "members", F.coalesce("component", "node").alias("component_id"))
     own = sk.select("doc_id", "n_shingles", "digest")
     out = attach_groups(own.filter("digest is not null"), final, "digest", "members", rows, "doc_id").select("doc_id", "n_shingles", "component_id")

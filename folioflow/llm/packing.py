@@ -9,6 +9,7 @@ entries are broadcast; their number follows from the distinct lengths, not from
 from __future__ import annotations
 
 import re
+import struct
 import zlib
 from bisect import bisect_right
 from functools import lru_cache
@@ -24,7 +25,7 @@ from .common import stored, text_or_empty
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
 FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 12, 50_000
-CACHE_WORDS, CACHE_CHARS = 400_000, 64
+CACHE_WORDS, CACHE_CHARS = 500_000, 64
 
 # White space with the run after it: cutting before white space that follows another character is always safe.
 _WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
@@ -33,6 +34,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
+    """The tokenizer, and two generations of remembered words."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -40,25 +42,40 @@ def _tokenizer(path: str):
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    return tok, {}
+    return tok, {}, {}
 
 
 def _words_ids(path: str, texts: list[str]) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers; words are encoded once and remembered."""
-    tok, known = _tokenizer(path)
+    """Each text's ids as little-endian unsigned 32-bit integers.
+
+    Words are encoded once and remembered, up to CACHE_WORDS of them; then they become the old generation, of which
+    those that occur again are taken over and the others forgotten. Long words are not remembered.
+    """
+    tok, known, old = _tokenizer(path)
     split = [_WORDS.findall(t) for t in texts]
-    new = list({w for words in split for w in words if w not in known})
-    if len(known) + len(new) > CACHE_WORDS:
+    new: set[str] = set()
+    for words in split:
+        new.update(words)
+    if len(known) >= CACHE_WORDS:
+        old.clear()
+        old.update(known)
         known.clear()
-        new = list({w for words in split for w in words})
-    once = {}
+    new.difference_update(known)
+    for w in new & old.keys():
+        known[w] = old[w]
+        new.discard(w)
+    passing, new = [], list(new)
     for k in range(0, len(new), 20_000):
         part = new[k : k + 20_000]
         for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            (known if len(w) <= CACHE_CHARS else once)[w] = np.array(e.ids, "<u4").tobytes()
-    if once:
-        return [b"".join([known[w] if w in known else once[w] for w in words]) for words in split]
-    return [b"".join([known[w] for w in words]) for words in split]
+            ids = e.ids
+            known[w] = struct.pack(f"<{len(ids)}I", *ids)
+            if len(w) > CACHE_CHARS:
+                passing.append(w)
+    out = [b"".join(map(known.__getitem__, words)) for words in split]
+    for w in passing:
+        del known[w]
+    return out
 
 
 def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:

@@ -24,11 +24,12 @@ from .common import stored, text_or_empty
 
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
-FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 12, 50_000
-CACHE_WORDS, CACHE_CHARS = 500_000, 64
+FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 6, 50_000
+CACHE_WORDS, CACHE_CHARS, LINE_WORDS = 500_000, 64, 500
 
 # White space with the run after it: cutting before white space that follows another character is always safe.
 _WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
+_ONE_SPACE = re.compile(f" [^{SPACE}]+")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
@@ -60,18 +61,25 @@ def _words_ids(path: str, texts: list[str]) -> list[bytes]:
         old.clear()
         old.update(known)
         known.clear()
-    new.difference_update(known)
-    for w in new & old.keys():
-        known[w] = old[w]
-        new.discard(w)
-    passing, new = [], list(new)
-    for k in range(0, len(new), 20_000):
-        part = new[k : k + 20_000]
-        for w, e in zip(part, tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-            ids = e.ids
-            known[w] = struct.pack(f"<{len(ids)}I", *ids)
-            if len(w) > CACHE_CHARS:
-                passing.append(w)
+    new = {w for w in new if w not in known}  # looks up the few, doesn't go over the many
+    again = [w for w in new if w in old]
+    known.update(zip(again, map(old.__getitem__, again), strict=True))
+    new.difference_update(again)
+    passing = [w for w in new if len(w) > CACHE_CHARS]
+    # A space and then no other white space: such words are encoded many at once, a line break between two.
+    plain = [w for w in new if w[0] == " " and _ONE_SPACE.fullmatch(w)]
+    lines = [plain[k : k + LINE_WORDS] for k in range(0, len(plain), LINE_WORDS)]
+    split_at = tok.encode("\n", add_special_tokens=False).ids
+    for part, e in zip(lines, tok.encode_batch_fast(["\n".join(part) for part in lines], add_special_tokens=False), strict=True):
+        ids = np.array(e.ids, "<u4")
+        ends = np.flatnonzero(ids == split_at[0]).tolist()
+        if len(split_at) == 1 and len(ends) == len(part) - 1:
+            raw = ids.tobytes()
+            known.update(zip(part, [raw[4 * a : 4 * b] for a, b in zip([0, *[x + 1 for x in ends]], [*ends, len(ids)], strict=True)], strict=True))
+    rest = [w for w in new if w not in known]
+    for w, e in zip(rest, tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
+        ids = e.ids
+        known[w] = struct.pack(f"<{len(ids)}I", *ids)
     out = [b"".join(map(known.__getitem__, words)) for words in split]
     for w in passing:
         del known[w]

@@ -67,6 +67,20 @@ def remainder(key: str, modulus: int):
     return F.pmod(F.crc32(F.coalesce(F.col(key).cast("string"), F.lit("")).cast("binary")), F.lit(modulus))
 
 
+_CACHES: dict = {}
+
+
+def claim(owner: str, forget) -> None:
+    """Called where an operator starts in a Python worker: what other operators remember there is forgotten.
+
+    Workers outlive stages, and a pipeline's stages would else add up their caches.
+    """
+    _CACHES.setdefault(owner, forget)
+    for name, other in _CACHES.items():
+        if name != owner:
+            other()
+
+
 #: A hot key has at least this many rows and at least 1/HOT_SHARE of all rows.
 HOT_ROWS, HOT_SHARE = 256, 4096
 

@@ -27,9 +27,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, replaced, stored, text_or_empty
+from .common import attach_groups, claim, replaced, stored, text_or_empty
 from .components import components
-from .shingles import jaccard_at_least, shingle_set
+from .shingles import forget_words, jaccard_at_least, shingle_set
 
 PERCENT = 75
 K, INDEXED, SHARED, ESTIMATE, HIT_SHARE = 64, 32, 3, 0.56, 0.4
@@ -43,6 +43,7 @@ def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
     """doc_id, n_shingles, digest of the set (null if empty), sketch (ascending; as signed numbers in the same order)."""
 
     def run(batches):
+        claim("shingles", forget_words)
         for batch in batches:
             sizes, digests, values = [], [], []
             for t in batch.column(1):
@@ -84,6 +85,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
 
     def run(batches):
+        claim("shingles", forget_words)
         for batch in batches:
             last, its, keep = None, None, []
             for x, y in zip(batch.column(2), batch.column(3), strict=True):

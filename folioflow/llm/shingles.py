@@ -7,10 +7,14 @@ import xxhash
 
 SHINGLE = 5
 _CACHE: dict[bytes, int] = {}
-_CACHE_WORDS = 400_000
+_CACHE_WORDS = 200_000
 _M = [np.uint64(pow(0x9E3779B97F4A7C15, k, 1 << 64)) for k in range(16)]
 
 
+def forget_words() -> None:
+    _CACHE.clear()
+
+
 def words(text: str) -> list[bytes]:
     """A-Z in lower case, split at the ASCII white space: bytes.split() has exactly those characters."""
     return text.encode().lower().split()

@@ -11,11 +11,13 @@
    blocks of full sets, and only links leave a block.
 4. Components of all links; every row takes its node's.
 
-A pair at similarity 0.75 shares about 24 of 32 indexed values. So a node whose values are mostly its own (fewer than
-HIT_SHARE of them on lists) has no partner and drops out. Of a node with at most half of its values on long lists, the
-rest is enough to meet every partner on short ones; only pairs of nodes above that half are left to the long lists. A
-pair goes unseen if it shares fewer than SHARED short lists there or if its union sketch estimates below ESTIMATE, 3.5
-standard deviations off. Links between different texts are verified exactly before they count: none is added wrongly.
+A pair at similarity 0.75 shares about 24 of 32 indexed values. So a node with fewer values on lists than a pair must
+share drops out. Of a node with at most half of its values on long lists, the rest is left to meet its partners on
+short ones; pairs of nodes above that half meet on any of their long lists. On short lists a pair goes unseen if its
+union sketch estimates below ESTIMATE, 4.6 standard deviations off (at similarity 0.75 a chance of 4.6e-6), or if it
+shares fewer than SHARED: a chance of 2.5e-16 if all its common values are on short lists, and of 2.1e-3 in the worst
+case, 16 common values on long lists and each of 16 others shared with a chance of one half. Pairs on long lists have
+no such chance. Links between different texts are verified exactly before they count: none is added wrongly.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach_groups, claim, replaced, stored, text_or_empty
@@ -32,9 +34,9 @@ from .components import components
 from .shingles import forget_words, jaccard_at_least, shingle_set
 
 PERCENT = 75
-K, INDEXED, SHARED, ESTIMATE, HIT_SHARE = 64, 32, 3, 0.56, 0.4
-#: Lists of more nodes than this are hot; blocks of so many nodes (and matrices of so many cells) are compared at once; a node's long lists in use.
-LIST_ROWS, BLOCK_ROWS, BLOCK_CELLS, HOT_LISTS, STAR_ROUNDS = 32, 1024, 8_000_000, 6, 1
+K, INDEXED, SHARED, ESTIMATE = 64, 32, 3, 0.5
+#: Lists of more nodes than this are hot; blocks of so many nodes (and matrices of so many cells) are compared at once.
+LIST_ROWS, BLOCK_ROWS, BLOCK_CELLS, STAR_ROUNDS = 32, 1024, 8_000_000, 1
 ADDED = ("n_shingles", "component_id", "kept")
 _SIGN = np.uint64(1 << 63)
 
@@ -104,19 +106,36 @@ def _short_lists(hits: DataFrame) -> DataFrame:
     lists = hits.filter(F.col("n") <= LIST_ROWS).groupBy("value").agg(F.collect_list(F.struct("node", "component", "indexed")).alias("m"), F.countDistinct("component").alias("c")).filter("c > 1")
     pair = F.expr("flatten(transform(m, x -> transform(filter(m, y -> y.node < x.node and y.component <> x.component), y -> struct(x.node as a, y.node as b, least(x.indexed, y.indexed) as most))))")
     rows = lists.select(F.explode(pair).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("shared"), F.first("p.most").alias("most"))
-    return rows.filter(F.col("shared") >= F.least(F.lit(SHARED), F.greatest(F.lit(1), F.floor(F.col("most") / 4)))).select("a", "b")
+    return rows.filter(F.col("shared") >= _least_shared("most")).select("a", "b")
+
+
+def _least_shared(indexed: str) -> Column:
+    """How many lists a pair shares at least, of which the smaller text has ``indexed`` values."""
+    return F.least(F.lit(SHARED), F.greatest(F.lit(1), F.floor(F.col(indexed) / 4)))
+
+
+def _uncovered(lists: DataFrame) -> DataFrame:
+    """``lists`` (value, node, ...) without those all of whose nodes are on a larger list (of equal ones the first stays).
+
+    The pairs of such a list meet on the larger one, so none is lost. A node has at most INDEXED lists.
+    """
+    sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("_size"))
+    both = lists.groupBy("node").agg(F.collect_set("value").alias("_its")).select(F.explode("_its").alias("value"), "_its")
+    both = both.select("value", F.explode("_its").alias("_other")).groupBy("value", "_other").agg(F.count(F.lit(1)).alias("_both"))
+    met = both.join(sizes, "value").filter("_both = _size and _other <> value").join(sizes.select(F.col("value").alias("_other"), F.col("_size").alias("_other_size")), "_other")
+    gone = met.filter("_other_size > _size or _other < value").select("value").distinct()
+    return attach_groups(lists, sizes.join(gone, "value", "left_anti"), "value", "_size", lists.count(), "node").drop("_size")
 
 
 def _long_lists(hits: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components in longer lists, among nodes that are mostly on such.
 
     Only nodes outside their list's largest component ask; they and the list are cut into blocks, and each pair of
-    blocks is compared in one place, on full sets by products of 0-1 matrices. A node asks in its HOT_LISTS smallest
-    long lists, and names one partner in each other component of a block: any link joins the two.
+    blocks is compared in one place, on full sets by products of 0-1 matrices. A node asks in all its long lists that
+    no other covers, and names one partner in each other component of a block: any link joins the two.
     """
     hot = hits.filter((F.col("n") > LIST_ROWS) & (F.col("long") * 2 > F.col("indexed")))
-    least = hot.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("value")), 1, HOT_LISTS).alias("few"))
-    lists = _largest(hot).join(least, "node").filter(F.array_contains("few", F.col("value"))).select("value", "node", "component", "n", "top")
+    lists = _uncovered(stored(_largest(hot).select("value", "node", "component", "n", "top"), "long-lists"))
     blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int"))
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.sequence(F.lit(0), blocks - F.lit(1))
@@ -221,7 +240,7 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     postings = single.select("node", F.least(F.size("sketch"), F.lit(INDEXED)).alias("indexed"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
     lists = stored(postings.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("o"), "node")).getField("node").alias("hub")).filter("n > 1"), "lists")
     mine = attach_groups(postings, lists, "value", "n", rows, "node").groupBy("node", "indexed").agg(F.collect_list(F.struct("value", "n", "hub")).alias("l"), F.count(F.when(F.col("n") > LIST_ROWS, 1)).alias("long"))
-    mine = stored(mine.filter(F.size("l") >= F.col("indexed") * HIT_SHARE), "hits")  # at most INDEXED in a row
+    mine = stored(mine.filter(F.size("l") >= _least_shared("indexed")), "hits")  # at most INDEXED in a row
     hits = mine.select("node", "indexed", "long", F.explode("l").alias("_l")).select("node", "indexed", "long", "_l.*")
 
     # 2. each node with its likeliest hub, then those outside their lists' largest components with a member of these

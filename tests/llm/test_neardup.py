@@ -82,3 +82,30 @@ def test_edges(spark):
     rows = sorted(((r.doc_id or -1), r.n_shingles, r.component_id, r.kept) for r in neardup.near_dedup(df).collect())
     assert rows == [(-1, 2, None, True), (1, 2, 1, True), (1, 2, 1, True), (2, 2, 1, False), (3, 0, 3, True)]
     assert sorted((r.doc_id or -1) for r in neardup.without_near_duplicates(df).collect()) == [-1, 1, 1, 3]
+
+
+def test_estimate_below_the_former_margin(spark):
+    """Links whose union sketch estimates between 0.5 and 0.56 count: they are verified on full sets."""
+    rng = random.Random(5)
+    prepare(spark)
+    for _ in range(100_000):
+        one = [f"w{rng.randrange(10**9)}" for _ in range(204)]
+        two = ["x" if k in (20, 50, 80, 110, 140, 201) else w for k, w in enumerate(one)]
+        a, b = " ".join(one), " ".join(two)
+        x, y = neardup.shingle_set(a), neardup.shingle_set(b)
+        if 0.5 <= neardup.estimate(x[: neardup.K], y[: neardup.K]) < 0.56:
+            break
+    assert neardup.jaccard_at_least(x, y, 75)
+    df = spark.createDataFrame([(d, t, "x", 1, "y") for d, t in ((1, a), (2, b))], SCHEMA)
+    assert got(neardup.near_dedup(df)) == brute_force([(1, a), (2, b)])
+
+
+def test_every_long_list_is_compared(spark):
+    """Near copies that share only the last of their long lists."""
+    prepare(spark)
+    words = [f"w{k}" for k in range(60)]
+    texts = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words, "end"])), (3, "another text of more than five words")], "doc_id long, text string")
+    lists = {1: [*range(1, 13), 25], 2: [*range(13, 25), 25], 3: range(1, 26)}
+    rows = [(node, len(values), len(values), v, 40, node) for node, values in lists.items() for v in values]
+    hits = spark.createDataFrame(rows, "node long, indexed int, long long, value long, n long, component long")
+    assert [tuple(r) for r in neardup._long_lists(hits, None, texts, 75).collect()] == [(2, 1)]

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.functions import retrieval, text
@@ -203,10 +203,10 @@ def chunk_packed(spark, d):
 
 
 def _sectioned(c):
-    """A paper made of a document: its words below headings."""
+    """A paper made of a document: all its words below headings, the last of which takes what is left."""
     w = text.words(c)
-    part = lambda a, n: F.array_join(F.slice(w, a, n), " ")
-    return F.concat(F.lit("Title\nAbstract\n"), part(1, 30), F.lit("\nIntroduction and aims\n"), part(31, 250), F.lit("\nMethods\n"), part(281, 40), F.lit("\nResults\n"), part(321, 40), F.lit("\nReferences\n"), part(361, 9))
+    part = lambda a, n: F.array_join(F.slice(w, F.lit(a), n if isinstance(n, Column) else F.lit(n)), " ")
+    return F.concat(F.lit("Title\nAbstract\n"), part(1, 30), F.lit("\nIntroduction and aims\n"), part(31, 250), F.lit("\nMethods\n"), part(281, 40), F.lit("\nResults\n"), part(321, 40), F.lit("\nReferences\n"), part(361, F.greatest(F.size(w), F.lit(1))))
 
 
 _PARTS = rf"""WITH w AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),

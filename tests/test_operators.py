@@ -165,3 +165,12 @@ def test_stream_is_the_batch(spark, tmp_path):
         q = resume.analyse_stream(spark, source, schema, lambda b: b.withColumn("n", F.length("text")), str(tmp_path / "out"), str(tmp_path / "check"))
         q.awaitTermination(60)
     assert sorted((r.id, r.n) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [(1, 1), (2, 1)]
+
+
+def test_sections_hold_the_whole_text(spark):
+    """No word of a long document is left out of the paper that is made of it."""
+    from folioflow.plans import queries
+
+    words = [f"w{k}" for k in range(1_500)]
+    paper = spark.createDataFrame([(" ".join(words),)], "text string").select(queries._sectioned("text").alias("p")).first().p
+    assert [w for w in paper.split() if w[0] == "w" and w[1:].isdigit()] == words

@@ -4,16 +4,16 @@ A token of the HEAD most frequent has a code of four digits to the base 16: word
 that go before them, and numbered by group and frequency. The first digit is the word's class, the second its
 subclass: each is a softmax over 16, given the digits before (the node) and the history. A digit's score is the
 unigram log probability at the node plus a row of 16 weights per feature: the word before, the two before, the word
-before that (skip), and the last very frequent word. Rows are hashed from feature and node into a table of fixed
-size, a part for each feature. Within its subclass a word has its share of the counts. All other tokens share one
+before that (skip), and the last very frequent word. Rows are hashed from feature and node into a table that grows
+with the training tokens from 2**ROWS_LOG2 rows to 2**MOST_ROWS_LOG2, a part for each feature. Within its subclass a word has its share of the counts. All other tokens share one
 code (RARE); within it a token's probability is its smoothed share of the rare tokens, so that the probabilities of
 all tokens and of unknown ones sum to 1.
 
 Training: counts of all training tokens; counts of all head tokens by the frequent word before them, for the codes;
 then ROUNDS rounds, each over its share of the training texts. A round's
 shards (one per TOKENS_A_SHARD tokens, so they grow with the corpus) take stochastic gradient steps from the same
-weights, and their changes are averaged row by row, weighted by use; only the fixed-size table is collected and
-broadcast. Scoring looks up the frequent tokens in sparse numpy batches; the rare ones of all texts (their hashes)
+weights, and their changes are averaged row by row, weighted by use; only the table, of bounded size, is collected
+and broadcast. Scoring looks up the frequent tokens in sparse numpy batches; the rare ones of all texts (their hashes)
 are joined with their counts. No token's rows are hot in that join: whatever is frequent is in the head.
 """
 
@@ -36,20 +36,24 @@ BASE, LEVELS, TRAINED = 16, 4, 2
 END, RARE, FIRST = 0, 1, 2
 HEAD = BASE**LEVELS - FIRST
 TOP = 64
-ROWS_LOG2, FEATURES = 16, 4
+#: The table has a row for TOKENS_A_ROW training tokens, within these bounds (2**20 rows are 64 MB).
+ROWS_LOG2, MOST_ROWS_LOG2, TOKENS_A_ROW, FEATURES = 17, 20, 512, 4
 GROUPS, GROUP_STEPS = 8, 12
 ROUNDS, TOKENS_A_SHARD, MOST_SHARDS, BLOCK = 2, 4_000_000, 4_096, 1 << 11
-BATCH, RATE, DENSE_RATE, SCORE_TOKENS, COUNTER_WORDS = 2_048, 0.15, 0.3, 50_000, 500_000
+BATCH, RATE, DENSE_RATE, SCORE_TOKENS, COUNTER_WORDS = 1_024, 0.15, 0.3, 50_000, 500_000
 ALPHA = 0.1
 #: What stands for the end of a text among tokens; it holds white space, so no word equals it.
 END_TOKEN = b"\n"
 
 _NODES = np.cumsum([0] + [BASE**k for k in range(TRAINED)])
-#: First row of the last feature.
-_DENSE = (FEATURES - 1) << (ROWS_LOG2 - 2)
 _SALTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
+def rows_log2(total: int) -> int:
+    """The logarithm of the table's rows for ``total`` training tokens."""
+    return min(MOST_ROWS_LOG2, max(ROWS_LOG2, (max(1, -(-total // TOKENS_A_ROW)) - 1).bit_length()))
+
+
 def tokens(text: str) -> list[bytes]:
     """Words of the text, A-Z in lower case, split at ASCII white space."""
     return text.encode().lower().split()
@@ -108,7 +112,8 @@ class Model:
         #: log10 of a code's share in its subclass
         last = mass.reshape(BASE**TRAINED, -1)
         self.within = np.log10(np.maximum(last, 1e-300) / np.maximum(last.sum(1, keepdims=True), 1e-300)).ravel()
-        self.weights = np.zeros((1 << ROWS_LOG2, BASE), np.float32)
+        self.rows_log2 = rows_log2(total)
+        self.weights = np.zeros((1 << self.rows_log2, BASE), np.float32)
 
     def encode(self, words: list[bytes]) -> list[int]:
         return list(map(self.ids.get, words, repeat(RARE)))
@@ -137,12 +142,12 @@ class Model:
         return out
 
 
-def _rows(history: np.ndarray, node: np.ndarray) -> np.ndarray:
+def _rows(history: np.ndarray, node: np.ndarray, log2: int) -> np.ndarray:
     """Each feature's row at each position: its own part of the table, by history and node."""
     h = history ^ (node.astype(np.uint32) * np.uint32(0x9E3779B1))
     h *= np.uint32(0x85EBCA6B)
-    h >>= np.uint32(32 - ROWS_LOG2 + 2)
-    return h.astype(np.int64) + (np.arange(FEATURES) << (ROWS_LOG2 - 2))[:, None]
+    h >>= np.uint32(32 - log2 + 2)
+    return h.astype(np.int64) + (np.arange(FEATURES) << (log2 - 2))[:, None]
 
 
 def log_probabilities(model: Model, ids: np.ndarray, history: np.ndarray) -> np.ndarray:
@@ -155,7 +160,7 @@ def log_probabilities(model: Model, ids: np.ndarray, history: np.ndarray) -> np.
             node = (y >> (4 * (LEVELS - level))) + _NODES[level]
             digit = (y >> (4 * (LEVELS - 1 - level))) & (BASE - 1)
             s = model.prior.take(node, 0)
-            for r in _rows(h, node):
+            for r in _rows(h, node, model.rows_log2):
                 s += model.weights.take(r, 0)
             s -= s.max(1, keepdims=True)
             own = s[each, digit]
@@ -167,7 +172,9 @@ class Trainer:
     """Stochastic gradient steps on a copy of the weights; ``used`` counts each row's steps."""
 
     def __init__(self, model: Model):
-        self.model, self.weights, self.used = model, model.weights.copy(), np.zeros(1 << ROWS_LOG2, np.float32)
+        self.model, self.weights, self.used = model, model.weights.copy(), np.zeros(len(model.weights), np.float32)
+        #: First row of the last feature, and a type that holds its rows (two bytes sort fastest).
+        self.dense, self.narrow = (FEATURES - 1) << (model.rows_log2 - 2), np.min_scalar_type((1 << (model.rows_log2 - 2)) - 1)
 
     def learn(self, ids: np.ndarray, history: np.ndarray) -> None:
         """Steps over batches. If tokens of a batch share a row of a sparse feature, one of them moves it."""
@@ -177,7 +184,7 @@ class Trainer:
             for level in range(TRAINED):
                 node = (y >> (4 * (LEVELS - level))) + _NODES[level]
                 digit = (y >> (4 * (LEVELS - 1 - level))) & (BASE - 1)
-                s, rows = self.model.prior.take(node, 0), _rows(h, node)
+                s, rows = self.model.prior.take(node, 0), _rows(h, node, self.model.rows_log2)
                 old = [self.weights.take(r, 0) for r in rows]
                 for w in old:
                     s += w
@@ -193,7 +200,7 @@ class Trainer:
                     w -= s * rate[:, None]
                     self.weights[r] = w
                 # The last feature has few rows: each moves by the sum over its tokens.
-                order = np.argsort((rows[-1] - _DENSE).astype(np.int16), kind="stable")
+                order = np.argsort((rows[-1] - self.dense).astype(self.narrow), kind="stable")
                 r = rows[-1][order]
                 first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
                 r = r[first]
@@ -263,7 +270,7 @@ def _blocks(table: np.ndarray, used: np.ndarray):
 
 
 def _collected(merged: DataFrame, shape) -> np.ndarray:
-    """The blocks as a table of fixed shape, whatever the corpus."""
+    """The blocks as a table of the given shape."""
     out = np.zeros(shape, np.float32)
     for row in merged.collect():
         out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["value"], np.float32).reshape(BLOCK, -1)

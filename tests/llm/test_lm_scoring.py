@@ -54,3 +54,14 @@ def test_edges(spark):
     out = lm_scoring.lm_score(spark.createDataFrame([(d, t, "s", 1) for d, t in rows], SCHEMA)).collect()
     assert got(out) == base(rows)
     assert all(math.isfinite(r.score) for r in out)
+
+
+def test_table_grows_with_the_corpus():
+    assert [lm_scoring.rows_log2(n) for n in (0, 1, 512 << 17, (512 << 17) + 1, 512 << 18, 10**12)] == [17, 17, 17, 18, 18, 20]
+    m = lm_scoring.Model([(b"a", 9)], 512 << 19, 6)
+    own = lm_scoring.Trainer(m)
+    ids = [m.ids[b"a"]] * 3_000
+    import numpy as np
+
+    own.learn(np.array(ids), m.histories(np.array(ids), np.array([0])))
+    assert len(m.weights) == 1 << 19 and np.flatnonzero(own.used).max() >= own.dense

@@ -6,7 +6,8 @@ layer gives the window's logit. Windows overlap: each starts STRIDE tokens after
 the text. A text's score is the calibrated logistic of its largest window logit.
 
 Training is multiple-instance: a toxic text's windows above the others count as toxic, the rest of it as nothing;
-clean texts give clean windows. It reads at most ``max_rows`` toxic and twice as many clean labelled texts, by hash of the key.
+clean texts give clean windows. It reads at most ``max_rows`` toxic and twice as many clean labelled texts, by hash of the key;
+the calibration weighs them so that each class counts with its share of all training labels.
 """
 
 from __future__ import annotations
@@ -213,8 +214,10 @@ def _strongest(net, words: list[bytes], grams: np.ndarray, odds: np.ndarray) ->
     return single
 
 
-def fit(texts: list[str], labels, epochs: int = EPOCHS, seed: int = 0) -> Network:
-    """Train on texts and labels (1: toxic). With one class only, the network scores every text by that class's share."""
+def fit(texts: list[str], labels, epochs: int = EPOCHS, seed: int = 0, stands_for: tuple[float, float] = (1.0, 1.0)) -> Network:
+    """Train on texts and labels (1: toxic). With one class only, the network scores every text by that class's share.
+
+    A clean and a toxic text stand for so many each in the calibration."""
     toxic = np.asarray(labels, np.float32)
     apart = np.zeros(len(toxic), bool)
     if len(toxic) >= LEAST_APART:  # every fifth text only calibrates
@@ -282,7 +285,7 @@ def fit(texts: list[str], labels, epochs: int = EPOCHS, seed: int = 0) -> Networ
             gg, ig = np.zeros((BUCKETS, WIDTH), np.float32), np.unique(bucket)
             np.add.at(gg, bucket, (dx[:, WIDTH:] / n[:, None])[gowner])
             steps.take("gram", net.p["gram"], gg[ig], ig)
-    _calibrate(net, *aside)
+    _calibrate(net, *aside, stands_for)
     return net
 
 
@@ -302,16 +305,20 @@ def _table(net: Network, words: list[bytes], rows: np.ndarray, back: bool = Fals
     return (table, at, (x, rest)) if back else (table, at)
 
 
-def _calibrate(net: Network, texts: list[str], toxic: np.ndarray) -> None:
-    """Slope and shift of the logistic on the texts' largest logits: Newton steps with a weak prior, halved if needed."""
+def _calibrate(net: Network, texts: list[str], toxic: np.ndarray, stands_for: tuple[float, float] = (1.0, 1.0)) -> None:
+    """Slope and shift of the logistic on the texts' largest logits: Newton steps with a weak prior, halved if needed.
+
+    Rows weigh what their class ``stands_for``, in all as much as there are rows."""
     got = np.clip(Scorer(net).logits(texts), -60, 60)
+    weight = np.where(toxic > 0, stands_for[1], stands_for[0])
+    weight = weight * (len(weight) / weight.sum())
     middle, spread = got.mean(), got.std() + 1e-6
     x = np.stack([(got - middle) / spread, np.ones(len(got))])
-    loss = lambda w: float(np.logaddexp(0, w @ x).sum() - (toxic * (w @ x)).sum() + 0.05 * (w @ w))
+    loss = lambda w: float((weight * np.logaddexp(0, w @ x)).sum() - (weight * toxic * (w @ x)).sum() + 0.05 * (w @ w))
     w = np.zeros(2)
     for _ in range(50):
         p = _sigmoid(w @ x)
-        step = np.linalg.solve((x * (p * (1 - p))) @ x.T + 0.1 * np.eye(2), x @ (p - toxic) + 0.1 * w)
+        step = np.linalg.solve((x * (weight * p * (1 - p))) @ x.T + 0.1 * np.eye(2), x @ (weight * (p - toxic)) + 0.1 * w)
         size = 1.0
         while size > 1e-4 and loss(w - size * step) > loss(w):
             size /= 2
@@ -404,12 +411,15 @@ def train(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     """
     own = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("_k")).agg(F.max(label).cast("int").alias("_label"))
     own = own.filter(remainder("_k", FOLDS) != 0)
-    part = lambda v: own.filter(F.col("_label") == v).orderBy(F.xxhash64("_k"), "_k").limit(max_rows * (1 if v else CLEAN_SHARE))
+    most = (max_rows * CLEAN_SHARE, max_rows)
+    part = lambda v: own.filter(F.col("_label") == v).orderBy(F.xxhash64("_k"), "_k").limit(most[v])
+    count = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
+    stands_for = tuple(max(1.0, count.get(v, 0) / max(1, most[v])) for v in (0, 1))
     chosen = part(0).union(part(1))
     rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     got = rows.join(F.broadcast(chosen), rows.doc_id == chosen._k).select("doc_id", "text", "_label").toPandas()
     got = got.sort_values(["doc_id", "text"], kind="stable")
-    return fit(got["text"].to_list(), got["_label"].to_numpy())
+    return fit(got["text"].to_list(), got["_label"].to_numpy(), stands_for=stands_for)
 
 
 def scored(df: DataFrame, net: Network, threshold: float = THRESHOLD, key: str = "doc_id", text: str = "text") -> DataFrame:

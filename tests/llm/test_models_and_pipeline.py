@@ -88,3 +88,15 @@ def test_pipeline_stages(spark):
         else:
             assert after <= set(before) and len(after) > 0.5 * len(before)
         docs = out
+
+
+def test_calibration_keeps_the_share_of_labels(spark):
+    """A bounded sample that takes more of the toxic labels gives the scores of all labels."""
+    r = np.random.default_rng(3)
+    label = (r.random(4_000) < 0.1).astype(int)
+    word = lambda toxic: "bad" if r.random() < (0.5 if toxic else 0.1) else "fine"
+    rows = [(k, f"some {word(t)} words {r.integers(50)}") for k, t in enumerate(label)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(t)) for k, t in enumerate(label)], "doc_id long, toxic int")
+    scores = [toxicity.Scorer(toxicity.train(df, labels, max_rows=n)).scores([t for _, t in rows]).mean() for n in (100_000, 200)]
+    assert scores == pytest.approx([0.1, 0.1], abs=0.04)

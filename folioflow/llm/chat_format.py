@@ -1,6 +1,6 @@
 """Event-sourced chat formatting.
 
-A log of events (conv_id, seq, turn, kind, role, text) is partitioned by conversation, sorted by sequence and
+A log of events (conv_id, seq, turn, kind, role, text, and item if turns share a number) is partitioned by conversation, sorted by sequence and
 folded into final messages, which a template renders. Kinds: ``start`` opens a turn with its role and perhaps text,
 ``delta`` appends, ``edit`` replaces the whole text, ``regenerate`` empties the turn for new deltas, ``delete``
 removes the turn. Conversations are folded and rendered in blocks of ``BLOCK_TURNS`` turns, so that one very long
@@ -43,20 +43,23 @@ def escape_role(role: str) -> str:
 
 
 def fold(events) -> list[tuple[int, str, str]]:
-    """(turn, role, text) of the turns that remain, by turn; ``events`` are (turn, kind, role, text) in sequence."""
+    """(turn, role, text) of the turns that remain, by turn, role and text; ``events`` are (turn, item, kind, role, text) in sequence.
+
+    Events of one turn and item make a turn.
+    """
     turns: dict = {}
-    for turn, kind, role, text in events:
+    for turn, item, kind, role, text in events:
         if kind == "delete":
-            turns.pop(turn, None)
+            turns.pop((turn, item), None)
             continue
-        now = turns.setdefault(turn, [role or "", []])
+        now = turns.setdefault((turn, item), [role or "", []])
         if role and kind in ("start", "edit"):
             now[0] = role
         if kind in ("edit", "regenerate"):
             now[1] = []
         if text:
             now[1].append(text)
-    return [(t, role, "".join(parts)) for t, (role, parts) in sorted(turns.items(), key=lambda x: (x[0] is not None, x[0]))]
+    return sorted(((t, role, "".join(parts)) for (t, _), (role, parts) in turns.items()), key=lambda x: (x[0] is not None, *x))
 
 
 def render(turns, trained: str = ASSISTANT) -> tuple[str, list[tuple[int, int]]]:
@@ -97,15 +100,17 @@ def format_chats(events: DataFrame, trained: str = ASSISTANT, block_turns: int =
 
     Events of one sequence number are taken by kind (deltas, start, others), role and text, so ties and repeated
     rows give a defined order; a null turn is a turn before all others, a null text is empty, a null role the empty
-    role, a null kind a delta, and a null conv_id a conversation of its own. Other columns are not read.
+    role, a null kind a delta, and a null conv_id a conversation of its own. Without a column ``item`` all events of a turn
+    belong together. Other columns are not read.
     """
     rank = F.when(F.col("kind") == "start", 0).when(F.col("kind") == "delta", 1).otherwise(2)
+    item = F.col("item").cast("long") if "item" in events.columns else F.lit(None).cast("long")
     log = events.select(
         F.col("conv_id").cast("long").alias("conv_id"), F.floor(F.coalesce(F.col("turn"), F.lit(0)) / F.lit(block_turns)).cast("long").alias("block"),
-        F.col("seq").cast("long").alias("seq"), rank.alias("rank"), F.col("turn").cast("long").alias("turn"), F.coalesce("kind", F.lit("delta")).alias("kind"),
+        F.col("seq").cast("long").alias("seq"), rank.alias("rank"), F.col("turn").cast("long").alias("turn"), item.alias("item"), F.coalesce("kind", F.lit("delta")).alias("kind"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    log = log.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "seq", "rank", "turn", "role", "text")
+    log = log.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "seq", "rank", "turn", "role", "text", "item")
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.int32())
     names = ["conv_id", "block", "formatted", "loss", "turns"]
 
@@ -116,7 +121,7 @@ def format_chats(events: DataFrame, trained: str = ASSISTANT, block_turns: int =
             return (*key, text, [{"start": a, "stop": b} for a, b in spans], len(turns))
 
         key, mine, out, size = None, [], [], 0
-        for conv, block, _, _, turn, kind, role, text in _rows(batches):
+        for conv, block, _, _, turn, item, kind, role, text in _rows(batches):
             if key is not None and key != (conv, block):
                 out.append(done(key, mine))
                 size += len(out[-1][2])
@@ -125,13 +130,13 @@ def format_chats(events: DataFrame, trained: str = ASSISTANT, block_turns: int =
                     yield _emit(out, names, kinds)
                     out, size = [], 0
             key = (conv, block)
-            mine.append((turn, kind, role, text))
+            mine.append((turn, item, kind, role, text))
         if key is not None:
             out.append(done(key, mine))
         if out:
             yield _emit(out, names, kinds)
 
-    return log.select("conv_id", "block", "seq", "rank", "turn", "kind", "role", "text").mapInArrow(run, BLOCKS)
+    return log.select("conv_id", "block", "seq", "rank", "turn", "item", "kind", "role", "text").mapInArrow(run, BLOCKS)
 
 
 def read_back(blocks: DataFrame) -> DataFrame:
@@ -172,11 +177,12 @@ def read_back(blocks: DataFrame) -> DataFrame:
 def events_of_turns(turns: DataFrame, delta_chars: int = 2_000) -> DataFrame:
     """The event log of finished conversations (rows by turn): a start event and deltas of ``delta_chars`` characters.
 
-    Rows that repeat a turn follow one another within it, by role and text.
+    Rows that repeat a turn stay turns of their own, named by ``item``, and follow one another by role and text.
     """
     text = F.coalesce("text", F.lit(""))
     parts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length(text) / F.lit(delta_chars)).cast("int") - F.lit(1)))
-    rows = turns.select("conv_id", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), F.posexplode(parts).alias("part", "_p"))
+    rows = turns.withColumn("item", F.monotonically_increasing_id())
+    rows = rows.select("conv_id", "item", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), F.posexplode(parts).alias("part", "_p"))
     piece = F.substring(F.col("text"), F.col("part") * F.lit(delta_chars) + F.lit(1), F.lit(delta_chars))
     seq = F.coalesce("turn", F.lit(-1)) * F.lit(1 << 24) + F.col("part")
-    return rows.select("conv_id", seq.alias("seq"), "turn", F.when(F.col("part") == 0, "start").otherwise("delta").alias("kind"), "role", piece.alias("text"))
+    return rows.select("conv_id", seq.alias("seq"), "turn", F.when(F.col("part") == 0, "start").otherwise("delta").alias("kind"), "role", piece.alias("text"), "item")

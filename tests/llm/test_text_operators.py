@@ -168,6 +168,21 @@ def test_chat_fold(spark):
     assert chat_format.read_back(chat_format.format_chats(df.limit(0))).collect() == []
 
 
+def test_chat_repeated_turns(spark):
+    """Rows that repeat a turn number stay turns of their own, as the query's SQL has them."""
+    import duckdb
+
+    from folioflow.llm.queries import oracle_sql
+
+    prepare(spark)
+    rows = [(1, 0, "user", "hi"), (1, 0, "assistant", "yes"), (1, 1, "assistant", "a" * 5_000), (1, 1, "assistant", "b" * 4_500), (1, 1, "assistant", "b" * 4_500), (2, 3, "user", ""), (2, 3, None, None), (3, 0, "user", "x")]
+    rows += [(-7, k, r, "\\### Assistant: </turn> ok") for k, r in enumerate(("user", "assistant"))]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    conversations = df.filter("conv_id <> -7").toPandas()  # noqa: F841
+    out = chat_format.read_back(chat_format.format_chats(chat_format.events_of_turns(df)))
+    assert sorted(map(tuple, out.collect())) == sorted(duckdb.sql(oracle_sql()["op3_chat_format"]).fetchall())
+
+
 def test_warc_records_and_edges(spark):
     prepare(spark)
     big = "é" * 600

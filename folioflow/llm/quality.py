@@ -12,6 +12,7 @@ reach the driver. Every row is scored.
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass, field
 from itertools import combinations
 
@@ -45,17 +46,16 @@ def measure(text: str) -> list[float]:
     n, w = max(1, len(raw)), max(1, len(words))
     kinds = np.bincount(_CLASS[np.frombuffer(raw, np.uint8)], minlength=6)
     lengths = np.fromiter(map(len, words), np.int64, len(words))
-    distinct = set(words)
+    distinct = Counter(words)
     lines = [x for x in raw.split(b"\n") if x]
     pairs = set(zip(words, words[1:], strict=False))
     letters = max(1, int(kinds[_UPPER] + kinds[_LOWER]))
     marked = sum(x[-1:] in b"!*$%&#" for x in words)
-    common = max(words[:: max(1, w // 64)] or [b""], key=words[:: max(1, w // 64)].count, default=b"")
     return [
         float(np.log1p(len(raw))), float(np.log1p(len(words))), float(lengths.mean()) if len(words) else 0.0, len(distinct) / w, float(kinds[_UPPER]) / letters,
         float(kinds[_DIGIT]) / n, float(kinds[_STOP]) / n, float(kinds[_SYMBOL]) / n, raw.count(b"|") / w, raw.count(b"!") / w,
         len(words) / max(1, len(lines)), 1 - len(set(lines)) / max(1, len(lines)), len(words) / max(1, raw.count(b".")), float((lengths <= 3).sum()) / w, float((lengths >= 12).sum()) / w,
-        1 - len(pairs) / max(1, len(words) - 1) if len(words) > 1 else 0.0, words.count(common) / w if words else 0.0, marked / w,
+        1 - len(pairs) / max(1, len(words) - 1) if len(words) > 1 else 0.0, max(distinct.values(), default=0) / w, marked / w,
     ]
 
 

@@ -100,3 +100,10 @@ def test_calibration_keeps_the_share_of_labels(spark):
     labels = spark.createDataFrame([(k, int(t)) for k, t in enumerate(label)], "doc_id long, toxic int")
     scores = [toxicity.Scorer(toxicity.train(df, labels, max_rows=n)).scores([t for _, t in rows]).mean() for n in (100_000, 200)]
     assert scores == pytest.approx([0.1, 0.1], abs=0.04)
+
+
+def test_top_word_of_the_whole_text():
+    """The most frequent word counts wherever it stands."""
+    words = [f"w{k}" for k in range(640)]
+    words[1::10] = ["spam"] * 64
+    assert quality.measure(" ".join(words))[quality.FEATURES.index("top_word")] == 0.1

@@ -213,3 +213,8 @@ def test_full_filter_is_still_exact(spark, small, monkeypatch):
     docs = load(spark, small, "documents")
     got = exact_dedup.exact_dedup(docs.select("doc_id", "text"), max_bits=15)
     assert got.filter("kept").count() == docs.select("text").distinct().count()
+
+
+def test_plan_tries():
+    """The search over plans has its twelve variants."""
+    assert packing.PLAN_TRIES >= 12

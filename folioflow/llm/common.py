@@ -27,11 +27,14 @@ def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors share: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) a temporary folder takes its place.
+    Only where that setting is absent and driver and executors are one process (master local, as in tests) a
+    temporary folder takes its place; on a cluster its absence is an error.
     """
-    found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    sc = spark.sparkContext
+    found = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not found:
-        sc = spark.sparkContext
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         found = getattr(sc, "_folioflow_shared", None)
         if not found:
             found = sc._folioflow_shared = "file://" + tempfile.mkdtemp(prefix="folioflow-")
@@ -39,9 +42,19 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """(file system, path) of Hadoop for ``path``."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path in the shared folder."""
-    return f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
+    """A fresh path in the shared folder, deleted when the driver ends."""
+    path = f"{shared_dir(spark)}/folioflow/{name}-{uuid.uuid4().hex}"
+    store, where = _hadoop(spark, path)
+    store.mkdirs(where.getParent())
+    store.deleteOnExit(where)
+    return path
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
@@ -49,13 +62,44 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._folioflow_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``stored`` wrote and that nothing will read again."""
+    for df in tables:
+        path = getattr(df, "_folioflow_path", None)
+        if path:
+            store, where = _hadoop(df.sparkSession, path)
+            store.delete(where, True)
+
+
+def private(names, *wanted: str) -> list[str]:
+    """The ``wanted`` column names, changed so that none is among ``names`` (case ignored)."""
+    taken, out = {n.lower() for n in names}, []
+    for name in wanted:
+        while name.lower() in taken:
+            name = f"_{name}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def schema_text(df: DataFrame) -> str:
+    """The columns of ``df`` as a schema string."""
+    return ", ".join(f"{quoted(f.name)} {f.dataType.simpleString()}" for f in df.schema.fields)
 
 
 def replaced(df: DataFrame, names) -> DataFrame:
     """``df`` without the columns that an operator is about to add (an operator's own columns win)."""
     own = {n.lower() for n in names}
-    return df.select(*[F.col(f"`{c}`") for c in df.columns if c.lower() not in own])
+    return df.select(*[F.col(quoted(c)) for c in df.columns if c.lower() not in own])
 
 
 def text_or_empty(column: str = "text"):
@@ -94,11 +138,12 @@ def attach_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, total
     """
     least = max(HOT_ROWS, total // HOT_SHARE)
     extra = [c for c in groups.columns if c != key]
-    hot = groups.filter(F.col(size) >= least).select(F.col(key).alias("_hk"), F.struct(*extra).alias("_hot"))
+    hk, hot_, ck, cs, cold_, s, g = private([*rows.columns, *groups.columns], "_hk", "_hot", "_ck", "_cs", "_cold", "_s", "_g")
+    hot = groups.filter(F.col(size) >= least).select(F.col(key).alias(hk), F.struct(*extra).alias(hot_))
     # least(size, 0) is always 0, but not foldable: it stays a join key, and so the rows of hot groups are dealt out.
-    cold = groups.filter(F.col(size) < least).select(F.col(key).alias("_ck"), F.least(F.col(size), F.lit(0)).cast("long").alias("_cs"), F.struct(*extra).alias("_cold"))
-    found = rows.join(F.broadcast(hot), F.col(key) == F.col("_hk"), "left")
+    cold = groups.filter(F.col(size) < least).select(F.col(key).alias(ck), F.least(F.col(size), F.lit(0)).cast("long").alias(cs), F.struct(*extra).alias(cold_))
+    found = rows.join(F.broadcast(hot), F.col(key) == F.col(hk), "left")
     away = F.pmod(F.xxhash64(F.col(spread)), F.lit(1 << 30)) + F.lit(1)
-    found = found.withColumn("_s", F.when(F.col("_hot").isNull(), F.lit(0).cast("long")).otherwise(away))
-    found = found.join(cold, (F.col(key) == F.col("_ck")) & (F.col("_s") == F.col("_cs")), "left").withColumn("_g", F.coalesce("_hot", "_cold"))
-    return found.filter(F.col("_g").isNotNull()).select(*[F.col(f"`{c}`") for c in rows.columns], *[F.col(f"_g.{c}").alias(c) for c in extra])
+    found = found.withColumn(s, F.when(F.col(hot_).isNull(), F.lit(0).cast("long")).otherwise(away))
+    found = found.join(cold, (F.col(key) == F.col(ck)) & (F.col(s) == F.col(cs)), "left").withColumn(g, F.coalesce(hot_, cold_))
+    return found.filter(F.col(g).isNotNull()).select(*[F.col(quoted(c)) for c in rows.columns], *[F.col(g)[c].alias(c) for c in extra])

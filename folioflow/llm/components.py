@@ -1,38 +1,54 @@
-"""Connected components of a table of links, distributed."""
+"""Connected components of a table of links, distributed.
+
+Contraction: each round every node takes as its representative the first, by an order that is random in each round,
+of itself and its neighbours; links are renamed to representatives, and links within one go. The last node of a
+component in the order is never taken, so each round shrinks every component that still has a link: there is no limit
+of rounds, and a chain halves in each (log2 of its length are expected). Representatives of all rounds are then
+followed backwards. Only the number of links that are left reaches the driver.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
-
-
-LEAST_TASKS, LINKS_A_TASK = 8, 200_000
+from .common import attach_groups, discard, stored
 
 
-def _written(df: DataFrame, tasks: int) -> DataFrame:
-    """``df`` stored by as many tasks as its rows are worth."""
-    return stored(df.coalesce(tasks), "labels")
+def _ordered(links: DataFrame) -> DataFrame:
+    return links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).filter("a <> b").distinct()
 
 
-def components(links: DataFrame, rounds: int = 40) -> DataFrame:
-    """(node, component) for every node of ``links`` (a, b): component is the smallest node that it can reach.
+def roots(links: DataFrame) -> DataFrame:
+    """(node, root) for every node of ``links`` (a, b), stored: nodes of a component, and they alone, share a root.
 
-    Each round every node takes the smallest label among its neighbours, then its label's label (pointer jumping),
-    until nothing changes. Labels are stored in the shared folder each round; nothing but a count reaches the driver.
+    Links may repeat, join a node with itself (those name no node) and stand in either direction.
     """
-    both = stored(links.select("a", "b").union(links.select("b", "a")).filter("a <> b").distinct(), "links")
-    tasks = max(LEAST_TASKS, both.count() // LINKS_A_TASK)
-    labels = _written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("a")).alias("component")), tasks)
-    for _ in range(rounds):
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("component").alias("_near"))
-        taken = labels.join(near, "node").select("node", F.least("component", "_near").alias("_label"), F.col("component").alias("_was"))
-        jump = taken.join(labels.select(F.col("node").alias("_n"), F.col("component").alias("_up")), F.col("_label") == F.col("_n"), "left")
-        out = _written(jump.select("node", F.least("_label", F.coalesce("_up", "_label")).alias("component"), "_was"), tasks)
-        labels = out.select("node", "component")
-        if not out.filter("component <> _was").limit(1).count():
-            break
-    else:
-        raise RuntimeError(f"links did not settle in {rounds} rounds")
-    return labels
+    edges, rounds = stored(_ordered(links), "links"), []
+    while edges.limit(1).count():
+        order = lambda c, k=len(rounds): F.xxhash64(F.col(c), F.lit(k))
+        both = edges.union(edges.select("b", "a"))
+        near = both.groupBy("a").agg(F.min_by("b", order("b")).alias("_b"))
+        near = stored(near.select(F.col("a").alias("node"), F.when(order("a") < order("_b"), F.col("a")).otherwise(F.col("_b")).alias("root")), "near")
+        side = lambda c, n=near: n.select(F.col("node").alias(c), F.col("root").alias(f"_{c}"))
+        fewer = stored(_ordered(edges.join(side("a"), "a").join(side("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))), "links")
+        discard(edges)
+        edges = fewer
+        rounds.append(near)
+    discard(edges)
+    if not rounds:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root")).limit(0)
+    label = rounds[-1]
+    for near in rounds[-2::-1]:
+        up = label.select(F.col("node").alias("_n"), F.col("root").alias("_up"))
+        label = near.join(up, F.col("root") == F.col("_n"), "left").select("node", F.coalesce("_up", "root").alias("root"))
+    out = stored(label, "roots")
+    discard(*rounds)
+    return out
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, component) for every node of ``links`` (a, b): component is the smallest node that it can reach."""
+    label = roots(links)
+    least = label.groupBy("root").agg(F.min("node").alias("component"), F.count(F.lit(1)).alias("members"))
+    return attach_groups(label, least, "root", "members", label.count(), "node").select("node", "component")

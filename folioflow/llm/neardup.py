@@ -2,22 +2,23 @@
 
 1. Every text becomes its set of shingle hashes; the K smallest are its sketch (one hash function). Texts with the
    same set are one node from here on, so groups of copies cost no pairs.
-2. Inverted lists of the INDEXED smallest values: each node meets the hub of its lists (the first by a fixed order of
-   nodes), so a list of n nodes gives n - 1 pairs. A node's likeliest hub by the union sketch is verified on full sets.
-   Then, in STAR_ROUNDS rounds, nodes outside their lists' largest components meet a member of these.
-3. Components of those links. What remains are pairs in one list but in different components: lists of up to
-   LIST_ROWS nodes give all of them, counted by how many lists they share, estimated by the union sketch and verified,
-   of each two components the likeliest first, then all whose ends are still apart; longer lists are compared in
-   blocks of full sets, and only links leave a block.
-4. Components of all links; every row takes its node's.
-
-A pair at similarity 0.75 shares about 24 of 32 indexed values. So a node with fewer values on lists than a pair must
-share drops out. Of a node with at most half of its values on long lists, the rest is left to meet its partners on
-short ones; pairs of nodes above that half meet on any of their long lists. On short lists a pair goes unseen if its
-union sketch estimates below ESTIMATE, 4.6 standard deviations off (at similarity 0.75 a chance of 4.6e-6), or if it
-shares fewer than SHARED: a chance of 2.5e-16 if all its common values are on short lists, and of 2.1e-3 in the worst
-case, 16 common values on long lists and each of 16 others shared with a chance of one half. Pairs on long lists have
-no such chance. Links between different texts are verified exactly before they count: none is added wrongly.
+2. Inverted lists of the retained values. A pair at similarity 0.75 shares at least OVERLAP of the K values, but for a
+   chance of 2.5e-8 (binomial: of the first K of the union three in four are common). So a node
+   enters only the lists of its rarest values, so many that two nodes with OVERLAP common values must meet on one
+   (prefix filtering); values of frequent passages are on no list of a text that has enough others.
+3. On each list all nodes meet the hub, the smallest set of it; each node's most frequent hub is checked. A check
+   estimates the similarity by the union sketch and then verifies it on the full sets. Components of those links.
+4. Pairs of different components on lists of up to LIST_ROWS nodes: of each two components the pair with most common
+   lists first, then all pairs whose ends are still apart.
+5. Nodes of longer lists with several components are filtered again, now exactly, on their full sets: their rarest
+   shingles (by counts in CELLS cells, one fixed order for all), 25 % of a set and, for the smaller one of a pair, 14 %.
+   Texts meet there only if what they share is nearly all of the smaller one. Steps 3 and 4 follow on these lists.
+6. Lists that are still long and still have several components: those outside the largest one are compared with all
+   of the list in blocks of bounded size, on full sets by products of 0-1 matrices.
+7. Components of all links; every row takes its node's.
+
+Sets of nodes on lists are made and shuffled once, and stored as numbers. Links are verified on full sets before they
+count: none is added wrongly, and none is lost but by the chance in 2.
 """
 
 from __future__ import annotations
@@ -26,124 +27,221 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, claim, replaced, stored, text_or_empty
-from .components import components
+from .common import attach_groups, claim, discard, private, quoted, stored, text_or_empty
+from .components import roots
 from .shingles import forget_words, jaccard_at_least, shingle_set
 
 PERCENT = 75
-K, INDEXED, SHARED, ESTIMATE = 64, 32, 3, 0.5
-#: Lists of more nodes than this are hot; blocks of so many nodes (and matrices of so many cells) are compared at once.
-LIST_ROWS, BLOCK_ROWS, BLOCK_CELLS, STAR_ROUNDS = 32, 1024, 8_000_000, 1
+#: Values of a sketch, and how many of them two near duplicates share at least (a share of smaller sketches).
+K, OVERLAP = 64, 28
+#: Lists of more nodes than this are long; a hub's rows are dealt out by HUB_ROWS.
+LIST_ROWS, HUB_ROWS = 32, 1_000
+#: Cells that count shingles; nodes and shingles of a block; cells of a matrix.
+CELLS, BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_CELLS = 1 << 20, 512, 400_000, 8_000_000
 ADDED = ("n_shingles", "component_id", "kept")
 _SIGN = np.uint64(1 << 63)
 
 
 def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
-    """doc_id, n_shingles, digest of the set (null if empty), sketch (ascending; as signed numbers in the same order)."""
+    """doc_id, h (a hash of the text), n_shingles, digest of the set (null if empty), sketch (ascending; as signed numbers in the same order)."""
 
     def run(batches):
         claim("shingles", forget_words)
         for batch in batches:
             sizes, digests, values = [], [], []
-            for t in batch.column(1):
+            for t in batch.column(2):
                 s = shingle_set(t.as_py())
                 sizes.append(len(s))
                 digests.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 values.append((s[:K] ^ _SIGN).view(np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "digest", "sketch"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(values, pa.list_(pa.int64()))], ["doc_id", "h", "n_shingles", "digest", "sketch"])
 
-    rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, digest binary, sketch array<long>")
+    rows = df.select(F.col(key).cast("long").alias("doc_id"), F.xxhash64(text_or_empty(text)).alias("h"), text_or_empty(text).alias("text"))
+    return rows.mapInArrow(run, "doc_id long, h long, n_shingles long, digest binary, sketch array<long>")
 
 
 def estimate(a: np.ndarray, b: np.ndarray, k: int = K) -> float:
     """Jaccard similarity estimated from the bottom-k of the union of two sorted sketches."""
-    union = np.union1d(a, b)[:k]
+    union = np.union1d(a[:k], b[:k])[:k]
     if not len(union):
         return 0.0
-    return np.count_nonzero(np.isin(union, a, assume_unique=True) & np.isin(union, b, assume_unique=True)) / len(union)
+    return np.count_nonzero(np.isin(union, a[:k], assume_unique=True) & np.isin(union, b[:k], assume_unique=True)) / len(union)
 
 
-def _estimated(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) with their estimate, those of at least ESTIMATE; both sketches are joined."""
-    side = lambda x: nodes.select(F.col("node").alias(x), F.col("sketch").alias(f"s{x}"))
-    joined = pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "sa", "sb")
+def prefix_sizes(size: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many of a set's rarest shingles must hold one in common with any set of at least ``percent`` % similarity.
 
-    def run(batches):
-        for batch in batches:
-            got = np.array([estimate(x.values.to_numpy(), y.values.to_numpy()) for x, y in zip(batch.column(2), batch.column(3), strict=True)], float)
-            keep = pa.array(got >= ESTIMATE)
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(1).filter(keep), pa.array(got).filter(keep)], ["a", "b", "likely"])
-
-    return joined.mapInArrow(run, "a long, b long, likely double")
-
-
-def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The ``pairs`` whose full sets are at least ``percent`` % similar."""
-    side = lambda x: texts.select(F.col("doc_id").alias(x), F.col("text").alias(f"t{x}"))
-    joined = pairs.select("a", "b").join(side("a"), "a").join(side("b"), "b").select("a", "b", "ta", "tb")
+    The first number serves against smaller sets, the second, fewer, against sets that are at least as large.
+    """
+    size = np.asarray(size, np.int64)
+    return size + -percent * size // 100 + 1, size + -2 * percent * size // (100 + percent) + 1
+
+
+def _large_enough(a: str, b: str, percent: int):
+    """Whether sets of these sizes can be similar enough."""
+    return F.least(a, b) * 100 >= F.greatest(a, b) * percent
+
+
+class _Links:
+    """Verified links, and the components they give so far. Tables that nothing needs any more are deleted."""
+
+    def __init__(self, sets: DataFrame, percent: int):
+        self.sets, self.percent, self.tables, self.label = sets, percent, [], None
+
+    def add(self, table: DataFrame) -> None:
+        """``table``: stored links (a, b)."""
+        if table.limit(1).count():
+            self.tables.append(table)
+            if self.label is not None:
+                discard(self.label)
+            every = self.tables[0]
+            for more in self.tables[1:]:
+                every = every.union(more)
+            self.label = roots(every)
+
+    def labelled(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with the component of their node; a node without links is one of its own."""
+        if self.label is None:
+            return rows.withColumn("component", F.col("node"))
+        out = rows.join(self.label.select(F.col("node").alias("_n"), "root"), F.col("node") == F.col("_n"), "left")
+        return out.withColumn("component", F.coalesce("root", "node")).drop("_n", "root")
+
+    def apart(self, pairs: DataFrame) -> DataFrame:
+        """``pairs`` (a, b, ...) of different components, which are named as ca and cb."""
+        if self.label is None:
+            return pairs.withColumns({"ca": F.col("a"), "cb": F.col("b")})
+        side = lambda x: self.label.select(F.col("node").alias(f"_{x}"), F.col("root").alias(f"_r{x}"))
+        out = pairs.join(side("a"), F.col("a") == F.col("_a"), "left").join(side("b"), F.col("b") == F.col("_b"), "left")
+        out = out.withColumns({"ca": F.coalesce("_ra", "a"), "cb": F.coalesce("_rb", "b")}).drop("_a", "_b", "_ra", "_rb")
+        return out.filter("ca <> cb")
+
+    def check(self, pairs: DataFrame) -> None:
+        """Add those of ``pairs`` (a, b) that the union sketch and then the full sets confirm."""
+        pairs = stored(pairs.select("a", "b"), "pairs")
+        total = pairs.count()
+        if total:
+            self.add(stored(self._verified(pairs, total), "list-links"))
+        discard(pairs)
+
+    def _verified(self, pairs: DataFrame, total: int) -> DataFrame:
+        """Sets meet by b, then by a. A b of many pairs has its set copied, one for HUB_ROWS of them."""
+        hubs = stored(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "hubs")
+        copies = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(HUB_ROWS)).cast("int"))
+        left = attach_groups(pairs, hubs, "b", "n", total, "a").select("a", "b", F.pmod(F.xxhash64("a"), copies).cast("int").alias("_s"))
+        right = self.sets.join(hubs.withColumnRenamed("b", "node"), "node").select("node", F.col("shingles").alias("sb"), F.explode(F.sequence(F.lit(0), copies - F.lit(1))).alias("_c"))
+        both = left.join(right, (F.col("b") == F.col("node")) & (F.col("_s") == F.col("_c"))).select("a", "b", "sb")
+        both = both.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
+        percent, least = self.percent, OVERLAP / K
+
+        def run(batches):
+            for batch in batches:
+                keep = []
+                for x, y in zip(batch.column(2), batch.column(3), strict=True):
+                    x, y = x.values.to_numpy(), y.values.to_numpy()
+                    keep.append(estimate(x, y) >= least and jaccard_at_least(x, y, percent))
+                mask = pa.array(keep, pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
+
+        return both.mapInArrow(run, "a long, b long")
+
+
+def _settled(links: _Links, postings: DataFrame) -> DataFrame:
+    """Check the pairs on the lists of ``postings`` (value, node, size, first), and return what is left to do.
+
+    Two nodes are a pair if the smaller one (of equal ones the one with the smaller number) is ``first``. Left are the
+    rows of lists of more than LIST_ROWS nodes in several components.
+    """
+    percent = links.percent
+    counts = stored(postings.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("first"), F.col("size"))).alias("_least")).filter("n > 1 and _least is not null"), "lists")
+    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    if not rows:
+        return links.labelled(postings.limit(0).withColumn("n", F.lit(0).cast("long")))
+    hits = stored(attach_groups(postings, counts, "value", "n", rows, "node").drop("_least"), "hits")
+    discard(counts)
+
+    # The hub: the smallest first node, pairs of other components with it, each node's most frequent one.
+    labelled = links.labelled(hits)
+    hub = labelled.filter("first").groupBy("value").agg(F.min(F.struct("size", "node", "component")).alias("hub"), F.max("n").alias("list_n"))
+    met = attach_groups(labelled, hub, "value", "list_n", rows, "node").filter((F.struct("size", "node") > F.struct("hub.size", "hub.node")) & (F.col("component") != F.col("hub.component")))
+    met = met.filter(_large_enough("size", "hub.size", percent)).groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+    links.check(met.groupBy("a").agg(F.max_by("b", "shared").alias("b")))
+
+    # Short lists: pairs that are still apart.
+    short = links.labelled(hits.filter(F.col("n") <= LIST_ROWS)).groupBy("value").agg(F.array_sort(F.collect_list(F.struct("size", "node", "component", "first"))).alias("m"), F.countDistinct("component").alias("c")).filter("c > 1")
+    pair = F.expr(f"flatten(transform(m, (x, i) -> if(x.first, transform(filter(slice(m, i + 2, size(m)), y -> y.component <> x.component and x.size * 100 >= y.size * {percent}), y -> struct(y.node as a, x.node as b)), array())))")
+    wanted = stored(short.select(F.explode(pair).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("shared")), "wanted")
+    if wanted.limit(1).count():
+        two = [F.least("ca", "cb").alias("c1"), F.greatest("ca", "cb").alias("c2")]
+        best = links.apart(wanted).groupBy(*two).agg(F.max(F.struct("shared", "a", "b")).alias("_p"))
+        best = stored(best.select("_p.a", "_p.b"), "best")
+        links.check(best)
+        links.check(links.apart(wanted.join(best, ["a", "b"], "left_anti")))
+        discard(best)
+    discard(wanted)
+
+    long = links.labelled(hits.filter(F.col("n") > LIST_ROWS))
+    several = long.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.max("n").alias("list_n")).filter("_lo <> _hi").select("value", "list_n")
+    left = stored(attach_groups(long, several, "value", "list_n", rows, "node").drop("list_n"), "long-lists")
+    discard(hits)
+    return left
+
+
+def _set_postings(sets: DataFrame, percent: int) -> DataFrame:
+    """(value, node, size, first) of each set's rarest shingles, as many as ``prefix_sizes`` asks for."""
+    cell = F.col("v").bitwiseAND(F.lit(CELLS - 1))
+    counted = sets.select(F.explode("shingles").alias("v")).groupBy(cell.alias("cell")).agg(F.count(F.lit(1)).alias("n")).toArrow()
+    counts = np.zeros(CELLS, np.int64)
+    counts[counted["cell"].to_numpy()] = counted["n"].to_numpy()
+    shared = sets.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
-        claim("shingles", forget_words)
         for batch in batches:
-            last, its, keep = None, None, []
-            for x, y in zip(batch.column(2), batch.column(3), strict=True):
-                x, y = x.as_py(), y.as_py()
-                if y != last:
-                    last, its = y, shingle_set(y)
-                keep.append(jaccard_at_least(shingle_set(x), its, percent))
-            mask = pa.array(keep, pa.bool_())
-            yield pa.RecordBatch.from_arrays([batch.column(0).filter(mask), batch.column(1).filter(mask)], ["a", "b"])
-
-    return joined.mapInArrow(run, "a long, b long")
-
-
-def _short_lists(hits: DataFrame) -> DataFrame:
-    """Pairs of different components in lists of up to LIST_ROWS nodes that share SHARED lists (or all of a small set)."""
-    lists = hits.filter(F.col("n") <= LIST_ROWS).groupBy("value").agg(F.collect_list(F.struct("node", "component", "indexed")).alias("m"), F.countDistinct("component").alias("c")).filter("c > 1")
-    pair = F.expr("flatten(transform(m, x -> transform(filter(m, y -> y.node < x.node and y.component <> x.component), y -> struct(x.node as a, y.node as b, least(x.indexed, y.indexed) as most))))")
-    rows = lists.select(F.explode(pair).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("shared"), F.first("p.most").alias("most"))
-    return rows.filter(F.col("shared") >= _least_shared("most")).select("a", "b")
-
-
-def _least_shared(indexed: str) -> Column:
-    """How many lists a pair shares at least, of which the smaller text has ``indexed`` values."""
-    return F.least(F.lit(SHARED), F.greatest(F.lit(1), F.floor(F.col(indexed) / 4)))
-
-
-def _uncovered(lists: DataFrame) -> DataFrame:
+            values, nodes, sizes, first = [], [], [], []
+            for node, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                s = raw.values.to_numpy()
+                most, few = (int(x) for x in prefix_sizes(len(s), percent))
+                rare = s[np.lexsort((s, shared.value[s & (CELLS - 1)]))[:most]]
+                values.append(rare)
+                nodes.append(np.full(len(rare), node))
+                sizes.append(np.full(len(rare), len(s)))
+                first.append(np.arange(len(rare)) < few)
+            if values:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (values, nodes, sizes, first)], ["value", "node", "size", "first"])
+
+    return sets.select("node", "shingles").mapInArrow(run, "value long, node long, size long, first boolean")
+
+
+def _uncovered(lists: DataFrame, total: int) -> DataFrame:
     """``lists`` (value, node, ...) without those all of whose nodes are on a larger list (of equal ones the first stays).
 
-    The pairs of such a list meet on the larger one, so none is lost. A node has at most INDEXED lists.
+    The pairs of such a list meet on the larger one, so none is lost.
     """
     sizes = lists.groupBy("value").agg(F.count(F.lit(1)).alias("_size"))
     both = lists.groupBy("node").agg(F.collect_set("value").alias("_its")).select(F.explode("_its").alias("value"), "_its")
     both = both.select("value", F.explode("_its").alias("_other")).groupBy("value", "_other").agg(F.count(F.lit(1)).alias("_both"))
     met = both.join(sizes, "value").filter("_both = _size and _other <> value").join(sizes.select(F.col("value").alias("_other"), F.col("_size").alias("_other_size")), "_other")
     gone = met.filter("_other_size > _size or _other < value").select("value").distinct()
-    return attach_groups(lists, sizes.join(gone, "value", "left_anti"), "value", "_size", lists.count(), "node").drop("_size")
+    return attach_groups(lists, sizes.join(gone, "value", "left_anti"), "value", "_size", total, "node").drop("_size")
 
 
-def _long_lists(hits: DataFrame, nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between different components in longer lists, among nodes that are mostly on such.
+def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between different components of long lists (value, node, size, component).
 
-    Only nodes outside their list's largest component ask; they and the list are cut into blocks, and each pair of
-    blocks is compared in one place, on full sets by products of 0-1 matrices. A node asks in all its long lists that
-    no other covers, and names one partner in each other component of a block: any link joins the two.
+    Nodes outside their list's largest component ask; they and the list are cut into blocks by a hash of the node, and
+    each pair of blocks is compared in one place. A node names one partner in each other component of a block.
     """
-    hot = hits.filter((F.col("n") > LIST_ROWS) & (F.col("long") * 2 > F.col("indexed")))
-    lists = _uncovered(stored(_largest(hot).select("value", "node", "component", "n", "top"), "long-lists"))
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(BLOCK_ROWS)).cast("int"))
+    total = lists.count()
+    parts = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("w"))
+    top = parts.groupBy("value").agg(F.max(F.struct("m", "component")).getField("component").alias("top"), F.sum("m").alias("list_n"), F.sum("w").alias("weight"))
+    few = stored(attach_groups(_uncovered(lists, total), top, "value", "list_n", total, "node").join(sets.select("node", "shingles"), "node"), "blocks")
+    blocks = F.greatest(F.lit(1), F.ceil(F.col("list_n") / F.lit(BLOCK_ROWS)), F.ceil(F.col("weight") / F.lit(BLOCK_SHINGLES))).cast("int")
     own = F.pmod(F.xxhash64("node"), blocks).cast("int")
     every = F.sequence(F.lit(0), blocks - F.lit(1))
-    few = stored(lists, "long-lists")
-    its = texts.join(few.select(F.col("node").alias("doc_id")).distinct(), "doc_id").groupBy("doc_id").agg(F.min("text").alias("text"))
-    full = stored(few.join(its.withColumnRenamed("doc_id", "node"), "node"), "long-lists")
-    left = full.filter(F.col("component") != F.col("top")).select(F.col("value").alias("v1"), own.alias("i1"), F.explode(every).alias("j1"), F.col("node").alias("node1"), F.col("component").alias("component1"), F.col("text").alias("text1"))
-    right = full.select(F.col("value").alias("v2"), F.explode(every).alias("i2"), own.alias("j2"), F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("text").alias("text2"))
+    left = few.filter(F.col("component") != F.col("top")).select(F.col("value").alias("v1"), own.alias("i1"), F.explode(every).alias("j1"), F.col("node").alias("node1"), F.col("component").alias("component1"), F.col("shingles").alias("set1"))
+    right = few.select(F.col("value").alias("v2"), F.explode(every).alias("i2"), own.alias("j2"), F.col("node").alias("node2"), F.col("component").alias("component2"), F.col("shingles").alias("set2"))
 
     def marked(sets, common):
         size = np.array([len(x) for x in sets])
@@ -167,11 +265,11 @@ def _long_lists(hits: DataFrame, nodes: DataFrame, texts: DataFrame, percent: in
                 for k in np.flatnonzero(linked.any(1)):
                     at = np.flatnonzero(linked[k])
                     for x in at[np.unique(parts[at], return_index=True)[1]]:
-                        yield max(one[0][i + k], ids[x]), min(one[0][i + k], ids[x])
+                        yield int(one[0][i + k]), int(ids[x])
 
     def by_size(frame, k):
         """Rows by the logarithm of the set's size: partners are in the same class or the next."""
-        sets = [shingle_set(t) for t in frame[f"text{k}"]]
+        sets = list(frame[f"set{k}"])
         level = np.floor(np.log([max(1, len(x)) for x in sets]) / np.log(100 / percent)).astype(int)
         ids, parts = frame[f"node{k}"].to_numpy(), frame[f"component{k}"].to_numpy()
         return {v: (ids[at], parts[at], [sets[i] for i in at]) for v in np.unique(level) if len(at := np.flatnonzero(level == v))}
@@ -188,38 +286,18 @@ def _long_lists(hits: DataFrame, nodes: DataFrame, texts: DataFrame, percent: in
                         rows += compared(group, two[w])
         return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
 
-    return left.groupBy("v1", "i1", "j1").cogroup(right.groupBy("v2", "i2", "j2")).applyInPandas(compare, "a long, b long").distinct()
-
-
-def _apart(pairs: DataFrame, labelled: DataFrame) -> DataFrame:
-    """``pairs`` (a, b) of different components, which are named as _two."""
-    part = labelled.select("node", "component").distinct()
-    side = lambda x: part.select(F.col("node").alias(x), F.col("component").alias(f"_c{x}"))
-    both = pairs.join(side("a"), "a").join(side("b"), "b").filter("_ca <> _cb")
-    return both.withColumn("_two", F.struct(F.least("_ca", "_cb"), F.greatest("_ca", "_cb"))).drop("_ca", "_cb")
+    out = stored(left.groupBy("v1", "i1", "j1").cogroup(right.groupBy("v2", "i2", "j2")).applyInPandas(compare, "a long, b long").distinct(), "block-links")
+    discard(few)
+    return out
 
 
-def _likeliest(estimated: DataFrame) -> DataFrame:
-    """Of each a the pair of the largest estimate."""
-    return estimated.groupBy("a").agg(F.max(F.struct("likely", "b")).alias("_b")).select("a", F.col("_b.b").alias("b"))
-
-
-def _labelled(hits: DataFrame, links: DataFrame) -> DataFrame:
-    """``hits`` with the component of each node by ``links``, stored."""
-    out = hits.select("node", "indexed", "long", "value", "n").join(components(links), "node", "left")
-    return stored(out.withColumn("component", F.coalesce("component", "node")), "labelled")
-
-
-def _largest(labelled: DataFrame) -> DataFrame:
-    """``labelled`` with the largest component of each list that has several, and a member of it as hub.
-
-    The member is the first by a hash of value and node, so a node gets other hubs in other lists.
-    """
-    order = F.min(F.struct(F.xxhash64("value", "node").alias("o"), "node")).getField("node")
-    parts = labelled.groupBy("value", "component", "n").agg(F.count(F.lit(1)).alias("m"), order.alias("hub"))
-    top = parts.groupBy("value", "n").agg(F.max(F.struct("m", "component", "hub")).alias("_t"), F.count(F.lit(1)).alias("c")).filter("c > 1")
-    top = top.select("value", F.col("n").alias("list_n"), F.col("_t.component").alias("top"), F.col("_t.hub").alias("hub"))
-    return attach_groups(labelled, top, "value", "list_n", labelled.count(), "node")
+def _same_key(sk: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the nodes of rows that share a doc_id."""
+    of = sk.filter("doc_id is not null and digest is not null").select("doc_id", F.xxhash64("digest").alias("h"))
+    twice = of.groupBy("doc_id").agg(F.min("h").alias("lo"), F.max("h").alias("hi")).filter("lo <> hi").select("doc_id", "lo")
+    pairs = of.join(twice, "doc_id").filter("h <> lo").select("h", "lo").distinct()
+    side = lambda x, c: nodes.select(F.xxhash64("digest").alias(c), F.col("node").alias(x))
+    return pairs.join(side("a", "h"), "h").join(side("b", "lo"), "lo").select("a", "b")
 
 
 def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -227,52 +305,79 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
 
     Words are split at ASCII white space, A-Z in lower case; five make a shingle. Null texts count as empty; texts
     without words link with nothing and are their own component. Of a component the smallest doc_id stays. Rows that
-    repeat a doc_id are one node of the links, and all are kept if it is; a null doc_id is never smallest, and alone
-    gives a null component and is kept. Other columns are not read; an empty table gives an empty result.
+    repeat a doc_id are linked with each other, and all are kept if that id is; a null doc_id is never smallest, and a
+    component that has no other gives a null component and is kept. Other columns are not read; an empty table gives
+    an empty result. Memory is bounded by one text's set, a block, or an Arrow batch of sets.
     """
+    if percent < PERCENT:
+        raise ValueError(f"the overlap of sketches is proven for {PERCENT} % and more")
     sk = stored(sketches(df, key, text), "sketches")
     rows = sk.count()
-    nodes = sk.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("node"), F.count(F.lit(1)).alias("members"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
-    nodes = stored(nodes, "nodes")
-    single = nodes.filter("node is not null").select("node", "sketch", "n_shingles")
-    texts = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-
-    postings = single.select("node", F.least(F.size("sketch"), F.lit(INDEXED)).alias("indexed"), F.explode(F.slice("sketch", 1, INDEXED)).alias("value"))
-    lists = stored(postings.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(F.xxhash64("node").alias("o"), "node")).getField("node").alias("hub")).filter("n > 1"), "lists")
-    mine = attach_groups(postings, lists, "value", "n", rows, "node").groupBy("node", "indexed").agg(F.collect_list(F.struct("value", "n", "hub")).alias("l"), F.count(F.when(F.col("n") > LIST_ROWS, 1)).alias("long"))
-    mine = stored(mine.filter(F.size("l") >= _least_shared("indexed")), "hits")  # at most INDEXED in a row
-    hits = mine.select("node", "indexed", "long", F.explode("l").alias("_l")).select("node", "indexed", "long", "_l.*")
-
-    # 2. each node with its likeliest hub, then those outside their lists' largest components with a member of these
-    star = hits.filter("node <> hub").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-    links = stored(_verified(_likeliest(_estimated(star, single)), texts, percent), "star-links")
-    labelled = _labelled(hits, links)
-    for _ in range(STAR_ROUNDS):
-        star = _largest(labelled).filter("component <> top").select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
-        more = stored(_verified(_likeliest(_estimated(star, single)), texts, percent), "star-links")
-        links = links.union(more)
-        labelled = _labelled(hits, links)
-
-    # 3. what lies in one list, but not in one component: in short lists the likeliest of each two components first
-    wanted = stored(_apart(_estimated(_short_lists(labelled), single), labelled), "wanted")
-    best = wanted.groupBy("_two").agg(F.max(F.struct("likely", "a", "b")).alias("_b")).select("_b.a", "_b.b")
-    links = links.union(stored(_verified(best, texts, percent), "list-links"))
-    labelled = _labelled(hits, links)
-    rest = _apart(wanted.select("a", "b").join(best, ["a", "b"], "left_anti"), labelled)
-    more = _verified(rest, texts, percent).union(_long_lists(labelled, single, texts, percent))
-    links = links.union(stored(more, "list-links"))
-
-    # 4. components of all links, and each row's
-    linked = components(links)
-    final = nodes.join(linked, "node", "left").select("digest", "members", F.coalesce("component", "node").alias("component_id"))
+    nodes = sk.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("doc_id"), F.count(F.lit(1)).alias("members"), F.first(F.struct(F.col("doc_id").alias("doc"), "h", F.col("n_shingles").alias("size"), "sketch")).alias("_r"))
+    nodes = stored(nodes.select("digest", "doc_id", "members", "_r.*", F.monotonically_increasing_id().alias("node")), "nodes")
+
+    # The rarest values of each sketch: those on one sketch only come first, they need no list.
+    values = nodes.select("node", "size", F.size("sketch").alias("k"), F.explode("sketch").alias("value"))
+    counts = stored(values.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "values")
+    mine = attach_groups(values, counts, "value", "n", rows, "node").groupBy("node", "size", "k").agg(F.array_sort(F.collect_list(F.struct("n", "value"))).alias("l"))  # at most K in a row
+    need = F.ceil(F.col("k") * F.lit(OVERLAP) / F.lit(K)).cast("int")
+    room = F.size("l") - need + F.lit(1)  # of k - need + 1 rarest values k - size(l) are on one sketch only
+    postings = mine.filter(room > 0).select("node", "size", F.explode(F.slice("l", F.lit(1), room)).alias("_l")).select("_l.value", "node", F.col("size").cast("long").alias("size"), F.lit(True).alias("first"))
+    postings = stored(postings, "postings")
+    discard(counts)
+
+    # The full sets of the nodes on lists, by one row of each.
+    shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    wanted = attach_groups(postings, shared, "value", "n", rows, "node").select("node").distinct()
+    wanted = stored(nodes.join(wanted, "node", "left_semi").select("node", "digest", "doc", "h"), "wanted")
+    sets = stored(_sets(df, wanted, key, text), "sets")
+    discard(wanted)
+
+    links = _Links(sets, percent)
+    links.add(stored(_same_key(sk, nodes), "same-key"))
+    long = _settled(links, postings)
+    if long.limit(1).count():
+        again = stored(_set_postings(sets.join(long.select("node").distinct(), "node", "left_semi"), percent), "set-postings")
+        longer = _settled(links, again)
+        if longer.limit(1).count():
+            links.add(_blocks(longer, sets, percent))
+        discard(again, longer)
+    discard(long, postings, sets)
+
+    ids = links.labelled(nodes.select("node", "digest", "members", "doc_id"))
+    least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("parts"))
+    final = stored(attach_groups(ids, least, "component", "parts", rows, "node").select("digest", "members", "component_id"), "classes")
+    discard(nodes, *links.tables, *([links.label] if links.label is not None else []))
     own = sk.select("doc_id", "n_shingles", "digest")
     out = attach_groups(own.filter("digest is not null"), final, "digest", "members", rows, "doc_id").select("doc_id", "n_shingles", "component_id")
     out = out.union(own.filter("digest is null").select("doc_id", "n_shingles", "doc_id"))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
+def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
+    """(node, shingles) of the ``wanted`` (node, digest, doc, h), from the rows of that doc_id and hash of the text.
+
+    A row that is repeated gives its set as often, which does no harm: a node has no links with itself.
+    """
+    rows = df.select(F.col(key).cast("long").alias("_d"), F.xxhash64(text_or_empty(text)).alias("_h"), text_or_empty(text).alias("text"))
+    met = rows.join(wanted, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h"))).select("node", "digest", "text")
+
+    def run(batches):
+        claim("shingles", forget_words)
+        for batch in batches:
+            nodes, sets = [], []
+            for node, digest, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
+                s = shingle_set(t.as_py())
+                if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == digest:
+                    nodes.append(node)
+                    sets.append((s ^ _SIGN).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sets, pa.list_(pa.int64()))], ["node", "shingles"])
+
+    return met.mapInArrow(run, "node long, shingles array<long>")
+
+
 def without_near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", percent: int = PERCENT) -> DataFrame:
-    """The rows of ``df`` that stay, one of each component, with their own columns."""
-    df = replaced(df, ())
-    gone = near_dedup(df, key, text, percent).filter("not kept").select(F.col("doc_id").alias("_gone")).distinct()
-    return df.join(gone, df[key].cast("long") == F.col("_gone"), "left_anti")
+    """The rows of ``df`` that stay, one doc_id of each component, with their own columns; edge cases as in ``near_dedup``."""
+    (gone,) = private(df.columns, "_gone")
+    away = near_dedup(df, key, text, percent).filter("not kept").select(F.col("doc_id").alias(gone)).distinct()
+    return df.join(away, F.col(quoted(key)).cast("long") == F.col(gone), "left_anti")

@@ -57,11 +57,18 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: cuts the lineage, and no lost executor can undo it."""
+#: Rows that one task writes, where their number is known, and the least number of tasks.
+ROWS_A_TASK, LEAST_TASKS = 200_000, 8
+
+
+def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: cuts the lineage, and no lost executor can undo it.
+
+    ``rows``: how many there are at most, if that is known; as many tasks as they are worth then write them.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    df.write.parquet(path)
+    (df if rows is None else df.coalesce(max(LEAST_TASKS, rows // ROWS_A_TASK))).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._folioflow_path = path
     return out

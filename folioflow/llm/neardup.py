@@ -6,13 +6,13 @@
    chance of 2.5e-8 (binomial: of the first K of the union three in four are common). So a node
    enters only the lists of its rarest values, so many that two nodes with OVERLAP common values must meet on one
    (prefix filtering); values of frequent passages are on no list of a text that has enough others.
-3. On each list all nodes meet the hub, the smallest set of it; each node's most frequent hub is checked. A check
-   estimates the similarity by the union sketch and then verifies it on the full sets. Components of those links.
-4. Pairs of different components on lists of up to LIST_ROWS nodes: of each two components the pair with most common
-   lists first, then all pairs whose ends are still apart.
-5. Nodes of longer lists with several components are filtered again, now exactly, on their full sets: their rarest
-   shingles (by counts in CELLS cells, one fixed order for all), 25 % of a set and, for the smaller one of a pair, 14 %.
-   Texts meet there only if what they share is nearly all of the smaller one. Steps 3 and 4 follow on these lists.
+3. On each list all nodes meet the hub, the one whose lists are the largest; each node's most frequent hub is checked.
+   A check estimates the similarity by the union sketch and then verifies it on the full sets. Components of those links.
+4. On lists of up to LIST_ROWS nodes all pairs of different components are checked, on longer ones nodes outside the
+   largest component with some of it.
+5. Nodes of longer lists that still have several components are filtered again, now exactly, on their full sets: their
+   rarest shingles (by counts in CELLS cells, one fixed order for all), 25 % of a set and, for the smaller one of a
+   pair, 14 %. Texts meet there only if what they share is nearly all of the smaller one. Step 4 follows on these lists.
 6. Lists that are still long and still have several components: those outside the largest one are compared with all
    of the list in blocks of bounded size, on full sets by products of 0-1 matrices.
 7. Components of all links; every row takes its node's.
@@ -37,8 +37,8 @@ from .shingles import forget_words, jaccard_at_least, shingle_set
 PERCENT = 75
 #: Values of a sketch, and how many of them two near duplicates share at least (a share of smaller sketches).
 K, OVERLAP = 64, 28
-#: Lists of more nodes than this are long; a hub's rows are dealt out by HUB_ROWS.
-LIST_ROWS, HUB_ROWS = 32, 1_000
+#: Lists of more nodes than this are long; a hub's rows are dealt out by HUB_ROWS; hubs that a node meets there.
+LIST_ROWS, HUB_ROWS, TRIES = 32, 1_000, 4
 #: Cells that count shingles; nodes and shingles of a block; cells of a matrix.
 CELLS, BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_CELLS = 1 << 20, 512, 400_000, 8_000_000
 ADDED = ("n_shingles", "component_id", "kept")
@@ -89,18 +89,20 @@ class _Links:
     """Verified links, and the components they give so far. Tables that nothing needs any more are deleted."""
 
     def __init__(self, sets: DataFrame, percent: int):
-        self.sets, self.percent, self.tables, self.label = sets, percent, [], None
+        self.sets, self.percent, self.tables, self.rows, self.label = sets, percent, [], 0, None
 
     def add(self, table: DataFrame) -> None:
         """``table``: stored links (a, b)."""
-        if table.limit(1).count():
+        rows = table.count()
+        if rows:
             self.tables.append(table)
+            self.rows += rows
             if self.label is not None:
                 discard(self.label)
             every = self.tables[0]
             for more in self.tables[1:]:
                 every = every.union(more)
-            self.label = roots(every)
+            self.label = roots(every, self.rows)
 
     def labelled(self, rows: DataFrame) -> DataFrame:
         """``rows`` with the component of their node; a node without links is one of its own."""
@@ -109,18 +111,9 @@ class _Links:
         out = rows.join(self.label.select(F.col("node").alias("_n"), "root"), F.col("node") == F.col("_n"), "left")
         return out.withColumn("component", F.coalesce("root", "node")).drop("_n", "root")
 
-    def apart(self, pairs: DataFrame) -> DataFrame:
-        """``pairs`` (a, b, ...) of different components, which are named as ca and cb."""
-        if self.label is None:
-            return pairs.withColumns({"ca": F.col("a"), "cb": F.col("b")})
-        side = lambda x: self.label.select(F.col("node").alias(f"_{x}"), F.col("root").alias(f"_r{x}"))
-        out = pairs.join(side("a"), F.col("a") == F.col("_a"), "left").join(side("b"), F.col("b") == F.col("_b"), "left")
-        out = out.withColumns({"ca": F.coalesce("_ra", "a"), "cb": F.coalesce("_rb", "b")}).drop("_a", "_b", "_ra", "_rb")
-        return out.filter("ca <> cb")
-
     def check(self, pairs: DataFrame) -> None:
         """Add those of ``pairs`` (a, b) that the union sketch and then the full sets confirm."""
-        pairs = stored(pairs.select("a", "b"), "pairs")
+        pairs = stored(pairs.select("a", "b").distinct(), "pairs")
         total = pairs.count()
         if total:
             self.add(stored(self._verified(pairs, total), "list-links"))
@@ -128,7 +121,7 @@ class _Links:
 
     def _verified(self, pairs: DataFrame, total: int) -> DataFrame:
         """Sets meet by b, then by a. A b of many pairs has its set copied, one for HUB_ROWS of them."""
-        hubs = stored(pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n")), "hubs")
+        hubs = pairs.groupBy("b").agg(F.count(F.lit(1)).alias("n"))
         copies = F.greatest(F.lit(1), F.ceil(F.col("n") / F.lit(HUB_ROWS)).cast("int"))
         left = attach_groups(pairs, hubs, "b", "n", total, "a").select("a", "b", F.pmod(F.xxhash64("a"), copies).cast("int").alias("_s"))
         right = self.sets.join(hubs.withColumnRenamed("b", "node"), "node").select("node", F.col("shingles").alias("sb"), F.explode(F.sequence(F.lit(0), copies - F.lit(1))).alias("_c"))
@@ -148,45 +141,48 @@ class _Links:
         return both.mapInArrow(run, "a long, b long")
 
 
-def _settled(links: _Links, postings: DataFrame) -> DataFrame:
-    """Check the pairs on the lists of ``postings`` (value, node, size, first), and return what is left to do.
+def _counted(postings: DataFrame, rows: int) -> tuple[DataFrame, int]:
+    """Stored ``postings`` (value, node, size, first) with n, the nodes of a list that has pairs, and their number."""
+    counts = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.max("first").alias("_any")).filter("n > 1 and _any").drop("_any")
+    hits = stored(attach_groups(postings, counts, "value", "n", rows, "node"), "hits")
+    return hits, hits.count()
 
-    Two nodes are a pair if the smaller one (of equal ones the one with the smaller number) is ``first``. Left are the
-    rows of lists of more than LIST_ROWS nodes in several components.
-    """
-    percent = links.percent
-    counts = stored(postings.groupBy("value").agg(F.count(F.lit(1)).alias("n"), F.min(F.when(F.col("first"), F.col("size"))).alias("_least")).filter("n > 1 and _least is not null"), "lists")
-    rows = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    if not rows:
-        return links.labelled(postings.limit(0).withColumn("n", F.lit(0).cast("long")))
-    hits = stored(attach_groups(postings, counts, "value", "n", rows, "node").drop("_least"), "hits")
-    discard(counts)
 
-    # The hub: the smallest first node, pairs of other components with it, each node's most frequent one.
-    labelled = links.labelled(hits)
-    hub = labelled.filter("first").groupBy("value").agg(F.min(F.struct("size", "node", "component")).alias("hub"), F.max("n").alias("list_n"))
-    met = attach_groups(labelled, hub, "value", "list_n", rows, "node").filter((F.struct("size", "node") > F.struct("hub.size", "hub.node")) & (F.col("component") != F.col("hub.component")))
-    met = met.filter(_large_enough("size", "hub.size", percent)).groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
+def _star(links: _Links, hits: DataFrame, rows: int) -> None:
+    """Check each node with the hub that it meets on most lists: the node of a list whose own lists are the largest."""
+    weight = hits.groupBy("node").agg(F.sum("n").alias("w"))
+    hub = hits.join(weight, "node").groupBy("value").agg(F.max(F.struct("w", "node", "size")).alias("hub"), F.max("n").alias("list_n"))
+    met = attach_groups(hits, hub, "value", "list_n", rows, "node").filter((F.col("node") != F.col("hub.node")) & _large_enough("size", "hub.size", links.percent))
+    met = met.groupBy(F.col("node").alias("a"), F.col("hub.node").alias("b")).agg(F.count(F.lit(1)).alias("shared"))
     links.check(met.groupBy("a").agg(F.max_by("b", "shared").alias("b")))
 
-    # Short lists: pairs that are still apart.
-    short = links.labelled(hits.filter(F.col("n") <= LIST_ROWS)).groupBy("value").agg(F.array_sort(F.collect_list(F.struct("size", "node", "component", "first"))).alias("m"), F.countDistinct("component").alias("c")).filter("c > 1")
-    pair = F.expr(f"flatten(transform(m, (x, i) -> if(x.first, transform(filter(slice(m, i + 2, size(m)), y -> y.component <> x.component and x.size * 100 >= y.size * {percent}), y -> struct(y.node as a, x.node as b)), array())))")
-    wanted = stored(short.select(F.explode(pair).alias("p")).groupBy("p.a", "p.b").agg(F.count(F.lit(1)).alias("shared")), "wanted")
-    if wanted.limit(1).count():
-        two = [F.least("ca", "cb").alias("c1"), F.greatest("ca", "cb").alias("c2")]
-        best = links.apart(wanted).groupBy(*two).agg(F.max(F.struct("shared", "a", "b")).alias("_p"))
-        best = stored(best.select("_p.a", "_p.b"), "best")
-        links.check(best)
-        links.check(links.apart(wanted.join(best, ["a", "b"], "left_anti")))
-        discard(best)
-    discard(wanted)
-
-    long = links.labelled(hits.filter(F.col("n") > LIST_ROWS))
-    several = long.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.max("n").alias("list_n")).filter("_lo <> _hi").select("value", "list_n")
-    left = stored(attach_groups(long, several, "value", "list_n", rows, "node").drop("list_n"), "long-lists")
-    discard(hits)
-    return left
+
+def _across(links: _Links, hits: DataFrame, rows: int) -> DataFrame | None:
+    """Check pairs of different components, and return the rows of long lists that still have several, stored, if any.
+
+    On lists of up to LIST_ROWS nodes these are all pairs whose smaller node (of equal ones that with the smaller
+    number) is ``first``. On a longer list nodes outside the largest component meet a random one of it, TRIES a node.
+    """
+    labelled = stored(links.labelled(hits), "labelled")
+    short = labelled.filter(F.col("n") <= LIST_ROWS).groupBy("value").agg(F.array_sort(F.collect_list(F.struct("size", "node", "component", "first"))).alias("m"), F.countDistinct("component").alias("c")).filter("c > 1")
+    pair = F.expr(f"flatten(transform(m, (x, i) -> if(x.first, transform(filter(slice(m, i + 2, size(m)), y -> y.component <> x.component and x.size * 100 >= y.size * {links.percent}), y -> struct(y.node as a, x.node as b)), array())))")
+    pairs = short.select(F.explode(pair).alias("p")).select("p.a", "p.b")
+    long = labelled.filter(F.col("n") > LIST_ROWS)
+    if not long.limit(1).count():
+        links.check(pairs)
+        discard(labelled)
+        return None
+    order = F.min(F.struct(F.xxhash64("value", "node").alias("o"), "node", "size")).alias("hub")
+    parts = long.groupBy("value", "component", "n").agg(F.count(F.lit(1)).alias("m"), order)
+    top = parts.groupBy("value").agg(F.max(F.struct("m", "component", "hub")).alias("top"), F.max("n").alias("list_n"))
+    met = attach_groups(long, top, "value", "list_n", rows, "node").filter((F.col("component") != F.col("top.component")) & _large_enough("size", "top.hub.size", links.percent))
+    tried = met.groupBy("node").agg(F.slice(F.array_sort(F.collect_set("top.hub.node")), 1, TRIES).alias("_h")).select(F.col("node").alias("a"), F.explode("_h").alias("b"))
+    links.check(pairs.union(tried))
+    again = links.labelled(long.drop("component"))
+    several = again.groupBy("value").agg(F.min("component").alias("_lo"), F.max("component").alias("_hi"), F.max("n").alias("list_n")).filter("_lo <> _hi").select("value", "list_n")
+    left = stored(attach_groups(again, several, "value", "list_n", rows, "node").drop("list_n"), "long-lists")
+    discard(labelled)
+    return left if left.limit(1).count() else None
 
 
 def _set_postings(sets: DataFrame, percent: int) -> DataFrame:
@@ -231,7 +227,7 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Links (a, b) between different components of long lists (value, node, size, component).
 
     Nodes outside their list's largest component ask; they and the list are cut into blocks by a hash of the node, and
-    each pair of blocks is compared in one place. A node names one partner in each other component of a block.
+    each pair of blocks is compared in one place, which names a link only if it joins components that none before has.
     """
     total = lists.count()
     parts = lists.groupBy("value", "component").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("w"))
@@ -253,7 +249,12 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         m[np.repeat(np.arange(len(size)), size)[hit], at[hit]] = 1
         return m, size
 
-    def compared(one, two):
+    def compared(one, two, up):
+        def root(part):
+            while up.setdefault(part, part) != part:
+                part = up[part]
+            return part
+
         common = np.intersect1d(np.concatenate(one[2]), np.concatenate(two[2]))
         step = max(1, BLOCK_CELLS // max(1, len(common)))
         for i in range(0, len(one[0]) if len(common) else 0, step):
@@ -265,7 +266,10 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for k in np.flatnonzero(linked.any(1)):
                     at = np.flatnonzero(linked[k])
                     for x in at[np.unique(parts[at], return_index=True)[1]]:
-                        yield int(one[0][i + k]), int(ids[x])
+                        a_part, b_part = root(int(one[1][i + k])), root(int(parts[x]))
+                        if a_part != b_part:
+                            up[a_part] = b_part
+                            yield int(one[0][i + k]), int(ids[x])
 
     def by_size(frame, k):
         """Rows by the logarithm of the set's size: partners are in the same class or the next."""
@@ -277,13 +281,13 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(askers, members):
         import pandas as pd
 
-        rows = []
+        rows, up = [], {}  # components that links of this block have joined already
         if len(askers) and len(members):
             one, two = by_size(askers, 1), by_size(members, 2)
             for v, group in one.items():
                 for w in (v - 1, v, v + 1):
                     if w in two:
-                        rows += compared(group, two[w])
+                        rows += compared(group, two[w], up)
         return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
 
     out = stored(left.groupBy("v1", "i1", "j1").cogroup(right.groupBy("v2", "i2", "j2")).applyInPandas(compare, "a long, b long").distinct(), "block-links")
@@ -327,22 +331,25 @@ def near_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", percent:
     discard(counts)
 
     # The full sets of the nodes on lists, by one row of each.
-    shared = postings.groupBy("value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
-    wanted = attach_groups(postings, shared, "value", "n", rows, "node").select("node").distinct()
-    wanted = stored(nodes.join(wanted, "node", "left_semi").select("node", "digest", "doc", "h"), "wanted")
+    hits, met = _counted(postings, rows)
+    wanted = nodes.join(hits.select("node").distinct(), "node", "left_semi").select("node", "digest", "doc", "h")
     sets = stored(_sets(df, wanted, key, text), "sets")
-    discard(wanted)
+    discard(postings)
 
     links = _Links(sets, percent)
     links.add(stored(_same_key(sk, nodes), "same-key"))
-    long = _settled(links, postings)
-    if long.limit(1).count():
-        again = stored(_set_postings(sets.join(long.select("node").distinct(), "node", "left_semi"), percent), "set-postings")
-        longer = _settled(links, again)
-        if longer.limit(1).count():
-            links.add(_blocks(longer, sets, percent))
-        discard(again, longer)
-    discard(long, postings, sets)
+    if met:
+        _star(links, hits, met)
+        long = _across(links, hits, met)
+        if long is not None:
+            again = stored(_set_postings(sets.join(long.select("node").distinct(), "node", "left_semi"), percent), "set-postings")
+            more, met = _counted(again, rows)
+            longer = _across(links, more, met) if met else None
+            if longer is not None:
+                links.add(_blocks(longer, sets, percent))
+                discard(longer)
+            discard(long, again, more)
+    discard(hits, sets)
 
     ids = links.labelled(nodes.select("node", "digest", "members", "doc_id"))
     least = ids.groupBy("component").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("parts"))

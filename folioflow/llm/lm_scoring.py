@@ -1,25 +1,26 @@
 """LM scoring: a hashed maximum-entropy model with n-gram and skip features and class-factored softmax.
 
-A token of the HEAD most frequent has a code of four digits to the base 16: words are grouped by the frequent words
-that go before them, and numbered by group and frequency. The first digit is the word's class, the second its
-subclass: each is a softmax over 16, given the digits before (the node) and the history. A digit's score is the
-unigram log probability at the node plus a row of 16 weights per feature: the word before, the two before, the word
-before that (skip), and the last very frequent word. Rows are hashed from feature and node into a table that grows
-with the training tokens from 2**ROWS_LOG2 rows to 2**MOST_ROWS_LOG2, a part for each feature. Within its subclass a word has its share of the counts. All other tokens share one
-code (RARE); within it a token's probability is its smoothed share of the rare tokens, so that the probabilities of
-all tokens and of unknown ones sum to 1.
-
-Training: counts of all training tokens; counts of all head tokens by the frequent word before them, for the codes;
-then ROUNDS rounds, each over its share of the training texts. A round's
-shards (one per TOKENS_A_SHARD tokens, so they grow with the corpus) take stochastic gradient steps from the same
-weights, and their changes are averaged row by row, weighted by use; only the table, of bounded size, is collected
-and broadcast. Scoring looks up the frequent tokens in sparse numpy batches; the rare ones of all texts (their hashes)
-are joined with their counts. No token's rows are hot in that join: whatever is frequent is in the head.
+A token of the HEAD most frequent has a code of LEVELS digits to the base 16: words are grouped by the frequent words
+that go before them, and numbered by group and frequency. Each digit is a softmax over 16 classes, given the digits
+before (the node) and the history, down to the word. A digit's score is the unigram log probability at the node plus a
+row of 16 weights per feature: the word before, the two before, the word before that (skip), and the last very
+frequent word; LEVEL_FEATURES says which of them each level sees. Rows are hashed from feature, history and node into
+a table that grows with the training tokens from 2**ROWS_LOG2 rows to 2**MOST_ROWS_LOG2, a part for each feature. All
+other tokens share one code (RARE); within it a token's probability is its smoothed share of the rare tokens, so that
+the probabilities of all tokens and of unknown ones sum to 1.
+
+Steps: (1) counts of all tokens; (2) one pass over the texts stores each text's numbers (two bytes a token) and the
+hashes of its rare tokens, which is all that the later steps read; (3) counts of all head tokens by the frequent word
+before them, for the codes; (4) ROUNDS rounds, each over its share of the training texts. A round's shards (one per
+TOKENS_A_SHARD tokens, so they grow with the corpus) take stochastic gradient steps from the same weights, and their
+changes are averaged row by row, weighted by use; only the table, of bounded size, is collected and broadcast.
+(5) Scoring looks up the weights in sparse numpy batches; rare tokens are joined with their counts by hash. No token's
+rows are hot in that join: whatever is frequent in training is in the head, and what is frequent in other texts only
+(at most HEAD tokens) is known where the texts are numbered.
 """
 
 from __future__ import annotations
 
-import zlib
 from collections import Counter
 from itertools import repeat
 
@@ -32,26 +33,28 @@ from pyspark.sql import functions as F
 from .common import prepare, remainder, stored, text_or_empty
 
 FOLDS = 10
-BASE, LEVELS, TRAINED = 16, 4, 2
+BASE, LEVELS = 16, 4
 END, RARE, FIRST = 0, 1, 2
 HEAD = BASE**LEVELS - FIRST
 TOP = 64
-#: The table has a row for TOKENS_A_ROW training tokens, within these bounds (2**20 rows are 64 MB).
-ROWS_LOG2, MOST_ROWS_LOG2, TOKENS_A_ROW, FEATURES = 17, 20, 512, 4
+#: The table has ROWS_A_TOKEN rows for a training token, within these bounds (2**21 rows are 64 MB as half floats).
+ROWS_LOG2, MOST_ROWS_LOG2, ROWS_A_TOKEN, FEATURES = 17, 21, 4, 4
+#: Features of each level, each feature's sixteenths of the table and rate of learning.
+LEVEL_FEATURES, PARTS, RATES = ((0, 1, 2, 3), (0, 1, 2, 3), (0, 1, 3), (0, 1)), (6, 8, 1, 1), (0.7, 1.0, 0.3, 0.05)
 GROUPS, GROUP_STEPS = 8, 12
-ROUNDS, TOKENS_A_SHARD, MOST_SHARDS, BLOCK = 2, 4_000_000, 4_096, 1 << 11
-BATCH, RATE, DENSE_RATE, SCORE_TOKENS, COUNTER_WORDS = 1_024, 0.15, 0.3, 50_000, 500_000
+ROUNDS, TOKENS_A_SHARD, MOST_SHARDS, BLOCK = 2, 8_000_000, 4_096, 1 << 11
+BATCH, RUN_TOKENS, COUNTER_WORDS = 4_096, 50_000, 500_000
 ALPHA = 0.1
 #: What stands for the end of a text among tokens; it holds white space, so no word equals it.
 END_TOKEN = b"\n"
 
-_NODES = np.cumsum([0] + [BASE**k for k in range(TRAINED)])
+_NODES = np.cumsum([0] + [BASE**k for k in range(LEVELS)])
 _SALTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
 def rows_log2(total: int) -> int:
     """The logarithm of the table's rows for ``total`` training tokens."""
-    return min(MOST_ROWS_LOG2, max(ROWS_LOG2, (max(1, -(-total // TOKENS_A_ROW)) - 1).bit_length()))
+    return min(MOST_ROWS_LOG2, max(ROWS_LOG2, (max(1, total * ROWS_A_TOKEN) - 1).bit_length()))
 
 
 def tokens(text: str) -> list[bytes]:
@@ -59,67 +62,69 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
-def token_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """(token, c) over all rows of ``df``, with END_TOKEN once a row; counted in each task before they shuffle."""
+def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(token, c, m): how often each token occurs in training rows and in all, END_TOKEN once a row.
+
+    Counted in each task before they shuffle.
+    """
 
     def run(batches):
-        def out(count):
-            return pa.RecordBatch.from_arrays([pa.array(list(count), pa.binary()), pa.array(list(count.values()), pa.int64())], ["token", "c"])
+        def out(counts):
+            rows = [(t, 0 if held else n, n) for held, count in enumerate(counts) for t, n in count.items()]
+            columns = list(zip(*rows, strict=True)) or [(), (), ()]
+            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int64(), pa.int64()), strict=True)], ["token", "c", "m"])
 
-        count: Counter = Counter()
+        counts = (Counter(), Counter())
         for batch in batches:
-            for value in batch.column(0):
-                count.update(tokens(value.as_py()))
-                if len(count) > COUNTER_WORDS:
-                    yield out(count)
-                    count = Counter()
-            count[END_TOKEN] += batch.num_rows
-        if count:
-            yield out(count)
+            for value, held in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
+                own = counts[held]
+                own.update(tokens(value.as_py()))
+                own[END_TOKEN] += 1
+                if len(own) > COUNTER_WORDS:
+                    yield out(counts)
+                    counts = (Counter(), Counter())
+        yield out(counts)
 
-    partial = df.select(text_or_empty(text).alias("text")).mapInArrow(run, "token binary, c long")
-    return partial.groupBy("token").agg(F.sum("c").alias("c"))
+    partial = df.select(text_or_empty(text).alias("text"), (remainder(key, FOLDS) == 0).alias("held")).mapInArrow(run, "token binary, c long, m long")
+    return partial.groupBy("token").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
 
 
 class Model:
     """The head's codes and counts, the unigram tables by node, and the weights."""
 
-    def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int, order: np.ndarray | None = None):
-        """``order``: the head's words (by rank) in the order of their codes."""
+    def __init__(self, head: list[tuple[bytes, int]], total: int, distinct: int):
         self.total, self.distinct = total, distinct
         self.ends = sum(c for t, c in head if t == END_TOKEN)
         self.words = [(t, c) for t, c in head if t != END_TOKEN][:HEAD]
-        order = np.arange(len(self.words)) if order is None else order
-        code = np.empty(len(order), np.int64)
-        code[order] = np.arange(len(order)) + FIRST
-        self.ids = {t: k for (t, _), k in zip(self.words, code.tolist(), strict=True)} | {END_TOKEN: END}
-        #: 1 and up for the TOP most frequent words, else 0.
-        self.top = np.zeros(BASE**LEVELS, np.int64)
-        self.top[code[:TOP]] = np.arange(1, min(TOP, len(order)) + 1)
+        #: A token's number: END, RARE, then the words by rank.
+        self.ids = {t: k for k, (t, _) in enumerate(self.words, FIRST)} | {END_TOKEN: END}
         counts = np.array([c for _, c in self.words], float)
-        kept = counts.sum() + self.ends
-        self.rare_mass = total - kept + ALPHA * (distinct - len(self.words) - (self.ends > 0) + 1)
+        self.rare_mass = total - counts.sum() - self.ends + ALPHA * (distinct - len(self.words) - (self.ends > 0) + 1)
+        self.mass = np.concatenate([[self.ends + ALPHA, self.rare_mass], counts + ALPHA])
+        self.log_base = np.log10(np.maximum(self.mass, 1e-300) / (total + ALPHA * (distinct + 1)))
+        #: 1 and up for the TOP most frequent words, else 0.
+        self.top = np.zeros(FIRST + len(self.words), np.int64)
+        self.top[FIRST : FIRST + TOP] = np.arange(1, min(TOP, len(self.words)) + 1)
+        self.rows_log2 = rows_log2(total)
+        self.weights = np.zeros((1 << self.rows_log2, BASE), np.float16)
+        self.used = np.zeros(len(self.weights), np.float32)
+        self.ordered(np.arange(len(self.words)))
+
+    def ordered(self, order: np.ndarray) -> None:
+        """Give codes to the words (by rank) in this order; the unigram tables follow."""
+        self.code = np.arange(FIRST + len(order))
+        self.code[FIRST + order] = FIRST + np.arange(len(order))
         mass = np.zeros(BASE**LEVELS)
-        mass[END], mass[RARE] = self.ends + ALPHA, self.rare_mass
-        mass[code] = counts + ALPHA
-        self.log_base = np.log10(np.maximum(mass, 1e-300) / (total + ALPHA * (distinct + 1)))
+        mass[self.code] = self.mass
         tables = []
-        for level in range(TRAINED):
+        for level in range(LEVELS):
             t = mass.reshape(BASE**level, BASE, -1).sum(2)
             whole = t.sum(1, keepdims=True)
             tables.append(np.where(whole > 0, np.log(np.maximum(t, 1e-30) / np.maximum(whole, 1e-30)), 0))
         self.prior = np.concatenate(tables).astype(np.float32)
-        #: log10 of a code's share in its subclass
-        last = mass.reshape(BASE**TRAINED, -1)
-        self.within = np.log10(np.maximum(last, 1e-300) / np.maximum(last.sum(1, keepdims=True), 1e-300)).ravel()
-        self.rows_log2 = rows_log2(total)
-        self.weights = np.zeros((1 << self.rows_log2, BASE), np.float32)
-
-    def encode(self, words: list[bytes]) -> list[int]:
-        return list(map(self.ids.get, words, repeat(RARE)))
 
     def frequent_before(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """For each position the last of the TOP words before it in its text, 0 if none."""
+        """For each position the last of the TOP words before it in its text, 0 if none; ``ids`` are numbers."""
         n, at = len(ids), np.arange(len(ids))
         first = np.repeat(starts, np.diff(np.append(starts, n)))
         top = self.top[ids]
@@ -142,29 +147,37 @@ class Model:
         return out
 
 
-def _rows(history: np.ndarray, node: np.ndarray, log2: int) -> np.ndarray:
-    """Each feature's row at each position: its own part of the table, by history and node."""
-    h = history ^ (node.astype(np.uint32) * np.uint32(0x9E3779B1))
+def table_rows(history: np.ndarray, node: np.ndarray, feature: int, log2: int) -> np.ndarray:
+    """A feature's row at each position: in its own part of the table, by history and node."""
+    h = history ^ ((node.astype(np.uint32) + np.uint32(1)) * np.uint32(0x9E3779B1))
+    h ^= h >> np.uint32(16)
     h *= np.uint32(0x85EBCA6B)
-    h >>= np.uint32(32 - log2 + 2)
-    return h.astype(np.int64) + (np.arange(FEATURES) << (log2 - 2))[:, None]
+    h ^= h >> np.uint32(13)
+    h *= np.uint32(0xC2B2AE35)
+    part = 1 << (log2 - 4)
+    return ((h.astype(np.uint64) * np.uint64(PARTS[feature] * part)) >> np.uint64(32)).astype(np.int64) + sum(PARTS[:feature]) * part
+
 
+def _digits(codes: np.ndarray):
+    """(level, node, digit) of codes."""
+    for level in range(LEVELS):
+        shift = 4 * (LEVELS - 1 - level)
+        yield level, (codes >> (shift + 4)) + _NODES[level], (codes >> shift) & (BASE - 1)
 
-def log_probabilities(model: Model, ids: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each token's code, given its history."""
-    out = model.within[ids]
-    for k in range(0, len(ids), 4_096):
-        y, h = ids[k : k + 4_096], history[:, k : k + 4_096]
+
+def log_probabilities(model: Model, weights: np.ndarray, ids: np.ndarray, history: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each token's code, given its history; ``weights`` are the model's, as floats."""
+    out, codes = np.zeros(len(ids)), model.code[ids]
+    for k in range(0, len(ids), BATCH):
+        y, h = codes[k : k + BATCH], history[:, k : k + BATCH]
         each = np.arange(len(y))
-        for level in range(TRAINED):
-            node = (y >> (4 * (LEVELS - level))) + _NODES[level]
-            digit = (y >> (4 * (LEVELS - 1 - level))) & (BASE - 1)
+        for level, node, digit in _digits(y):
             s = model.prior.take(node, 0)
-            for r in _rows(h, node, model.rows_log2):
-                s += model.weights.take(r, 0)
+            for f in LEVEL_FEATURES[level]:
+                s += weights.take(table_rows(h[f], node, f, model.rows_log2), 0)
             s -= s.max(1, keepdims=True)
             own = s[each, digit]
-            out[k : k + 4_096] += (own - np.log(np.exp(s, s).sum(1))) / np.float32(np.log(10))
+            out[k : k + BATCH] += (own - np.log(np.exp(s, s).sum(1))) / np.float32(np.log(10))
     return out
 
 
@@ -172,19 +185,17 @@ class Trainer:
     """Stochastic gradient steps on a copy of the weights; ``used`` counts each row's steps."""
 
     def __init__(self, model: Model):
-        self.model, self.weights, self.used = model, model.weights.copy(), np.zeros(len(model.weights), np.float32)
-        #: First row of the last feature, and a type that holds its rows (two bytes sort fastest).
-        self.dense, self.narrow = (FEATURES - 1) << (model.rows_log2 - 2), np.min_scalar_type((1 << (model.rows_log2 - 2)) - 1)
+        self.model, self.weights, self.used = model, model.weights.astype(np.float32), model.used.copy()
 
     def learn(self, ids: np.ndarray, history: np.ndarray) -> None:
-        """Steps over batches. If tokens of a batch share a row of a sparse feature, one of them moves it."""
+        """Steps over batches. If tokens of a batch share a row, one of them moves it."""
+        codes = self.model.code[ids]
         for k in range(0, len(ids), BATCH):
-            y, h = ids[k : k + BATCH], history[:, k : k + BATCH]
+            y, h = codes[k : k + BATCH], history[:, k : k + BATCH]
             each = np.arange(len(y))
-            for level in range(TRAINED):
-                node = (y >> (4 * (LEVELS - level))) + _NODES[level]
-                digit = (y >> (4 * (LEVELS - 1 - level))) & (BASE - 1)
-                s, rows = self.model.prior.take(node, 0), _rows(h, node, self.model.rows_log2)
+            for level, node, digit in _digits(y):
+                s = self.model.prior.take(node, 0)
+                rows = [table_rows(h[f], node, f, self.model.rows_log2) for f in LEVEL_FEATURES[level]]
                 old = [self.weights.take(r, 0) for r in rows]
                 for w in old:
                     s += w
@@ -192,107 +203,129 @@ class Trainer:
                 np.exp(s, s)
                 s /= s.sum(1, keepdims=True)
                 s[each, digit] -= 1
-                sparse = rows[:-1]
-                used = self.used.take(sparse) + 1
-                self.used[sparse] = used
-                step = RATE / np.sqrt(used)
-                for r, w, rate in zip(sparse, old, step, strict=False):
-                    w -= s * rate[:, None]
+                for f, r, w in zip(LEVEL_FEATURES[level], rows, old, strict=True):
+                    used = self.used.take(r) + 1
+                    self.used[r] = used
+                    w -= s * (np.float32(RATES[f]) / np.sqrt(used))[:, None]
                     self.weights[r] = w
-                # The last feature has few rows: each moves by the sum over its tokens.
-                order = np.argsort((rows[-1] - self.dense).astype(self.narrow), kind="stable")
-                r = rows[-1][order]
-                first = np.flatnonzero(np.concatenate([[True], r[1:] != r[:-1]]))
-                r = r[first]
-                self.used[r] += np.diff(np.append(first, len(order)))
-                self.weights[r] -= np.add.reduceat(s.take(order, 0), first, axis=0) * (DENSE_RATE / np.sqrt(self.used[r]))[:, None]
-
-
-def _batches(model: Model, texts, most: int):
-    """(ids, starts, words) of runs of texts with about ``most`` tokens; a longer text is a run of its own."""
-    words, starts = [], []
-    for text in texts:
-        starts.append(len(words))
-        words += tokens(text)
-        words.append(END_TOKEN)
-        if len(words) >= most:
-            yield np.array(model.encode(words), np.int64), np.array(starts), words
-            words, starts = [], []
-    if starts:
-        yield np.array(model.encode(words), np.int64), np.array(starts), words
-
-
-def _rare(ids: np.ndarray, starts: np.ndarray, words: list[bytes]) -> pa.Array:
-    """For each text its rare tokens' hashes (as Spark's xxhash64 has them) and how often each occurs."""
-    at = np.flatnonzero(ids == RARE)
-    h = np.fromiter((xxhash.xxh64_intdigest(words[k], seed=42) for k in at.tolist()), np.uint64, len(at))
-    text = np.searchsorted(starts, at, "right")
-    order = np.lexsort((h, text))
-    h, text = h[order], text[order]
-    first = np.flatnonzero(np.concatenate([[True], (h[1:] != h[:-1]) | (text[1:] != text[:-1])])) if len(h) else np.zeros(0, np.int64)
-    each = np.diff(np.append(first, len(h))).astype(np.int32)
-    offsets = np.concatenate([[0], np.cumsum(np.bincount(text[first] - 1, minlength=len(starts)))]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets), pa.StructArray.from_arrays([pa.array(h[first].view(np.int64)), pa.array(each)], ["h", "n"]))
+
+
+def numbered(df: DataFrame, model: Model, common: dict[bytes, int], key: str, text: str) -> DataFrame:
+    """A row per row of ``df``: _row, doc_id, held, part (its round), ids (numbers, two bytes each, the end last), common
+    (struct: rare tokens with a count among the ``common`` ones, and their log10 of count and ALPHA) and rare (hash, n)."""
+    shared = df.sparkSession.sparkContext.broadcast((model.ids, common))
+
+    def run(batches):
+        numbers, counts = shared.value
+        by_hash = {xxhash.xxh64_intdigest(t, seed=42): c for t, c in counts.items()}
+        for batch in batches:
+            texts, names = batch.column(batch.num_columns - 1), batch.schema.names[:-1]
+            ids, known, mass, offsets, hashes, each = [], [], [], [0], [], []
+            for value in texts:
+                words = tokens(value.as_py())
+                own = np.fromiter(map(numbers.get, words, repeat(RARE)), np.uint16, len(words))
+                ids.append(np.append(own, np.uint16(END)).tobytes())
+                found = Counter(xxhash.xxh64_intdigest(words[k], seed=42) for k in np.flatnonzero(own == RARE).tolist())
+                there, total = [0, 0], 0.0
+                for h in found.keys() & by_hash.keys():
+                    n, c = found.pop(h), by_hash[h]
+                    there = [there[0] + n, there[1] + n * (c > 0)]
+                    total += n * float(np.log10(c + ALPHA))
+                known.append(there)
+                mass.append(total)
+                hashes.append(np.fromiter(found, np.uint64, len(found)).view(np.int64))
+                each.append(np.fromiter(found.values(), np.int32, len(found)))
+                offsets.append(offsets[-1] + len(found))
+            rare = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *hashes])), pa.array(np.concatenate([np.zeros(0, np.int32), *each]))], ["h", "n"])
+            common_ = pa.StructArray.from_arrays([pa.array([x[0] for x in known], pa.int64()), pa.array([x[1] for x in known], pa.int64()), pa.array(mass, pa.float64())], ["n", "known", "log"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary()), common_, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare)], [*names, "ids", "common", "rare"])
+
+    rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("doc_id"), (remainder(key, FOLDS) == 0).alias("held"), F.pmod(F.xxhash64(F.col(key)), F.lit(ROUNDS)).cast("int").alias("part"), text_or_empty(text).alias("text"))
+    return rows.mapInArrow(run, "_row long, doc_id long, held boolean, part int, ids binary, common struct<n:long,known:long,log:double>, rare array<struct<h:long,n:int>>")
+
+
+def _runs(values, most: int = RUN_TOKENS):
+    """(ids, starts) of runs of texts (arrays of stored numbers) with about ``most`` tokens; a longer text is a run of its own."""
+    parts, starts, size = [], [], 0
+    for raw in values:
+        starts.append(size)
+        parts.append(np.frombuffer(raw, np.uint16))
+        size += len(parts[-1])
+        if size >= most:
+            yield np.concatenate(parts).astype(np.int64), np.array(starts)
+            parts, starts, size = [], [], 0
+    if parts:
+        yield np.concatenate(parts).astype(np.int64), np.array(starts)
 
 
 def _summed(parts: DataFrame, weigh: bool) -> DataFrame:
-    """Sums of (block, value, used) by block; with ``weigh``, means weighted by ``used``. Parts stream, a sum is held."""
+    """Sums of (block, value, used) by block; with ``weigh``, means weighted by ``used`` and its mean. Parts stream, a sum is held."""
+    kind = np.float16 if weigh else np.float32
 
     def merge(batches):
-        now, total, weight = None, None, None
+        now, total, weight, square = None, None, None, None
 
         def out():
-            mean = total / np.maximum(weight, 1)[:, None] if weigh else total
-            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([mean.astype(np.float32).tobytes()], pa.binary())], ["block", "value"])
+            share = np.maximum(weight, 1e-9)
+            mean, use = (total / share[:, None], square / share) if weigh else (total, weight)
+            return pa.RecordBatch.from_arrays([pa.array([now], pa.int32()), pa.array([mean.astype(np.float32).tobytes()], pa.binary()), pa.array([use.astype(np.float32).tobytes()], pa.binary())], ["block", "value", "used"])
 
         for batch in batches:
             for block, value, used in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if block != now:
                     if now is not None:
                         yield out()
-                    now, total, weight = block, 0.0, 0.0
-                u = np.frombuffer(used, np.float32)
-                v = np.frombuffer(zlib.decompress(value), np.float32).reshape(len(u), -1).astype(np.float64)
+                    now, total, weight, square = block, 0.0, 0.0, 0.0
+                u = np.frombuffer(used, np.float32).astype(np.float64)
+                v = np.frombuffer(value, kind).reshape(len(u), -1).astype(np.float64)
                 total = total + (v * u[:, None] if weigh else v)
-                weight = weight + u
+                weight, square = weight + u, square + u * u
         if now is not None:
             yield out()
 
-    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, value binary")
+    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, value binary, used binary")
 
 
-def _blocks(table: np.ndarray, used: np.ndarray):
-    """A table as rows of (block, packed values, use), leaving out blocks without use."""
+def _blocks(table: np.ndarray, used: np.ndarray, kind=np.float32):
+    """A table as rows of (block, values, use), leaving out blocks without use."""
     for k in range(0, len(table), BLOCK):
         if used[k : k + BLOCK].any():
-            values = zlib.compress(table[k : k + BLOCK].astype(np.float16).astype(np.float32).tobytes(), 1)
-            yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([values], pa.binary()), pa.array([used[k : k + BLOCK].astype(np.float32).tobytes()], pa.binary())], ["block", "value", "used"])
+            yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([table[k : k + BLOCK].astype(kind).tobytes()], pa.binary()), pa.array([used[k : k + BLOCK].astype(np.float32).tobytes()], pa.binary())], ["block", "value", "used"])
 
 
-def _collected(merged: DataFrame, shape) -> np.ndarray:
-    """The blocks as a table of the given shape."""
-    out = np.zeros(shape, np.float32)
-    for row in merged.collect():
-        out[row["block"] * BLOCK : (row["block"] + 1) * BLOCK] = np.frombuffer(row["value"], np.float32).reshape(BLOCK, -1)
-    return out
+def _collected(merged: DataFrame):
+    """(rows of the table, their values, their use) of one block after the other."""
+    for row in merged.toLocalIterator():
+        used = np.frombuffer(row["used"], np.float32)
+        first = row["block"] * BLOCK
+        yield slice(first, first + len(used)), np.frombuffer(row["value"], np.float32).reshape(len(used), -1), used
 
 
-def profiles(texts: DataFrame, model: Model, shards: int) -> np.ndarray:
-    """How often each code of ``model`` stands after each of the TOP words (or none): BASE ** LEVELS rows."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+def profiles(rows: DataFrame, model: Model, shards: int) -> np.ndarray:
+    """How often each word of ``model`` (by rank) stands after each of the TOP words, or none of them."""
+    top = model.top
+    shared = rows.sparkSession.sparkContext.broadcast(top)
 
     def run(batches):
-        m, wide = shared.value, TOP + 1
-        count = np.zeros(BASE**LEVELS * wide, np.int32)
-        for ids, starts, _ in _batches(m, (v.as_py() for batch in batches for v in batch.column(0)), SCORE_TOKENS):
-            np.add.at(count, ids * wide + m.frequent_before(ids, starts), 1)
+        m, wide = Model.__new__(Model), TOP + 1
+        m.top = shared.value
+        count, keys, waiting = np.zeros(len(m.top) * wide, np.int64), [], 0
+        for ids, starts in _runs(v.as_py() for batch in batches for v in batch.column(0)):
+            keys.append(ids * wide + m.frequent_before(ids, starts))
+            waiting += len(ids)
+            if waiting > 4_000_000:
+                count += np.bincount(np.concatenate(keys), minlength=len(count))
+                keys, waiting = [], 0
+        if keys:
+            count += np.bincount(np.concatenate(keys), minlength=len(count))
         table = count.reshape(-1, wide).astype(np.float32)
-        for k in range(0, len(table), BLOCK):
-            if table[k : k + BLOCK].any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([zlib.compress(table[k : k + BLOCK].tobytes(), 1)], pa.binary()), pa.array([np.ones(BLOCK, np.float32).tobytes()], pa.binary())], ["block", "value", "used"])
+        yield from _blocks(table, table.sum(1))
 
-    parts = texts.coalesce(shards).mapInArrow(run, "block int, value binary, used binary")
-    return _collected(_summed(parts, False), (BASE**LEVELS, TOP + 1))
+    parts = rows.select("ids").coalesce(shards).mapInArrow(run, "block int, value binary, used binary")
+    out = np.zeros((len(top), TOP + 1), np.float32)
+    for at, value, _ in _collected(_summed(parts, False)):
+        out[at] = value
+    return out[FIRST:]
 
 
 def grouped_order(profile: np.ndarray, counts: np.ndarray, groups: int = GROUPS, steps: int = GROUP_STEPS) -> np.ndarray:
@@ -320,101 +353,117 @@ def grouped_order(profile: np.ndarray, counts: np.ndarray, groups: int = GROUPS,
     return np.lexsort((np.arange(len(near)), near))
 
 
-def _round(texts: DataFrame, model: Model, shards: int) -> np.ndarray:
-    """New weights: the shards' changes averaged row by row."""
-    shared = texts.sparkSession.sparkContext.broadcast(model)
+def _round(rows: DataFrame, model: Model, shards: int) -> None:
+    """The shards' changes, averaged row by row, added to the weights."""
+    shared = rows.sparkSession.sparkContext.broadcast(_lean(model))
 
     def train(batches):
         own = Trainer(shared.value)
-        values = (v.as_py() for batch in batches for v in batch.column(0))
-        for ids, starts, _ in _batches(own.model, values, SCORE_TOKENS):
+        for ids, starts in _runs(v.as_py() for batch in batches for v in batch.column(0)):
             own.learn(ids, own.model.histories(ids, starts))
-        yield from _blocks(own.weights - own.model.weights, own.used)
+        change = own.weights
+        change -= own.model.weights
+        yield from _blocks(change, own.used - own.model.used, np.float16)
+
+    parts = rows.select("ids").coalesce(shards).mapInArrow(train, "block int, value binary, used binary")
+    for at, change, used in _collected(_summed(parts, True)):
+        model.weights[at] = model.weights[at] + change
+        model.used[at] += used
+    shared.destroy()
 
-    parts = texts.coalesce(shards).mapInArrow(train, "block int, value binary, used binary")
-    return model.weights + _collected(_summed(parts, True), model.weights.shape)
+
+def _lean(model: Model) -> Model:
+    """``model`` without what only numbering needs: the words."""
+    out = Model.__new__(Model)
+    out.__dict__ = model.__dict__ | {"ids": None, "words": None}
+    return out
 
 
-def _head(counts: DataFrame, most: int = HEAD + 1) -> list[tuple[bytes, int]]:
-    """The most frequent tokens: all above the least count that at most ``most`` tokens exceed; a fixed number of rows.
+def _head(counts: DataFrame, by: str, most: int) -> list:
+    """Rows of ``counts`` with the largest ``by`` (above 1): all above the least one that at most ``most`` rows exceed.
 
     Only (count, tokens with it) pairs are ranked, so no task sends more rows than there are distinct high counts.
     """
-    got, least = 0, None
-    for c, n in counts.filter("c > 1").groupBy("c").count().orderBy(F.desc("c")).limit(most).collect():
+    got, least = 0, 1
+    for c, n in counts.filter(F.col(by) > 1).groupBy(by).count().orderBy(F.desc(by)).limit(most).collect():
         got += n
         if got > most:
             least = c
             break
-    rows = counts if least is None and counts.count() <= most else counts.filter(F.col("c") > (least if least is not None else 1))
-    return sorted(((bytes(r["token"]), r["c"]) for r in rows.collect()), key=lambda x: (-x[1], x[0]))
+    else:
+        least = 0 if counts.count() <= most else 1
+    return counts.filter(F.col(by) > least).collect()
 
 
-def train(df: DataFrame, counts: DataFrame, key: str = "doc_id", text: str = "text", rounds: int = ROUNDS) -> Model:
-    """Fit on all rows of ``df`` outside the held-out fold; ``counts`` are their token counts."""
-    total, distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
-    head = _head(counts)
-    model = Model(head, total, distinct)
-    shards = max(1, min(MOST_SHARDS, -(-total // (rounds * TOKENS_A_SHARD))))
-    part = F.pmod(F.xxhash64(F.col(key)), F.lit(rounds))
-    rows = df.filter(remainder(key, FOLDS) != 0).select(text_or_empty(text).alias("text"), part.alias("_r"))
+def train(rows: DataFrame, model: Model) -> Model:
+    """Fit ``model`` on the ``numbered`` rows outside the held-out fold."""
+    shards = max(1, min(MOST_SHARDS, -(-model.total // (ROUNDS * TOKENS_A_SHARD))))
+    mine = rows.filter("not held")
     if model.words:
-        found = profiles(rows.select("text"), model, shards * rounds)[FIRST : FIRST + len(model.words)]
-        model = Model(head, total, distinct, grouped_order(found, np.array([c for _, c in model.words])))
-    for k in range(rounds if total else 0):
-        model.weights = _round(rows.filter(F.col("_r") == k).select("text"), model, shards)
+        model.ordered(grouped_order(profiles(mine, model, shards * ROUNDS), np.array([c for _, c in model.words])))
+    for k in range(ROUNDS if model.total else 0):
+        _round(mine.filter(F.col("part") == k), model, shards)
     return model
 
 
-def scored(df: DataFrame, model: Model, counts: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row.
-
-    A null text counts as empty and has one token, the end. Repeated rows are scored alike, each on its own; a null
-    key has the fold of the empty text. Other columns are not read; an empty table gives an empty result. With no
-    training rows every token is unknown.
-    """
-    spark = prepare(df.sparkSession)
-    shared = spark.sparkContext.broadcast(model)
-    names = ["_row", "doc_id", "n_tokens", "n_known", "base_score", "score", "rare"]
-    schema = "_row long, doc_id long, n_tokens long, n_known long, base_score double, score double, rare array<struct<h:bigint,n:int>>"
+def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of ``numbered`` rows."""
+    shared = rows.sparkSession.sparkContext.broadcast(_lean(model))
+    names = ["_row", "doc_id", "held", "n_tokens", "n_known", "base_score", "score", "rare"]
+    kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
+    schema = "_row long, doc_id long, held boolean, n_tokens long, n_known long, base_score double, score double, rare array<struct<h:long,n:int>>"
+    log_total, log_rare = (float(np.log10(x)) if x > 0 else 0.0 for x in (model.total + ALPHA * (model.distinct + 1), model.rare_mass))
 
     def run(batches):
         m = shared.value
+        weights = m.weights.astype(np.float32)
         for batch in batches:
-            rows, keys, texts = (batch.column(k) for k in range(3))
-            done = 0
-            for ids, starts, words in _batches(m, (t.as_py() for t in texts), SCORE_TOKENS):
-                head, n = ids != RARE, len(starts)
-                score = np.add.reduceat(log_probabilities(m, ids, m.histories(ids, starts)), starts)
+            done, lasting = 0, batch.column(4)
+            n_rare, known, log = (lasting.field(k).to_numpy() for k in range(3))
+            for ids, starts in _runs(v.as_py() for v in batch.column(3)):
+                part, n = slice(done, done + len(starts)), len(starts)
+                head = ids != RARE
+                score = np.add.reduceat(log_probabilities(m, weights, ids, m.histories(ids, starts)), starts)
                 base = np.add.reduceat(np.where(head, m.log_base[ids], 0.0), starts)
-                known = np.add.reduceat((head & ((ids != END) | (m.ends > 0))).astype(np.int64), starts)
-                sizes = np.diff(np.append(starts, len(ids)))
-                values = (rows.slice(done, n), keys.slice(done, n), pa.array(sizes), pa.array(known), pa.array(base), pa.array(score), _rare(ids, starts, words))
-                yield pa.RecordBatch.from_arrays(list(values), names)
+                seen = np.add.reduceat((head & ((ids != END) | (m.ends > 0))).astype(np.int64), starts)
+                values = [x.slice(done, n) for x in (batch.column(0), batch.column(1), batch.column(2))]
+                values += [pa.array(x, k) for x, k in zip((np.diff(np.append(starts, len(ids))), seen + known[part], base + log[part] - n_rare[part] * log_total, score + log[part] - n_rare[part] * log_rare), kinds[3:], strict=True)]
+                yield pa.RecordBatch.from_arrays([*values, batch.column(5).slice(done, n)], names)
                 done += n
 
-    keyed = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    texts = keyed.mapInArrow(run, schema)
+    texts = rows.select("_row", "doc_id", "held", "ids", "common", "rare").mapInArrow(run, schema)
     # A text's own figures ride on the first of its rare tokens, or on a row with n = 0 under a key of its own.
-    main = ("doc_id", "n_tokens", "n_known", "base_score", "score")
+    main = ("doc_id", "held", "n_tokens", "n_known", "base_score", "score")
     one = texts.select("_row", *main, F.posexplode_outer("rare").alias("_at", "_x"))
     lead = F.coalesce(F.col("_at"), F.lit(0)) == 0
     one = one.select("_row", *[F.when(lead, F.col(c)).alias(c) for c in main], F.coalesce("_x.h", F.xxhash64("_row")).alias("_h"), F.coalesce("_x.n", F.lit(0)).alias("_n"))
-    known = counts.select(F.xxhash64("token").alias("_k"), "c")
     c = F.coalesce("c", F.lit(0))
-    share = lambda mass: F.sum(F.col("_n") * F.log10((c + F.lit(ALPHA)) / F.lit(float(mass))))
-    joined = one.join(known, one["_h"] == known["_k"], "left")
+    share = lambda mass: F.sum(F.col("_n") * (F.log10(c + F.lit(ALPHA)) - F.lit(mass)))
+    joined = one.join(counts.filter("c > 0").select(F.xxhash64("token").alias("_k"), "c"), F.col("_h") == F.col("_k"), "left")
     out = joined.groupBy("_row").agg(
-        F.max("doc_id").alias("doc_id"), F.max("n_tokens").alias("n_tokens"),
-        (F.max("n_known") + F.coalesce(F.sum(F.when(c > 0, F.col("_n"))), F.lit(0))).alias("n_known"),
-        (F.max("base_score") + share(model.total + ALPHA * (model.distinct + 1))).alias("base_score"),
-        (F.max("score") + share(model.rare_mass)).alias("score"),
+        *[F.max(x).alias(x) for x in ("doc_id", "held", "n_tokens")], (F.max("n_known") + F.coalesce(F.sum(F.when(c > 0, F.col("_n"))), F.lit(0))).alias("n_known"),
+        (F.max("base_score") + share(log_total)).alias("base_score"), (F.max("score") + share(log_rare)).alias("score"),
     )
-    return out.select("doc_id", (remainder("doc_id", FOLDS) == 0).alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.select("doc_id", F.col("held").alias("held_out"), "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"), "base_score", "score")
 
 
-def lm_score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Count, train and score: see ``scored`` for the columns and the edge cases."""
+def fitted(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, Model, DataFrame]:
+    """The stored ``numbered`` rows, the trained model and the stored counts."""
     prepare(df.sparkSession)
-    counts = stored(token_counts(df.filter(remainder(key, FOLDS) != 0), text), "token-counts")
-    return scored(df, train(df, counts, key, text), counts, key, text)
+    counts = stored(token_counts(df, key, text), "token-counts")
+    total, distinct = counts.filter("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
+    head = sorted(((bytes(r["token"]), r["c"]) for r in _head(counts.filter("c > 0"), "c", HEAD + 1)), key=lambda x: (-x[1], x[0]))
+    model = Model(head, total, distinct)
+    common = {bytes(r["token"]): r["c"] for r in _head(counts, "m", HEAD + 1) if bytes(r["token"]) not in model.ids}
+    rows = stored(numbered(df, model, common, key, text), "numbered")
+    return rows, train(rows, model), counts
+
+
+def lm_score(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row: count, train and score.
+
+    A null text counts as empty and has one token, the end. Repeated rows are scored alike, each on its own; a null
+    key has the fold of the empty text. Other columns are not read; an empty table gives an empty result. With no
+    training rows every token is unknown. Memory is bounded by the table, the head's words and one text's numbers.
+    """
+    return scored(*fitted(df, key, text))

@@ -36,14 +36,80 @@ def test_base_and_gain(spark, small, head, monkeypatch):
         assert sum(r.score for r in held) > sum(r.base_score for r in held)
 
 
+def plain_score(model, counts, words):
+    """log10 probability of a text by the definition, number by number."""
+    m32 = 0xFFFFFFFF
+    before = {t: k + 1 for k, (t, _) in enumerate(model.words[: lm_scoring.TOP])}
+    numbers = [model.ids.get(w, lm_scoring.RARE) for w in words] + [lm_scoring.END]
+    total, last, log2 = 0.0, 0, model.rows_log2
+    for k, number in enumerate(numbers):
+        one = numbers[k - 1] if k else lm_scoring.END
+        two = numbers[k - 2] if k > 1 else lm_scoring.END
+        code, node = int(model.code[number]), 0
+        for level in range(4):
+            first, digit = (1, 2, 18, 274)[level] - 1, (code >> (4 * (3 - level))) & 15
+            scores = [float(x) for x in model.prior[first + node]]
+            for f in lm_scoring.LEVEL_FEATURES[level]:
+                h = ((one, (one * 65_599 + two) & m32, two, last)[f] + f + 1) * (0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F)[f] & m32
+                h = ((h ^ h >> 15) * 0x2C1B3C6D & m32) ^ ((first + node + 1) * 0x9E3779B1 & m32)
+                h = (h ^ h >> 16) * 0x85EBCA6B & m32
+                h = (h ^ h >> 13) * 0xC2B2AE35 & m32
+                part = 1 << (log2 - 4)
+                row = (h * lm_scoring.PARTS[f] * part >> 32) + sum(lm_scoring.PARTS[:f]) * part
+                scores = [a + float(b) for a, b in zip(scores, model.weights[row], strict=True)]
+            total += (scores[digit] - math.log(sum(math.exp(x) for x in scores))) / math.log(10)
+            node = node * 16 + digit
+        if number == lm_scoring.RARE:
+            total += math.log10((counts.get(words[k], 0) + 0.1) / model.rare_mass)
+        if k < len(words):
+            last = before.get(words[k], last)
+    return total
+
+
+@pytest.mark.parametrize("head", [lm_scoring.HEAD, 300])
+def test_score_by_the_definition(spark, small, head, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HEAD", head)
+    docs = load(spark, small, "documents")
+    docs = docs.unionByName(docs.sparkSession.createDataFrame([(10_000 + k, "heldoutword " * 50) for k in range(40)], "doc_id long, text string"), allowMissingColumns=True)
+    rows, model, counts = lm_scoring.fitted(docs)
+    known = {bytes(r.token): r.c for r in counts.collect()}
+    got = {r.doc_id: r.score for r in lm_scoring.scored(rows, model, counts).collect()}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for doc in [*sorted(texts)[:25], *range(10_000, 10_005)]:
+        want = plain_score(model, known, lm_scoring.tokens(texts[doc] or ""))
+        assert got[doc] == pytest.approx(want, rel=2e-4, abs=2e-3)
+
+
+def test_better_than_a_bigram(spark):
+    """Held-out log10 per token against an interpolated bigram of the whole vocabulary."""
+    docs = load(spark, "/root/testdata/sf0.1", "documents")
+    held = lambda d: zlib.crc32(str(d).encode()) % 10 == 0
+    rows = [(held(r.doc_id), [*(r.text or "").encode().lower().split(), None]) for r in docs.select("doc_id", "text").collect()]
+    one, two = Counter(), Counter()
+    for h, w in rows:
+        if not h:
+            one.update(w)
+            two.update(zip([None, *w], w))  # noqa: B905
+    n, v = sum(one.values()), len(one)
+    total = tokens = 0
+    for h, w in rows:
+        if h:
+            tokens += len(w)
+            for a, b in zip([None, *w], w):  # noqa: B905
+                total += math.log10((two[a, b] + 100 * (one[b] + 0.1) / (n + 0.1 * (v + 1))) / (one[a] + 100))
+    out = [r for r in lm_scoring.lm_score(docs).collect() if r.held_out]
+    assert sum(r.n_tokens for r in out) == tokens
+    assert sum(r.score for r in out) / tokens > total / tokens
+
+
 def test_probabilities_sum_to_one():
     import numpy as np
 
     head = [(b"a", 9), (b"b", 5), (lm_scoring.END_TOKEN, 4), (b"c", 1)]
     m = lm_scoring.Model(head, 21, 6)  # two more tokens of one count each are rare
-    m.weights[:] = np.random.default_rng(1).normal(size=m.weights.shape)
+    weights = np.random.default_rng(1).normal(size=m.weights.shape).astype(np.float32)
     ids = np.array([0, 1, 2, 3, 4])
-    one = lambda i: lm_scoring.log_probabilities(m, np.array([i]), m.histories(np.array([2, i]), np.array([0]))[:, 1:])[0]
+    one = lambda i: lm_scoring.log_probabilities(m, weights, np.array([i]), m.histories(np.array([2, i]), np.array([0]))[:, 1:])[0]
     assert sum(10 ** one(i) for i in ids) == pytest.approx(1, abs=1e-5)
 
 
@@ -57,11 +123,13 @@ def test_edges(spark):
 
 
 def test_table_grows_with_the_corpus():
-    assert [lm_scoring.rows_log2(n) for n in (0, 1, 512 << 17, (512 << 17) + 1, 512 << 18, 10**12)] == [17, 17, 17, 18, 18, 20]
-    m = lm_scoring.Model([(b"a", 9)], 512 << 19, 6)
-    own = lm_scoring.Trainer(m)
-    ids = [m.ids[b"a"]] * 3_000
     import numpy as np
 
-    own.learn(np.array(ids), m.histories(np.array(ids), np.array([0])))
-    assert len(m.weights) == 1 << 19 and np.flatnonzero(own.used).max() >= own.dense
+    assert [lm_scoring.rows_log2(n) for n in (0, 1, 1 << 15, (1 << 15) + 1, 1 << 18, 10**12)] == [17, 17, 17, 18, 20, 21]
+    m = lm_scoring.Model([(b"a", 9)], 1 << 18, 6)
+    own = lm_scoring.Trainer(m)
+    ids = np.full(3_000, m.ids[b"a"])
+    own.learn(ids, m.histories(ids, np.array([0])))
+    ends = np.cumsum([0, *lm_scoring.PARTS]) << (m.rows_log2 - 4)
+    used = np.flatnonzero(own.used)
+    assert len(m.weights) == 1 << 20 and all(((used >= a) & (used < b)).any() for a, b in zip(ends, ends[1:], strict=False))

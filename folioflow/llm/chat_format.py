@@ -25,7 +25,6 @@ BLOCKS = "conv_id long, block long, formatted string, loss array<struct<start:in
 DIGESTS = "conv_id long, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long"
 
 _CONTROL = re.compile(r"\\|###|</turn>")
-_TURN = re.compile(r"### ((?:[^\\:]|\\.)*): ((?:[^\\<]|\\.|<(?!/turn>))*)</turn>\n", re.S)
 _ESCAPED = re.compile(r"\\(.)", re.S)
 
 
@@ -35,7 +34,7 @@ def escape(text: str) -> str:
 
 
 def unescape(text: str) -> str:
-    return _ESCAPED.sub(r"\1", text)
+    return _ESCAPED.sub(r"\1", text) if "\\" in text else text
 
 
 def escape_role(role: str) -> str:
@@ -74,15 +73,29 @@ def render(turns, trained: str = ASSISTANT) -> tuple[str, list[tuple[int, int]]]
     return "".join(out), spans
 
 
+def _unescaped(text: str, what: str, at: int) -> int:
+    """Where ``what`` stands next with an even number of backslashes before it; -1 if nowhere."""
+    while (found := text.find(what, at)) >= 0:
+        before = found
+        while before > at and text[before - 1] == "\\":
+            before -= 1
+        if (found - before) % 2 == 0:
+            return found
+        at = found + 1
+    return -1
+
+
 def parse(formatted: str) -> list[tuple[str, str]]:
     """(role, text) of each turn; the inverse of ``render``. An error if the text isn't wholly made of turns."""
     out, at = [], 0
     while at < len(formatted):
-        found = _TURN.match(formatted, at)
-        if not found:
+        head = at + len(OPEN)
+        colon = _unescaped(formatted, ":", head) if formatted.startswith(OPEN, at) else -1
+        end = _unescaped(formatted, CLOSE[:-1], colon + 2) if colon >= 0 and formatted.startswith(": ", colon) else -1
+        if end < 0 or not formatted.startswith(CLOSE, end):
             raise ValueError(f"no turn at {at}")
-        out.append((unescape(found[1]), unescape(found[2])))
-        at = found.end()
+        out.append((unescape(formatted[head:colon]), unescape(formatted[colon + 2 : end])))
+        at = end + len(CLOSE)
     return out
 
 
@@ -180,9 +193,8 @@ def events_of_turns(turns: DataFrame, delta_chars: int = 2_000) -> DataFrame:
     Rows that repeat a turn stay turns of their own, named by ``item``, and follow one another by role and text.
     """
     text = F.coalesce("text", F.lit(""))
-    parts = F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(F.length(text) / F.lit(delta_chars)).cast("int") - F.lit(1)))
+    cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))  # in one go over the text
     rows = turns.withColumn("item", F.monotonically_increasing_id())
-    rows = rows.select("conv_id", "item", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), text.alias("text"), F.posexplode(parts).alias("part", "_p"))
-    piece = F.substring(F.col("text"), F.col("part") * F.lit(delta_chars) + F.lit(1), F.lit(delta_chars))
+    rows = rows.select("conv_id", "item", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.posexplode(F.when(text == "", F.array(F.lit(""))).otherwise(cut)).alias("part", "text"))
     seq = F.coalesce("turn", F.lit(-1)) * F.lit(1 << 24) + F.col("part")
-    return rows.select("conv_id", seq.alias("seq"), "turn", F.when(F.col("part") == 0, "start").otherwise("delta").alias("kind"), "role", piece.alias("text"), "item")
+    return rows.select("conv_id", seq.alias("seq"), "turn", F.when(F.col("part") == 0, "start").otherwise("delta").alias("kind"), "role", "text", "item")

@@ -22,6 +22,8 @@ from .common import attach_groups, scratch, stored
 
 #: Payloads below this many bytes are never revisits; ranges closer than GAP are read at once, up to SPAN bytes.
 REVISIT_BYTES, GAP, SPAN, LEVEL = 1000, 1 << 16, 8 << 20, 4
+#: Bytes of archive that a reading task has at least (where there are cores for more tasks) and at most.
+LEAST_BYTES, MOST_BYTES = 2 << 20, 128 << 20
 INDEX = "file string, offset long, length long, url string, digest string, page_id long, record_type string"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 DATE = "2000-01-01T00:00:00Z"
@@ -111,7 +113,10 @@ def _ranges(rows, gap: int, span: int):
 
 
 def read_archives(index: DataFrame, gap: int = GAP, span: int = SPAN) -> DataFrame:
-    """RECORDS of the index rows given, by sorted and coalesced range reads; memory is bounded by ``span`` or a record."""
+    """RECORDS of the index rows given, by sorted and coalesced range reads; memory is bounded by ``span`` or a record.
+
+    The index is dealt to tasks by file and offset, as many as its bytes of archive are worth.
+    """
 
     def run(batches):
         rows = (row for batch in batches for row in zip(*[c.to_pylist() for c in batch.columns], strict=True))
@@ -137,7 +142,10 @@ def read_archives(index: DataFrame, gap: int = GAP, span: int = SPAN) -> DataFra
         if out:
             yield emit(out)
 
-    return index.select("file", "offset", "length").repartitionByRange("file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, RECORDS)
+    total = index.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+    cores = 2 * index.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(cores, -(-total // LEAST_BYTES)), -(-total // MOST_BYTES))
+    return index.select("file", "offset", "length").repartitionByRange(tasks, "file", "offset").sortWithinPartitions("file", "offset").mapInArrow(run, RECORDS)
 
 
 def archive_pages(pages: DataFrame, folder: str | None = None, least: int = REVISIT_BYTES) -> DataFrame:

@@ -9,19 +9,20 @@ wherever they stand. The fingerprint is the set of chunk digests, each weighted
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import replaced, stored, text_or_empty
+from .common import private, replaced, schema_text, text_or_empty
 
 WINDOW = 16
 LEAST, WANTED, MOST = 12, 48, 256
 STRICT, LOOSE = 7, 4  # bits
-ROWS_A_BUCKET = 2_000
+ROWS_A_BUCKET, MOST_BUCKETS = 2_000, 1 << 14
 BLOCK = 1 << 20
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
@@ -105,9 +106,8 @@ def edited(text: str, following: str) -> str:
 def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """All columns and fingerprint (string), chunks (digest and bytes) of each row; null texts count as empty."""
     df = replaced(df, ("fingerprint", "chunks"))
-    rows = df.withColumn("_text", text_or_empty(text))
+    (own,) = private(df.columns, "_text")
     names = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields) + ", fingerprint string, chunks array<struct<digest:bigint,bytes:int>>"
 
     def run(batches):
         kind = pa.list_(pa.struct([("digest", pa.int64()), ("bytes", pa.int32())]))
@@ -116,50 +116,73 @@ def fingerprints(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
             chunks = [[{"digest": d - (1 << 64) if d >> 63 else d, "bytes": n} for d, n in p.items()] for p in prints]
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array([named(p) for p in prints]), pa.array(chunks, kind)], [*names, "fingerprint", "chunks"])
 
-    return rows.mapInArrow(run, schema)
+    return df.withColumn(own, text_or_empty(text)).mapInArrow(run, schema_text(df) + ", fingerprint string, chunks array<struct<digest:bigint,bytes:int>>")
 
 
-def _bucket(keys: DataFrame, bounds):
-    """``keys`` with _bucket: how many of the descending bounds (broadcast, one a bucket) are above the key."""
-    shared = keys.sparkSession.sparkContext.broadcast(np.asarray(sorted(bounds), np.int64))
+def _bounds(keys: DataFrame, buckets: int) -> np.ndarray:
+    """Rows (k, h): the first of a bucket each, in the order of k descending and h ascending, without the first bucket.
+
+    Quantiles of ``keys`` (k), at most ``buckets`` of them. A key that is several quantiles holds several buckets' rows:
+    it is cut by h, which is evenly spread there, into as many and one more (keys beyond 2**53 are not).
+    """
+    if buckets < 2:
+        return np.zeros((0, 2), np.int64)
+    low, high = -(1 << 63), (1 << 63) - 1
+    found = Counter(min(int(x), high) for x in keys.approxQuantile("k", [i / buckets for i in range(1, buckets)], 0.25 / buckets))
+    out = {(k, low) for k in found} | {(k, (i << 64) // (n + 1) + low) for k, n in found.items() if n > 1 for i in range(n + 1)}
+    return np.array(sorted(out, key=lambda x: (-x[0], x[1])), np.int64).reshape(-1, 2)
+
+
+def _placed(rows: DataFrame, bounds: np.ndarray, sees: dict | None = None) -> DataFrame:
+    """``rows`` (k, h, ...) with bucket: how many bounds are at or before (k, h); and ahead = 0.
+
+    ``sees``: the bucket that sees the row of some (k, h) besides its own; such rows come a second time, with ahead = 1.
+    """
+    shared = rows.sparkSession.sparkContext.broadcast((bounds, sees or {}))
 
     def run(batches):
+        (k0, h0), more = shared.value[0].T, shared.value[1]
+        keys, first = np.unique(~k0, return_index=True)  # k descending; where each key's bounds begin
+        first = np.append(first, len(k0))
+        watched = np.array(sorted({k for k, _ in more}), np.int64)
         for batch in batches:
-            at = batch.column(0).to_numpy(zero_copy_only=False)
-            b = len(shared.value) - np.searchsorted(shared.value, at, "left")
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(b.astype(np.int64))], [*batch.schema.names, "_bucket"])
+            k, h = (batch.column(c).to_numpy(zero_copy_only=False) for c in (0, 1))
+            at = np.searchsorted(keys, ~k, "left")
+            b = first[at]
+            for x in np.flatnonzero((at < len(keys)) & (np.append(keys, 0)[at] == ~k)):
+                b[x] += np.searchsorted(h0[first[at[x]] : first[at[x] + 1]], h[x], "right")
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(b.astype(np.int32)), pa.array(np.zeros(len(b), np.int32))], [*batch.schema.names, "bucket", "ahead"])
+            twice = [x for x in np.flatnonzero(np.isin(k, watched)).tolist() if (int(k[x]), int(h[x])) in more]
+            if twice:
+                seen = pa.array([more[int(k[x]), int(h[x])] for x in twice], pa.int32())
+                yield pa.RecordBatch.from_arrays([*batch.take(pa.array(twice)).columns, seen, pa.array(np.ones(len(twice), np.int32))], [*batch.schema.names, "bucket", "ahead"])
 
-    return keys.mapInArrow(run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in keys.schema.fields) + ", _bucket long")
+    return rows.mapInArrow(run, schema_text(rows) + ", bucket int, ahead int")
 
 
 def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text", rows_a_bucket: int = ROWS_A_BUCKET) -> DataFrame:
     """RESULT: each text against its edited text and against the next document's, by descending key.
 
-    The order is cut into buckets of about ``rows_a_bucket`` documents by quantiles of the key (one number a bucket
-    is broadcast); each bucket also gets the first document of the following one. Texts shuffle once. Null texts are
-    empty; a null key comes last, and rows of equal keys follow by their text. A single document follows itself. Other
-    columns are not read; an empty table gives an empty result.
+    The order is cut into buckets of about ``rows_a_bucket`` documents, MOST_BUCKETS at most, a task each; each bucket
+    also gets the first document of the following one, so that texts shuffle once. Only bounds and the buckets' first
+    keys reach the driver. Null texts are empty; a null key comes last. Rows of equal keys follow by their text, and
+    those of a key with very many rows by a hash of the text first, so that they are spread as well. A single document
+    follows itself. Other columns are not read; an empty table gives an empty result.
     """
     spark = df.sparkSession
-    keyed = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    last = F.lit(-(1 << 63))
-    order = F.coalesce("doc_id", last)
-    only = keyed.select(order.alias("_k"))
-    rows = only.count()
+    keys = df.select(F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("k"))
+    rows = keys.count()
     if not rows:
         return spark.createDataFrame([], RESULT)
-    buckets = max(1, rows // rows_a_bucket)
-    shares = [i / buckets for i in range(1, buckets)]
-    bounds = {int(x) for x in only.approxQuantile("_k", shares, min(0.01, 0.25 / buckets))} if shares else set()
-    # The first key of every bucket that has rows, and so the bucket before it that must see it.
-    firsts = sorted(_bucket(only, bounds).groupBy("_bucket").agg(F.max("_k").alias("first")).collect(), key=lambda r: r["_bucket"])
-    sees = {r["first"]: firsts[k - 1]["_bucket"] for k, r in enumerate(firsts)}
-    extra = spark.createDataFrame([(k, int(b)) for k, b in sees.items()], "_f long, _also long")
-    placed = _bucket(keyed.select(order.alias("_k"), "doc_id", "text"), bounds)
-    both = placed.join(F.broadcast(extra), F.col("_k") == F.col("_f"), "left").drop("_f")
-    both = both.select("doc_id", "text", "_k", F.explode(F.when(F.col("_also").isNull(), F.array(F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("ahead")))).otherwise(F.array(F.struct(F.col("_bucket").alias("b"), F.lit(0).alias("ahead")), F.struct(F.col("_also").alias("b"), F.lit(1).alias("ahead"))))).alias("_to"))
-    both = both.select(F.col("_to.b").alias("bucket"), F.col("_to.ahead").alias("ahead"), "_k", "doc_id", "text")
-    dealt = both.repartition(max(len(firsts), 1), "bucket").sortWithinPartitions("bucket", "ahead", F.desc("_k"), "text")
+    bounds = _bounds(keys, max(1, min(MOST_BUCKETS, rows // rows_a_bucket)))
+    many = [int(k) for k, n in Counter(bounds[:, 0].tolist()).items() if n > 1]
+    k = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
+    h = F.when(k.isin(many), F.xxhash64(text_or_empty(text))).otherwise(F.lit(0).cast("long")) if many else F.lit(0).cast("long")
+    keyed = df.select(k.alias("k"), h.alias("h"), F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
+    # The first row of every bucket that has rows, which the bucket before it must see.
+    firsts = _placed(keyed.select("k", "h"), bounds).groupBy("bucket").agg(F.max(F.struct("k", F.bitwise_not("h").alias("h"))).alias("f")).orderBy("bucket").collect()
+    sees = {(r["f"]["k"], ~r["f"]["h"]): firsts[n - 1]["bucket"] for n, r in enumerate(firsts)}
+    dealt = _placed(keyed, bounds, sees).repartitionById(len(bounds) + 1, F.col("bucket")).sortWithinPartitions("bucket", "ahead", F.desc("k"), "h", "text")
 
     def run(batches):
         names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
@@ -175,10 +198,10 @@ def compare_edited(df: DataFrame, key: str = "doc_id", text: str = "text", rows_
 
         before, bucket, ended, out = None, None, False, []
         for batch in batches:
-            for b, ahead, doc, text in zip(*[batch.column(k).to_pylist() for k in (0, 1, 3, 4)], strict=True):
+            for doc, text, b, ahead in zip(*[batch.column(k).to_pylist() for k in (2, 3, 4, 5)], strict=True):
                 if b != bucket:
                     before, bucket, ended = None, b, False
-                if ended:  # only the first of the following bucket is looked at
+                if ended:  # of rows ahead with one key the first counts
                     continue
                 now = (doc, text, fingerprint(text))
                 if before is not None:

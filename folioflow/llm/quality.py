@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import prepare, remainder, replaced, text_or_empty
+from .common import prepare, private, remainder, replaced, schema_text, text_or_empty
 
 MAX_ROWS, FOLDS, THRESHOLD = 20_000, 5, 0.3
 BINS, PAIR_BINS, ROUNDS, PAIR_ROUNDS, PAIRS, LEAVES, RATE = 32, 8, 150, 60, 8, 4, 0.12
@@ -180,25 +180,35 @@ def measured(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFram
     return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(run, "doc_id long, features array<double>")
 
 
-def training_rows(df: DataFrame, labels: DataFrame, label: str, key: str, text: str, max_rows: int) -> DataFrame:
-    """(doc_id, text, label) of at most ``max_rows`` labelled rows outside the held-out fold, by hash of the key.
-
-    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out.
-    """
+def labelled(labels: DataFrame, label: str, key: str) -> DataFrame:
+    """(_k, _label) outside the held-out fold: a key with several labels has the largest; null keys and others than 0, 1 go."""
     own = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("_k")).agg(F.max(label).cast("int").alias("_label"))
-    own = own.filter(remainder("_k", FOLDS) != 0).orderBy(F.xxhash64("_k"), "_k").limit(max_rows)
+    return own.filter(remainder("_k", FOLDS) != 0)
+
+
+def training_rows(df: DataFrame, labels: DataFrame, label: str, key: str, text: str, max_rows: int) -> DataFrame:
+    """(doc_id, text, _label) of at most ``max_rows`` labelled rows, by a hash of the key; rows that repeat a key count each."""
+    order = [F.xxhash64("_k"), "_k"]
     rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    return rows.join(F.broadcast(own), rows.doc_id == own._k).select("doc_id", "text", "_label")
+    some = labelled(labels, label, key).orderBy(*order).limit(max_rows)
+    return rows.join(F.broadcast(some), F.col("doc_id") == F.col("_k")).select("doc_id", "text", "_label", "_k")
 
 
 def train(df: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Model:
+    """Fit on at most ``max_rows`` labelled rows outside the held-out fold, those with the smallest hash of their key.
+
+    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Rows that repeat a
+    key count each. Only features reach the driver.
+    """
     rows = training_rows(df, labels, label, key, text, max_rows)
 
     def run(batches):
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(2), pa.array([measure(t.as_py()) for t in batch.column(1)], pa.list_(pa.float64()))], ["doc_id", "label", "features"])
 
-    got = rows.mapInArrow(run, "doc_id long, label int, features array<double>").toPandas().sort_values("doc_id", kind="stable")
+    # Repeated keys can make more rows than keys were chosen: the first ones are taken, in an order that rows alone decide.
+    found = rows.select("doc_id", "text", "_label").mapInArrow(run, "doc_id long, label int, features array<double>")
+    got = found.orderBy(F.xxhash64("doc_id"), "doc_id", "features").limit(max_rows).toPandas().sort_values("doc_id", kind="stable")
     x = np.array(got["features"].to_list(), float).reshape(-1, len(FEATURES))
     return fit(x, got["label"].to_numpy(float))
 
@@ -213,12 +223,12 @@ def scored(df: DataFrame, model: Model, threshold: float = THRESHOLD, key: str =
     shared = spark.sparkContext.broadcast(model)
     df = replaced(df, ("held_out", "score", "predicted"))
     names = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    (own,) = private(names, "_text")
 
     def run(batches):
         for batch in batches:
             x = np.array([measure(t.as_py()) for t in batch.column(len(names))], float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shared.value.score(x))], [*names, "score"])
 
-    out = df.withColumn("_text", text_or_empty(text)).mapInArrow(run, schema + ", score double")
+    out = df.withColumn(own, text_or_empty(text)).mapInArrow(run, schema_text(df) + ", score double")
     return out.withColumns({"held_out": remainder(key, FOLDS) == 0, "predicted": (F.col("score") >= threshold).cast("int")})

@@ -6,8 +6,9 @@ layer gives the window's logit. Windows overlap: each starts STRIDE tokens after
 the text. A text's score is the calibrated logistic of its largest window logit.
 
 Training is multiple-instance: a toxic text's windows above the others count as toxic, the rest of it as nothing;
-clean texts give clean windows. It reads at most ``max_rows`` toxic and twice as many clean labelled texts, by hash of the key;
-the calibration weighs them so that each class counts with its share of all training labels.
+clean texts give clean windows; all windows of a text are looked at. It reads at most ``max_rows`` toxic and twice as
+many clean labelled texts, by hash of the key, and at most ``max_chars`` characters of them; the calibration weighs them
+so that each class counts with its share of all training labels.
 """
 
 from __future__ import annotations
@@ -19,13 +20,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, prepare, remainder, replaced, text_or_empty
-from .quality import FOLDS
+from .common import claim, prepare, private, remainder, replaced, schema_text, text_or_empty
+from .quality import FOLDS, labelled
 
 MAX_ROWS, CLEAN_SHARE, THRESHOLD = 2_000, 2, 0.5
 WINDOW, STRIDE, HIDDEN, WIDTH = 32, 24, 8, 8
 GRAMS, BUCKETS, VOCABULARY, LEAST_ROWS = (3, 4, 5), 1 << 15, 30_000, 3
-EPOCHS, BATCH, RATE, CLEAN_WINDOWS, MOST_WINDOWS = 4, 256, 0.05, 3, 64
+EPOCHS, BATCH, RATE, CLEAN_WINDOWS, MAX_CHARS = 4, 256, 0.05, 3, 40_000_000
 TABLE_ROWS, SCORE_WINDOWS, LEAST_APART = 200_000, 4_096, 500
 _STRIP = b".,;:!?\"'()[]{}*%$&#<>|-_"
 
@@ -249,7 +250,6 @@ def fit(texts: list[str], labels, epochs: int = EPOCHS, seed: int = 0, stands_fo
         return out
 
     starts = [windows(len(mine)) for mine in ids]
-    starts = [s if len(s) <= MOST_WINDOWS else r.choice(s, MOST_WINDOWS, replace=False) for s in starts]
     owner = np.repeat(np.arange(len(ids), dtype=np.int32), [len(s) for s in starts])
     rows = np.full((len(owner), WINDOW), -1, np.int32)
     for k, (doc, start) in enumerate(zip(owner.tolist(), np.concatenate(starts).tolist(), strict=True)):
@@ -403,22 +403,35 @@ def _scorer(net: Network) -> Scorer:
     return _SCORERS[net.version]
 
 
-def train(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Network:
+def train(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Network:
     """Fit on at most ``max_rows`` toxic and CLEAN_SHARE times as many clean texts outside the held-out fold.
 
-    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Rows that repeat
-    are used as often.
+    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Rows that repeat a
+    key count each. Of the rows in the order of a hash of the key those come that end within ``max_chars`` characters in
+    all, a third of them for toxic texts; the sample is the same wherever rows lie.
     """
-    own = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull()).groupBy(F.col(key).cast("long").alias("_k")).agg(F.max(label).cast("int").alias("_label"))
-    own = own.filter(remainder("_k", FOLDS) != 0)
+    own = labelled(labels, label, key)
     most = (max_rows * CLEAN_SHARE, max_rows)
-    part = lambda v: own.filter(F.col("_label") == v).orderBy(F.xxhash64("_k"), "_k").limit(most[v])
+    order = [F.xxhash64("_k"), "_k"]
+    part = lambda v: own.filter(F.col("_label") == v).orderBy(*order).limit(most[v])
     count = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
     stands_for = tuple(max(1.0, count.get(v, 0) / max(1, most[v])) for v in (0, 1))
-    chosen = part(0).union(part(1))
     rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    got = rows.join(F.broadcast(chosen), rows.doc_id == chosen._k).select("doc_id", "text", "_label").toPandas()
-    got = got.sort_values(["doc_id", "text"], kind="stable")
+    found = rows.join(F.broadcast(part(0).union(part(1))), F.col("doc_id") == F.col("_k")).withColumns({"_chars": F.length("text"), "_h": F.xxhash64("text")})
+    # Sizes first (a few numbers a row), then the texts of the rows that are in.
+    sized = found.select("_k", "_label", "_h", "_chars").groupBy("_k", "_label", "_h", "_chars").agg(F.count(F.lit(1)).alias("n"))
+    sized = sized.orderBy(*order, "_h").limit(sum(most)).toPandas()
+    sized["_n"] = 0
+    for v, share in ((0, max_chars - max_chars // 3), (1, max_chars // 3)):
+        mine = sized[sized["_label"] == v]
+        rows_in = mine["n"].clip(upper=most[v])
+        fits = (rows_in.cumsum() <= most[v]) & ((rows_in * mine["_chars"]).cumsum() <= share)
+        sized.loc[mine.index[fits], "_n"] = rows_in[fits]
+    taken = sized[sized["_n"] > 0]
+    spark = df.sparkSession
+    chosen = spark.createDataFrame([(int(k), int(h), int(n)) for k, h, n in zip(taken["_k"], taken["_h"], taken["_n"], strict=True)], "_k2 long, _h2 long, _n int")
+    got = found.join(F.broadcast(chosen), (F.col("_k") == F.col("_k2")) & (F.col("_h") == F.col("_h2"))).groupBy("doc_id", "text", "_label").agg(F.max("_n").alias("_n")).toPandas()
+    got = got.loc[got.index.repeat(got["_n"])].sort_values(["doc_id", "text"], kind="stable")
     return fit(got["text"].to_list(), got["_label"].to_numpy(), stands_for=stands_for)
 
 
@@ -432,7 +445,7 @@ def scored(df: DataFrame, net: Network, threshold: float = THRESHOLD, key: str =
     shared = spark.sparkContext.broadcast(net)
     df = replaced(df, ("held_out", "score", "predicted"))
     names = df.columns
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+    (own,) = private(names, "_text")
 
     def run(batches):
         claim("toxicity", _SCORERS.clear)
@@ -443,5 +456,5 @@ def scored(df: DataFrame, net: Network, threshold: float = THRESHOLD, key: str =
                 got = scorer.scores(part.column(len(names)).to_pylist())
                 yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, pa.float64())], [*names, "score"])
 
-    out = df.withColumn("_text", text_or_empty(text)).mapInArrow(run, schema + ", score double")
+    out = df.withColumn(own, text_or_empty(text)).mapInArrow(run, schema_text(df) + ", score double")
     return out.withColumns({"held_out": remainder(key, FOLDS) == 0, "predicted": (F.col("score") >= threshold).cast("int")})

@@ -116,7 +116,7 @@ def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
     return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(run, PIECES)
 
 
-def completions(counts: list[int], room: int, want: int = 1) -> list[tuple[int, ...]]:
+def completions(counts: list[int], room: int, want: int = 1, most_nodes: int = FILL_NODES) -> list[tuple[int, ...]]:
     """Fillings of ``room`` by available lengths, best first: least waste, then fewest and so largest pieces.
 
     ``counts[l]`` pieces have length l. A branch is cut when even filling up all that is left could not waste less
@@ -145,7 +145,7 @@ def completions(counts: list[int], room: int, want: int = 1) -> list[tuple[int,
     for most in range(1, 7):
         if len(found) >= want and found[-1][0] == 0:
             break
-        budget = nodes + FILL_NODES // 6
+        budget = nodes + most_nodes // 6
 
         def search(left: int, top: int, chosen: tuple[int, ...], most: int, budget: int) -> None:
             nonlocal nodes
@@ -200,7 +200,7 @@ def best_fit(histogram: dict[int, int], capacity: int) -> list[tuple[tuple[int,
     return out
 
 
-def complete(histogram: dict[int, int], capacity: int, turn: dict[int, int] | None = None, limit: int | None = None) -> list[tuple[tuple[int, ...], int]] | None:
+def complete(histogram: dict[int, int], capacity: int, turn: dict[int, int] | None = None, limit: int | None = None, nodes: int = FILL_NODES) -> list[tuple[tuple[int, ...], int]] | None:
     """One plan by bin completion; ``turn`` takes another than the first filling at some steps.
 
     None as soon as the bins used and the least number for the rest (its tokens over the capacity) reach ``limit``.
@@ -215,7 +215,7 @@ def complete(histogram: dict[int, int], capacity: int, turn: dict[int, int] | No
             top -= 1
         counts[top] -= 1
         other = (turn or {}).get(step, 0)
-        fillings = completions(counts, capacity - top, other + 1)
+        fillings = completions(counts, capacity - top, other + 1, nodes)
         filling = fillings[min(other, len(fillings) - 1)]
         counts[top] += 1
         chosen = (top, *filling)
@@ -230,24 +230,97 @@ def complete(histogram: dict[int, int], capacity: int, turn: dict[int, int] | No
     return out
 
 
-def plan(histogram: dict[int, int], capacity: int = CAPACITY, tries: int = PLAN_TRIES) -> list[tuple[tuple[int, ...], int]]:
+def dominates(one: tuple[int, ...], other: tuple[int, ...]) -> bool:
+    """Whether the pieces of ``other`` fit into those of ``one``, several into one if need be (Martello and Toth).
+
+    Where ``other`` stands, ``one`` can stand as well: each of its pieces changes places with what fits into it.
+    """
+    if sum(other) > sum(one):
+        return False
+    if not other:
+        return True
+    for k, size in enumerate(one):
+        if size >= other[0] and size not in one[:k] and dominates((*one[:k], size - other[0], *one[k + 1 :]), other[1:]):
+            return True
+    return False
+
+
+def undominated(counts: list[int], room: int) -> list[tuple[int, ...]]:
+    """All fillings of ``room`` that no other dominates, best first (least waste, then fewest pieces)."""
+    sizes, found = [l for l in range(min(room, len(counts) - 1), 0, -1) if counts[l]], []
+
+    def search(at: int, left: int, chosen: tuple[int, ...]) -> None:
+        if at == len(sizes):
+            found.append(chosen)
+            return
+        size = sizes[at]
+        for n in range(min(left // size, counts[size]), -1, -1):
+            search(at + 1, left - n * size, (*chosen, *[size] * n))
+
+    search(0, room, ())
+    found.sort(key=lambda c: (-sum(c), len(c)))
+    kept: list[tuple[int, ...]] = []
+    for c in found:
+        if not any(dominates(k, c) for k in kept):
+            kept.append(c)
+    return kept
+
+
+def least_bins(histogram: dict[int, int], capacity: int, incumbent: list[tuple[tuple[int, ...], int]]) -> list[tuple[tuple[int, ...], int]]:
+    """A plan with the least number of bins there is: branch and bound over all undominated fillings of every bin.
+
+    The time grows exponentially with the pieces; ``plan`` is for corpora.
+    """
+    counts = [0] * (capacity + 1)
+    for size, n in histogram.items():
+        counts[size] = n
+    best, bins = incumbent, sum(n for _, n in incumbent)
+
+    def search(left: int, chosen: list[tuple[int, ...]]) -> None:
+        nonlocal best, bins
+        if not left:
+            best, bins = [(c, 1) for c in chosen], len(chosen)
+            return
+        if len(chosen) + -(-left // capacity) >= bins:  # even without further waste no better than the incumbent
+            return
+        top = max(l for l in range(1, capacity + 1) if counts[l])
+        counts[top] -= 1
+        for filling in undominated(counts, capacity - top):
+            for size in filling:
+                counts[size] -= 1
+            search(left - top - sum(filling), [*chosen, (top, *filling)])
+            for size in filling:
+                counts[size] += 1
+        counts[top] += 1
+
+    search(sum(s * n for s, n in histogram.items()), [])
+    return best
+
+
+def plan(histogram: dict[int, int], capacity: int = CAPACITY, tries: int = PLAN_TRIES, nodes: int = FILL_NODES, exact: bool = False) -> list[tuple[tuple[int, ...], int]]:
     """(piece lengths, how often) for as few bins as the search finds.
 
-    Best fit is the first incumbent; bin completion and then its variants with one other filling follow while they
-    can still beat the incumbent, each cut off by the waste bound. It ends early at the lower bound.
+    Best fit is the first incumbent; bin completion (``nodes`` for one filling) and then ``tries`` variants of it, each
+    with another filling at one step, follow while they can still beat the incumbent, each cut off by the waste bound.
+    The steps are spread over the first half of the plan, where fillings are still many. It ends early at the lower
+    bound. With ``exact`` it goes on until the number is proven to be the least (``least_bins``; for small inputs).
     """
     if not histogram:
         return []
     best = best_fit(histogram, capacity)
     total = lambda p: sum(n for _, n in p)
     least = -(-sum(s * n for s, n in histogram.items()) // capacity)
+    steps = 0
     for attempt in range(tries + 1):
         if total(best) == least:
             break
-        found = complete(histogram, capacity, {attempt - 1: 1} if attempt else None, total(best))
-        if found is not None and total(found) < total(best):
-            best = found
-    return best
+        at = (attempt - 1) * max(1, steps // (2 * tries)) if attempt else None
+        found = complete(histogram, capacity, {at: 1} if attempt else None, total(best) if attempt else None, nodes)
+        if found is not None:
+            steps = steps or len(found)
+            if total(found) < total(best):
+                best = found
+    return least_bins(histogram, capacity, best) if exact and total(best) > least else best
 
 
 def entries(packed: list[tuple[tuple[int, ...], int]]) -> np.ndarray:

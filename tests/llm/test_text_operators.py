@@ -218,3 +218,109 @@ def test_full_filter_is_still_exact(spark, small, monkeypatch):
 def test_plan_tries():
     """The search over plans has its twelve variants."""
     assert packing.PLAN_TRIES >= 12
+
+
+def fewest(sizes, capacity):
+    """The least number of bins, by trying every place of every piece."""
+    best = len(sizes)
+
+    def place(k, bins):
+        nonlocal best
+        if len(bins) >= best:
+            return
+        if k == len(sizes):
+            best = len(bins)
+            return
+        for i in range(len(bins)):
+            if bins[i] >= sizes[k] and bins[i] not in bins[:i]:
+                place(k + 1, [*bins[:i], bins[i] - sizes[k], *bins[i + 1 :]])
+        place(k + 1, [*bins, capacity - sizes[k]])
+
+    place(0, [])
+    return best
+
+
+@pytest.mark.parametrize("seed", range(60))
+def test_exact_plans_are_optimal(seed):
+    r = random.Random(seed)
+    capacity = r.choice((10, 20, 60))
+    sizes = sorted((r.randrange(1, capacity + 1) if seed % 2 else r.randrange(capacity // 4, capacity // 2 + 2) for _ in range(r.randrange(1, 11))), reverse=True)
+    plan = packing.plan({s: sizes.count(s) for s in sizes}, capacity, tries=0, exact=True)
+    assert sorted((s for c, n in plan for _ in range(n) for s in c), reverse=True) == sizes and all(sum(c) <= capacity for c, _ in plan)
+    assert sum(n for _, n in plan) == fewest(sizes, capacity)
+
+
+def test_domination():
+    assert packing.dominates((5,), (3, 2)) and packing.dominates((4, 3), (2, 2, 3)) and packing.dominates((4,), ())
+    assert not packing.dominates((3, 3), (4, 1)) and not packing.dominates((5,), (3, 3)) and not packing.dominates((), (1,))
+    assert packing.undominated([0, 1, 1, 1, 0, 0], 4) == [(3, 1)]
+
+
+def test_long_turns():
+    """A turn of 20 million characters with control strings: time and memory stay in proportion."""
+    import resource
+    import time
+
+    text = "word </turn> \\ ### and : so on\n" * 600_000
+    shown, _ = chat_format.render([(0, "user", text)])
+    before, began = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, time.monotonic()
+    assert chat_format.parse(shown) == [("user", text)]
+    assert time.monotonic() - began < 30 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 1_000_000
+
+
+@pytest.mark.parametrize("broken", ["x", "### a", "### a: b", "### a: b</turn>", "### a: b</turn>x", "### a: b\\</turn>\n", "### a:b</turn>\n", "### a: b</turn>\n### "])
+def test_broken_chats_are_errors(broken):
+    with pytest.raises(ValueError, match="no turn"):
+        chat_format.parse(broken)
+
+
+def test_long_texts_become_events(spark):
+    text = "ab🙂\n" * 3_000
+    df = spark.createDataFrame([(1, 0, "user", text), (1, 1, "user", None), (1, 2, "assistant", "x" * 4_000)], "conv_id long, turn long, role string, text string")
+    rows = chat_format.events_of_turns(df).orderBy("turn", "seq").collect()
+    assert "".join(r.text for r in rows if r.turn == 0) == text and [len(r.text) for r in rows] == [2_000] * 6 + [0, 2_000, 2_000]
+
+
+def test_range_reads_are_single_reads(spark):
+    """Coalesced reads of some records give what reading each by itself gives, and the index says where they are."""
+    import zlib as z
+
+    from pyarrow import fs
+
+    prepare(spark)
+    pages = spark.createDataFrame([(k, f"http://{k}", "p" * (k % 7 * 400)) for k in range(200)], "page_id long, url string, html string")
+    index = warc.archive_pages(pages.repartition(3))
+    rows = index.collect()
+    for r in rows[::20]:
+        store, path = fs.FileSystem.from_uri(r.file)
+        with store.open_input_file(path) as f:
+            raw = z.decompress(f.read_at(r.length, r.offset), 31)
+        page, size, digest, kind, _ = warc.parse(raw)
+        assert (page, digest, kind, f"WARC-Target-URI: {r.url}".encode() in raw) == (r.page_id, r.digest, r.record_type, True) and size == r.page_id % 7 * 400
+    some = index.filter("page_id % 3 = 0")
+    for gap, span in ((0, 1), (1 << 16, 8 << 20)):
+        assert sorted(r.page_id for r in warc.read_archives(some, gap, span).collect()) == list(range(0, 200, 3))
+
+
+def test_fingerprints_of_one_key(spark):
+    """Rows of one key, or without any, are spread over buckets and keep one order."""
+    texts = [f"text number {k} " * 9 for k in range(300)]
+    rows = [(None if k % 3 else 7, t) for k, t in enumerate(texts)] + [(k, f"other {k}") for k in range(100, 140)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = fingerprint.compare_edited(df, rows_a_bucket=10).collect()
+    assert sorted((r.doc_id or -1, r.n_chars) for r in got) == sorted((d or -1, len(t)) for d, t in rows)
+    follow = {}
+    for d, t in rows:
+        for _, u in rows:
+            follow[d, hashlib.sha256(fingerprint.edited(t, u).encode()).hexdigest()] = 1
+    assert all((r.doc_id, r.edited_sha256) in follow for r in got)
+
+
+def test_columns_of_any_name(spark):
+    """Extra columns that are called as an operator's own ones."""
+    prepare(spark)
+    df = spark.createDataFrame([(1, "a", 5, 6, 7, 8), (2, "a", 5, 6, 7, 8), (3, "b", 5, 6, 7, 8)], "doc_id long, text string, _maybe long, _s0 long, _hk long, _text long")
+    out = exact_dedup.exact_dedup(df)
+    assert out.columns[:6] == df.columns and sorted((r.doc_id, r.kept, r._maybe, r._s0, r._hk) for r in out.collect()) == [(1, False, 5, 6, 7), (2, True, 5, 6, 7), (3, True, 5, 6, 7)]
+    shown = fingerprint.fingerprints(df)
+    assert shown.columns == [*df.columns, "fingerprint", "chunks"] and {r._text for r in shown.collect()} == {8}

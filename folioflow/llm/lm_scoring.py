@@ -37,8 +37,9 @@ BASE, LEVELS = 16, 4
 END, RARE, FIRST = 0, 1, 2
 HEAD = BASE**LEVELS - FIRST
 TOP = 64
-#: The table has ROWS_A_TOKEN rows for a training token, within these bounds (2**21 rows are 64 MB as half floats).
-ROWS_LOG2, MOST_ROWS_LOG2, ROWS_A_TOKEN, FEATURES = 17, 21, 4, 4
+#: The table has ROWS_A_TOKEN rows for a training token, within these bounds (2**21 rows are 32 MB); weights are kept in
+#: units of 1/UNIT, a byte each, and lie within +-127/UNIT, so that four of them never overflow an exponential.
+ROWS_LOG2, MOST_ROWS_LOG2, ROWS_A_TOKEN, FEATURES, UNIT = 17, 21, 4, 4, 16
 #: Features of each level, each feature's sixteenths of the table and rate of learning.
 LEVEL_FEATURES, PARTS, RATES = ((0, 1, 2, 3), (0, 1, 2, 3), (0, 1, 3), (0, 1)), (6, 8, 1, 1), (0.7, 1.0, 0.3, 0.05)
 GROUPS, GROUP_STEPS = 8, 12
@@ -49,6 +50,7 @@ ALPHA = 0.1
 END_TOKEN = b"\n"
 
 _NODES = np.cumsum([0] + [BASE**k for k in range(LEVELS)])
+_ONES = np.ones(BASE, np.float32)
 _SALTS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D, 0x27D4EB2F], np.uint32)
 
 
@@ -70,9 +72,9 @@ def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
 
     def run(batches):
         def out(counts):
-            rows = [(t, 0 if held else n, n) for held, count in enumerate(counts) for t, n in count.items()]
-            columns = list(zip(*rows, strict=True)) or [(), (), ()]
-            return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.binary(), pa.int64(), pa.int64()), strict=True)], ["token", "c", "m"])
+            for held, count in enumerate(counts):
+                n = pa.array(count.values(), pa.int64(), size=len(count))
+                yield pa.RecordBatch.from_arrays([pa.array(count, pa.binary(), size=len(count)), pa.array(np.zeros(len(n), np.int64)) if held else n, n], ["token", "c", "m"])
 
         counts = (Counter(), Counter())
         for batch in batches:
@@ -81,9 +83,9 @@ def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> Data
                 own.update(tokens(value.as_py()))
                 own[END_TOKEN] += 1
                 if len(own) > COUNTER_WORDS:
-                    yield out(counts)
+                    yield from out(counts)
                     counts = (Counter(), Counter())
-        yield out(counts)
+        yield from out(counts)
 
     partial = df.select(text_or_empty(text).alias("text"), (remainder(key, FOLDS) == 0).alias("held")).mapInArrow(run, "token binary, c long, m long")
     return partial.groupBy("token").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
@@ -106,7 +108,7 @@ class Model:
         self.top = np.zeros(FIRST + len(self.words), np.int64)
         self.top[FIRST : FIRST + TOP] = np.arange(1, min(TOP, len(self.words)) + 1)
         self.rows_log2 = rows_log2(total)
-        self.weights = np.zeros((1 << self.rows_log2, BASE), np.float16)
+        self.weights = np.zeros((1 << self.rows_log2, BASE), np.int8)
         self.used = np.zeros(len(self.weights), np.float32)
         self.ordered(np.arange(len(self.words)))
 
@@ -123,6 +125,10 @@ class Model:
             tables.append(np.where(whole > 0, np.log(np.maximum(t, 1e-30) / np.maximum(whole, 1e-30)), 0))
         self.prior = np.concatenate(tables).astype(np.float32)
 
+    def floats(self) -> np.ndarray:
+        """The weights as numbers of four bytes."""
+        return self.weights * np.float32(1 / UNIT)
+
     def frequent_before(self, ids: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """For each position the last of the TOP words before it in its text, 0 if none; ``ids`` are numbers."""
         n, at = len(ids), np.arange(len(ids))
@@ -170,14 +176,13 @@ def log_probabilities(model: Model, weights: np.ndarray, ids: np.ndarray, histor
     out, codes = np.zeros(len(ids)), model.code[ids]
     for k in range(0, len(ids), BATCH):
         y, h = codes[k : k + BATCH], history[:, k : k + BATCH]
-        each = np.arange(len(y))
+        each = np.arange(len(y)) * BASE
         for level, node, digit in _digits(y):
             s = model.prior.take(node, 0)
             for f in LEVEL_FEATURES[level]:
                 s += weights.take(table_rows(h[f], node, f, model.rows_log2), 0)
-            s -= s.max(1, keepdims=True)
-            own = s[each, digit]
-            out[k : k + BATCH] += (own - np.log(np.exp(s, s).sum(1))) / np.float32(np.log(10))
+            own = s.ravel()[each + digit]
+            out[k : k + BATCH] += (own - np.log(np.exp(s, s) @ _ONES)) / np.float32(np.log(10))
     return out
 
 
@@ -185,24 +190,23 @@ class Trainer:
     """Stochastic gradient steps on a copy of the weights; ``used`` counts each row's steps."""
 
     def __init__(self, model: Model):
-        self.model, self.weights, self.used = model, model.weights.astype(np.float32), model.used.copy()
+        self.model, self.weights, self.used = model, model.floats(), model.used.copy()
 
     def learn(self, ids: np.ndarray, history: np.ndarray) -> None:
         """Steps over batches. If tokens of a batch share a row, one of them moves it."""
         codes = self.model.code[ids]
         for k in range(0, len(ids), BATCH):
             y, h = codes[k : k + BATCH], history[:, k : k + BATCH]
-            each = np.arange(len(y))
+            each = np.arange(len(y)) * BASE
             for level, node, digit in _digits(y):
                 s = self.model.prior.take(node, 0)
                 rows = [table_rows(h[f], node, f, self.model.rows_log2) for f in LEVEL_FEATURES[level]]
                 old = [self.weights.take(r, 0) for r in rows]
                 for w in old:
                     s += w
-                s -= s.max(1, keepdims=True)
                 np.exp(s, s)
-                s /= s.sum(1, keepdims=True)
-                s[each, digit] -= 1
+                s *= np.reciprocal(s @ _ONES)[:, None]
+                s.ravel()[each + digit] -= 1
                 for f, r, w in zip(LEVEL_FEATURES[level], rows, old, strict=True):
                     used = self.used.take(r) + 1
                     self.used[r] = used
@@ -260,7 +264,7 @@ def _runs(values, most: int = RUN_TOKENS):
 
 def _summed(parts: DataFrame, weigh: bool) -> DataFrame:
     """Sums of (block, value, used) by block; with ``weigh``, means weighted by ``used`` and its mean. Parts stream, a sum is held."""
-    kind = np.float16 if weigh else np.float32
+    kind = np.int8 if weigh else np.float32
 
     def merge(batches):
         now, total, weight, square = None, None, None, None
@@ -286,11 +290,15 @@ def _summed(parts: DataFrame, weigh: bool) -> DataFrame:
     return parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, value binary, used binary")
 
 
-def _blocks(table: np.ndarray, used: np.ndarray, kind=np.float32):
+def _bytes(x: np.ndarray) -> np.ndarray:
+    return np.clip(np.rint(x), -127, 127).astype(np.int8)
+
+
+def _blocks(table: np.ndarray, used: np.ndarray, packed=lambda x: x):
     """A table as rows of (block, values, use), leaving out blocks without use."""
     for k in range(0, len(table), BLOCK):
         if used[k : k + BLOCK].any():
-            yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([table[k : k + BLOCK].astype(kind).tobytes()], pa.binary()), pa.array([used[k : k + BLOCK].astype(np.float32).tobytes()], pa.binary())], ["block", "value", "used"])
+            yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([packed(table[k : k + BLOCK]).tobytes()], pa.binary()), pa.array([used[k : k + BLOCK].astype(np.float32).tobytes()], pa.binary())], ["block", "value", "used"])
 
 
 def _collected(merged: DataFrame):
@@ -362,12 +370,13 @@ def _round(rows: DataFrame, model: Model, shards: int) -> None:
         for ids, starts in _runs(v.as_py() for batch in batches for v in batch.column(0)):
             own.learn(ids, own.model.histories(ids, starts))
         change = own.weights
+        change *= UNIT
         change -= own.model.weights
-        yield from _blocks(change, own.used - own.model.used, np.float16)
+        yield from _blocks(change, own.used - own.model.used, _bytes)
 
     parts = rows.select("ids").coalesce(shards).mapInArrow(train, "block int, value binary, used binary")
     for at, change, used in _collected(_summed(parts, True)):
-        model.weights[at] = model.weights[at] + change
+        model.weights[at] = _bytes(model.weights[at] + change)
         model.used[at] += used
     shared.destroy()
 
@@ -416,7 +425,7 @@ def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        weights = m.weights.astype(np.float32)
+        weights = m.floats()
         for batch in batches:
             done, lasting = 0, batch.column(4)
             n_rare, known, log = (lasting.field(k).to_numpy() for k in range(3))

@@ -56,7 +56,7 @@ def plain_score(model, counts, words):
                 h = (h ^ h >> 13) * 0xC2B2AE35 & m32
                 part = 1 << (log2 - 4)
                 row = (h * lm_scoring.PARTS[f] * part >> 32) + sum(lm_scoring.PARTS[:f]) * part
-                scores = [a + float(b) for a, b in zip(scores, model.weights[row], strict=True)]
+                scores = [a + float(b) / lm_scoring.UNIT for a, b in zip(scores, model.weights[row], strict=True)]
             total += (scores[digit] - math.log(sum(math.exp(x) for x in scores))) / math.log(10)
             node = node * 16 + digit
         if number == lm_scoring.RARE:

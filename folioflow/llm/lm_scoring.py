@@ -171,16 +171,18 @@ def _digits(codes: np.ndarray):
         yield level, (codes >> (shift + 4)) + _NODES[level], (codes >> shift) & (BASE - 1)
 
 
-def log_probabilities(model: Model, weights: np.ndarray, ids: np.ndarray, history: np.ndarray) -> np.ndarray:
-    """log10 of the probability of each token's code, given its history; ``weights`` are the model's, as floats."""
+def log_probabilities(model: Model, ids: np.ndarray, history: np.ndarray) -> np.ndarray:
+    """log10 of the probability of each token's code, given its history."""
     out, codes = np.zeros(len(ids)), model.code[ids]
     for k in range(0, len(ids), BATCH):
         y, h = codes[k : k + BATCH], history[:, k : k + BATCH]
         each = np.arange(len(y)) * BASE
         for level, node, digit in _digits(y):
-            s = model.prior.take(node, 0)
+            units = np.zeros((len(y), BASE), np.int16)
             for f in LEVEL_FEATURES[level]:
-                s += weights.take(table_rows(h[f], node, f, model.rows_log2), 0)
+                units += model.weights.take(table_rows(h[f], node, f, model.rows_log2), 0)
+            s = model.prior.take(node, 0)
+            s += units * np.float32(1 / UNIT)
             own = s.ravel()[each + digit]
             out[k : k + BATCH] += (own - np.log(np.exp(s, s) @ _ONES)) / np.float32(np.log(10))
     return out
@@ -425,14 +427,13 @@ def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
 
     def run(batches):
         m = shared.value
-        weights = m.floats()
         for batch in batches:
             done, lasting = 0, batch.column(4)
             n_rare, known, log = (lasting.field(k).to_numpy() for k in range(3))
             for ids, starts in _runs(v.as_py() for v in batch.column(3)):
                 part, n = slice(done, done + len(starts)), len(starts)
                 head = ids != RARE
-                score = np.add.reduceat(log_probabilities(m, weights, ids, m.histories(ids, starts)), starts)
+                score = np.add.reduceat(log_probabilities(m, ids, m.histories(ids, starts)), starts)
                 base = np.add.reduceat(np.where(head, m.log_base[ids], 0.0), starts)
                 seen = np.add.reduceat((head & ((ids != END) | (m.ends > 0))).astype(np.int64), starts)
                 values = [x.slice(done, n) for x in (batch.column(0), batch.column(1), batch.column(2))]

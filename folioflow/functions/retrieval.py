@@ -7,59 +7,102 @@ the first chunks of its paper.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .text import tokens
 
 TOP_K, K1, B, FLOOR, DIGITS = 10, 1.5, 0.75, 0.25, 10
+MOST_BROADCAST = 200_000  # terms of queries that are broadcast; more are joined by a shuffle
+# The titles of the layered context.
 LOCAL, GLOBAL, BETWEEN, CHUNK_RULE = "FIGURE/TABLE LOCAL CONTEXT (BM25 top-{k} chunks):\n", "PAPER GLOBAL CONTEXT MAP:\n", "\n\n====\n\n", "\n\n---\n\n"
 
 
-def postings(chunks: DataFrame) -> DataFrame:
-    """(paper, chunk_ix, term, tf, dl): how often a term occurs in a chunk of dl words."""
+@dataclass
+class Index:
+    """What retrieval over many queries needs of the chunks, made once."""
+
+    postings: DataFrame
+    stats: DataFrame
+    sizes: DataFrame
+
+
+def postings(chunks: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
+    """(paper, chunk_ix, term, tf, dl): how often a term occurs in a chunk of dl words; of ``wanted`` (paper, term) alone if given."""
     t = chunks.select("paper", "chunk_ix", tokens("text").alias("_t"))
     rows = t.select("paper", "chunk_ix", F.size("_t").alias("dl"), F.explode("_t").alias("term"))
+    if wanted is not None:
+        few = wanted.count() <= MOST_BROADCAST
+        rows = rows.join(F.broadcast(wanted) if few else wanted, ["paper", "term"], "left_semi")
     return rows.groupBy("paper", "chunk_ix", "term", "dl").agg(F.count(F.lit(1)).alias("tf"))
 
 
 def term_stats(index: DataFrame) -> DataFrame:
-    """(paper, term, df, tf): chunks with the term, and its occurrences."""
+    """(paper, term, df, tf) of postings: chunks with the term, and its occurrences."""
     return index.groupBy("paper", "term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("tf"))
 
 
+def frequencies(chunks: DataFrame) -> DataFrame:
+    """(paper, term, df): chunks with the term, counted without postings."""
+    rows = chunks.select("paper", F.explode(F.array_distinct(tokens("text"))).alias("term"))
+    return rows.groupBy("paper", "term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def sizes(chunks: DataFrame) -> DataFrame:
     """(paper, n, avgdl): chunks of a paper and their mean number of words."""
     return chunks.groupBy("paper").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens("text"))).alias("avgdl"))
 
 
+def build_index(chunks: DataFrame, folder: str) -> Index:
+    """The index of ``chunks``, written to ``folder`` once and read from there by every query."""
+    spark = chunks.sparkSession
+    made = {"postings": postings(chunks), "sizes": sizes(chunks)}
+    out = {}
+    for name, table in made.items():
+        table.write.mode("overwrite").parquet(f"{folder}/{name}")
+        out[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
+    stats = term_stats(out["postings"]).drop("tf")
+    stats.write.mode("overwrite").parquet(f"{folder}/stats")
+    return Index(out["postings"], spark.read.schema(stats.schema).parquet(f"{folder}/stats"), out["sizes"])
+
+
 def query_terms(queries: DataFrame) -> DataFrame:
     """(item_id, paper, term, qf): a query's terms with their repeats."""
     return queries.select("item_id", "paper", F.explode(tokens("query")).alias("term")).groupBy("item_id", "paper", "term").agg(F.count(F.lit(1)).alias("qf"))
 
 
-def _summed(queries: DataFrame, index: DataFrame, weights: DataFrame, score: Column) -> DataFrame:
+def _summed(queries: DataFrame, found: DataFrame, weights: DataFrame, score: Column) -> DataFrame:
     """``weights`` are (paper, term, ...). The query side is joined with them first: few terms are left to look up."""
     terms = query_terms(queries).join(weights, ["paper", "term"])
-    return terms.join(index, ["paper", "term"]).groupBy("item_id", "paper", "chunk_ix").agg(F.round(F.sum(F.col("qf") * score), DIGITS).alias("score"))
+    return terms.join(found, ["paper", "term"]).groupBy("item_id", "paper", "chunk_ix").agg(F.round(F.sum(F.col("qf") * score), DIGITS).alias("score"))
+
+
+def _found(queries: DataFrame, chunks: DataFrame, index: Index | None) -> DataFrame:
+    """Postings of the queries' terms: no others are counted or shuffled."""
+    wanted = query_terms(queries).select("paper", "term").distinct()
+    return postings(chunks, wanted) if index is None else index.postings
 
 
-def tfidf(queries: DataFrame, chunks: DataFrame, index: DataFrame | None = None) -> DataFrame:
+def tfidf(queries: DataFrame, chunks: DataFrame, index: Index | None = None) -> DataFrame:
     """(item_id, paper, chunk_ix, score) of chunks that share a term: sum of tf/dl * (ln((n+1)/(df+1)) + 1)."""
-    index = postings(chunks) if index is None else index
-    weights = term_stats(index).drop("tf").join(sizes(chunks), "paper")
+    found = _found(queries, chunks, index)
+    stats = term_stats(found).drop("tf") if index is None else index.stats
+    weights = stats.join(sizes(chunks) if index is None else index.sizes, "paper")
     weights = weights.select("paper", "term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
-    return _summed(queries, index, weights, F.col("tf") / F.col("dl") * F.col("idf"))
+    return _summed(queries, found, weights, F.col("tf") / F.col("dl") * F.col("idf"))
 
 
-def bm25(queries: DataFrame, chunks: DataFrame, index: DataFrame | None = None) -> DataFrame:
-    """The same by Okapi BM25; a negative idf becomes FLOOR times the paper's mean idf."""
-    index = postings(chunks) if index is None else index
-    stats = term_stats(index).drop("tf").join(sizes(chunks), "paper").withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+def bm25(queries: DataFrame, chunks: DataFrame, index: Index | None = None) -> DataFrame:
+    """The same by Okapi BM25; a negative idf becomes FLOOR times the paper's mean idf, which all its terms make."""
+    found = _found(queries, chunks, index)
+    stats = (frequencies(chunks) if index is None else index.stats).join(sizes(chunks) if index is None else index.sizes, "paper")
+    stats = stats.withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     mean = stats.groupBy("paper").agg(F.avg("idf").alias("mean"))
     weights = stats.join(mean, "paper").select("paper", "term", "avgdl", F.when(F.col("idf") < 0, F.col("mean") * FLOOR).otherwise(F.col("idf")).alias("idf"))
     norm = F.col("tf") + K1 * (1 - B + B * F.col("dl") / F.col("avgdl"))
-    return _summed(queries, index, weights, F.col("idf") * F.col("tf") * (K1 + 1) / norm)
+    return _summed(queries, found, weights, F.col("idf") * F.col("tf") * (K1 + 1) / norm)
 
 
 def top_k(queries: DataFrame, chunks: DataFrame, scores: DataFrame, k: int = TOP_K) -> DataFrame:

@@ -139,6 +139,11 @@ def with_context_map(df: DataFrame, text: str, name: str = "paper_map", most: in
     return out.drop("_t", "_all", "_w", *[f"_p{k}" for k in range(len(names))])
 
 
+def abstract_block(text: str | Column) -> Column:
+    """The abstract below its title, for a prompt; empty for a blank text."""
+    return F.when(stripped(F.coalesce(_c(text), F.lit(""))) != "", F.concat(F.lit("PAPER ABSTRACT:\n"), abstract(text), F.lit("\n\n"))).otherwise("")
+
+
 def full_context(text: str | Column, most: int = 0) -> Column:
     """struct(text, note): the whole text in single spaces, or its first ``most`` words (0: all), and what was done."""
     w = words(text)

@@ -10,6 +10,8 @@ from folioflow.functions.text import stripped
 # Thresholds in points, and the caption pattern.
 PADDING, CROSS, WIDE, LABEL_MARGIN, LABEL_WIDTH, GAP, SLACK = 16.0, 50.0, 0.45, 60.0, 0.35, 30.0, 5.0
 SMALL_AREA, SMALL_WIDTH, SMALL_HEIGHT, ROTATED, CAPTION_WIDTH, CAPTION_CHARS, CAPTION_SEARCH = 20_000.0, 180.0, 120.0, 2.5, 20.0, 500, 80.0
+WHITE, LEAST_STRIP, DRAWN = 0.97, 10.0, 2.0
+TABLE_CAPTION = r"(?i)^(Table|Tabla)\s+[\p{L}\p{N}_]"
 CAPTION = r"(?i)^\s*(Figure|Fig\.?|Table|Extended\s+Data\s+Fig(?:ure|\.)?)\s*(\d+)"
 
 
@@ -58,6 +60,18 @@ def hull(page_width: Column, page_height: Column, box: str = "box") -> Column:
     )
 
 
+def joined_caption(parts: Column) -> Column:
+    """The texts that a picture's captions consist of, as one."""
+    return F.substring(F.array_join(F.filter(parts, lambda t: F.coalesce(t, F.lit("")) != ""), " "), 1, CAPTION_CHARS)
+
+
+def visuals(blocks: DataFrame, drawings: DataFrame) -> DataFrame:
+    """(paper_id, page, box) of image blocks, and of drawings that are more than a line."""
+    b = F.col("box")
+    drawn = drawings.filter((width(b) > DRAWN) & (height(b) > DRAWN))
+    return blocks.filter("type = 1").select("paper_id", "page", "box").unionByName(drawn.select("paper_id", "page", "box"))
+
+
 def captions(blocks: DataFrame) -> DataFrame:
     """(paper_id, page, pos, box, label, kind, caption) of text blocks (lines of spans) that begin like a caption."""
     lines = F.transform("lines", lambda line: F.array_join(line, ""))
@@ -139,18 +153,68 @@ def regions(caps: DataFrame, pages: DataFrame, visuals: DataFrame, texts: DataFr
 
 
 def strip_region(box: Column, column: Column, prev: Column, page_width: Column) -> Column:
-    """The caption's column from the boundary above to the caption, for a blank test; null if lower than 10 points."""
-    mid = page_width / 2
+    """The caption's column from the boundary above to the caption, for a blank test; null if it is too low."""
+    mid, top = page_width / 2, F.greatest(F.lit(0.0), prev)
     x0, x1 = F.when(column == "right", mid).otherwise(F.lit(0.0)), F.when(column == "left", mid).otherwise(page_width)
-    return F.when(box["y0"] - prev >= 10, F.struct(x0.alias("x0"), prev.alias("y0"), x1.alias("x1"), box["y0"].alias("y1")))
+    return F.when(box["y0"] - top >= LEAST_STRIP, F.struct(x0.alias("x0"), top.alias("y0"), x1.alias("x1"), box["y0"].alias("y1")))
+
 
+def fallback_regions(caps: DataFrame, ratios: DataFrame) -> DataFrame:
+    """(paper_id, page, pos, region): the padded strip above a caption of ``with_boundary``, if it isn't blank.
 
-def picture_labels(pictures: DataFrame) -> DataFrame:
-    """``pictures`` (paper_id, pos, caption) with label: the caption's number, else a running one of uncaptioned ones."""
+    ``ratios`` (paper_id, page, pos, ratio): the share of almost white pixels of the strips.
+    """
+    key, s = ["paper_id", "page", "pos"], F.col("_s")
+    rows = caps.withColumn("_s", strip_region(F.col("box"), F.col("column"), F.col("prev"), F.col("width"))).join(ratios, key)
+    rows = rows.filter(s.isNotNull() & (F.col("ratio") <= WHITE))
+    region = F.struct(
+        F.greatest(F.lit(0.0), s["x0"] - PADDING).alias("x0"), F.greatest(F.lit(0.0), s["y0"] - PADDING).alias("y0"),
+        F.least(F.col("width"), s["x1"] + PADDING).alias("x1"), F.least(F.col("height"), s["y1"] + PADDING).alias("y1"),
+    )
+    return rows.select(*key, region.alias("region"))
+
+
+def labelled_pictures(pictures: DataFrame) -> DataFrame:
+    """``pictures`` (paper_id, pos, page, box, caption) that have a page, with reason (why skipped, or empty) and label.
+
+    A caption's number makes the label. Of the others those that are kept get a running number, those that are
+    skipped their place among all pictures, with those that have no page.
+    """
     number = F.regexp_extract("caption", r"(?i)(?:Figure|Fig\.?)\s+(\d+)", 1)
-    free = (F.trim(F.coalesce("caption", F.lit(""))) == "").cast("long")
-    run = F.sum(free).over(Window.partitionBy("paper_id").orderBy("pos"))
-    return pictures.withColumn("label", F.when(number != "", F.concat(F.lit("Figure "), number)).otherwise(F.concat(F.lit("Picture "), run.cast("string"))))
+    order = Window.partitionBy("paper_id").orderBy("pos")
+    rows = pictures.withColumns({"_number": F.coalesce(number, F.lit("")), "_seen": F.row_number().over(order), "reason": skip_reason(F.lit("figure"), F.col("box"), F.col("caption"))})
+    free = F.col("page").isNotNull() & (F.col("reason") == "") & (F.col("_number") == "")
+    rows = rows.withColumn("_run", F.sum(free.cast("int")).over(order)).filter("page is not null")
+    label = F.when(F.col("_number") != "", F.concat(F.lit("Figure "), "_number")).when(F.col("reason") != "", F.concat(F.lit("Picture_"), F.col("_seen").cast("string")))
+    return rows.withColumn("label", label.otherwise(F.concat(F.lit("Figure_uncaptioned_"), F.col("_run").cast("string")))).drop("_number", "_seen", "_run")
+
+
+def split_pictures(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pictures to keep, and the skipped ones with rounded box and size."""
+    b = F.col("box")
+    skipped = labelled.filter("reason <> ''").withColumns({
+        "kind": F.lit("figure"), "bbox": F.array(*[F.bround(b[k], 1) for k in ("x0", "y0", "x1", "y1")]),
+        "bbox_size": F.array(*[F.bround(F.greatest(F.lit(0.0), size), 0).cast("long") for size in (width(b), height(b))]),
+    })
+    return labelled.filter("reason = ''").drop("reason"), skipped.select("paper_id", "pos", "label", "kind", "page", "bbox", "caption", "reason", "bbox_size")
+
+
+def labelled_tables(tables: DataFrame) -> DataFrame:
+    """``tables`` (paper_id, pos, page, box, caption) that have a page, with label: the caption's number or word, else their place."""
+    word = F.coalesce(F.regexp_extract("caption", r"(?i)Table\s+([\p{L}\p{N}_]+)", 1), F.lit(""))
+    place = F.row_number().over(Window.partitionBy("paper_id").orderBy("pos"))
+    rows = tables.filter("page is not null").withColumns({"_word": word, "_place": place})
+    return rows.withColumn("label", F.when(F.col("_word") != "", F.concat(F.lit("Table "), "_word")).otherwise(F.concat(F.lit("Table_"), F.col("_place").cast("string")))).drop("_word", "_place")
+
+
+def figure_items(pictures: DataFrame, tables: DataFrame) -> DataFrame:
+    """One list of labelled pictures and then tables: paper_id, place (from 1), kind, label, page, box, caption, file."""
+    rows = None
+    for kind, part in (("figure", pictures), ("table", tables)):
+        part = part.select("paper_id", F.lit(kind).alias("kind"), "pos", "label", "page", "box", "caption")
+        rows = part if rows is None else rows.unionByName(part)
+    order = Window.partitionBy("paper_id").orderBy(F.col("kind") == "table", "pos")
+    return rows.withColumns({"place": F.row_number().over(order), "file": image_name(F.col("page"), F.col("label"))}).drop("pos")
 
 
 def image_name(page: Column, label: Column) -> Column:
@@ -165,7 +229,8 @@ def nearby_captions(tables: DataFrame, lines: DataFrame) -> DataFrame:
     above = (line["y1"] > b["y0"] - CAPTION_SEARCH) & (line["y0"] < b["y0"])
     below = (line["y1"] > b["y1"]) & (line["y0"] < b["y1"] + CAPTION_SEARCH)
     rows = tables.select(*key, "pos", "box").join(lines.select(*key, F.col("pos").alias("_k"), F.col("box").alias("_l"), "text"), key)
-    rows = rows.filter(inside).withColumn("zone", F.explode(F.array(F.when(above, 1), F.when(below, 2)))).filter("zone is not null and trim(text) <> ''")
-    zones = rows.groupBy(*key, "pos", "zone").agg(F.array_sort(F.collect_list(F.struct("_k", F.trim("text").alias("t")))).alias("_t"), F.max(F.trim("text").rlike(CAPTION)).alias("_has")).filter("_has")
+    rows = rows.filter(inside).select(*key, "pos", "_k", stripped("text").alias("t"), F.array(F.when(above, 1), F.when(below, 2)).alias("_zones"))
+    rows = rows.select(*key, "pos", "_k", "t", F.explode("_zones").alias("zone")).filter("zone is not null and t <> ''")
+    zones = rows.groupBy(*key, "pos", "zone").agg(F.array_sort(F.collect_list(F.struct("_k", "t"))).alias("_t"), F.max(F.col("t").rlike(TABLE_CAPTION)).alias("_has")).filter("_has")
     first = zones.groupBy(*key, "pos").agg(F.min(F.struct("zone", "_t")).alias("_z"))
     return first.select(*key, "pos", F.substring(F.array_join(F.transform("_z._t", lambda x: x["t"]), " "), 1, CAPTION_CHARS).alias("caption"))

@@ -23,9 +23,17 @@ ROLES = (
     ("numeric_value", r"^[-+]?\p{Nd}+(\.\p{Nd}+)?$", False),
 )
 USEFUL = ("panel_label", "axis_or_dimension", "condition_or_group", "biological_entity_or_label", "measurement_or_unit", "statistical_marker", "sample_size")
+# Thresholds and the sentence where there is nothing to summarise.
+UNAVAILABLE = "OCR unavailable or returned no usable text."
 CONFIDENT, DOUBTFUL, LEAST_SCORE, MOST_ITEMS, CONTEXT_CHARS, TEXT_CHARS, TERMS_SHOWN = 0.55, 0.35, 2, 18, 60_000, 120, 5
 
 
+def alignment(caption: Column, abstract: Column, context: Column) -> Column:
+    """All that a fragment may align with: caption, abstract and the beginning of the context."""
+    none = lambda c: F.coalesce(c, F.lit(""))
+    return F.concat_ws(" ", none(caption), none(abstract), F.substring(none(context), 1, CONTEXT_CHARS))
+
+
 def role(text: Column) -> Column:
     """What a fragment seems to be; the first test that matches decides."""
     out = None
@@ -92,4 +100,4 @@ def summaries(items: DataFrame, fragments: DataFrame, contexts: DataFrame, most:
     policy = F.when(F.col("quality") == "high", "use").when(F.col("quality") == "medium", "use_cautiously").otherwise("ignore")
     text = F.format_string("%d isolated numeric fragments, %d low-confidence fragments, %d noise/unaligned fragments ignored.", F.coalesce("lone", F.lit(0)), F.coalesce("doubtful", F.lit(0)), F.coalesce("noise", F.lit(0)))
     empty = F.array().cast("array<struct<text:string,role:string,confidence:double,reason:string>>")
-    return out.select("item_id", "quality", policy.alias("use_policy"), F.coalesce("kept_fragments", empty).alias("kept_fragments"), text.alias("discarded_summary"))
+    return out.select("item_id", "quality", policy.alias("use_policy"), F.coalesce("kept_fragments", empty).alias("kept_fragments"), F.when(F.col("total").isNull(), UNAVAILABLE).otherwise(text).alias("discarded_summary"))

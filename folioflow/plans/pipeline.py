@@ -61,10 +61,23 @@ def analyse(items: DataFrame, papers: DataFrame, images: DataFrame, factory, sum
     return out.withColumns({"analysis_parsed": parsed, "confidence": prompts.confidence(parsed), "context_strategy": F.lit(mode), "analysis_error": F.when(F.col("_none"), "image missing").otherwise(F.col("analysis_error"))}).drop("_none")
 
 
-def synthesis_prompts(results: DataFrame) -> DataFrame:
-    """(paper, block, items): what a paper-level summary is asked about, from the items' analyses."""
+def synthesis_prompts(results: DataFrame, papers: DataFrame | None = None) -> DataFrame:
+    """(paper, block, items, prompt): what a paper-level summary is asked about, from the items' analyses."""
     line = prompts.item_line(F.col("label"), F.col("kind"), F.col("caption"), F.col("analysis_parsed"))
-    return prompts.joined_lines(results, "paper", ["item_id"], line)
+    rows = prompts.joined_lines(results, "paper", ["item_id"], line)
+    if papers is None:
+        rows = rows.withColumn("_a", F.lit(""))
+    else:
+        rows = rows.join(papers.select("paper", text.abstract("text").alias("_a")), "paper", "left")
+    return rows.withColumn("prompt", prompts.synthesis(F.col("_a"), F.col("block"), F.col("items"))).drop("_a")
+
+
+def synthesise(results: DataFrame, papers: DataFrame, factory) -> DataFrame:
+    """(paper, items, paper_summary, error): a paper-level summary by the model; a failure leaves it null."""
+    rows = synthesis_prompts(results, papers)
+    asked = backends.ask_model(rows.withColumn("image", F.lit(None).cast("binary")), factory, key="paper")
+    out = rows.select("paper", "items").join(asked, "paper", "left")
+    return out.select("paper", "items", F.when(F.col("answer").isNotNull(), summary_or_raw("answer")).alias("paper_summary"), F.col("analysis_error").alias("error"))
 
 
 def summary_or_raw(answer: str) -> Column:

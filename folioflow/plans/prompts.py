@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.text import stripped
+
 # The keys of an answer.
 FIGURE_KEYS = ("visual_description", "data_and_patterns", "scientific_conclusion", "limitations", "confidence")
 TABLE_KEYS = ("table_description", "key_entries", "best_result", "scientific_interpretation", "confidence")
 ANCHORED_KEYS = ("hypothesis_tested", "paper_quote", "controls_assessment")
+SYNTHESIS_KEYS = ("main_contribution", "narrative", "key_evidence", "contradictions_or_gaps", "limitations_noted", "overall_confidence")
 NOT_PROVIDED, NO_ABSTRACT = "Not provided.", "Not available."
 
 
@@ -29,7 +32,7 @@ def ocr_block(summary: Column) -> Column:
 def prompt(kind: Column, abstract: Column, caption: Column, context: Column, label: Column, summary: Column) -> Column:
     """Caption, context, OCR, abstract and instructions, in this order; null caption and empty abstract are named so."""
     text = F.coalesce(context, F.lit(""))
-    anchored = F.trim(text) != ""
+    anchored = stripped(text) != ""
     return F.concat(
         F.lit("Caption: "), F.coalesce(caption, F.lit(NOT_PROVIDED)), F.lit("\n\n"),
         F.when(anchored, F.concat(label, F.lit(":\n"), text, F.lit("\n\n"))).otherwise(""), F.coalesce(ocr_block(summary), F.lit("")),
@@ -37,15 +40,26 @@ def prompt(kind: Column, abstract: Column, caption: Column, context: Column, lab
     )
 
 
+def synthesis(abstract: Column, block: Column, items: Column) -> Column:
+    """The question for a paper-level summary of ``items`` analyses."""
+    ask = "\n\nSum up what these analyses show about the paper, and nothing else. Answer with one JSON object with the keys " + ", ".join(SYNTHESIS_KEYS) + "."
+    return F.concat(F.lit("Abstract: "), F.coalesce(F.nullif(abstract, F.lit("")), F.lit(NO_ABSTRACT)), F.lit("\n\nAnalyses ("), items.cast("string"), F.lit("):\n"), block, F.lit(ask))
+
+
+def image_url(image: Column) -> Column:
+    """A PNG as a data URL."""
+    return F.concat(F.lit("data:image/png;base64,"), F.regexp_replace(F.base64(image), r"\s", ""))
+
+
 def context_used(label: Column, context: Column) -> Column:
-    named = F.lower(F.trim(F.split(label, r"\(")[0]))
-    return F.when(F.trim(F.coalesce(context, F.lit(""))) != "", named).otherwise("abstract only")
+    named = F.lower(stripped(F.split(label, r"\(")[0]))
+    return F.when(stripped(F.coalesce(context, F.lit(""))) != "", named).otherwise("abstract only")
 
 
 def parsed(answer: str | Column) -> Column:
     """The JSON of an answer as a variant: as it is without fences, else from its first to its last brace; else null."""
     c = F.col(answer) if isinstance(answer, str) else answer
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim(c), r"^```(?:json)?\s*", ""), r"\s*```$", ""))
+    bare = stripped(F.regexp_replace(F.regexp_replace(stripped(c), r"^```(?:json)?\s*", ""), r"\s*```$", ""))
     return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.nullif(F.regexp_extract(bare, r"(?s)\{.*\}", 0), F.lit(""))))
 
 

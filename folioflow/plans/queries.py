@@ -42,11 +42,11 @@ def _texts(spark, d):
     return docs.join(labels, "doc_id").select(F.concat(F.lit("PMC"), F.col("doc_id")).alias("pmcid"), F.col("text").alias("text_clean"), F.col("quality").cast("double").alias("quality_score"))
 
 
-@query("""SELECT 'PMC' || d.doc_id AS pmcid, trim(source) AS doi, lang AS title, CAST(length(trim(CASE WHEN l.doc_id IS NULL THEN '' ELSE text END)) AS BIGINT) AS chars
+@query(r"""SELECT 'PMC' || d.doc_id AS pmcid, trim(source) AS doi, lang AS title, md5(regexp_replace(CASE WHEN l.doc_id IS NULL THEN '' ELSE text END, '^[\s\p{Z}]+|[\s\p{Z}]+$', '', 'g')) AS digest
 FROM documents d LEFT JOIN labels l USING (doc_id)""")
 def load_papers_left(spark, d):
     out = papers.joined_papers(_meta(spark, d), _texts(spark, d).drop("quality_score"))
-    return out.select("pmcid", "doi", "title", F.length("text_clean").cast("long").alias("chars"))
+    return out.select("pmcid", "doi", "title", F.md5(F.col("text_clean").cast("binary")).alias("digest"))
 
 
 @query("""SELECT pmcid, doi, title FROM (SELECT doc_id, 'PMC' || doc_id AS pmcid, trim(source) AS doi, lang AS title FROM documents ORDER BY doc_id LIMIT 200 OFFSET 100) WHERE pmcid <> ''""")
@@ -92,13 +92,34 @@ def url_rewrite(spark, d):
     return p.select("page_id", acquisition.clean_doi(F.concat(F.lit(" https://doi.org/10.1/"), F.col("url"))).alias("doi"), acquisition.cdn_url(file).alias("cdn"))
 
 
-@query("""SELECT pmcid, rank, kind, url FROM (
-  SELECT 'PMC' || doc_id AS pmcid, source AS doi FROM documents) CROSS JOIN LATERAL (VALUES
-  (1, 'open_access', 'https://api.unpaywall.org/v2/' || doi), (3, 'pmc', 'https://www.ncbi.nlm.nih.gov/pmc/articles/' || pmcid || '/pdf/'),
-  (4, 'europe_pmc', 'https://europepmc.org/backend/ptpmcrender.fcgi?accid=' || pmcid || '&blobtype=pdf'), (5, 'crossref', 'https://api.crossref.org/works/' || doi),
-  (6, 'resolver', 'https://doi.org/' || doi)) v(rank, kind, url)""")
+# Answers of the services, made from the documents: two addresses (one of them of the archive), a link, a packed article.
+def _answers(spark, d):
+    m = load(spark, d, "documents").select(F.concat(F.lit("PMC"), F.col("doc_id")).alias("pmcid"), "doc_id", F.col("source").alias("doi"))
+    oa = F.concat(F.lit('{"oa_locations": [{"url_for_pdf": "https://pmc.ncbi.nlm.nih.gov/x/jour-'), F.col("doc_id"), F.lit('-7.pdf", "url": "u"}, {"url_for_pdf": null, "url": "https://o.org/'), F.col("doc_id"), F.lit('"}]}'))
+    link = F.concat(F.lit('{"message": {"link": [{"content-type": "application/PDF", "URL": "https://c.org/'), F.col("doc_id"), F.lit('"}, {"content-type": "text/html", "URL": "https://c.org/page"}]}}'))
+    xml = F.concat(F.lit('<OA><records><record><link format="pdf" href="ftp://f/no.pdf"/><link updated="x" format="tgz" href="ftp://f/'), F.col("doc_id"), F.lit('.tar.gz"/></record></records></OA>'))
+    kinds = F.array(*[F.struct(F.lit(k).alias("kind"), a.alias("answer")) for k, a in (("open_access", F.when(F.col("doc_id") % 2 == 0, oa)), ("crossref", F.when(F.col("doc_id") % 3 == 0, link).otherwise("broken")), ("archive", F.when(F.col("doc_id") % 5 == 0, xml).otherwise("<OA><error/></OA>")))])
+    return m.select("pmcid", "doi", F.explode(kinds).alias("_k")).select("pmcid", "doi", "_k.*")
+
+
+@query("""WITH p AS (SELECT doc_id AS i, 'PMC' || doc_id AS pmcid, source AS doi FROM documents)
+SELECT pmcid, 1 AS rank, 0 AS pos, 'open_access' AS kind, 'https://pmc.ncbi.nlm.nih.gov/x/jour-' || i || '-7.pdf' AS url FROM p WHERE i % 2 = 0
+UNION ALL SELECT pmcid, 1, 1, 'open_access', 'https://o.org/' || i FROM p WHERE i % 2 = 0
+UNION ALL SELECT pmcid, 2, 0, 'cdn', 'https://res.mdpi.com/jour/jour-' || i || '-7/article_deploy/jour-' || i || '-7.pdf' FROM p WHERE i % 2 = 0
+UNION ALL SELECT pmcid, 3, 0, 'pmc', 'https://www.ncbi.nlm.nih.gov/pmc/articles/' || pmcid || '/pdf/' FROM p
+UNION ALL SELECT pmcid, 4, 0, 'europe_pmc', 'https://europepmc.org/backend/ptpmcrender.fcgi?accid=' || pmcid || '&blobtype=pdf' FROM p
+UNION ALL SELECT pmcid, 5, 0, 'crossref', 'https://c.org/' || i FROM p WHERE i % 3 = 0
+UNION ALL SELECT pmcid, 6, 0, 'resolver', 'https://doi.org/' || doi FROM p
+UNION ALL SELECT pmcid, 7, 0, 'archive', 'ftp://f/' || i || '.tar.gz' FROM p WHERE i % 5 = 0""")
 def download_candidates(spark, d):
-    return acquisition.direct_candidates(_meta(spark, d)).select("pmcid", "rank", "kind", "url")
+    return acquisition.candidates(_meta(spark, d), _answers(spark, d)).select("pmcid", "rank", "pos", "kind", "url")
+
+
+@query("""SELECT pmcid, kind, url FROM (SELECT 'PMC' || doc_id AS pmcid, source AS doi FROM documents) CROSS JOIN LATERAL (VALUES
+  ('open_access', 'https://api.unpaywall.org/v2/' || doi || '?email=me@x.org'), ('crossref', 'https://api.crossref.org/works/' || doi),
+  ('archive', 'https://www.ncbi.nlm.nih.gov/pmc/utils/oa/oa.fcgi?id=' || pmcid)) v(kind, url)""")
+def service_lookups(spark, d):
+    return acquisition.lookups(_meta(spark, d), "me@x.org").select("pmcid", "kind", "url")
 
 
 @query("""SELECT CASE WHEN o_orderstatus = 'O' THEN 'ok' WHEN o_orderstatus = 'P' THEN 'skip' ELSE 'failed' END AS bucket, count(*) AS n FROM orders GROUP BY 1""")
@@ -107,11 +128,10 @@ def status_counts(spark, d):
     return load(spark, d, "orders").groupBy(prompts.bucket(status).alias("bucket")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("""SELECT conv_id, CAST(json_extract(document, '$.total') AS BIGINT) AS total, CAST(json_array_length(document, '$.items') AS BIGINT) AS items FROM (
-  SELECT conv_id, to_json({'total': count(*), 'items': list(turn ORDER BY turn)}) AS document FROM conversations GROUP BY conv_id)""")
+@query("""SELECT conv_id, md5(to_json({'total': count(*), 'items': list({'turn': turn, 'role': role} ORDER BY turn)})) AS digest FROM conversations GROUP BY conv_id""")
 def envelope(spark, d):
     out = papers.enveloped(load(spark, d, "conversations"), "conv_id", "turn", ["turn", "role"])
-    return out.select("conv_id", F.get_json_object("document", "$.total").cast("long").alias("total"), F.json_array_length(F.get_json_object("document", "$.items")).cast("long").alias("items"))
+    return out.select("conv_id", F.md5(F.col("document").cast("binary")).alias("digest"))
 
 
 # --- text and retrieval -------------------------------------------------------------------------------------------
@@ -123,7 +143,7 @@ def tokenize_terms(spark, d):
     return load(spark, d, "documents").select("doc_id", F.size(t).cast("long").alias("n_tokens"), F.size(F.array_distinct(t)).cast("long").alias("n_distinct"))
 
 
-_STOP = ", ".join(f"'{w}'" for w in text.STOP_WORDS)
+_STOP = "'the', 'and', 'for', 'with', 'from', 'that', 'this', 'were', 'was', 'are', 'fig', 'figure', 'table', 'panel', 'data', 'shown', 'using', 'into', 'than'"
 
 
 @query(rf"""SELECT item_id, coalesce(array_to_string(list_sort(list_distinct(list_filter(regexp_extract_all(text, '[A-Za-z0-9][A-Za-z0-9_.+-]+'), lambda x: NOT list_contains([{_STOP}], lower(x))))), ' '), '') AS terms FROM benchmark""")
@@ -135,8 +155,10 @@ def _chunks(spark, d):
     return load(spark, d, "documents").select(F.col("lang").alias("paper"), F.col("doc_id").alias("chunk_ix"), "text")
 
 
-def _captions(spark, d):
-    return load(spark, d, "benchmark").select("item_id", F.lit("en").alias("paper"), F.col("text").alias("query"))
+def _library(spark, d):
+    """All documents as the chunks of one paper, and all benchmark texts as queries to it."""
+    queries = load(spark, d, "benchmark").select("item_id", F.lit("all").alias("paper"), F.col("text").alias("query"))
+    return queries, _chunks(spark, d).withColumn("paper", F.lit("all"))
 
 
 @query(r"""SELECT paper, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM (SELECT paper, doc_id, term, count(*) AS tf FROM (
@@ -145,7 +167,7 @@ def term_stats(spark, d):
     return retrieval.term_stats(retrieval.postings(_chunks(spark, d)))
 
 
-_RANKED = r"""WITH tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM documents WHERE lang = 'en'),
+_RANKED = r"""WITH tok AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM documents),
 occ AS (SELECT doc_id, len(t) AS dl, unnest(t) AS term FROM tok), idx AS (SELECT doc_id, dl, term, count(*) AS tf FROM occ GROUP BY ALL),
 corpus AS (SELECT count(*) AS n, avg(len(t)) AS avgdl FROM tok), df AS (SELECT term, count(*) AS df FROM idx GROUP BY term),
 w0 AS (SELECT term, avgdl, ln((n - df + 0.5) / (df + 0.5)) AS raw, ln((n + 1) / (df + 1)) + 1 AS tfidf FROM df, corpus),
@@ -159,8 +181,8 @@ _TFIDF, _BM25 = "tf / dl * tfidf", "okapi * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75
 
 
 def _best(spark, d, score):
-    chunks = _chunks(spark, d).filter("paper = 'en'")
-    return retrieval.top_k(_captions(spark, d), chunks, score(_captions(spark, d), chunks), 6)
+    queries, chunks = _library(spark, d)
+    return retrieval.top_k(queries, chunks, score(queries, chunks), 6)
 
 
 @query(_RANKED.replace("SCORE", _TFIDF) + "SELECT item_id, chunk_ix, round(score, 6) AS score, rank FROM ranked")
@@ -181,14 +203,14 @@ def retrieve_order(spark, d):
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\s\p{{Z}}]+'), lambda x: x <> '')"
 
 
-@query(rf"""SELECT doc_id, start, CAST(len(seg) AS INTEGER) AS n_words, seg[1] AS first_word, seg[-1] AS last_word FROM (
+@query(rf"""SELECT doc_id, start, CAST(len(seg) AS INTEGER) AS n_words, md5(array_to_string(seg, ' ')) AS digest FROM (
   SELECT doc_id, CAST(start AS INTEGER) AS start, w[start + 1 : start + 250] AS seg FROM (SELECT doc_id, w, unnest(range(0, greatest(len(w), 1), 210)) AS start FROM (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents))) WHERE len(seg) >= 20""")
 def chunk_sliding(spark, d):
     rows = load(spark, d, "documents").select("doc_id", F.posexplode(text.sliding(text.words("text"))).alias("_k", "seg"))
-    return rows.select("doc_id", (F.col("_k") * 210).alias("start"), F.size("seg").alias("n_words"), F.col("seg")[0].alias("first_word"), F.element_at("seg", -1).alias("last_word"))
+    return rows.select("doc_id", (F.col("_k") * 210).alias("start"), F.size("seg").alias("n_words"), F.md5(F.array_join("seg", " ").cast("binary")).alias("digest"))
 
 
-@query(rf"""WITH RECURSIVE p AS (SELECT doc_id, list_transform(list_filter(list_transform(regexp_split_to_array(text, '\n+'), lambda x: regexp_replace(x, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), lambda x: x <> ''), lambda x: {_WORDS.format("x")}) AS ps FROM documents),
+@query(rf"""WITH RECURSIVE p AS (SELECT doc_id, list_transform(list_filter(list_transform(regexp_split_to_array(replace(text, chr(10), chr(10) || chr(10)), '\n{{2,}}'), lambda x: regexp_replace(x, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')), lambda x: x <> ''), lambda x: {_WORDS.format("x")}) AS ps FROM documents),
 f AS (SELECT doc_id, ps, 1 AS i, CAST([] AS VARCHAR[][]) AS out, CAST([] AS VARCHAR[]) AS cur FROM p
   UNION ALL SELECT doc_id, ps, i + 1,
     CASE WHEN len(ps[i]) * 2 > 750 THEN out || list_filter(list_transform(range(0, len(ps[i]), 210), lambda s: ps[i][s + 1 : s + 250]), lambda x: len(x) >= 20)
@@ -198,46 +220,65 @@ f AS (SELECT doc_id, ps, 1 AS i, CAST([] AS VARCHAR[][]) AS out, CAST([] AS VARC
 e AS (SELECT doc_id, CASE WHEN len(cur) > 0 THEN out || [cur] ELSE out END AS c FROM f WHERE i > len(ps))
 SELECT doc_id, CAST(k - 1 AS INTEGER) AS chunk_ix, md5(array_to_string(c[k], ' ')) AS digest, CAST(len(c[k]) AS INTEGER) AS n_words FROM (SELECT doc_id, c, unnest(range(1, len(c) + 1)) AS k FROM e)""")
 def chunk_packed(spark, d):
-    rows = text.chunk_rows(load(spark, d, "documents"), "doc_id", "text", separator="\n+")
+    spaced = load(spark, d, "documents").select("doc_id", F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n")).alias("text"))
+    rows = text.chunk_rows(spaced, "doc_id", "text")
     return rows.select("doc_id", "chunk_ix", F.md5(F.col("text").cast("binary")).alias("digest"), "n_words")
 
 
-def _sectioned(c):
-    """A paper made of a document: all its words below headings, the last of which takes what is left."""
-    w = text.words(c)
-    part = lambda a, n: F.array_join(F.slice(w, F.lit(a), n if isinstance(n, Column) else F.lit(n)), " ")
-    return F.concat(F.lit("Title\nAbstract\n"), part(1, 30), F.lit("\nIntroduction and aims\n"), part(31, 250), F.lit("\nMethods\n"), part(281, 40), F.lit("\nResults\n"), part(321, 40), F.lit("\nReferences\n"), part(361, F.greatest(F.size(w), F.lit(1))))
-
+def _sectioned(key, c):
+    """A paper made of a document: all its words below headings, the last of which takes what is left.
 
-_PARTS = rf"""WITH w AS (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents),
-s AS (SELECT doc_id, array_to_string(w[1:30], ' ') AS a, array_to_string(w[31:280], ' ') AS i, array_to_string(w[31:210], ' ') AS i180, array_to_string(w[281:320], ' ') AS m, array_to_string(w[321:360], ' ') AS r, array_to_string(w[361:369], ' ') AS e, w FROM w)
+    Every third one has a long abstract, so that its map is cut; every third one has no headings.
+    """
+    w = text.words(c)
+    part = lambda a, n: F.array_join(F.slice(w, a if isinstance(a, Column) else F.lit(a), n if isinstance(n, Column) else F.lit(n)), " ")
+    many = F.when(F.col(key) % 3 == 1, F.lit(420)).otherwise(F.lit(30))
+    at = lambda n: many + F.lit(n + 1)
+    parted = F.concat(F.lit("Title\nAbstract\n"), part(1, many), F.lit("\nIntroduction and aims\n"), part(at(0), 250), F.lit("\nMethods\n"), part(at(250), 220), F.lit("\nResults\n"), part(at(470), 300), F.lit("\nDiscussion\n"), part(at(770), F.greatest(F.size(w), F.lit(1))))
+    return F.when(F.col(key) % 3 == 2, part(1, F.greatest(F.size(w), F.lit(1)))).otherwise(parted)
+
+
+_PARTS = rf"""WITH doc_words AS (SELECT doc_id, CASE WHEN doc_id % 3 = 1 THEN 420 ELSE 30 END AS n, {_WORDS.format("text")} AS w FROM documents),
+s AS (SELECT doc_id, w, CASE WHEN doc_id % 3 = 2 THEN array_to_string(w[1:400], ' ') ELSE array_to_string(w[1:n], ' ') END AS a,
+  CASE WHEN doc_id % 3 <> 2 THEN array_to_string(w[n + 1 : n + 180], ' ') ELSE '' END AS i, CASE WHEN doc_id % 3 <> 2 THEN array_to_string(w[n + 251 : n + 430], ' ') ELSE '' END AS m,
+  CASE WHEN doc_id % 3 <> 2 THEN array_to_string(w[n + 471 : n + 730], ' ') ELSE '' END AS r, CASE WHEN doc_id % 3 <> 2 THEN array_to_string(w[n + 771 : n + 990], ' ') ELSE '' END AS e FROM doc_words),
+b AS (SELECT doc_id, CASE WHEN a <> '' OR doc_id % 3 = 2 THEN a ELSE 'Title Abstract Introduction and aims Methods Results Discussion' END AS a, i, m, r, e FROM s),
+l AS (SELECT doc_id, a, concat_ws(chr(10), CASE WHEN a <> '' THEN 'Abstract: ' || a END, CASE WHEN i <> '' THEN 'Research problem / introduction: ' || i END, CASE WHEN m <> '' THEN 'Methods / experimental system: ' || m END,
+  CASE WHEN r <> '' THEN 'Main results: ' || r END, CASE WHEN e <> '' THEN 'Discussion / conclusion: ' || e END) AS whole FROM b),
+k AS (SELECT doc_id, a, whole, {_WORDS.format("whole")} AS kw FROM l),
+maps AS (SELECT doc_id, a AS abstract, CASE WHEN len(kw) > 1100 THEN array_to_string(kw[1:1100], ' ') || ' [paper map truncated]' ELSE whole END AS paper_map FROM k)
 """
 
 
-@query(_PARTS + """SELECT doc_id, CASE WHEN a <> '' THEN a ELSE 'Title Abstract Introduction and aims Methods Results References' END AS abstract FROM s""")
+@query(_PARTS + """SELECT doc_id, abstract FROM maps""")
 def abstract_section(spark, d):
-    return load(spark, d, "documents").select("doc_id", text.abstract(_sectioned("text")).alias("abstract"))
+    return load(spark, d, "documents").select("doc_id", text.abstract(_sectioned("doc_id", "text")).alias("abstract"))
 
 
-@query(_PARTS + """SELECT doc_id, concat_ws(chr(10), 'Abstract: ' || a, CASE WHEN i <> '' THEN 'Research problem / introduction: ' || i180 END, CASE WHEN m <> '' THEN 'Methods / experimental system: ' || m END, CASE WHEN r <> '' THEN 'Main results: ' || r END) AS paper_map FROM s""")
-def section_map(spark, d):
-    papers_ = load(spark, d, "documents").select("doc_id", _sectioned("text").alias("_paper"))
+def _maps(spark, d):
+    papers_ = load(spark, d, "documents").select("doc_id", _sectioned("doc_id", "text").alias("_paper"))
     return text.with_context_map(papers_, "_paper").select("doc_id", "paper_map")
 
 
+@query(_PARTS + """SELECT doc_id, paper_map FROM maps""")
+def section_map(spark, d):
+    return _maps(spark, d)
+
+
 @query(rf"""SELECT doc_id, array_to_string(w[1:300], ' ') AS text, CASE WHEN len(w) > 300 THEN ' [truncated at 300 words, original: ' || len(w) || ']' ELSE ' [' || len(w) || ' words]' END AS note FROM (SELECT doc_id, {_WORDS.format("text")} AS w FROM documents)""")
 def full_context(spark, d):
     return load(spark, d, "documents").select("doc_id", text.full_context("text", 300).alias("_f")).select("doc_id", "_f.*")
 
 
-@query(_RANKED.replace("SCORE", _BM25) + """, o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY CASE rank WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 1 END, chunk_ix) AS out_pos FROM ranked)
-SELECT o.item_id, md5('PAPER GLOBAL CONTEXT MAP:' || chr(10) || 'map of ' || o.item_id || chr(10) || chr(10) || '====' || chr(10) || chr(10) || 'FIGURE/TABLE LOCAL CONTEXT (BM25 top-6 chunks):' || chr(10) || string_agg(d.text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY out_pos)) AS digest, count(*) AS retrieved_chunks
-FROM o JOIN documents d ON d.doc_id = o.chunk_ix GROUP BY o.item_id""")
+@query(_PARTS + ", " + _RANKED.replace("SCORE", _BM25).removeprefix("WITH ") + """, o AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY CASE rank WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 1 END, chunk_ix) AS out_pos FROM ranked),
+c AS (SELECT o.item_id, string_agg(d.text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY out_pos) AS local, count(*) AS retrieved_chunks, CAST(sum(len(_W_)) AS BIGINT) AS retrieved_words FROM o JOIN documents d ON d.doc_id = o.chunk_ix GROUP BY o.item_id)
+SELECT c.item_id, md5('PAPER GLOBAL CONTEXT MAP:' || chr(10) || paper_map || chr(10) || chr(10) || '====' || chr(10) || chr(10) || 'FIGURE/TABLE LOCAL CONTEXT (BM25 top-6 chunks):' || chr(10) || local) AS digest, retrieved_chunks, retrieved_words
+FROM c JOIN maps ON maps.doc_id = c.item_id""".replace("_W_", _WORDS.format("d.text")))
 def layered_context(spark, d):
-    chunks = _chunks(spark, d).filter("paper = 'en'")
-    got = retrieval.gathered(retrieval.retrieve(_captions(spark, d), chunks, 6), chunks)
-    whole = retrieval.layered(F.concat(F.lit("map of "), F.col("item_id")), F.col("local"), 6)
-    return got.select("item_id", F.md5(whole.cast("binary")).alias("digest"), "retrieved_chunks")
+    queries, chunks = _library(spark, d)
+    got = retrieval.gathered(retrieval.retrieve(queries, chunks, 6), chunks).join(_maps(spark, d), F.col("item_id") == F.col("doc_id"))
+    whole = retrieval.layered(F.col("paper_map"), F.col("local"), 6)
+    return got.select("item_id", F.md5(whole.cast("binary")).alias("digest"), "retrieved_chunks", "retrieved_words")
 
 
 # --- page layout --------------------------------------------------------------------------------------------------
@@ -268,12 +309,12 @@ _COLUMN = "CASE WHEN x1 < 356 AND x0 < 306 THEN 'left' WHEN x0 > 256 AND x1 > 30
 _IN = "CASE {c} WHEN 'left' THEN {b}x1 <= 356 WHEN 'right' THEN {b}x0 >= 256 ELSE true END"
 
 
-@query(_BOXES + f"""SELECT paper, pos, {_COLUMN} AS col, {_IN.format(c="'left'", b="")} AS in_left, x1 > x0 AND y1 - y0 > 2.5 * (x1 - x0) AS rotated,
+@query(_BOXES + f"""SELECT paper, pos, {_COLUMN} AS col, {_IN.format(c="'left'", b="")} AS in_left, {_IN.format(c="'right'", b="")} AS in_right, {_IN.format(c="'full'", b="")} AS in_full, x1 > x0 AND y1 - y0 > 2.5 * (x1 - x0) AS rotated,
   greatest(0, x0 - 16) AS cx0, greatest(0, 792 - y1 - 16) AS cy0, least(612, x1 + 16) AS cx1, least(792, 792 - y0 + 16) AS cy1 FROM b""")
 def column_class(spark, d):
     b, w = F.col("box"), F.lit(612.0)
     clip = layout.clip_of(b, w, F.lit(792.0))
-    return _boxes(spark, d).select(F.col("paper_id").alias("paper"), "pos", layout.column_of(b, w).alias("col"), layout.in_column(b, F.lit("left"), w).alias("in_left"), layout.is_rotated(b).alias("rotated"), *[clip[c].alias("c" + c) for c in ("x0", "y0", "x1", "y1")])
+    return _boxes(spark, d).select(F.col("paper_id").alias("paper"), "pos", layout.column_of(b, w).alias("col"), *[layout.in_column(b, F.lit(c), w).alias(f"in_{c}") for c in ("left", "right", "full")], layout.is_rotated(b).alias("rotated"), *[clip[c].alias("c" + c) for c in ("x0", "y0", "x1", "y1")])
 
 
 @query("""SELECT doc_id, CASE WHEN lang = 'en' THEN 'ExtFig ' WHEN lang = 'de' THEN 'Table ' ELSE 'Figure ' END || doc_id AS label, CASE WHEN lang = 'de' THEN 'table' ELSE 'figure' END AS kind, substr(h || ' ' || text, 1, 500) AS caption
@@ -334,11 +375,25 @@ def next_page(spark, d):
     return out.select(F.col("paper_id").alias("paper"), F.col("caption_page").alias("page"), F.col("page").alias("next_page"), F.col("box.y0").alias("boundary"))
 
 
-@query("""SELECT conv_id, turn, label, 'p' || lpad(CAST(turn AS VARCHAR), 3, '0') || '_' || replace(replace(label, ' ', '_'), '.', '') || '.png' AS file FROM (
-  SELECT conv_id, turn, CASE WHEN role = 'user' THEN 'Figure ' || turn ELSE 'Picture ' || sum(CASE WHEN role = 'user' THEN 0 ELSE 1 END) OVER (PARTITION BY conv_id ORDER BY turn) END AS label FROM conversations)""")
+# The blocks of an order as the pictures of a paper: with a numbered caption, another one or none, some without a page.
+_PICTURES = _BOXES + """, q AS (SELECT paper, pos, CASE WHEN l_partkey % 7 = 0 THEN NULL ELSE pos % 3 + 1 END AS page, x0, y0, x1, y1,
+  CASE l_partkey % 4 WHEN 0 THEN 'see FIG. ' || l_partkey WHEN 1 THEN 'A photo' WHEN 2 THEN ' ' END AS caption, CASE WHEN l_partkey % 4 = 0 THEN 'Figure ' || l_partkey END AS numbered FROM b),
+g AS (SELECT *, CASE WHEN l.caption IS NOT NULL AND l.caption <> ' ' THEN '' WHEN (x1 - x0) * (y1 - y0) <= 20000 THEN 'small_uncaptioned' WHEN x1 - x0 <= 180 AND y1 - y0 <= 120 THEN 'compact_uncaptioned' ELSE '' END AS reason FROM q l),
+h AS (SELECT *, row_number() OVER w AS seen, sum(CASE WHEN page IS NOT NULL AND reason = '' AND numbered IS NULL THEN 1 ELSE 0 END) OVER w AS run FROM g WINDOW w AS (PARTITION BY paper ORDER BY pos)),
+pics AS (SELECT *, coalesce(numbered, CASE WHEN reason <> '' THEN 'Picture_' || seen ELSE 'Figure_uncaptioned_' || run END) AS label FROM h WHERE page IS NOT NULL)
+"""
+
+
+def _pictures(spark, d):
+    k = F.col("l_partkey") % 4
+    caption = F.when(k == 0, F.concat(F.lit("see FIG. "), F.col("l_partkey"))).when(k == 1, "A photo").when(k == 2, " ")
+    return _boxes(spark, d).withColumns({"caption": caption, "page": F.when(F.col("l_partkey") % 7 != 0, F.col("pos") % 3 + 1)})
+
+
+@query(_PICTURES + """SELECT paper, pos, label, reason, 'p' || lpad(CAST(page AS VARCHAR), 3, '0') || '_' || replace(replace(label, ' ', '_'), '.', '') || '.png' AS file FROM pics""")
 def picture_labels(spark, d):
-    rows = load(spark, d, "conversations").select(F.col("conv_id").alias("paper_id"), F.col("turn").alias("pos"), F.when(F.col("role") == "user", F.concat(F.lit("see Fig. "), F.col("turn"))).alias("caption"))
-    return layout.picture_labels(rows).select(F.col("paper_id").alias("conv_id"), F.col("pos").alias("turn"), "label", layout.image_name(F.col("pos"), F.col("label")).alias("file"))
+    rows = layout.labelled_pictures(_pictures(spark, d))
+    return rows.select(F.col("paper_id").alias("paper"), "pos", "label", "reason", layout.image_name(F.col("page"), F.col("label")).alias("file"))
 
 
 # --- tables -------------------------------------------------------------------------------------------------------
@@ -382,22 +437,35 @@ def bbox_dedupe(spark, d):
 
 # --- OCR ----------------------------------------------------------------------------------------------------------
 
-_ROLE = "CASE " + " ".join(f"WHEN regexp_matches({'lower(text)' if low else 'text'}, '{p}') THEN '{name}'" for name, p, low in ocr.ROLES) + " ELSE 'unknown' END"
+_ROLE = r"""CASE WHEN regexp_matches(text, '^[A-Za-z]$') THEN 'panel_label'
+  WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])p\s*[<=>]\s*0?\.\p{Nd}+') THEN 'statistical_marker'
+  WHEN regexp_matches(text, '(^|[^\p{L}\p{N}_])ns([^\p{L}\p{N}_]|$)') OR contains(text, '*') THEN 'statistical_marker'
+  WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])n\s*[=:]\s*\p{Nd}+') THEN 'sample_size'
+  WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])(r2|r\^2|r²|ci|sem|sd|anova|t-test|ttest)([^\p{L}\p{N}_]|$)') THEN 'statistical_marker'
+  WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])(mg|g|kg|ml|l|µl|ul|µm|um|mm|cm|nm|h|hr|day|days|min|s)([^\p{L}\p{N}_]|$)|[\p{L}\p{N}_]%[\p{L}\p{N}_]') THEN 'measurement_or_unit'
+  WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])(control|ctrl|mock|vehicle|wild[- ]?type|wt|ko|knockout|treated|untreated|low|high)([^\p{L}\p{N}_]|$)') THEN 'condition_or_group'
+  WHEN regexp_matches(text, '[A-Za-z][0-9]|[A-Z]{2,}') THEN 'biological_entity_or_label'
+  WHEN regexp_matches(lower(text), '(^|[^\p{L}\p{N}_])(expression|relative|activity|concentration|survival|viability|response|rate|fold)([^\p{L}\p{N}_]|$)') THEN 'axis_or_dimension'
+  WHEN regexp_matches(text, '^[-+]?\p{Nd}+(\.\p{Nd}+)?$') THEN 'numeric_value' ELSE 'unknown' END"""
 _SHAPES = ("' A '", "'p < 0.05'", "'n = ' || i", "'10 mg'", "'control'", "'IL' || i", "'relative rate'", "CAST(i AS VARCHAR)", "w", "''", "w || ' x'", "'5 µM'")
 _FRAGMENTS = rf"""WITH t AS (SELECT item_id, {_WORDS.format("text")} AS ws FROM benchmark),
-o AS (SELECT item_id, i, ws[i] AS w FROM (SELECT item_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM t)),
+o AS (SELECT item_id, i, ws[i] AS w FROM (SELECT item_id, ws, unnest(range(1, len(ws) + 1)) AS i FROM t WHERE item_id % 10 <> 9)),
 f AS (SELECT item_id, CAST(i AS INTEGER) AS pos, trim(CASE CAST((i + item_id) % 12 AS INTEGER) {" ".join(f"WHEN {k} THEN {s}" for k, s in enumerate(_SHAPES))} END) AS text, CAST((i * 37 + item_id) % 100 AS DOUBLE) / 100 AS confidence FROM o)
 """
 
 
 def _fragments(spark, d):
-    rows = load(spark, d, "benchmark").select("item_id", F.posexplode(text.words("text")).alias("_i", "w")).withColumn("i", F.col("_i") + 1)
+    rows = load(spark, d, "benchmark").filter("item_id % 10 <> 9").select("item_id", F.posexplode(text.words("text")).alias("_i", "w")).withColumn("i", F.col("_i") + 1)
     shape = F.expr("CASE cast((i + item_id) % 12 as int) " + " ".join(f"WHEN {k} THEN {s.replace('VARCHAR', 'STRING')}" for k, s in enumerate(_SHAPES)) + " END")
     return rows.select("item_id", F.col("i").alias("pos"), shape.alias("text"), (((F.col("i") * 37 + F.col("item_id")) % 100).cast("double") / 100).alias("confidence"))
 
 
 def _contexts(spark, d):
-    return load(spark, d, "benchmark").select("item_id", F.substring("text", 1, 60).alias("alignment"))
+    """Items align with the whole text of the even item: their own, or that of their neighbour."""
+    b = load(spark, d, "benchmark")
+    other = b.select(F.col("item_id").alias("_other"), F.col("text").alias("_text"))
+    both = b.join(other, F.col("item_id") - F.col("item_id") % 2 == F.col("_other"))
+    return both.select("item_id", ocr.alignment(F.lit(None).cast("string"), F.lit(""), F.col("_text")).alias("alignment"))
 
 
 @query(_FRAGMENTS + f"SELECT item_id, pos, text, {_ROLE} AS role FROM f")
@@ -407,9 +475,9 @@ def ocr_role(spark, d):
 
 
 _TERMS = rf"list_distinct(list_filter(regexp_extract_all({{}}, '[A-Za-z0-9][A-Za-z0-9_.+-]+'), lambda x: NOT list_contains([{_STOP}], lower(x))))"
-_USEFUL = ", ".join(f"'{r}'" for r in ocr.USEFUL)
+_USEFUL = "'panel_label', 'axis_or_dimension', 'condition_or_group', 'biological_entity_or_label', 'measurement_or_unit', 'statistical_marker', 'sample_size'"
 _SCORED = _FRAGMENTS + rf""", r AS (SELECT *, {_ROLE} AS role FROM f),
-a AS (SELECT r.*, len(list_intersect({_TERMS.format("r.text")}, {_TERMS.format("substr(b.text, 1, 60)")})) > 0 AS al FROM r JOIN benchmark b USING (item_id)),
+a AS (SELECT r.*, len(list_intersect({_TERMS.format("r.text")}, {_TERMS.format("b.text")})) > 0 AS al FROM r JOIN benchmark b ON b.item_id = r.item_id - r.item_id % 2),
 z AS (SELECT *, CASE WHEN text <> '' THEN CAST(confidence >= 0.55 AS INTEGER) + 3 * CAST(al AS INTEGER) + 2 * CAST(role IN ({_USEFUL}) AS INTEGER) - 2 * CAST(role = 'numeric_value' AND NOT al AS INTEGER) - 2 * CAST(confidence < 0.35 AND NOT al AS INTEGER) END AS score FROM a)
 """
 
@@ -426,7 +494,7 @@ m AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY role = 'unknown
 h AS (SELECT item_id, count(*) AS kept, string_agg(text || '/' || role, ';' ORDER BY rk) AS frags FROM m WHERE rk <= 18 GROUP BY item_id),
 s AS (SELECT item_id, count(*) AS total, avg(CASE WHEN text <> '' THEN confidence END) AS avgc, count(*) FILTER (role = 'numeric_value' AND NOT al AND text <> '') AS lone, count(*) FILTER (confidence < 0.35 AND NOT al AND text <> '') AS low, count(*) FILTER (score < 2) AS noise FROM z GROUP BY item_id),
 y AS (SELECT b.item_id, s.*, coalesce(kept, 0) AS kept, coalesce(frags, '') AS frags, CASE WHEN total IS NULL THEN 'unavailable' WHEN coalesce(kept, 0) = 0 THEN 'low' WHEN avgc >= 0.75 AND kept / total >= 0.35 THEN 'high' WHEN avgc >= 0.45 AND kept / total >= 0.15 THEN 'medium' ELSE 'low' END AS quality FROM benchmark b LEFT JOIN s ON s.item_id = b.item_id LEFT JOIN h ON h.item_id = b.item_id)
-SELECT item_id, quality, CASE quality WHEN 'high' THEN 'use' WHEN 'medium' THEN 'use_cautiously' ELSE 'ignore' END AS use_policy, frags AS fragments, coalesce(lone, 0) || ' isolated numeric fragments, ' || coalesce(low, 0) || ' low-confidence fragments, ' || coalesce(noise, 0) || ' noise/unaligned fragments ignored.' AS discarded FROM y""")
+SELECT item_id, quality, CASE quality WHEN 'high' THEN 'use' WHEN 'medium' THEN 'use_cautiously' ELSE 'ignore' END AS use_policy, frags AS fragments, CASE WHEN total IS NULL THEN 'OCR unavailable or returned no usable text.' ELSE coalesce(lone, 0) || ' isolated numeric fragments, ' || coalesce(low, 0) || ' low-confidence fragments, ' || coalesce(noise, 0) || ' noise/unaligned fragments ignored.' END AS discarded FROM y""")
 def ocr_summary(spark, d):
     out = ocr.summaries(load(spark, d, "benchmark"), _fragments(spark, d), _contexts(spark, d))
     shown = F.array_join(F.transform("kept_fragments", lambda x: F.concat_ws("/", x["text"], x["role"])), ";")
@@ -454,12 +522,15 @@ def items_block(spark, d):
     return prompts.joined_lines(rows, "conv_id", ["turn"], line).select("conv_id", F.md5(F.col("block").cast("binary")).alias("digest"), "items")
 
 
-@query("""SELECT item_id, md5('Caption: ' || text || chr(10) || chr(10) || CASE WHEN item_id % 2 = 0 THEN 'Paper text (top 3):' || chr(10) || 'context ' || item_id || chr(10) || chr(10) ELSE '' END || 'Abstract: Not available.' || chr(10) || chr(10) ||
+@query("""SELECT item_id, md5('Caption: ' || text || chr(10) || chr(10) || CASE WHEN item_id % 2 = 0 THEN 'Paper text (top 3):' || chr(10) || 'context ' || item_id || chr(10) || chr(10) ELSE '' END ||
+  CASE WHEN item_id % 5 IN (1, 2) THEN 'Filtered OCR fragments (auxiliary):' || chr(10) || '{"quality":"high","use_policy":"' || CASE WHEN item_id % 5 = 1 THEN 'use' ELSE 'use_cautiously' END || '","kept_fragments":[{"text":"A","role":"panel_label","confidence":0.9,"reason":"' || item_id || '"}],"discarded_summary":"none"}' || chr(10) || chr(10) ELSE '' END ||
+  'Abstract: Not available.' || chr(10) || chr(10) ||
   'Describe only what the image and the text above support. Answer with one JSON object with the keys ' || CASE WHEN item_id % 3 = 0 THEN 'table_description, key_entries, best_result, scientific_interpretation, confidence' ELSE 'visual_description, data_and_patterns, scientific_conclusion, limitations, confidence' END || CASE WHEN item_id % 2 = 0 THEN ', hypothesis_tested, paper_quote, controls_assessment' ELSE '' END || '.') AS digest,
   CASE WHEN item_id % 2 = 0 THEN 'paper text' ELSE 'abstract only' END AS context_used FROM benchmark""")
 def prompt_text(spark, d):
-    b = load(spark, d, "benchmark")
-    context = F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("context "), F.col("item_id"))).otherwise(" ")
-    summary = F.lit(None).cast("struct<use_policy:string,kept_fragments:array<string>>")
-    p = prompts.prompt(F.when(F.col("item_id") % 3 == 0, "table").otherwise("figure"), F.lit(""), F.col("text"), context, F.lit("Paper text (top 3)"), summary)
+    b, k = load(spark, d, "benchmark"), F.col("item_id") % 5
+    context = F.when(F.col("item_id") % 2 == 0, F.concat(F.lit("context "), F.col("item_id"))).otherwise(" \t")
+    one = F.struct(F.lit("A").alias("text"), F.lit("panel_label").alias("role"), F.lit(0.9).alias("confidence"), F.col("item_id").cast("string").alias("reason"))
+    made = F.struct(F.lit("high").alias("quality"), F.when(k == 1, "use").when(k == 2, "use_cautiously").otherwise("ignore").alias("use_policy"), F.when(k != 4, F.array(one)).otherwise(F.slice(F.array(one), 1, 0)).alias("kept_fragments"), F.lit("none").alias("discarded_summary"))
+    p = prompts.prompt(F.when(F.col("item_id") % 3 == 0, "table").otherwise("figure"), F.lit(""), F.col("text"), context, F.lit("Paper text (top 3)"), F.when(k != 0, made))
     return b.select("item_id", F.md5(p.cast("binary")).alias("digest"), prompts.context_used(F.lit("Paper text (top 3)"), context).alias("context_used"))

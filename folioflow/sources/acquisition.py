@@ -1,22 +1,30 @@
-"""Where a paper's PDF may be: a candidate table by rank, built from expressions; fetching is a backend's work."""
+"""Where a paper's PDF may be.
+
+``lookups`` names the services to ask, a backend asks them (``backends.ask_services``), and ``candidates`` makes of
+their answers a table of addresses by rank, all in expressions; fetching the first that works is a backend's work.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from folioflow.functions.text import stripped
+
 # The public addresses of the services.
 OPEN_ACCESS = "https://api.unpaywall.org/v2/"
 CROSSREF = "https://api.crossref.org/works/"
 PMC = "https://www.ncbi.nlm.nih.gov/pmc/articles/"
 EUROPE_PMC = "https://europepmc.org/backend/ptpmcrender.fcgi?accid="
 RESOLVER = "https://doi.org/"
+ARCHIVE = "https://www.ncbi.nlm.nih.gov/pmc/utils/oa/oa.fcgi?id="
+PMC_HOST = "pmc.ncbi.nlm.nih.gov"
 
 
 def clean_doi(doi: str | Column) -> Column:
     """A DOI without resolver addresses, wherever they stand, and without white space around it."""
     c = F.coalesce(F.col(doi) if isinstance(doi, str) else doi, F.lit(""))
-    return F.trim(F.replace(F.replace(c, F.lit("https://doi.org/"), F.lit("")), F.lit("http://doi.org/"), F.lit("")))
+    return stripped(F.replace(F.replace(c, F.lit("https://doi.org/"), F.lit("")), F.lit("http://doi.org/"), F.lit("")))
 
 
 def cdn_url(url: str | Column) -> Column:
@@ -42,18 +50,47 @@ def crossref_urls(answer: str | Column) -> Column:
     return F.coalesce(F.transform(links, lambda x: x["URL"]), F.array().cast("array<string>"))
 
 
+def archive_url(answer: str | Column) -> Column:
+    """The address of the packed article in an archive service's answer (XML); null without one."""
+    link = F.regexp_extract(answer, r"""<link\b[^>]*\bformat=["']tgz["'][^>]*>""", 0)
+    return F.nullif(F.regexp_extract(link, r"""\bhref=["']([^"']+)["']""", 1), F.lit(""))
+
+
+def lookups(papers: DataFrame, email: str) -> DataFrame:
+    """(pmcid, doi, kind, url) of the services that know addresses; the open-access one asks for an e-mail address."""
+    doi, has, own = clean_doi("doi"), clean_doi("doi") != "", F.coalesce("pmcid", F.lit("")) != ""
+    kinds = F.array(
+        F.struct(F.lit("open_access").alias("kind"), F.when(has, F.concat(F.lit(OPEN_ACCESS), doi, F.lit("?email="), F.lit(email))).alias("url")),
+        F.struct(F.lit("crossref").alias("kind"), F.when(has, F.concat(F.lit(CROSSREF), doi)).alias("url")),
+        F.struct(F.lit("archive").alias("kind"), F.when(own, F.concat(F.lit(ARCHIVE), F.col("pmcid"))).alias("url")),
+    )
+    return papers.select("pmcid", "doi", F.explode(kinds).alias("_c")).select("pmcid", "doi", "_c.*").filter("url is not null")
+
+
 def direct_candidates(papers: DataFrame) -> DataFrame:
-    """(pmcid, doi, rank, kind, url) that need no lookup, in the order in which they are tried."""
+    """(pmcid, doi, rank, pos, kind, url) that need no lookup."""
     doi, has, own = clean_doi("doi"), clean_doi("doi") != "", F.coalesce("pmcid", F.lit("")) != ""
     kinds = F.array(
-        F.struct(F.lit(1).alias("rank"), F.lit("open_access").alias("kind"), F.when(has, F.concat(F.lit(OPEN_ACCESS), doi)).alias("url")),
         F.struct(F.lit(3).alias("rank"), F.lit("pmc").alias("kind"), F.when(own, F.concat(F.lit(PMC), F.col("pmcid"), F.lit("/pdf/"))).alias("url")),
         F.struct(F.lit(4).alias("rank"), F.lit("europe_pmc").alias("kind"), F.when(own, F.concat(F.lit(EUROPE_PMC), F.col("pmcid"), F.lit("&blobtype=pdf"))).alias("url")),
-        F.struct(F.lit(5).alias("rank"), F.lit("crossref").alias("kind"), F.when(has, F.concat(F.lit(CROSSREF), doi)).alias("url")),
         F.struct(F.lit(6).alias("rank"), F.lit("resolver").alias("kind"), F.when(has, F.concat(F.lit(RESOLVER), doi)).alias("url")),
     )
     rows = papers.select("pmcid", "doi", F.explode(kinds).alias("_c"))
-    return rows.select("pmcid", "doi", "_c.*").filter("url is not null")
+    return rows.select("pmcid", "doi", "_c.rank", F.lit(0).alias("pos"), "_c.kind", "_c.url").filter("url is not null")
+
+
+def candidates(papers: DataFrame, answers: DataFrame) -> DataFrame:
+    """(pmcid, doi, rank, pos, kind, url) in the order in which they are tried.
+
+    1 the open-access addresses, 2 the publisher's CDN for those of them at the archive that name a PDF, 3 and 4 the
+    archive and its European mirror, 5 CrossRef's links, 6 the resolver, 7 the packed article. ``answers`` are
+    (pmcid, doi, kind, answer); an answer that is absent or unreadable gives no address.
+    """
+    urls = F.when(F.col("kind") == "open_access", open_access_urls("answer")).when(F.col("kind") == "crossref", crossref_urls("answer")).when(archive_url("answer").isNotNull(), F.array(archive_url("answer")))
+    rank = F.when(F.col("kind") == "open_access", 1).when(F.col("kind") == "crossref", 5).otherwise(7)
+    told = answers.select("pmcid", "doi", rank.alias("rank"), "kind", F.posexplode(urls).alias("pos", "url")).select("pmcid", "doi", "rank", "pos", "kind", "url")
+    cdn = told.filter((F.col("rank") == 1) & F.col("url").contains(PMC_HOST) & F.col("url").endswith(".pdf")).withColumns({"rank": F.lit(2), "kind": F.lit("cdn"), "url": cdn_url("url")})
+    return told.unionByName(cdn.filter("url is not null")).unionByName(direct_candidates(papers))
 
 
 def is_pdf(content: str | Column) -> Column:

@@ -7,18 +7,29 @@ values, and tests use fakes.
 from __future__ import annotations
 
 import base64
+import io
+import tarfile
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 ATTEMPTS, FIRST_WAIT = 5, 3.0
 
 
 class Fetcher(Protocol):
-    def get(self, url: str) -> bytes: ...
+    """``get`` gives the content, or the content and the address that it came from in the end."""
+
+    def get(self, url: str) -> bytes | tuple[bytes, str]: ...
+
+
+class Renderer(Protocol):
+    """``render`` gives a PNG of a box of a page (from 1) and its width and height in pixels."""
+
+    def render(self, content: bytes, page: int, box: tuple[float, float, float, float], dpi: int, rotated: bool) -> tuple[bytes, int, int]: ...
 
 
 class VisionModel(Protocol):
@@ -34,19 +45,26 @@ class PdfReader(Protocol):
 
 
 class HttpFetcher:
-    """GET by the requests library, with a pause before each call and an honest user agent."""
+    """GET by the requests library (FTP by the standard one), with a pause before each call and an honest user agent."""
 
-    def __init__(self, pause: float = 1.5, timeout: float = 60, agent: str = "folioflow/1.0"):
+    def __init__(self, pause: float = 1.5, timeout: float = 60, agent: str = "folioflow/1.0", referer: str = "", jitter: float = 0.8):
         import requests
 
-        self.session, self.pause, self.timeout = requests.Session(), pause, timeout
-        self.session.headers["User-Agent"] = agent
+        self.session, self.pause, self.timeout, self.jitter = requests.Session(), pause, timeout, jitter
+        self.session.headers.update({"User-Agent": agent, "Accept": "application/pdf,*/*"} | ({"Referer": referer} if referer else {}))
+
+    def get(self, url: str) -> tuple[bytes, str]:
+        import random
 
-    def get(self, url: str) -> bytes:
-        time.sleep(self.pause)
+        time.sleep(self.pause + random.uniform(0, self.jitter))
+        if url.startswith("ftp://"):
+            from urllib.request import urlopen
+
+            with urlopen(url, timeout=self.timeout) as answer:
+                return answer.read(), url
         answer = self.session.get(url, timeout=self.timeout)
         answer.raise_for_status()
-        return answer.content
+        return answer.content, answer.url
 
 
 class HttpVisionModel:
@@ -60,13 +78,14 @@ class HttpVisionModel:
 
     def healthy(self) -> bool:
         try:
-            return self.session.get(self.server.split("/v1/")[0] + "/health", timeout=5).ok
+            return self.session.get(self.server.rsplit("/v1/", 1)[0] + "/health", timeout=5).status_code == 200
         except OSError:
             return False
 
-    def ask(self, prompt: str, image: bytes) -> str:
-        content = [{"type": "image_url", "image_url": {"url": data_url(image)}}, {"type": "text", "text": prompt}]
-        body = {"messages": [{"role": "user", "content": content}], "max_tokens": self.max_tokens, "temperature": self.temperature, "repeat_penalty": 1.15}
+    def ask(self, prompt: str, image: bytes | None) -> str:
+        seen = [] if image is None else [{"type": "image_url", "image_url": {"url": data_url(image)}}]
+        content = [*seen, {"type": "text", "text": prompt}]
+        body = {"messages": [{"role": "user", "content": content}], "max_tokens": self.max_tokens, "temperature": self.temperature, "repeat_penalty": 1.15, "stream": False}
         answer = self.session.post(self.server, json=body, timeout=self.timeout)
         answer.raise_for_status()
         return answer.json()["choices"][0]["message"]["content"]
@@ -77,11 +96,11 @@ def data_url(image: bytes) -> str:
 
 
 def patient(call: Callable[[], str], attempts: int = ATTEMPTS, wait: float = FIRST_WAIT, sleep=time.sleep) -> str:
-    """The first non-empty answer; waits double between attempts, and the last error is raised."""
+    """The first answer that isn't blank, without white space around it; waits double between attempts, and the last error is raised."""
     error: Exception = RuntimeError("empty answer")
     for n in range(attempts):
         try:
-            if answer := call():
+            if answer := (call() or "").strip():
                 return answer
         except Exception as e:
             error = e
@@ -90,23 +109,70 @@ def patient(call: Callable[[], str], attempts: int = ATTEMPTS, wait: float = FIR
     raise error
 
 
+def cdn_address(url: str) -> str | None:
+    """The publisher's CDN address of a file a-b-c.pdf, as ``acquisition.cdn_url`` has it; None for other names."""
+    name = url.rstrip("/").rpartition("/")[2]
+    parts = name.removesuffix(".pdf").rsplit("-", 2)
+    return f"https://res.mdpi.com/{parts[0]}/{name[:-4]}/article_deploy/{name}" if name.endswith(".pdf") and len(parts) == 3 else None
+
+
+def first_pdf(archive: bytes) -> bytes:
+    """The first PDF of a packed article."""
+    with tarfile.open(fileobj=io.BytesIO(archive), mode="r:gz") as tar:
+        for member in tar:
+            if member.isfile() and member.name.endswith(".pdf"):
+                return tar.extractfile(member).read()
+    raise ValueError("no PDF in the archive")
+
+
+def ask_services(lookups: DataFrame, factory: Callable[[], Fetcher]) -> DataFrame:
+    """(pmcid, doi, kind, answer) of ``lookups`` (pmcid, doi, kind, url); a failure is an answer of null."""
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        backend = factory()
+        for frame in frames:
+            answers = []
+            for url in frame["url"]:
+                try:
+                    got = backend.get(url)
+                    answers.append((got[0] if isinstance(got, tuple) else got).decode(errors="replace"))
+                except Exception:
+                    answers.append(None)
+            yield frame[["pmcid", "doi", "kind"]].assign(answer=answers)
+
+    return lookups.select("pmcid", "doi", "kind", "url").mapInPandas(run, "pmcid string, doi string, kind string, answer string")
+
+
 def fetch_first(candidates: DataFrame, factory: Callable[[], Fetcher], accept=lambda b: b[:4] == b"%PDF") -> DataFrame:
-    """(pmcid, kind, content, error): per paper the first candidate by rank whose content is accepted."""
+    """(pmcid, kind, content, error): per paper the first candidate by rank whose content is accepted.
+
+    If the archive sends the reader on to a page that names a PDF, the publisher's CDN is tried for that name. Of a
+    packed article the first PDF counts.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = factory()
         done, tried = set(), {}
+
+        def fetched(url):
+            got = backend.get(url)
+            return got if isinstance(got, tuple) else (got, url)
+
         for frame in frames:
             out = []
             for row in frame.itertuples(index=False):
                 if row.pmcid in done:
                     continue
+                kind = row.kind
                 try:
-                    content = backend.get(row.url)
+                    content, final = fetched(row.url)
+                    content = first_pdf(content) if kind == "archive" else content
+                    if kind == "pmc" and not accept(content) and "pmc.ncbi.nlm.nih.gov" in final and (other := cdn_address(final)):
+                        (content, _), kind = fetched(other), "cdn"
                     if accept(content):
                         done.add(row.pmcid)
                         tried.pop(row.pmcid, None)
-                        out.append((row.pmcid, row.kind, content, None))
+                        out.append((row.pmcid, kind, content, None))
                 except Exception as e:
                     tried[row.pmcid] = repr(e)
                 else:
@@ -115,27 +181,69 @@ def fetch_first(candidates: DataFrame, factory: Callable[[], Fetcher], accept=la
             yield pd.DataFrame(out, columns=["pmcid", "kind", "content", "error"])
         yield pd.DataFrame([(k, None, None, v) for k, v in tried.items()], columns=["pmcid", "kind", "content", "error"])
 
-    ordered = candidates.repartition("pmcid").sortWithinPartitions("pmcid", "rank", "url")
+    ordered = candidates.repartition("pmcid").sortWithinPartitions("pmcid", "rank", "pos", "url")
     return ordered.mapInPandas(run, "pmcid string, kind string, content binary, error string")
 
 
-def ask_model(prompts: DataFrame, factory: Callable[[], VisionModel], sleep=time.sleep) -> DataFrame:
-    """``prompts`` (item_id, prompt, image) with answer, analysis_error and elapsed_sec; an error never stops the rest."""
+def downloaded(papers: DataFrame, have: DataFrame, email: str, factory: Callable[[], Fetcher]) -> DataFrame:
+    """(pmcid, kind, content, error) of the ``papers`` that ``have`` (pmcid) lacks: lookups, candidates, first that works.
+
+    The error of a paper without any is pdf_download_failed: and its pmcid.
+    """
+    from . import acquisition
+
+    todo = papers.join(have.select("pmcid").distinct(), "pmcid", "left_anti")
+    answers = ask_services(acquisition.lookups(todo, email), factory)
+    got = fetch_first(acquisition.candidates(todo, answers), factory)
+    out = todo.select("pmcid").join(got, "pmcid", "left")
+    return out.withColumn("error", F.when(F.col("content").isNull(), F.concat(F.lit("pdf_download_failed:"), F.col("pmcid"))))
+
+
+def ask_model(prompts: DataFrame, factory: Callable[[], VisionModel], sleep=time.sleep, key: str = "item_id") -> DataFrame:
+    """The ``key`` of ``prompts`` (key, prompt, image) with answer, analysis_error and elapsed_sec; an error never stops the rest."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = factory()
         for frame in frames:
             out = []
-            for row in frame.itertuples(index=False):
+            for name, prompt, image in frame.itertuples(index=False):
                 began, answer, error = time.monotonic(), None, None
                 try:
-                    answer = patient(lambda row=row: model.ask(row.prompt, row.image), sleep=sleep)
+                    answer = patient(lambda prompt=prompt, image=image: model.ask(prompt, image), sleep=sleep)
                 except Exception as e:
                     error = repr(e)
-                out.append((row.item_id, answer, error, round(time.monotonic() - began, 1)))
-            yield pd.DataFrame(out, columns=["item_id", "answer", "analysis_error", "elapsed_sec"])
+                out.append((name, answer, error, round(time.monotonic() - began, 1)))
+            yield pd.DataFrame(out, columns=[key, "answer", "analysis_error", "elapsed_sec"])
+
+    kind = prompts.schema[key].dataType.simpleString()
+    return prompts.select(key, "prompt", "image").mapInPandas(run, f"{key} {kind}, answer string, analysis_error string, elapsed_sec double")
+
+
+def fragments(raw) -> list[tuple[str, float]]:
+    """(text, confidence) of what OCR engines give: pairs, (box, text, score), dicts, or an object with txts and scores.
 
-    return prompts.select("item_id", "prompt", "image").mapInPandas(run, "item_id long, answer string, analysis_error string, elapsed_sec double")
+    Of a tuple the first part counts. White space is collapsed, blank texts go, and what is no number is 0.
+    """
+
+    def number(x) -> float:
+        try:
+            return float(x or 0)
+        except (TypeError, ValueError):
+            return 0.0
+
+    raw = raw[0] if isinstance(raw, tuple) and raw else raw
+    if hasattr(raw, "txts"):
+        scores = list(raw.scores or [])
+        found = [(t, number(scores[k]) if k < len(scores) else 0.0) for k, t in enumerate(raw.txts or [])]
+    else:
+        found = []
+        for row in raw if isinstance(raw, list) else []:
+            if isinstance(row, dict):
+                found.append((row.get("text") or row.get("rec_text") or "", number(row.get("confidence") or row.get("score") or row.get("rec_score"))))
+            elif isinstance(row, (list, tuple)) and len(row) >= 2:
+                found.append((row[1], number(row[2])) if len(row) >= 3 else (row[0], number(row[1])))
+    flat = [(" ".join(str(t).split()), c) for t, c in found]
+    return [(t, c) for t, c in flat if t]
 
 
 def read_ocr(images: DataFrame, factory: Callable[[], Ocr]) -> DataFrame:
@@ -152,7 +260,7 @@ def read_ocr(images: DataFrame, factory: Callable[[], Ocr]) -> DataFrame:
                 if engine is None:
                     break
                 try:
-                    out += [(row.item_id, k, text, float(c)) for k, (text, c) in enumerate(engine.read(row.image))]
+                    out += [(row.item_id, k, text, float(c)) for k, (text, c) in enumerate(fragments(engine.read(row.image)))]
                 except Exception:
                     engine = None
             yield pd.DataFrame(out, columns=["item_id", "pos", "text", "confidence"])
@@ -187,3 +295,31 @@ def white_ratio(images: DataFrame, factory: Callable[[], Callable[[bytes], tuple
             yield pd.DataFrame({"item_id": frame["item_id"], "ratio": [w / n if n else 1.0 for w, n in got]})
 
     return images.select("item_id", "image").mapInPandas(run, "item_id long, ratio double")
+
+
+def render(regions: DataFrame, pdfs: DataFrame, factory: Callable[[], Renderer], dpi: int = 200) -> DataFrame:
+    """``regions`` (paper_id, label, kind, page, box, rotated) with image (PNG), image_size and error.
+
+    A figure's size is that of its box in points, a table's that of the image in pixels. Each PDF is read once, with
+    all of its regions; a region that can't be rendered has an error and no image.
+    """
+    names = ("label", "kind", "page", "box", "rotated")
+    rows = regions.groupBy("paper_id").agg(F.collect_list(F.struct(*names)).alias("r")).join(pdfs.select("paper_id", "content"), "paper_id")
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        backend = factory()
+        for frame in frames:
+            out = []
+            for paper, found, content in frame[["paper_id", "r", "content"]].itertuples(index=False):
+                for r in found:
+                    box = tuple(r["box"][k] for k in ("x0", "y0", "x1", "y1"))
+                    try:
+                        image, *size = backend.render(content, r["page"], box, dpi, bool(r["rotated"]))
+                        if r["kind"] != "table":
+                            size = [round(box[2] - box[0]), round(box[3] - box[1])]
+                        out.append((paper, r["label"], image, size, None))
+                    except Exception as e:
+                        out.append((paper, r["label"], None, None, repr(e)))
+            yield pd.DataFrame(out, columns=["paper_id", "label", "image", "image_size", "error"])
+
+    return rows.mapInPandas(run, "paper_id string, label string, image binary, image_size array<int>, error string")

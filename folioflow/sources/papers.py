@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioflow.functions.text import stripped
+
 PAPER_COLUMNS = ("pmcid", "doi", "title", "text_clean")
 
 
@@ -19,7 +21,7 @@ def require(df: DataFrame, *names: str) -> DataFrame:
 def clean(column: str | Column) -> Column:
     """Text without white space around it; null is empty."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.trim(F.coalesce(c.cast("string"), F.lit("")))
+    return stripped(F.coalesce(c.cast("string"), F.lit("")))
 
 
 def with_defaults(df: DataFrame) -> DataFrame:
@@ -112,7 +114,27 @@ def append_log(df: DataFrame, folder: str) -> None:
     df.write.mode("append").json(folder)
 
 
-def read_items(spark: SparkSession, path: str) -> DataFrame:
-    """Items of JSON documents {..., items: [...]}, one row each, with their position."""
-    docs = spark.read.option("multiLine", True).json(path)
-    return docs.select(F.posexplode("items").alias("pos", "_i")).select("pos", "_i.*")
+def items_of(documents: DataFrame) -> DataFrame:
+    """Items of documents with an array ``items``, one row each, with their position."""
+    return documents.select(F.posexplode("items").alias("pos", "_i")).select("pos", "_i.*")
+
+
+def read_items(spark: SparkSession, figures: str, tables: str | None = None) -> DataFrame:
+    """Items of JSON documents {..., items: [...]}: those of figures, then those of tables if that path is there."""
+    from .lifecycle import exists
+
+    read = lambda path, part: items_of(spark.read.option("multiLine", True).json(path)).withColumn("part", F.lit(part))
+    first = read(figures, 0)
+    return union_items(first, read(tables, 1)) if tables and exists(spark, tables) else first
+
+
+def done_items(items: DataFrame) -> DataFrame:
+    """Items that have an analysis already."""
+    return items.filter("analysis is not null")
+
+
+def done_papers(listing: DataFrame, *markers: str) -> DataFrame:
+    """(pmcid) of the folders of a file listing (path) that hold all ``markers``."""
+    folder = F.regexp_extract("path", r"([^/]+)/[^/]+$", 1)
+    found = listing.select(folder.alias("pmcid"), basename("path").alias("_f")).filter(F.col("_f").isin(*markers))
+    return found.groupBy("pmcid").agg(F.countDistinct("_f").alias("_n")).filter(F.col("_n") == len(set(markers))).select("pmcid")

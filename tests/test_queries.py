@@ -6,7 +6,7 @@ import duckdb
 import pandas as pd
 import pytest
 
-from folioflow.plans import queries
+from folioflow.plans import more_queries, queries  # noqa: F401  (registers its queries)
 
 
 @pytest.fixture(scope="module")

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import os
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -119,17 +123,27 @@ def remainder(key: str, modulus: int):
 
 
 _CACHES: dict = {}
+_OWNER = ""
 
 
-def claim(owner: str, forget) -> None:
+def claim(owner: str, forget=lambda: None) -> None:
     """Called where an operator starts in a Python worker: what other operators remember there is forgotten.
 
-    Workers outlive stages, and a pipeline's stages would else add up their caches.
+    Workers outlive stages, and a pipeline's stages would else add up their caches. What is free then goes back to the
+    system, as far as the allocators can.
     """
+    global _OWNER
     _CACHES.setdefault(owner, forget)
+    if owner == _OWNER:
+        return
+    _OWNER = owner
     for name, other in _CACHES.items():
         if name != owner:
             other()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # only where the C library is glibc
+        ctypes.CDLL(None).malloc_trim(0)
 
 
 #: A hot key has at least this many rows and at least 1/HOT_SHARE of all rows.

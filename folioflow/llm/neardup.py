@@ -130,6 +130,7 @@ class _Links:
         percent, least = self.percent, OVERLAP / K
 
         def run(batches):
+            claim("sets")
             for batch in batches:
                 keep = []
                 for x, y in zip(batch.column(2), batch.column(3), strict=True):
@@ -194,6 +195,7 @@ def _set_postings(sets: DataFrame, percent: int) -> DataFrame:
     shared = sets.sparkSession.sparkContext.broadcast(counts)
 
     def run(batches):
+        claim("sets")
         for batch in batches:
             values, nodes, sizes, first = [], [], [], []
             for node, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

@@ -134,13 +134,12 @@ def claim(owner: str, forget=lambda: None) -> None:
     """
     global _OWNER
     _CACHES.setdefault(owner, forget)
-    if owner == _OWNER:
-        return
-    _OWNER = owner
-    for name, other in _CACHES.items():
-        if name != owner:
-            other()
-    gc.collect()
+    if owner != _OWNER:
+        _OWNER = owner
+        for name, other in _CACHES.items():
+            if name != owner:
+                other()
+        gc.collect()
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only where the C library is glibc
         ctypes.CDLL(None).malloc_trim(0)

@@ -25,7 +25,7 @@ from .common import claim, stored, text_or_empty
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
 FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 12, 50_000
-CACHE_WORDS, CACHE_CHARS, LINE_WORDS = 250_000, 64, 500
+CACHE_WORDS, CACHE_CHARS, LINE_WORDS = 200_000, 64, 500
 
 # White space with the run after it: cutting before white space that follows another character is always safe.
 _WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")

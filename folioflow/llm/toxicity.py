@@ -27,7 +27,7 @@ MAX_ROWS, CLEAN_SHARE, THRESHOLD = 2_000, 2, 0.5
 WINDOW, STRIDE, HIDDEN, WIDTH = 32, 24, 8, 8
 GRAMS, BUCKETS, VOCABULARY, LEAST_ROWS = (3, 4, 5), 1 << 15, 30_000, 3
 EPOCHS, BATCH, RATE, CLEAN_WINDOWS, MAX_CHARS = 4, 256, 0.05, 3, 40_000_000
-TABLE_ROWS, SCORE_WINDOWS, LEAST_APART = 200_000, 4_096, 500
+TABLE_ROWS, SCORE_WINDOWS, LEAST_APART = 120_000, 4_096, 500
 _STRIP = b".,;:!?\"'()[]{}*%$&#<>|-_"
 
 

@@ -16,8 +16,14 @@ from pyspark.sql import functions as F
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+#: Arrow batches between Spark and Python workers have so many bytes at most (or one row), unless the session says otherwise.
+BATCH_BYTES, _BATCH_CONF = "8m", "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Let Python workers import this library from where the driver imported it."""
+    """Let Python workers import this library from where the driver imported it, and bound what they hold at once."""
+    if spark.conf.get(_BATCH_CONF).rstrip("b") == str(64 << 20):  # the default
+        spark.conf.set(_BATCH_CONF, BATCH_BYTES)
     env = spark.sparkContext.environment
     if ROOT not in env.get("PYTHONPATH", "").split(":"):
         env["PYTHONPATH"] = ":".join(x for x in (ROOT, env.get("PYTHONPATH", "")) if x)

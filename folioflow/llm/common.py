@@ -146,11 +146,32 @@ def claim(owner: str, forget=lambda: None) -> None:
             if name != owner:
                 other()
         gc.collect()
+    give_back()
+
+
+def give_back() -> None:
+    """Return free memory of this Python worker to the system."""
     pa.default_memory_pool().release_unused()
     with contextlib.suppress(OSError, AttributeError):  # only where the C library is glibc
         ctypes.CDLL(None).malloc_trim(0)
 
 
+def lean(owner: str, forget=lambda: None):
+    """Decorator of a function for mapInArrow: it ``claim``s its worker first and leaves it with no memory to spare."""
+
+    def wrap(run):
+        def inner(batches):
+            claim(owner, forget)
+            try:
+                yield from run(batches)
+            finally:
+                give_back()
+
+        return inner
+
+    return wrap
+
+
 #: A hot key has at least this many rows and at least 1/HOT_SHARE of all rows.
 HOT_ROWS, HOT_SHARE = 256, 4096
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, claim, discard, private, quoted, stored, text_or_empty
+from .common import attach_groups, claim, discard, give_back, lean, private, quoted, stored, text_or_empty
 from .components import roots
 from .shingles import forget_words, jaccard_at_least, shingle_set
 
@@ -40,7 +40,7 @@ K, OVERLAP = 64, 28
 #: Lists of more nodes than this are long; a hub's rows are dealt out by HUB_ROWS; hubs that a node meets there.
 LIST_ROWS, HUB_ROWS, TRIES = 32, 1_000, 4
 #: Cells that count shingles; nodes and shingles of a block; cells of a matrix.
-CELLS, BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_CELLS = 1 << 20, 512, 400_000, 8_000_000
+CELLS, BLOCK_ROWS, BLOCK_SHINGLES, BLOCK_CELLS = 1 << 20, 512, 400_000, 2_000_000
 ADDED = ("n_shingles", "component_id", "kept")
 _SIGN = np.uint64(1 << 63)
 
@@ -48,8 +48,8 @@ _SIGN = np.uint64(1 << 63)
 def sketches(df: DataFrame, key: str, text: str) -> DataFrame:
     """doc_id, h (a hash of the text), n_shingles, digest of the set (null if empty), sketch (ascending; as signed numbers in the same order)."""
 
+    @lean("shingles", forget_words)
     def run(batches):
-        claim("shingles", forget_words)
         for batch in batches:
             sizes, digests, values = [], [], []
             for t in batch.column(2):
@@ -129,8 +129,8 @@ class _Links:
         both = both.join(self.sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa")), "a").select("a", "b", "sa", "sb")
         percent, least = self.percent, OVERLAP / K
 
+        @lean("sets")
         def run(batches):
-            claim("sets")
             for batch in batches:
                 keep = []
                 for x, y in zip(batch.column(2), batch.column(3), strict=True):
@@ -194,8 +194,8 @@ def _set_postings(sets: DataFrame, percent: int) -> DataFrame:
     counts[counted["cell"].to_numpy()] = counted["n"].to_numpy()
     shared = sets.sparkSession.sparkContext.broadcast(counts)
 
+    @lean("sets")
     def run(batches):
-        claim("sets")
         for batch in batches:
             values, nodes, sizes, first = [], [], [], []
             for node, raw in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
@@ -283,6 +283,7 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     def compare(askers, members):
         import pandas as pd
 
+        claim("blocks")
         rows, up = [], {}  # components that links of this block have joined already
         if len(askers) and len(members):
             one, two = by_size(askers, 1), by_size(members, 2)
@@ -290,6 +291,8 @@ def _blocks(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 for w in (v - 1, v, v + 1):
                     if w in two:
                         rows += compared(group, two[w], up)
+            del one, two
+        give_back()
         return pd.DataFrame(rows, columns=["a", "b"]).astype("int64")
 
     out = stored(left.groupBy("v1", "i1", "j1").cogroup(right.groupBy("v2", "i2", "j2")).applyInPandas(compare, "a long, b long").distinct(), "block-links")
@@ -371,8 +374,8 @@ def _sets(df: DataFrame, wanted: DataFrame, key: str, text: str) -> DataFrame:
     rows = df.select(F.col(key).cast("long").alias("_d"), F.xxhash64(text_or_empty(text)).alias("_h"), text_or_empty(text).alias("text"))
     met = rows.join(wanted, F.col("doc").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h"))).select("node", "digest", "text")
 
+    @lean("shingles", forget_words)
     def run(batches):
-        claim("shingles", forget_words)
         for batch in batches:
             nodes, sets = [], []
             for node, digest, t in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .bpe import SPACE
-from .common import claim, stored, text_or_empty
+from .common import lean, stored, text_or_empty
 
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
@@ -106,8 +106,8 @@ def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(rows, kinds, strict=True)], ["doc_id", "piece", "start", "length", "ids_crc32"])
 
+    @lean("packing", _tokenizer.cache_clear)
     def run(batches):
-        claim("packing", _tokenizer.cache_clear)
         for batch in batches:
             keys, column = batch.column(0).to_pylist(), batch.column(1)
             for k in range(0, len(keys), 512):

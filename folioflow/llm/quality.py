@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, prepare, private, remainder, replaced, schema_text, text_or_empty
+from .common import lean, prepare, private, remainder, replaced, schema_text, text_or_empty
 
 MAX_ROWS, FOLDS, THRESHOLD = 20_000, 5, 0.3
 BINS, PAIR_BINS, ROUNDS, PAIR_ROUNDS, PAIRS, LEAVES, RATE = 32, 8, 150, 60, 8, 4, 0.12
@@ -225,8 +225,8 @@ def scored(df: DataFrame, model: Model, threshold: float = THRESHOLD, key: str =
     names = df.columns
     (own,) = private(names, "_text")
 
+    @lean("quality")
     def run(batches):
-        claim("quality")
         for batch in batches:
             x = np.array([measure(t.as_py()) for t in batch.column(len(names))], float).reshape(-1, len(FEATURES))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shared.value.score(x))], [*names, "score"])

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import claim, prepare, private, remainder, replaced, schema_text, text_or_empty
+from .common import lean, prepare, private, remainder, replaced, schema_text, text_or_empty
 from .quality import FOLDS, labelled
 
 MAX_ROWS, CLEAN_SHARE, THRESHOLD = 2_000, 2, 0.5
@@ -447,8 +447,8 @@ def scored(df: DataFrame, net: Network, threshold: float = THRESHOLD, key: str =
     names = df.columns
     (own,) = private(names, "_text")
 
+    @lean("toxicity", _SCORERS.clear)
     def run(batches):
-        claim("toxicity", _SCORERS.clear)
         scorer = _scorer(shared.value)
         for batch in batches:
             for k in range(0, max(1, batch.num_rows), 512):

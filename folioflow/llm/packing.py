@@ -9,33 +9,35 @@ entries are broadcast; their number follows from the distinct lengths, not from
 from __future__ import annotations
 
 import re
-import struct
 import zlib
 from bisect import bisect_right
 from functools import lru_cache
+from itertools import chain, count, pairwise
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import SPACE
+from .bpe import SPACE, safe_pieces
 from .common import lean, stored, text_or_empty
 
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
 FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 12, 50_000
-CACHE_WORDS, CACHE_CHARS, LINE_WORDS = 200_000, 64, 500
+CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES = 200_000, 64, 50, 8 << 20
 
-# White space with the run after it: cutting before white space that follows another character is always safe.
-_WORDS = re.compile(f"[{SPACE}]*[^{SPACE}]+|[{SPACE}]+")
-_ONE_SPACE = re.compile(f" [^{SPACE}]+")
+# A word is white space with the run after it, less full stops and the like: cutting before white space that follows
+# another character is always safe, and so is cutting between a letter and a mark that isn't an apostrophe.
+_CUTS = (f"([^{SPACE}])([{SPACE}])", "([A-Za-z])([.,;:!?])")
+_ONE_SPACE = re.compile(f"[ \n][^{SPACE}]+")
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
-    """The tokenizer, and two generations of remembered words."""
+    """The tokenizer, which ids begin with a space or line break, and the remembered words."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -43,49 +45,78 @@ def _tokenizer(path: str):
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    return tok, {}, {}
+    spaced = np.zeros(1 + max(tok.get_vocab().values()), bool)
+    spaced[[i for token, i in tok.get_vocab().items() if token.startswith(("\u0120", "\u010a"))]] = True  # as byte-level BPE writes them
+    tok.model._resize_cache(0)  # words come once
+    return tok, spaced, {}
 
 
-def _words_ids(path: str, texts: list[str]) -> list[bytes]:
-    """Each text's ids as little-endian unsigned 32-bit integers.
+def _encoded(path: str, words: list[str]) -> dict[str, bytes]:
+    """Each word's ids; words of a space or line break and then no other white space are encoded many at once.
 
-    Words are encoded once and remembered, up to CACHE_WORDS of them; then they become the old generation, of which
-    those that occur again are taken over and the others forgotten. Long words are not remembered.
+    These two are found at a token's start only, so in a line of such words an id that begins with one begins a word.
     """
-    tok, known, old = _tokenizer(path)
-    split = [_WORDS.findall(t) for t in texts]
-    new: set[str] = set()
-    for words in split:
-        new.update(words)
-    if len(known) >= CACHE_WORDS:
-        old.clear()
-        old.update(known)
-        known.clear()
-    new = {w for w in new if w not in known}  # looks up the few, doesn't go over the many
-    again = [w for w in new if w in old]
-    known.update(zip(again, map(old.__getitem__, again), strict=True))
-    new.difference_update(again)
-    passing = [w for w in new if len(w) > CACHE_CHARS]
-    # A space and then no other white space: such words are encoded many at once, a line break between two.
-    plain = [w for w in new if w[0] == " " and _ONE_SPACE.fullmatch(w)]
+    tok, spaced, _ = _tokenizer(path)
+    out: dict[str, bytes] = {}
+    plain = [w for w in words if _ONE_SPACE.fullmatch(w)]
     lines = [plain[k : k + LINE_WORDS] for k in range(0, len(plain), LINE_WORDS)]
-    split_at = tok.encode("\n", add_special_tokens=False).ids
-    for part, e in zip(lines, tok.encode_batch_fast(["\n".join(part) for part in lines], add_special_tokens=False), strict=True):
+    for part, e in zip(lines, tok.encode_batch_fast(["".join(part) for part in lines], add_special_tokens=False), strict=True):
         ids = np.array(e.ids, "<u4")
-        ends = np.flatnonzero(ids == split_at[0]).tolist()
-        if len(split_at) == 1 and len(ends) == len(part) - 1:
-            raw = ids.tobytes()
-            known.update(zip(part, [raw[4 * a : 4 * b] for a, b in zip([0, *[x + 1 for x in ends]], [*ends, len(ids)], strict=True)], strict=True))
-    rest = [w for w in new if w not in known]
+        starts = np.flatnonzero(spaced[ids])
+        if len(starts) == len(part) and starts[0] == 0:
+            raw, ends = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            out.update(zip(part, [raw[x:y] for x, y in pairwise(ends)], strict=True))
+    rest = [w for w in words if w not in out]
     for w, e in zip(rest, tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-        ids = e.ids
-        known[w] = struct.pack(f"<{len(ids)}I", *ids)
-    out = [b"".join(map(known.__getitem__, words)) for words in split]
-    for w in passing:
-        del known[w]
+        out[w] = np.array(e.ids, "<u4").tobytes()
     return out
 
 
+def _batch_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all texts, one after the other, and where each text's begin (and the last one's end).
+
+    Texts are cut into words and the words numbered by Arrow; Python sees each different word of the batch once. Words
+    that occur more than once in a batch are remembered, up to CACHE_WORDS; beyond that only those of this batch are kept.
+    Long words are not remembered.
+    """
+    known = _tokenizer(path)[2]
+    texts = texts.cast(pa.large_string())
+    # A mark that is in no text; none of them begins as it ends, so with text around it stays the only one at its place.
+    mark = next(m for m in chain(["\x00"], (f"\x00{n}\x01" for n in count())) if not pc.any(pc.match_substring(texts, m)).as_py())
+    for cut in _CUTS:
+        texts = pc.replace_substring_regex(texts, cut, f"\\1{mark}\\2")
+    lists = pc.split_pattern(texts, mark)
+    numbered = pc.dictionary_encode(lists.values)
+    words, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+    new = _encoded(path, [w for w in words if w not in known])
+    each = [new[w] if w in new else known[w] for w in words]
+    often = (np.bincount(codes, minlength=len(words)) > 1).tolist()
+    kept = {w: x for w, x, o in zip(words, each, often, strict=True) if o and len(w) <= CACHE_CHARS}
+    if len(known) + len(kept.keys() & new.keys()) > CACHE_WORDS:
+        known.clear()
+    known.update(kept)
+    taken = pa.array(each, pa.large_binary()).take(numbered.indices)
+    bounds = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1) // 4
+    raw = taken.buffers()[2]
+    ids = np.frombuffer(raw, "<u4", bounds[-1]) if raw else np.zeros(0, "<u4")
+    return ids, bounds[lists.offsets.to_numpy()]
+
+
+def _text_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """As ``_batch_ids``, with texts of more than BLOCK_BYTES in parts, so that its tables stay small."""
+    if texts.nbytes <= 2 * BLOCK_BYTES:
+        return _batch_ids(path, texts)
+    each = [np.concatenate([_batch_ids(path, pa.array([part]))[0] for part in safe_pieces(t.as_py(), BLOCK_BYTES // 2)]) for t in texts]
+    return np.concatenate(each), np.cumsum([0, *map(len, each)])
+
+
+def _slices(texts: pa.Array) -> list[tuple[int, int]]:
+    """(first row, rows) of stretches of about BLOCK_BYTES; a longer text ends its stretch."""
+    block = np.cumsum(pc.binary_length(texts).to_numpy(zero_copy_only=False).astype(np.int64)) // BLOCK_BYTES
+    starts = [0, *(np.flatnonzero(np.diff(block)) + 1).tolist(), len(block)]
+    return [(a, b - a) for a, b in pairwise(starts) if b > a]
+
+
 def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = 0, key: str = "doc_id", text: str = "text") -> DataFrame:
     """PIECES: a document's ids and ``end_id``, cut into pieces of ``capacity`` if it is longer; the first may be shorter.
 
@@ -94,8 +125,9 @@ def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
 
     def cut(keys, texts):
         rows = ([], [], [], [], [])
-        for one, raw in zip(keys, _words_ids(path, texts), strict=True):
-            raw += int(end_id).to_bytes(4, "little")
+        ids, bounds = _text_ids(path, texts)
+        for one, first, last in zip(keys, bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+            raw = ids[first:last].tobytes() + int(end_id).to_bytes(4, "little")
             n = len(raw) // 4
             start, piece = 0, 0
             while start < n:
@@ -109,9 +141,8 @@ def token_pieces(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: int
     @lean("packing", _tokenizer.cache_clear)
     def run(batches):
         for batch in batches:
-            keys, column = batch.column(0).to_pylist(), batch.column(1)
-            for k in range(0, len(keys), 512):
-                yield cut(keys[k : k + 512], column.slice(k, 512).to_pylist())
+            for start, n in _slices(batch.column(1)):
+                yield cut(batch.column(0).slice(start, n).to_pylist(), batch.column(1).slice(start, n))
 
     return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(run, PIECES)
 

@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -72,13 +73,32 @@ def test_packing(spark, small):
     assert packing.pack_documents(frame(spark, texts).limit(0), JSON).collect() == []
 
 
+def split_ids(texts):
+    ids, bounds = packing._text_ids(JSON, pa.array(texts, pa.string()))
+    return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
+
+
 def test_word_cache_forgets(monkeypatch):
     monkeypatch.setattr(packing, "CACHE_WORDS", 3)
     tok, *_ = packing._tokenizer(JSON)
     texts = [f"w{k} same w{k + 1}" for k in range(40)]
     for k in range(0, 40, 4):
-        for t, raw in zip(texts[k : k + 4], packing._words_ids(JSON, texts[k : k + 4]), strict=True):
-            assert raw == np.array(tok.encode(t, add_special_tokens=False).ids, "<u4").tobytes()
+        for t, ids in zip(texts[k : k + 4], split_ids(texts[k : k + 4]), strict=True):
+            assert ids == tok.encode(t, add_special_tokens=False).ids
+        assert len(packing._tokenizer(JSON)[2]) <= 3 + 9  # what is over it stays only until the next batch
+
+
+@pytest.mark.parametrize("block", (8 << 20, 64))
+def test_words_of_any_kind(monkeypatch, block):
+    """Texts cut into words, and long ones into parts first, have the ids of whole texts."""
+    monkeypatch.setattr(packing, "BLOCK_BYTES", block)
+    r, tok = random.Random(5), packing._tokenizer(JSON)[0]
+    kinds = " \n\t\r\xa0\u3000ab1.,'!\x00\x01\\\xe9\u4e2d\U0001f600\u0120\u010a"
+    texts = ["", " ", "   x", "a\x00b c.d", "\x000\x01 \x00", "<|endoftext|> hi. <|endoftext|>", "x\n\n  y  ", "it's  we'll.\n \n z", "x" * 300, *["".join(r.choices(kinds, k=r.randrange(200))) for _ in range(500)]]
+    for part in (texts, [t for t in texts if "\x00" not in t], [""], []):
+        assert split_ids(part) == [tok.encode(t, add_special_tokens=False).ids for t in part]
+    column = pa.array(texts)
+    assert [k for a, n in packing._slices(column) for k in range(a, a + n)] == list(range(len(texts)))
 
 
 @pytest.mark.parametrize("seed", range(4))

@@ -71,14 +71,14 @@ def scratch(spark: SparkSession, name: str) -> str:
 ROWS_A_TASK, LEAST_TASKS = 200_000, 8
 
 
-def stored(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, name: str, rows: int | None = None, **options) -> DataFrame:
     """Write ``df`` to the shared folder and read it back: cuts the lineage, and no lost executor can undo it.
 
-    ``rows``: how many there are at most, if that is known; as many tasks as they are worth then write them.
+    ``rows``: how many there are at most, if that is known; as many tasks as they are worth then write them. ``options`` are the writer's.
     """
     spark = df.sparkSession
     path = scratch(spark, name)
-    (df if rows is None else df.coalesce(max(LEAST_TASKS, rows // ROWS_A_TASK))).write.parquet(path)
+    (df if rows is None else df.coalesce(max(LEAST_TASKS, rows // ROWS_A_TASK))).write.options(**options).parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._folioflow_path = path
     return out

@@ -1,4 +1,7 @@
-"""Lexical retrieval over an inverted index: TF-IDF and BM25 scores, top-k, reordering and layered context.
+"""Lexical retrieval: TF-IDF and BM25 scores, top-k, reordering and layered context.
+
+For many queries to the same chunks there is a stored index (``index``); the scores here are made from the texts, for
+chunks that are asked once.
 
 Chunks are (paper, chunk_ix, text), queries (item_id, paper, query). Scores come from a join on the term, so only
 chunks that share a term with a query are touched; chunks without one have score 0 and fill up an item's top k from
@@ -7,8 +10,6 @@ the first chunks of its paper.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,15 +21,6 @@ MOST_BROADCAST = 200_000  # terms of queries that are broadcast; more are joined
 LOCAL, GLOBAL, BETWEEN, CHUNK_RULE = "FIGURE/TABLE LOCAL CONTEXT (BM25 top-{k} chunks):\n", "PAPER GLOBAL CONTEXT MAP:\n", "\n\n====\n\n", "\n\n---\n\n"
 
 
-@dataclass
-class Index:
-    """What retrieval over many queries needs of the chunks, made once."""
-
-    postings: DataFrame
-    stats: DataFrame
-    sizes: DataFrame
-
-
 def postings(chunks: DataFrame, wanted: DataFrame | None = None) -> DataFrame:
     """(paper, chunk_ix, term, tf, dl): how often a term occurs in a chunk of dl words; of ``wanted`` (paper, term) alone if given."""
     t = chunks.select("paper", "chunk_ix", tokens("text").alias("_t"))
@@ -55,19 +47,6 @@ def sizes(chunks: DataFrame) -> DataFrame:
     return chunks.groupBy("paper").agg(F.count(F.lit(1)).alias("n"), F.avg(F.size(tokens("text"))).alias("avgdl"))
 
 
-def build_index(chunks: DataFrame, folder: str) -> Index:
-    """The index of ``chunks``, written to ``folder`` once and read from there by every query."""
-    spark = chunks.sparkSession
-    made = {"postings": postings(chunks), "sizes": sizes(chunks)}
-    out = {}
-    for name, table in made.items():
-        table.write.mode("overwrite").parquet(f"{folder}/{name}")
-        out[name] = spark.read.schema(table.schema).parquet(f"{folder}/{name}")
-    stats = term_stats(out["postings"]).drop("tf")
-    stats.write.mode("overwrite").parquet(f"{folder}/stats")
-    return Index(out["postings"], spark.read.schema(stats.schema).parquet(f"{folder}/stats"), out["sizes"])
-
-
 def query_terms(queries: DataFrame) -> DataFrame:
     """(item_id, paper, term, qf): a query's terms with their repeats."""
     return queries.select("item_id", "paper", F.explode(tokens("query")).alias("term")).groupBy("item_id", "paper", "term").agg(F.count(F.lit(1)).alias("qf"))
@@ -79,25 +58,23 @@ def _summed(queries: DataFrame, found: DataFrame, weights: DataFrame, score: Col
     return terms.join(found, ["paper", "term"]).groupBy("item_id", "paper", "chunk_ix").agg(F.round(F.sum(F.col("qf") * score), DIGITS).alias("score"))
 
 
-def _found(queries: DataFrame, chunks: DataFrame, index: Index | None) -> DataFrame:
+def _found(queries: DataFrame, chunks: DataFrame) -> DataFrame:
     """Postings of the queries' terms: no others are counted or shuffled."""
-    wanted = query_terms(queries).select("paper", "term").distinct()
-    return postings(chunks, wanted) if index is None else index.postings
+    return postings(chunks, query_terms(queries).select("paper", "term").distinct())
 
 
-def tfidf(queries: DataFrame, chunks: DataFrame, index: Index | None = None) -> DataFrame:
+def tfidf(queries: DataFrame, chunks: DataFrame) -> DataFrame:
     """(item_id, paper, chunk_ix, score) of chunks that share a term: sum of tf/dl * (ln((n+1)/(df+1)) + 1)."""
-    found = _found(queries, chunks, index)
-    stats = term_stats(found).drop("tf") if index is None else index.stats
-    weights = stats.join(sizes(chunks) if index is None else index.sizes, "paper")
+    found = _found(queries, chunks)
+    weights = term_stats(found).drop("tf").join(sizes(chunks), "paper")
     weights = weights.select("paper", "term", (F.log((F.col("n") + 1) / (F.col("df") + 1)) + 1).alias("idf"))
     return _summed(queries, found, weights, F.col("tf") / F.col("dl") * F.col("idf"))
 
 
-def bm25(queries: DataFrame, chunks: DataFrame, index: Index | None = None) -> DataFrame:
+def bm25(queries: DataFrame, chunks: DataFrame) -> DataFrame:
     """The same by Okapi BM25; a negative idf becomes FLOOR times the paper's mean idf, which all its terms make."""
-    found = _found(queries, chunks, index)
-    stats = (frequencies(chunks) if index is None else index.stats).join(sizes(chunks) if index is None else index.sizes, "paper")
+    found = _found(queries, chunks)
+    stats = frequencies(chunks).join(sizes(chunks), "paper")
     stats = stats.withColumn("idf", F.log((F.col("n") - F.col("df") + 0.5) / (F.col("df") + 0.5)))
     mean = stats.groupBy("paper").agg(F.avg("idf").alias("mean"))
     weights = stats.join(mean, "paper").select("paper", "term", "avgdl", F.when(F.col("idf") < 0, F.col("mean") * FLOOR).otherwise(F.col("idf")).alias("idf"))
@@ -113,9 +90,7 @@ def top_k(queries: DataFrame, chunks: DataFrame, scores: DataFrame, k: int = TOP
     first = chunks.select("paper", "chunk_ix", F.row_number().over(Window.partitionBy("paper").orderBy("chunk_ix")).alias("_r")).filter(F.col("_r") <= 2 * k)
     zero = queries.select("item_id", "paper").join(first.drop("_r"), "paper").select("item_id", "paper", "chunk_ix", F.lit(0.0).alias("score"))
     best = Window.partitionBy("item_id").orderBy(F.desc("score"), "chunk_ix")
-    hits = scores.withColumn("_r", F.row_number().over(best)).filter(F.col("_r") <= k).drop("_r")
-    have = scores.select("item_id", "paper", "chunk_ix")
-    every = hits.unionByName(zero.join(have, ["item_id", "paper", "chunk_ix"], "left_anti"))
+    every = scores.unionByName(zero).groupBy("item_id", "paper", "chunk_ix").agg(F.sum("score").alias("score"))
     return every.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
 
 

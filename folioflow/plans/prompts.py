@@ -59,7 +59,8 @@ def context_used(label: Column, context: Column) -> Column:
 def parsed(answer: str | Column) -> Column:
     """The JSON of an answer as a variant: as it is without fences, else from its first to its last brace; else null."""
     c = F.col(answer) if isinstance(answer, str) else answer
-    bare = stripped(F.regexp_replace(F.regexp_replace(stripped(c), r"^```(?:json)?\s*", ""), r"\s*```$", ""))
+    opened = F.regexp_replace(stripped(c), r"^```(?:json)?", "")
+    bare = stripped(F.when(opened.endswith("```"), F.substring(opened, F.lit(1), F.length(opened) - F.lit(3))).otherwise(opened))
     return F.coalesce(F.try_parse_json(bare), F.try_parse_json(F.nullif(F.regexp_extract(bare, r"(?s)\{.*\}", 0), F.lit(""))))
 
 

@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from folioflow.functions import retrieval, text
+from folioflow.functions import index, retrieval, text
 from folioflow.operators import layout, ocr, tables
-from folioflow.sources import acquisition, papers
+from folioflow.sources import acquisition, lifecycle, papers
 
 from . import prompts
 
@@ -155,10 +155,19 @@ def _chunks(spark, d):
     return load(spark, d, "documents").select(F.col("lang").alias("paper"), F.col("doc_id").alias("chunk_ix"), "text")
 
 
+_INDEXES: dict[tuple, index.Index] = {}
+
+
 def _library(spark, d):
-    """All documents as the chunks of one paper, and all benchmark texts as queries to it."""
+    """All benchmark texts as queries to one paper, whose chunks are all documents, and the stored index of it.
+
+    The queries of a session share one index of the same state of the table.
+    """
     queries = load(spark, d, "benchmark").select("item_id", F.lit("all").alias("paper"), F.col("text").alias("query"))
-    return queries, _chunks(spark, d).withColumn("paper", F.lit("all"))
+    state = (spark.sparkContext.applicationId, *lifecycle.signature(spark, f"{d}/documents.parquet"))
+    if state not in _INDEXES:
+        _INDEXES[state] = index.build(_chunks(spark, d).withColumn("paper", F.lit("all")))
+    return queries, _INDEXES[state]
 
 
 @query(r"""SELECT paper, term, count(*) AS df, CAST(sum(tf) AS BIGINT) AS tf FROM (SELECT paper, doc_id, term, count(*) AS tf FROM (
@@ -180,24 +189,23 @@ ranked AS (SELECT item_id, doc_id AS chunk_ix, score, CAST(row_number() OVER (PA
 _TFIDF, _BM25 = "tf / dl * tfidf", "okapi * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))"
 
 
-def _best(spark, d, score):
-    queries, chunks = _library(spark, d)
-    return retrieval.top_k(queries, chunks, score(queries, chunks), 6)
+def _best(spark, d, kind):
+    return index.top_k(*_library(spark, d), 6, kind)
 
 
 @query(_RANKED.replace("SCORE", _TFIDF) + "SELECT item_id, chunk_ix, round(score, 6) AS score, rank FROM ranked")
 def tfidf_topk(spark, d):
-    return _best(spark, d, retrieval.tfidf).select("item_id", "chunk_ix", F.round("score", 6).alias("score"), "rank")
+    return _best(spark, d, "tfidf").select("item_id", "chunk_ix", F.round("score", 6).alias("score"), "rank")
 
 
 @query(_RANKED.replace("SCORE", _BM25) + "SELECT item_id, chunk_ix, round(score, 6) AS score, rank FROM ranked")
 def bm25_topk(spark, d):
-    return _best(spark, d, retrieval.bm25).select("item_id", "chunk_ix", F.round("score", 6).alias("score"), "rank")
+    return _best(spark, d, "bm25").select("item_id", "chunk_ix", F.round("score", 6).alias("score"), "rank")
 
 
 @query(_RANKED.replace("SCORE", _BM25) + """SELECT item_id, chunk_ix, rank, CAST(row_number() OVER (PARTITION BY item_id ORDER BY CASE rank WHEN 1 THEN 0 WHEN 2 THEN 2 ELSE 1 END, chunk_ix) AS INTEGER) AS out_pos FROM ranked""")
 def retrieve_order(spark, d):
-    return retrieval.reordered(_best(spark, d, retrieval.bm25)).select("item_id", "chunk_ix", "rank", "out_pos")
+    return retrieval.reordered(_best(spark, d, "bm25")).select("item_id", "chunk_ix", "rank", "out_pos")
 
 
 _WORDS = r"list_filter(regexp_split_to_array({}, '[\s\p{{Z}}]+'), lambda x: x <> '')"
@@ -275,8 +283,8 @@ c AS (SELECT o.item_id, string_agg(d.text, chr(10) || chr(10) || '---' || chr(10
 SELECT c.item_id, md5('PAPER GLOBAL CONTEXT MAP:' || chr(10) || paper_map || chr(10) || chr(10) || '====' || chr(10) || chr(10) || 'FIGURE/TABLE LOCAL CONTEXT (BM25 top-6 chunks):' || chr(10) || local) AS digest, retrieved_chunks, retrieved_words
 FROM c JOIN maps ON maps.doc_id = c.item_id""".replace("_W_", _WORDS.format("d.text")))
 def layered_context(spark, d):
-    queries, chunks = _library(spark, d)
-    got = retrieval.gathered(retrieval.retrieve(queries, chunks, 6), chunks).join(_maps(spark, d), F.col("item_id") == F.col("doc_id"))
+    chunks = _chunks(spark, d).withColumn("paper", F.lit("all"))
+    got = retrieval.gathered(retrieval.reordered(_best(spark, d, "bm25")), chunks).join(_maps(spark, d), F.col("item_id") == F.col("doc_id"))
     whole = retrieval.layered(F.col("paper_map"), F.col("local"), 6)
     return got.select("item_id", F.md5(whole.cast("binary")).alias("digest"), "retrieved_chunks", "retrieved_words")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,6 +19,33 @@ def exists(spark: SparkSession, path: str) -> bool:
     return store.exists(where)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A fresh path below ``spark.checkpoint.dir``, which driver and executors share, deleted when the driver ends.
+
+    Only a local master, whose executors are the driver, may do without that setting.
+    """
+    sc = spark.sparkContext
+    shared = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    if not shared:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        shared = getattr(sc, "_folioflow_scratch", None)
+        if not shared:
+            shared = sc._folioflow_scratch = "file://" + tempfile.mkdtemp(prefix="folioflow-")
+    path = f"{shared.rstrip('/')}/folioflow/{name}-{uuid.uuid4().hex}"
+    store, where = _hadoop(spark, path)
+    store.mkdirs(where.getParent())
+    store.deleteOnExit(where)
+    return path
+
+
+def signature(spark: SparkSession, path: str) -> tuple:
+    """What tells one state of a file or folder from another: path, bytes, files and time."""
+    store, where = _hadoop(spark, path)
+    held = store.getContentSummary(where)
+    return path, held.getLength(), held.getFileCount(), store.getFileStatus(where).getModificationTime()
+
+
 def prepared_folder(spark: SparkSession, folder: str, clean: bool = False) -> str:
     """``folder``, made if it isn't there; with ``clean`` what it held is deleted first."""
     store, where = _hadoop(spark, folder)

@@ -302,15 +302,6 @@ def test_files_of_a_run(spark, tmp_path):
     assert os.listdir(out) == []
 
 
-def test_index_made_once(spark, tmp_path):
-    chunks = spark.createDataFrame([("p", k, f"word{k} common {'x ' * k}") for k in range(8)] + [("q", 0, "word3")], "paper string, chunk_ix long, text string")
-    queries = spark.createDataFrame([(1, "p", "word3 x"), (2, "p", "common word7 word7"), (3, "q", "word3")], "item_id long, paper string, query string")
-    index = retrieval.build_index(chunks, str(tmp_path / "index"))
-    for score in (retrieval.tfidf, retrieval.bm25):
-        got, want = (sorted(map(tuple, score(queries, chunks, i).collect())) for i in (index, None))
-        assert got == want and len(got) == 16
-
-
 class Teller:
     def ask(self, prompt, image):
         if "[bad]" in prompt:

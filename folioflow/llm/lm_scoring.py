@@ -188,14 +188,28 @@ def log_probabilities(model: Model, ids: np.ndarray, history: np.ndarray) -> np.
     return out
 
 
+def summed_by_row(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ``rows``, how often each occurs, and the sums of the ``gradients`` (a row each) that share one."""
+    key = (rows.astype(np.uint64) << np.uint64(32)) | np.arange(len(rows), dtype=np.uint64)
+    key.sort()
+    order, sorted_rows = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), (key >> np.uint64(32)).astype(np.int64)
+    starts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1])[: len(rows)])
+    times = np.diff(np.append(starts, len(rows)))
+    out, many = gradients.take(order[starts], 0), times > 1
+    if many.any():  # most rows occur once and need no sum
+        each = times[many]
+        out[many] = np.add.reduceat(gradients.take(order[np.repeat(many, times)], 0), np.cumsum(each) - each, 0)
+    return sorted_rows[starts], times, out
+
+
 class Trainer:
-    """Stochastic gradient steps on a copy of the weights; ``used`` counts each row's steps."""
+    """Stochastic gradient steps on a copy of the weights; ``used`` counts the tokens that have moved each row."""
 
     def __init__(self, model: Model):
         self.model, self.weights, self.used = model, model.floats(), model.used.copy()
 
     def learn(self, ids: np.ndarray, history: np.ndarray) -> None:
-        """Steps over batches. If tokens of a batch share a row, one of them moves it."""
+        """Steps over batches: of tokens that share a row, the gradients are summed."""
         codes = self.model.code[ids]
         for k in range(0, len(ids), BATCH):
             y, h = codes[k : k + BATCH], history[:, k : k + BATCH]
@@ -203,17 +217,17 @@ class Trainer:
             for level, node, digit in _digits(y):
                 s = self.model.prior.take(node, 0)
                 rows = [table_rows(h[f], node, f, self.model.rows_log2) for f in LEVEL_FEATURES[level]]
-                old = [self.weights.take(r, 0) for r in rows]
-                for w in old:
-                    s += w
+                for r in rows:
+                    s += self.weights.take(r, 0)
                 np.exp(s, s)
                 s *= np.reciprocal(s @ _ONES)[:, None]
                 s.ravel()[each + digit] -= 1
-                for f, r, w in zip(LEVEL_FEATURES[level], rows, old, strict=True):
-                    used = self.used.take(r) + 1
-                    self.used[r] = used
-                    w -= s * (np.float32(RATES[f]) / np.sqrt(used))[:, None]
-                    self.weights[r] = w
+                for f, r in zip(LEVEL_FEATURES[level], rows, strict=True):
+                    row, times, step = summed_by_row(r, s)
+                    used = self.used.take(row) + times.astype(np.float32)
+                    self.used[row] = used
+                    step *= (np.float32(RATES[f]) / np.sqrt(used))[:, None]
+                    self.weights[row] -= step
 
 
 def numbered(df: DataFrame, model: Model, common: dict[bytes, int], key: str, text: str) -> DataFrame:
@@ -449,7 +463,8 @@ def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     one = one.select("_row", *[F.when(lead, F.col(c)).alias(c) for c in main], F.coalesce("_x.h", F.xxhash64("_row")).alias("_h"), F.coalesce("_x.n", F.lit(0)).alias("_n"))
     c = F.coalesce("c", F.lit(0))
     share = lambda mass: F.sum(F.col("_n") * (F.log10(c + F.lit(ALPHA)) - F.lit(mass)))
-    joined = one.join(counts.filter("c > 0").select(F.xxhash64("token").alias("_k"), "c"), F.col("_h") == F.col("_k"), "left")
+    by_hash = counts.filter("c > 0").groupBy(F.xxhash64("token").alias("_k")).agg(F.sum("c").alias("c"))  # should two tokens share a hash, no row doubles
+    joined = one.join(by_hash, F.col("_h") == F.col("_k"), "left")
     out = joined.groupBy("_row").agg(
         *[F.max(x).alias(x) for x in ("doc_id", "held", "n_tokens")], (F.max("n_known") + F.coalesce(F.sum(F.when(c > 0, F.col("_n"))), F.lit(0))).alias("n_known"),
         (F.max("base_score") + share(log_total)).alias("base_score"), (F.max("score") + share(log_rare)).alias("score"),

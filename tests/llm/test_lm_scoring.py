@@ -99,7 +99,7 @@ def test_better_than_a_bigram(spark):
                 total += math.log10((two[a, b] + 100 * (one[b] + 0.1) / (n + 0.1 * (v + 1))) / (one[a] + 100))
     out = [r for r in lm_scoring.lm_score(docs).collect() if r.held_out]
     assert sum(r.n_tokens for r in out) == tokens
-    assert sum(r.score for r in out) / tokens > total / tokens
+    assert sum(r.score for r in out) / tokens > max(total / tokens, -3.62)
 
 
 def test_probabilities_sum_to_one():
@@ -122,6 +122,29 @@ def test_edges(spark):
     assert all(math.isfinite(r.score) for r in out)
 
 
+def test_equal_rows_are_summed():
+    """No token of a batch is lost: a row moves by the sum of the gradients of all tokens that share it."""
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows, gradients = rng.integers(0, 40, 500), rng.normal(size=(500, 16)).astype(np.float32)
+    found, times, sums = lm_scoring.summed_by_row(rows, gradients)
+    want = np.zeros((40, 16))
+    np.add.at(want, rows, gradients)
+    assert found.tolist() == sorted(set(rows.tolist())) and times.tolist() == np.bincount(rows)[found].tolist()
+    assert np.allclose(sums, want[found], atol=1e-5)
+    assert [len(x) for x in lm_scoring.summed_by_row(rows[:0], gradients[:0])] == [0, 0, 0]
+    m = lm_scoring.Model([(b"a", 9), (b"b", 8)], 1 << 18, 6)
+    own, ids = lm_scoring.Trainer(m), np.full(4, m.ids[b"a"])
+    history = np.repeat(m.histories(ids, np.array([0]))[:, 2:3], 4, 1)  # four tokens with one history: one row a feature and level
+    own.learn(ids, history)
+    level, node, digit = next(iter(lm_scoring._digits(m.code[ids[:1]])))
+    p = np.exp(m.prior[node[0]])
+    step = (p / p.sum() - np.eye(16)[digit[0]]) * 4 * lm_scoring.RATES[0] / np.sqrt(4)
+    row = lm_scoring.table_rows(history[0, :1], node, 0, m.rows_log2)[0]
+    assert own.used[row] == 4 and np.allclose(own.weights[row], -step, atol=1e-5)
+
+
 def test_table_grows_with_the_corpus():
     import numpy as np
 

@@ -12,26 +12,26 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioflow.llm import exact_dedup, neardup, packing, quality, toxicity
-from folioflow.llm.common import load, prepare, scratch
+from folioflow.llm.common import load, prepare, quoted, scratch
 
 
 def _toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the recurrent network calls toxic go; an empty text has the score of a window of padding."""
     prepare(spark)
     net = toxicity.train(docs, load(spark, sf_dir, "labels"))
-    return toxicity.scored(docs, net).filter("predicted = 0").select(*docs.columns)
+    return toxicity.scored(docs, net).filter("predicted = 0").select(*map(quoted, docs.columns))
 
 
 def _quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the additive model rejects go; an empty text is measured like any other."""
     prepare(spark)
     model = quality.train(docs, load(spark, sf_dir, "labels"))
-    return quality.scored(docs, model).filter("predicted = 1").select(*docs.columns)
+    return quality.scored(docs, model).filter("predicted = 1").select(*map(quoted, docs.columns))
 
 
 def _exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of equal texts the one with the largest doc_id stays, and with it rows that repeat that id; a null id loses to any other."""
-    return exact_dedup.exact_dedup(docs).filter("kept").select(*docs.columns)
+    return exact_dedup.exact_dedup(docs).filter("kept").select(*map(quoted, docs.columns))
 
 
 def _near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -18,12 +18,12 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import lean, prepare, private, remainder, replaced, schema_text, text_or_empty
 
-MAX_ROWS, FOLDS, THRESHOLD = 20_000, 5, 0.3
+MAX_ROWS, ROWS_A_KEY, FOLDS, THRESHOLD = 20_000, 4, 5, 0.3
 BINS, PAIR_BINS, ROUNDS, PAIR_ROUNDS, PAIRS, LEAVES, RATE = 32, 8, 150, 60, 8, 4, 0.12
 FEATURES = (
     "log_chars", "log_words", "word_chars", "distinct_words", "upper", "digit", "punctuation", "symbol", "bar", "bang",
@@ -186,19 +186,28 @@ def labelled(labels: DataFrame, label: str, key: str) -> DataFrame:
     return own.filter(remainder("_k", FOLDS) != 0)
 
 
+def few_a_key(rows: DataFrame, most: int = ROWS_A_KEY) -> DataFrame:
+    """``rows`` (_k, text, ...) with _n: the first ``most`` of each key by the texts' hashes, numbered from 1.
+
+    The limit holds in each task before rows shuffle, so a key with many rows doesn't gather them.
+    """
+    order = Window.partitionBy("_k").orderBy(F.xxhash64("text"), "text")
+    return rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= most)
+
+
 def training_rows(df: DataFrame, labels: DataFrame, label: str, key: str, text: str, max_rows: int) -> DataFrame:
-    """(doc_id, text, _label) of at most ``max_rows`` labelled rows, by a hash of the key; rows that repeat a key count each."""
+    """(doc_id, text, _label, _k, _n) of at most ``max_rows`` labelled keys, by a hash of the key; ROWS_A_KEY rows of a key at most."""
     order = [F.xxhash64("_k"), "_k"]
     rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
     some = labelled(labels, label, key).orderBy(*order).limit(max_rows)
-    return rows.join(F.broadcast(some), F.col("doc_id") == F.col("_k")).select("doc_id", "text", "_label", "_k")
+    return few_a_key(rows.join(F.broadcast(some), F.col("doc_id") == F.col("_k"))).select("doc_id", "text", "_label", "_k", "_n")
 
 
 def train(df: DataFrame, labels: DataFrame, label: str = "quality", key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS) -> Model:
     """Fit on at most ``max_rows`` labelled rows outside the held-out fold, those with the smallest hash of their key.
 
-    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Rows that repeat a
-    key count each. Only features reach the driver.
+    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Of rows that repeat a
+    key ROWS_A_KEY count, so that no key can fill the bound. Only features reach the driver.
     """
     rows = training_rows(df, labels, label, key, text, max_rows)
 
@@ -223,13 +232,15 @@ def scored(df: DataFrame, model: Model, threshold: float = THRESHOLD, key: str =
     shared = spark.sparkContext.broadcast(model)
     df = replaced(df, ("held_out", "score", "predicted"))
     names = df.columns
-    (own,) = private(names, "_text")
+    own, *short = private([], "_text", *(f"_c{k}" for k in range(len(names))))
 
     @lean("quality")
     def run(batches):
         for batch in batches:
             x = np.array([measure(t.as_py()) for t in batch.column(len(names))], float).reshape(-1, len(FEATURES))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shared.value.score(x))], [*names, "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shared.value.score(x))], [*short, "score"])
 
-    out = df.withColumn(own, text_or_empty(text)).mapInArrow(run, schema_text(df) + ", score double")
+    # mapInArrow takes no names with dots: columns go by number.
+    plain = df.withColumn(own, text_or_empty(text)).toDF(*short, own)
+    out = plain.mapInArrow(run, schema_text(plain.drop(own)) + ", score double").toDF(*names, "score")
     return out.withColumns({"held_out": remainder(key, FOLDS) == 0, "predicted": (F.col("score") >= threshold).cast("int")})

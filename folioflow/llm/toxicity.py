@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import lean, prepare, private, remainder, replaced, schema_text, text_or_empty
-from .quality import FOLDS, labelled
+from .quality import FOLDS, few_a_key, labelled
 
 MAX_ROWS, CLEAN_SHARE, THRESHOLD = 2_000, 2, 0.5
 WINDOW, STRIDE, HIDDEN, WIDTH = 32, 24, 8, 8
@@ -403,12 +403,23 @@ def _scorer(net: Network) -> Scorer:
     return _SCORERS[net.version]
 
 
+def fitting(rows: list[tuple[int, int, int]], most: int) -> list[tuple[int, int]]:
+    """(key, number) of the rows (key, number, size) that fit ``most`` in all, each tried in turn; the smallest if none fits."""
+    out, used = [], 0
+    for key, number, size in rows:
+        if used + size <= most:
+            out.append((key, number))
+            used += size
+    return out or [(key, number) for key, number, _ in sorted(rows, key=lambda x: x[2])[:1]]
+
+
 def train(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS, max_chars: int = MAX_CHARS) -> Network:
     """Fit on at most ``max_rows`` toxic and CLEAN_SHARE times as many clean texts outside the held-out fold.
 
-    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Rows that repeat a
-    key count each. Of the rows in the order of a hash of the key those come that end within ``max_chars`` characters in
-    all, a third of them for toxic texts; the sample is the same wherever rows lie.
+    A key with several labels has the largest; null keys and labels other than 0 and 1 are left out. Of rows that repeat a
+    key ROWS_A_KEY count. Each label has its own bound of rows and of characters (a third of ``max_chars`` for toxic
+    texts): in the order of a hash of the key, a text that doesn't fit any more is passed over and the next is tried. If
+    none fits, the shortest one is taken. The sample is the same wherever rows lie.
     """
     own = labelled(labels, label, key)
     most = (max_rows * CLEAN_SHARE, max_rows)
@@ -417,21 +428,17 @@ def train(df: DataFrame, labels: DataFrame, label: str = "toxic", key: str = "do
     count = {r["_label"]: r["count"] for r in own.groupBy("_label").count().collect()}
     stands_for = tuple(max(1.0, count.get(v, 0) / max(1, most[v])) for v in (0, 1))
     rows = df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text"))
-    found = rows.join(F.broadcast(part(0).union(part(1))), F.col("doc_id") == F.col("_k")).withColumns({"_chars": F.length("text"), "_h": F.xxhash64("text")})
-    # Sizes first (a few numbers a row), then the texts of the rows that are in.
-    sized = found.select("_k", "_label", "_h", "_chars").groupBy("_k", "_label", "_h", "_chars").agg(F.count(F.lit(1)).alias("n"))
-    sized = sized.orderBy(*order, "_h").limit(sum(most)).toPandas()
-    sized["_n"] = 0
+    found = few_a_key(rows.join(F.broadcast(part(0).union(part(1))), F.col("doc_id") == F.col("_k")))
+    # Sizes first (a few numbers a row, rows by label), then the texts of the rows that are in.
+    sized = found.select("_k", "_label", "_n", F.length("text").alias("_chars"))
+    first = lambda v: sized.filter(F.col("_label") == v).orderBy(*order, "_n").limit(most[v])
+    sizes = first(0).union(first(1)).toPandas()
+    taken = []
     for v, share in ((0, max_chars - max_chars // 3), (1, max_chars // 3)):
-        mine = sized[sized["_label"] == v]
-        rows_in = mine["n"].clip(upper=most[v])
-        fits = (rows_in.cumsum() <= most[v]) & ((rows_in * mine["_chars"]).cumsum() <= share)
-        sized.loc[mine.index[fits], "_n"] = rows_in[fits]
-    taken = sized[sized["_n"] > 0]
-    spark = df.sparkSession
-    chosen = spark.createDataFrame([(int(k), int(h), int(n)) for k, h, n in zip(taken["_k"], taken["_h"], taken["_n"], strict=True)], "_k2 long, _h2 long, _n int")
-    got = found.join(F.broadcast(chosen), (F.col("_k") == F.col("_k2")) & (F.col("_h") == F.col("_h2"))).groupBy("doc_id", "text", "_label").agg(F.max("_n").alias("_n")).toPandas()
-    got = got.loc[got.index.repeat(got["_n"])].sort_values(["doc_id", "text"], kind="stable")
+        taken += fitting([(int(k), int(n), int(c)) for k, n, c in sizes.loc[sizes["_label"] == v, ["_k", "_n", "_chars"]].itertuples(index=False)], share)
+    chosen = df.sparkSession.createDataFrame(taken, "_k2 long, _n2 int")
+    got = found.join(F.broadcast(chosen), (F.col("_k") == F.col("_k2")) & (F.col("_n") == F.col("_n2"))).select("doc_id", "text", "_label").toPandas()
+    got = got.sort_values(["doc_id", "text"], kind="stable")
     return fit(got["text"].to_list(), got["_label"].to_numpy(), stands_for=stands_for)
 
 
@@ -445,7 +452,7 @@ def scored(df: DataFrame, net: Network, threshold: float = THRESHOLD, key: str =
     shared = spark.sparkContext.broadcast(net)
     df = replaced(df, ("held_out", "score", "predicted"))
     names = df.columns
-    (own,) = private(names, "_text")
+    own, *short = private([], "_text", *(f"_c{k}" for k in range(len(names))))
 
     @lean("toxicity", _SCORERS.clear)
     def run(batches):
@@ -454,7 +461,9 @@ def scored(df: DataFrame, net: Network, threshold: float = THRESHOLD, key: str =
             for k in range(0, max(1, batch.num_rows), 512):
                 part = batch.slice(k, 512)
                 got = scorer.scores(part.column(len(names)).to_pylist())
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, pa.float64())], [*names, "score"])
+                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(got, pa.float64())], [*short, "score"])
 
-    out = df.withColumn(own, text_or_empty(text)).mapInArrow(run, schema_text(df) + ", score double")
+    # mapInArrow takes no names with dots: columns go by number.
+    plain = df.withColumn(own, text_or_empty(text)).toDF(*short, own)
+    out = plain.mapInArrow(run, schema_text(plain.drop(own)) + ", score double").toDF(*names, "score")
     return out.withColumns({"held_out": remainder(key, FOLDS) == 0, "predicted": (F.col("score") >= threshold).cast("int")})

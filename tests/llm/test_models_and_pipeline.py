@@ -127,6 +127,34 @@ def test_training_bounds_hold_on_repeated_keys(spark, monkeypatch):
     assert len(seen["quality"]) == 7
 
 
+@pytest.mark.parametrize("odd", ["long toxic text", "clean key with many rows", "toxic key with many rows", "all toxic texts are long"])
+def test_no_row_empties_a_label(spark, monkeypatch, odd):
+    """One long text, or one key with many rows, leaves both labels in the sample and the scores apart."""
+    prepare(spark)
+    learn = [k for k in range(400) if zlib.crc32(str(k).encode()) % 5]
+    order = [r.k for r in spark.createDataFrame([(k,) for k in learn], "k long").orderBy(F.xxhash64("k")).collect()]
+    toxic, clean = order[0::4], [k for k in order if k not in set(order[0::4])]
+    texts = {k: f"you {'awful fool' if k in set(toxic) else 'kind friend'} number {k % 9}" for k in order}
+    rows = list(texts.items())
+    if odd == "long toxic text":
+        rows[0] = (toxic[0], "awful fool " * 2_000)
+    elif odd == "all toxic texts are long":
+        rows = [(k, t + " awful fool" * 600 if k in set(toxic) else t) for k, t in rows]
+    else:
+        many = clean[0] if odd.startswith("clean") else toxic[0]
+        rows += [(many, f"{texts[many]} again {n}") for n in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k in set(toxic)), int(k not in set(toxic))) for k in order], "doc_id long, toxic int, quality int")
+    for bounds in ({"max_rows": 40, "max_chars": 9_000}, {"max_rows": 40, "max_chars": 40_000}):
+        net = toxicity.train(df, labels, **bounds)
+        low, high = toxicity.Scorer(net).scores(["you kind friend number 3", "you awful fool number 3"])
+        assert low < 0.5 < high or odd.startswith("all") and high > 3 * low  # of those only one or two fit
+    model = {}
+    monkeypatch.setattr(quality, "fit", lambda x, y: model.update(y=list(y)))
+    quality.train(df, labels, max_rows=100)
+    assert len(model["y"]) == 100 and 10 < sum(model["y"]) < 95
+
+
 def plain_network(net, text):
     """The score by the definition: one window, one step, one number at a time."""
     words, h = text.encode().lower().split(), toxicity.HIDDEN
@@ -192,7 +220,7 @@ def test_stage_edges(spark):
     docs = load(spark, DATA, "documents")
     odd = spark.createDataFrame([(None, None), (None, ""), (-1, None), (-1, None), (-2, " "), (-3, "same text of five words or more"), (-4, "same text of five words or more")], "doc_id long, text string")
     more = docs.limit(60).unionByName(odd, allowMissingColumns=True)
-    for extra in ("_gone", "_maybe", "score", "component_id"):
+    for extra in ("_gone", "_maybe", "score", "component_id", "x.y", "`q`"):
         more = more.withColumn(extra, F.lit(1))
     for name, stage in corpus_pipeline.STAGES:
         out, none = stage(spark, more, DATA), stage(spark, more.limit(0), DATA)

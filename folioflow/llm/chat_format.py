@@ -111,19 +111,19 @@ def _emit(rows, names, kinds):
 def format_chats(events: DataFrame, trained: str = ASSISTANT, block_turns: int = BLOCK_TURNS) -> DataFrame:
     """BLOCKS: the formatted text of each conversation, a row for every ``block_turns`` turns.
 
-    Events of one sequence number are taken by kind (deltas, start, others), role and text, so ties and repeated
-    rows give a defined order; a null turn is a turn before all others, a null text is empty, a null role the empty
+    Events of one sequence number are taken by ``part`` (if there is such a column), kind (start, deltas, others), role and
+    text, so ties and repeated rows give a defined order; a null turn is a turn before all others, a null text is empty, a null role the empty
     role, a null kind a delta, and a null conv_id a conversation of its own. Without a column ``item`` all events of a turn
     belong together. Other columns are not read.
     """
     rank = F.when(F.col("kind") == "start", 0).when(F.col("kind") == "delta", 1).otherwise(2)
-    item = F.col("item").cast("long") if "item" in events.columns else F.lit(None).cast("long")
+    item, part = (F.col(c).cast("long") if c in events.columns else F.lit(None).cast("long") for c in ("item", "part"))
     log = events.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.floor(F.coalesce(F.col("turn"), F.lit(0)) / F.lit(block_turns)).cast("long").alias("block"),
-        F.col("seq").cast("long").alias("seq"), rank.alias("rank"), F.col("turn").cast("long").alias("turn"), item.alias("item"), F.coalesce("kind", F.lit("delta")).alias("kind"),
+        F.col("conv_id").cast("long").alias("conv_id"), F.floor(F.col("turn").cast("long") / F.lit(block_turns)).cast("long").alias("block"),
+        F.col("seq").cast("long").alias("seq"), part.alias("part"), rank.alias("rank"), F.col("turn").cast("long").alias("turn"), item.alias("item"), F.coalesce("kind", F.lit("delta")).alias("kind"),
         F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"),
     )
-    log = log.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "seq", "rank", "turn", "role", "text", "item")
+    log = log.repartition("conv_id", "block").sortWithinPartitions("conv_id", "block", "seq", "part", "rank", "turn", "role", "text", "item")
     kinds = (pa.int64(), pa.int64(), pa.string(), pa.list_(pa.struct([("start", pa.int32()), ("stop", pa.int32())])), pa.int32())
     names = ["conv_id", "block", "formatted", "loss", "turns"]
 
@@ -196,5 +196,4 @@ def events_of_turns(turns: DataFrame, delta_chars: int = 2_000) -> DataFrame:
     cut = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{delta_chars}}}"), F.lit(0))  # in one go over the text
     rows = turns.withColumn("item", F.monotonically_increasing_id())
     rows = rows.select("conv_id", "item", F.col("turn").cast("long").alias("turn"), F.coalesce("role", F.lit("")).alias("role"), F.posexplode(F.when(text == "", F.array(F.lit(""))).otherwise(cut)).alias("part", "text"))
-    seq = F.coalesce("turn", F.lit(-1)) * F.lit(1 << 24) + F.col("part")
-    return rows.select("conv_id", seq.alias("seq"), "turn", F.when(F.col("part") == 0, "start").otherwise("delta").alias("kind"), "role", "text", "item")
+    return rows.select("conv_id", F.col("turn").alias("seq"), "part", "turn", F.when(F.col("part") == 0, "start").otherwise("delta").alias("kind"), "role", "text", "item")

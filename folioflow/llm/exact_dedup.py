@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach_groups, discard, private, replaced, stored, text_or_empty
+from .common import attach_groups, discard, private, quoted, replaced, stored, text_or_empty
 
 HASHES, WORD_BITS, MIN_BITS, MAX_BITS, SLOTS = 2, 15, 18, 30, 32
 ADDED = ("keep_id", "group_size", "kept", "text_sha256")
@@ -80,5 +80,5 @@ def exact_dedup(df: DataFrame, key: str = "doc_id", text: str = "text", max_bits
     again = attach_groups(maybe, groups, "text_sha256", "group_size", rows, key).withColumn("kept", F.col(key).eqNullSafe(F.col("keep_id")))
     single = flagged.filter(~F.col(maybe_)).drop(maybe_)
     single = single.withColumns({"text_sha256": digest, "keep_id": F.col(key), "group_size": F.lit(1).cast("long"), "kept": F.lit(True)})
-    columns = [*df.columns, *ADDED]
+    columns = [F.col(quoted(c)) for c in (*df.columns, *ADDED)]
     return single.select(*columns).unionByName(again.select(*columns))

@@ -371,10 +371,11 @@ def entries(packed: list[tuple[tuple[int, ...], int]]) -> np.ndarray:
 def ranked(pieces: DataFrame, rows: int) -> DataFrame:
     """``pieces`` with rank (from 0) among those of the same length, without a task that holds a whole length.
 
-    Each length is dealt out to cells; a cell's rows are numbered, and the cells' counts give each cell its start.
+    Each length is dealt out to cells by ``_spread``, a number that rows have been stored with, so rows that repeat a key are
+    dealt out too; a cell's rows are numbered, and the cells' counts give each cell its start.
     """
     cells = max(8, -(-rows // CELL_ROWS))
-    cell = pieces.withColumn("_cell", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(cells)))
+    cell = pieces.withColumn("_cell", F.pmod("_spread", F.lit(cells))).drop("_spread")
     order = Window.partitionBy("length").orderBy("_cell").rowsBetween(Window.unboundedPreceding, -1)
     base = cell.groupBy("length", "_cell").count().withColumn("_base", F.coalesce(F.sum("count").over(order), F.lit(0))).drop("count")
     number = Window.partitionBy("length", "_cell").orderBy("doc_id", "piece", "ids_crc32")
@@ -388,7 +389,7 @@ def pack_documents(df: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
     No token is lost or doubled; a sequence has no gap. Repeated rows are packed as often as they occur, columns
     other than key and text are not read, and an empty table gives an empty result.
     """
-    pieces = stored(token_pieces(df, path, capacity, end_id, key, text), "pieces")
+    pieces = stored(token_pieces(df, path, capacity, end_id, key, text).withColumn("_spread", F.xxhash64(F.monotonically_increasing_id())), "pieces")
     histogram = {r["length"]: r["count"] for r in pieces.groupBy("length").count().collect()}  # at most `capacity` rows
     table = entries(plan(histogram, capacity))
     spark = df.sparkSession

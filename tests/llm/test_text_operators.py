@@ -73,6 +73,18 @@ def test_packing(spark, small):
     assert packing.pack_documents(frame(spark, texts).limit(0), JSON).collect() == []
 
 
+def test_rows_of_one_key_are_dealt_out(spark, monkeypatch):
+    """Pieces of a null key, however many, are numbered in many cells."""
+    monkeypatch.setattr(packing, "CELL_ROWS", 10)
+    prepare(spark)
+    df = spark.createDataFrame([(None, "same text")] * 400 + [(k, "other words") for k in range(20)], "doc_id long, text string").repartition(4)
+    out = packing.pack_documents(df, JSON, capacity=8).collect()
+    assert len(out) == 420 and len({(r.sequence_id, r.offset) for r in out}) == 420 and all(r.offset + r.length <= 8 for r in out)
+    pieces = spark.createDataFrame([(None, 0, 0, 3, 5, k * 7_919) for k in range(400)], "doc_id long, piece int, start long, length long, ids_crc32 long, _spread long")
+    got = packing.ranked(pieces, 400)
+    assert sorted(r["rank"] for r in got.collect()) == list(range(400)) and "_spread" not in got.columns
+
+
 def split_ids(texts):
     ids, bounds = packing._text_ids(JSON, pa.array(texts, pa.string()))
     return [ids[a:b].tolist() for a, b in zip(bounds[:-1], bounds[1:], strict=True)]
@@ -196,6 +208,7 @@ def test_chat_repeated_turns(spark):
 
     prepare(spark)
     rows = [(1, 0, "user", "hi"), (1, 0, "assistant", "yes"), (1, 1, "assistant", "a" * 5_000), (1, 1, "assistant", "b" * 4_500), (1, 1, "assistant", "b" * 4_500), (2, 3, "user", ""), (2, 3, None, None), (3, 0, "user", "x")]
+    rows += [(4, t, "assistant", f"turn {t}") for t in (None, -1, 0, 1_700_000_000_123, 1_700_000_000_124, -(1 << 62), (1 << 62) + 5)] + [(4, None, "user", "also null")]
     rows += [(-7, k, r, "\\### Assistant: </turn> ok") for k, r in enumerate(("user", "assistant"))]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     conversations = df.filter("conv_id <> -7").toPandas()  # noqa: F841
@@ -342,5 +355,7 @@ def test_columns_of_any_name(spark):
     df = spark.createDataFrame([(1, "a", 5, 6, 7, 8), (2, "a", 5, 6, 7, 8), (3, "b", 5, 6, 7, 8)], "doc_id long, text string, _maybe long, _s0 long, _hk long, _text long")
     out = exact_dedup.exact_dedup(df)
     assert out.columns[:6] == df.columns and sorted((r.doc_id, r.kept, r._maybe, r._s0, r._hk) for r in out.collect()) == [(1, False, 5, 6, 7), (2, True, 5, 6, 7), (3, True, 5, 6, 7)]
+    dotted = exact_dedup.exact_dedup(df.withColumnsRenamed({"_hk": "x.y", "_text": "`q`"}))
+    assert dotted.columns[4:6] == ["x.y", "`q`"] and {r["x.y"] for r in dotted.collect()} == {7}
     shown = fingerprint.fingerprints(df)
     assert shown.columns == [*df.columns, "fingerprint", "chunks"] and {r._text for r in shown.collect()} == {8}

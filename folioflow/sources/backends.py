@@ -17,6 +17,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .lifecycle import importable, scratch
+
 ATTEMPTS, FIRST_WAIT = 5, 3.0
 
 
@@ -143,49 +145,95 @@ def ask_services(lookups: DataFrame, factory: Callable[[], Fetcher]) -> DataFram
     return lookups.select("pmcid", "doi", "kind", "url").mapInPandas(run, "pmcid string, doi string, kind string, answer string")
 
 
-def fetch_first(candidates: DataFrame, factory: Callable[[], Fetcher], accept=lambda b: b[:4] == b"%PDF") -> DataFrame:
-    """(pmcid, kind, content, error): per paper the first candidate by rank whose content is accepted.
+FETCHED = "pmcid string, kind string, content binary, error string"
 
-    If the archive sends the reader on to a page that names a PDF, the publisher's CDN is tried for that name. Of a
-    packed article the first PDF counts.
-    """
 
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        backend = factory()
-        done, tried = set(), {}
+def _fetched(backend: Fetcher, kind: str, url: str, accept) -> tuple[str, bytes]:
+    """(kind, content) of one address, or an error. A reader whom the archive sends on to a named PDF gets it from the publisher."""
+
+    def get(url):
+        got = backend.get(url)
+        return got if isinstance(got, tuple) else (got, url)
+
+    content, final = get(url)
+    content = first_pdf(content) if kind == "archive" else content
+    if kind == "pmc" and not accept(content) and "pmc.ncbi.nlm.nih.gov" in final and (other := cdn_address(final)):
+        (content, _), kind = get(other), "cdn"
+    if not accept(content):
+        raise ValueError("not accepted")
+    return kind, content
 
-        def fetched(url):
-            got = backend.get(url)
-            return got if isinstance(got, tuple) else (got, url)
 
+def fetch_wave(candidates: DataFrame, factory: Callable[[], Fetcher], accept=lambda b: b[:4] == b"%PDF", pauses: dict[str, float] | None = None, pause: float = 0.0, lanes: int = 1, sleep=time.sleep) -> DataFrame:
+    """FETCHED: for each paper of ``candidates`` (pmcid, pos, kind, url), all of one rank, its first address that is accepted.
+
+    A host's addresses lie in ``lanes`` tasks; each waits for what ``pauses`` says of the host (else ``pause``) times
+    ``lanes`` between two of its requests, so a host sees that rate however many tasks there are. A paper's addresses at
+    one host follow one another; of several hosts each may give one. Every PDF leaves the worker before the next is asked for.
+    """
+    host = F.coalesce(F.parse_url("url", F.lit("HOST")), F.lit(""))
+    waits = pauses or {}
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        backend, done, last, error = factory(), None, {}, None
+        row = lambda *x: pd.DataFrame([x], columns=["pmcid", "kind", "content", "error"])
+        now = None
         for frame in frames:
-            out = []
-            for row in frame.itertuples(index=False):
-                if row.pmcid in done:
+            for one in frame.itertuples(index=False):
+                if (one.pmcid, one.host) != now:
+                    if now and error:
+                        yield row(now[0], None, None, error)
+                    now, done, error = (one.pmcid, one.host), False, None
+                if done:
                     continue
-                kind = row.kind
+                left = last.get(one.host, -1e9) + waits.get(one.host, pause) * lanes - time.monotonic()
+                if left > 0:
+                    sleep(left)
                 try:
-                    content, final = fetched(row.url)
-                    content = first_pdf(content) if kind == "archive" else content
-                    if kind == "pmc" and not accept(content) and "pmc.ncbi.nlm.nih.gov" in final and (other := cdn_address(final)):
-                        (content, _), kind = fetched(other), "cdn"
-                    if accept(content):
-                        done.add(row.pmcid)
-                        tried.pop(row.pmcid, None)
-                        out.append((row.pmcid, kind, content, None))
+                    kind, content = _fetched(backend, one.kind, one.url, accept)
                 except Exception as e:
-                    tried[row.pmcid] = repr(e)
+                    error = repr(e)
                 else:
-                    if row.pmcid not in done:
-                        tried.setdefault(row.pmcid, "not accepted")
-            yield pd.DataFrame(out, columns=["pmcid", "kind", "content", "error"])
-        yield pd.DataFrame([(k, None, None, v) for k, v in tried.items()], columns=["pmcid", "kind", "content", "error"])
+                    done, error = True, None
+                    yield row(one.pmcid, kind, content, None)
+                last[one.host] = time.monotonic()
+        if now and error:
+            yield row(now[0], None, None, error)
+
+    rows = candidates.select("pmcid", "pos", "kind", "url", host.alias("host")).withColumn("lane", F.pmod(F.xxhash64("pmcid"), F.lit(lanes)))
+    return rows.repartition("host", "lane").sortWithinPartitions("host", "lane", "pmcid", "pos", "url").mapInPandas(run, FETCHED)
 
-    ordered = candidates.repartition("pmcid").sortWithinPartitions("pmcid", "rank", "pos", "url")
-    return ordered.mapInPandas(run, "pmcid string, kind string, content binary, error string")
 
+def fetch_first(candidates: DataFrame, factory: Callable[[], Fetcher], accept=lambda b: b[:4] == b"%PDF", **rates) -> DataFrame:
+    """FETCHED, a row a paper: the content of its first candidate by rank that is accepted, else the last error.
 
-def downloaded(papers: DataFrame, have: DataFrame, email: str, factory: Callable[[], Fetcher]) -> DataFrame:
+    One wave a rank, over papers that are still lacking: what a wave has found is stored before the next begins, so no
+    address of a later rank is asked for a paper that has its PDF. ``rates`` go to ``fetch_wave``.
+    """
+    spark = importable(candidates.sparkSession)
+
+    def kept(df: DataFrame, name: str) -> DataFrame:
+        path = scratch(spark, name)
+        df.write.parquet(path)
+        return spark.read.schema(df.schema).parquet(path)
+
+    todo, got = kept(candidates.select("pmcid", "rank", "pos", "kind", "url"), "candidates"), None
+    for rank in sorted(r["rank"] for r in todo.select("rank").distinct().collect()):
+        wave = todo.filter(F.col("rank") == rank)
+        if got is not None:
+            wave = wave.join(got.filter("content is not null").select("pmcid"), "pmcid", "left_anti")
+        found = kept(fetch_wave(wave, factory, accept, **rates).withColumn("rank", F.lit(rank)), f"wave-{rank}")
+        got = found if got is None else got.unionByName(found)
+    if got is None:
+        return spark.createDataFrame([], FETCHED)
+    # One row a paper, chosen without its content: what was found, else the last error. Contents are joined by their address.
+    best = got.groupBy("pmcid").agg(F.min_by(F.struct("rank", "kind", "error"), F.struct(F.col("content").isNull(), F.when(F.col("content").isNull(), -F.col("rank")).otherwise(F.col("rank")), "kind", "error")).alias("b"))
+    chosen = best.select(F.col("pmcid").alias("_p"), F.col("b.rank").alias("_r"), F.col("b.kind").alias("_k"), F.col("b.error").alias("_e"))
+    same = (F.col("pmcid") == F.col("_p")) & (F.col("rank") == F.col("_r")) & F.col("kind").eqNullSafe(F.col("_k")) & F.col("error").eqNullSafe(F.col("_e"))
+    return got.join(chosen, same).select("pmcid", "kind", "content", "error").dropDuplicates(["pmcid"])
+
+
+def downloaded(papers: DataFrame, have: DataFrame, email: str, factory: Callable[[], Fetcher], **rates) -> DataFrame:
     """(pmcid, kind, content, error) of the ``papers`` that ``have`` (pmcid) lacks: lookups, candidates, first that works.
 
     The error of a paper without any is pdf_download_failed: and its pmcid.
@@ -194,11 +242,21 @@ def downloaded(papers: DataFrame, have: DataFrame, email: str, factory: Callable
 
     todo = papers.join(have.select("pmcid").distinct(), "pmcid", "left_anti")
     answers = ask_services(acquisition.lookups(todo, email), factory)
-    got = fetch_first(acquisition.candidates(todo, answers), factory)
+    got = fetch_first(acquisition.candidates(todo, answers), factory, **rates)
     out = todo.select("pmcid").join(got, "pmcid", "left")
     return out.withColumn("error", F.when(F.col("content").isNull(), F.concat(F.lit("pdf_download_failed:"), F.col("pmcid"))))
 
 
+def asked(model: VisionModel, prompt: str, image: bytes | None, sleep=time.sleep) -> tuple[str | None, str | None, float]:
+    """(answer, error, seconds) of one question."""
+    began, answer, error = time.monotonic(), None, None
+    try:
+        answer = patient(lambda: model.ask(prompt, image), sleep=sleep)
+    except Exception as e:
+        error = repr(e)
+    return answer, error, round(time.monotonic() - began, 1)
+
+
 def ask_model(prompts: DataFrame, factory: Callable[[], VisionModel], sleep=time.sleep, key: str = "item_id") -> DataFrame:
     """The ``key`` of ``prompts`` (key, prompt, image) with answer, analysis_error and elapsed_sec; an error never stops the rest."""
 
@@ -207,12 +265,7 @@ def ask_model(prompts: DataFrame, factory: Callable[[], VisionModel], sleep=time
         for frame in frames:
             out = []
             for name, prompt, image in frame.itertuples(index=False):
-                began, answer, error = time.monotonic(), None, None
-                try:
-                    answer = patient(lambda prompt=prompt, image=image: model.ask(prompt, image), sleep=sleep)
-                except Exception as e:
-                    error = repr(e)
-                out.append((name, answer, error, round(time.monotonic() - began, 1)))
+                out.append((name, *asked(model, prompt, image, sleep)))
             yield pd.DataFrame(out, columns=[key, "answer", "analysis_error", "elapsed_sec"])
 
     kind = prompts.schema[key].dataType.simpleString()
@@ -265,7 +318,8 @@ def read_ocr(images: DataFrame, factory: Callable[[], Ocr]) -> DataFrame:
                     engine = None
             yield pd.DataFrame(out, columns=["item_id", "pos", "text", "confidence"])
 
-    return images.select("item_id", "image").mapInPandas(run, "item_id long, pos int, text string, confidence double")
+    kind = images.schema["item_id"].dataType.simpleString()
+    return images.select("item_id", "image").mapInPandas(run, f"item_id {kind}, pos int, text string, confidence double")
 
 
 def read_pages(pdfs: DataFrame, factory: Callable[[], PdfReader]) -> DataFrame:
@@ -286,15 +340,22 @@ def read_pages(pdfs: DataFrame, factory: Callable[[], PdfReader]) -> DataFrame:
 
 
 def white_ratio(images: DataFrame, factory: Callable[[], Callable[[bytes], tuple[int, int]]]) -> DataFrame:
-    """(item_id, ratio): share of pixels that are almost white, counted by a backend as (white, all)."""
+    """(item_id, ratio, error): share of pixels that are almost white, counted by a backend as (white, all); a broken image has an error."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         count = factory()
         for frame in frames:
-            got = [count(image) for image in frame["image"]]
-            yield pd.DataFrame({"item_id": frame["item_id"], "ratio": [w / n if n else 1.0 for w, n in got]})
+            out = []
+            for name, image in frame.itertuples(index=False):
+                try:
+                    white, every = count(image)
+                    out.append((name, white / every if every else 1.0, None))
+                except Exception as e:
+                    out.append((name, None, repr(e)))
+            yield pd.DataFrame(out, columns=["item_id", "ratio", "error"])
 
-    return images.select("item_id", "image").mapInPandas(run, "item_id long, ratio double")
+    kind = images.schema["item_id"].dataType.simpleString()
+    return images.select("item_id", "image").mapInPandas(run, f"item_id {kind}, ratio double, error string")
 
 
 def render(regions: DataFrame, pdfs: DataFrame, factory: Callable[[], Renderer], dpi: int = 200) -> DataFrame:
@@ -309,8 +370,8 @@ def render(regions: DataFrame, pdfs: DataFrame, factory: Callable[[], Renderer],
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         backend = factory()
         for frame in frames:
-            out = []
             for paper, found, content in frame[["paper_id", "r", "content"]].itertuples(index=False):
+                out = []  # a paper's images leave the worker before the next paper's are made
                 for r in found:
                     box = tuple(r["box"][k] for k in ("x0", "y0", "x1", "y1"))
                     try:
@@ -320,6 +381,6 @@ def render(regions: DataFrame, pdfs: DataFrame, factory: Callable[[], Renderer],
                         out.append((paper, r["label"], image, size, None))
                     except Exception as e:
                         out.append((paper, r["label"], None, None, repr(e)))
-            yield pd.DataFrame(out, columns=["paper_id", "label", "image", "image_size", "error"])
+                yield pd.DataFrame(out, columns=["paper_id", "label", "image", "image_size", "error"])
 
     return rows.mapInPandas(run, "paper_id string, label string, image binary, image_size array<int>, error string")

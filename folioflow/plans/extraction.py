@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.operators import layout
-from folioflow.sources.papers import or_else
+from folioflow.sources.papers import or_else_on_demand
 
 
 def caption_items(blocks: DataFrame, drawings: DataFrame, pages: DataFrame, ratios: DataFrame | None = None) -> DataFrame:
@@ -25,9 +25,15 @@ def caption_items(blocks: DataFrame, drawings: DataFrame, pages: DataFrame, rati
 def figures(pictures: DataFrame, tables: DataFrame, blocks: DataFrame, drawings: DataFrame, pages: DataFrame, ratios: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Items of every paper, and the pictures that were skipped.
 
-    A paper's items are the pictures and tables of its layout analysis (paper_id, pos, page, box, caption); of a paper
-    that has none of them, those that its captions show.
+    A paper's items are the pictures and tables of its layout analysis (paper_id, pos, page, box, caption); of a paper of
+    ``pages`` that has none of them, those that its captions show. Captions are looked for in those papers alone.
     """
     kept, skipped = layout.split_pictures(layout.labelled_pictures(pictures))
     first = layout.figure_items(kept, layout.labelled_tables(tables)).withColumn("render_page", F.col("page"))
-    return or_else(first, caption_items(blocks, drawings, pages, ratios), "paper_id"), skipped
+
+
+    def by_captions(lacking: DataFrame) -> DataFrame:
+        own = lambda df: df.join(lacking, "paper_id", "left_semi")
+        return caption_items(own(blocks), own(drawings), own(pages), None if ratios is None else own(ratios))
+
+    return or_else_on_demand(pages.select("paper_id").distinct(), first, by_captions, "paper_id"), skipped

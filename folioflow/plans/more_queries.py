@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from folioflow.functions import retrieval, text
-from folioflow.operators import layout, tables
+from folioflow.functions import index, retrieval, text
+from folioflow.operators import layout, ocr, tables
 from folioflow.sources import acquisition, papers
 
-from . import pipeline, prompts, run
-from .queries import _BOXES, _COLUMN, _PICTURES, _ROWS, _WORDS, _boxes, _meta, _pages, _pictures, _rows, load, query
+from . import extraction, pipeline, prompts, run
+from .queries import _BM25, _BOXES, _COLUMN, _PARTS, _PICTURES, _ROWS, _SCORED, _TERMS, _USEFUL, _WORDS, _boxes, _contexts, _fragments, _library, _meta, _pages, _pictures, _rows, _sectioned, load, query
 
 # --- layout -------------------------------------------------------------------------------------------------------
 
@@ -240,3 +240,120 @@ def synthesis_prompt(spark, d):
     rows = load(spark, d, "conversations").select(F.col("conv_id").alias("paper"), F.col("turn").alias("item_id"), F.col("turn").cast("string").alias("label"), F.lit("figure").alias("kind"), F.col("text").alias("caption"), v.alias("analysis_parsed"))
     out = pipeline.synthesis_prompts(rows, load(spark, d, "documents").select(F.col("doc_id").alias("paper"), "text"))
     return out.select(F.col("paper").alias("conv_id"), F.md5(F.col("prompt").cast("binary")).alias("digest"))
+
+
+# --- wholes: a paper's tables, its figures, the contexts of its items, the index ------------------------------------
+
+_STRIPPED = r"regexp_replace({}, '^[\s\p{{Z}}]+|[\s\p{{Z}}]+$', '', 'g')"
+
+
+# Every fifth paper has no tables but those of the second detector, which finds some in other papers too.
+@query(_FOUND + f""", main AS (SELECT paper, page, pos, r, true AS captioned FROM ok WHERE paper % 5 <> 0),
+other AS (SELECT paper, page, 0 AS pos, r, false FROM d WHERE paper % 5 <= 1 AND doc_id * 37 % 100 >= 50 AND len(r) >= 2 AND list_max(list_transform(r, lambda x: len(x))) >= 2
+  AND len(list_filter(flatten(r), lambda x: trim(x) <> '')) >= 6 AND n_chars * 10 >= 5000 AND paper NOT IN (SELECT paper FROM main)),
+every AS (SELECT *, row_number() OVER (PARTITION BY paper ORDER BY page, pos) AS n, list_transform(r, lambda x: list_transform(x, lambda y: {_STRIPPED.format("y")})) AS c FROM (SELECT * FROM main UNION ALL SELECT * FROM other)),
+shown AS (SELECT *, list_transform(c, lambda x: list_transform(x, lambda y: {_STRIPPED.format("replace(y, '|', chr(92) || '|')")})) AS m FROM every)
+SELECT CAST(e.paper AS VARCHAR) AS paper, CAST(e.page AS INTEGER) AS page, 'Table_' || e.n AS label, CAST(len(c) AS INTEGER) AS n_rows, CAST(list_max(list_transform(c, lambda x: len(x))) AS INTEGER) AS n_cols,
+  md5(array_to_string(list_concat(['| ' || array_to_string(m[1], ' | ') || ' |', '|' || array_to_string(list_transform(m[1], lambda x: '---'), '|') || '|'], list_transform(m[2:], lambda x: '| ' || array_to_string(x, ' | ') || ' |')), chr(10))) AS digest,
+  CASE WHEN captioned AND lang = 'en' THEN 'Table ' || doc_id || ': words' ELSE '' END AS caption, 'p' || lpad(CAST(e.page AS VARCHAR), 3, '0') || '_Table_' || e.n || '.png' AS file
+FROM shown e JOIN d ON d.paper = e.paper AND d.page = e.page""")
+def extract_tables(spark, d):
+    main = F.col("doc_id") % 5 != 0
+    strict = _found(spark, d, 0, F.lit(0)).filter((F.col("doc_id") % 4 == 0) & main).drop("doc_id", "lang")
+    default = _found(spark, d, 0, F.lit(0)).unionByName(_found(spark, d, 1, F.when(F.col("lang") == "en", 0).otherwise(1))).filter(main).drop("doc_id", "lang")
+    box = F.struct(F.lit(0.0).alias("x0"), F.lit(100.0).alias("y0"), F.col("box.x1").alias("x1"), F.lit(110.0).alias("y1"))
+    lattice = _found(spark, d, 0, F.lit(0)).filter("doc_id % 5 <= 1").withColumns({"box": box, "accuracy": (F.col("doc_id") * 37 % 100).cast("double")}).drop("doc_id", "lang")
+    every = _found(spark, d, 5, F.lit(0))
+    below = F.struct(*[F.lit(v).alias(k) for k, v in (("x0", 0.0), ("y0", 20.0), ("x1", 9.0), ("y1", 30.0))])
+    lines = every.filter("lang = 'en'").select("paper_id", "page", "pos", below.alias("box"), F.concat(F.lit("Table "), F.col("doc_id"), F.lit(": words ")).alias("text"))
+    out = tables.extracted(strict, default, lattice, _pages(every), lines)
+    return out.select(F.col("paper_id").alias("paper"), "page", "label", F.col("row_count").alias("n_rows"), F.col("col_count").alias("n_cols"), F.md5(F.col("markdown").cast("binary")).alias("digest"), "caption", "file")
+
+
+# Every fourth paper has no layout analysis: each block is a page of its own, a caption or an image.
+@query(_PICTURES + _TABLES.removeprefix(_BOXES) + f""", first AS (
+  SELECT paper, 'figure' AS kind, label, page, page AS render_page, x0, y0, x1, y1 FROM pics WHERE reason = '' AND paper % 4 <> 0
+  UNION ALL SELECT t.paper, 'table', t.label, t.page, t.page, b.x0, b.y0, b.x1, b.y1 FROM tabs t JOIN b ON b.paper = t.paper AND b.pos = t.pos WHERE t.paper % 4 <> 0),
+c AS (SELECT * FROM b WHERE l_partkey % 2 = 0 AND x1 - x0 >= 20 AND paper NOT IN (SELECT paper FROM first)), v AS (SELECT * FROM b WHERE l_partkey % 2 = 1),
+later AS (SELECT c.paper, c.pos AS page, c.pos + 1 AS render_page, c.l_partkey, greatest(0, v.x0 - 16) AS x0, greatest(0, v.y0 - 16) AS y0, least(612, v.x1 + 16) AS x1, least(792, v.y1 + 16) AS y1 FROM c JOIN v ON v.paper = c.paper AND v.pos = c.pos + 1),
+rest AS (SELECT paper, pos AS page, pos AS render_page, l_partkey, {_STRIP} FROM c WHERE y0 >= 10 AND l_partkey % 100 <= 97 AND (paper, pos) NOT IN (SELECT (paper, page) FROM later)),
+every AS (SELECT * FROM first UNION ALL SELECT paper, 'figure', 'Figure ' || l_partkey, page, render_page, x0, y0, x1, y1 FROM (SELECT * FROM later UNION ALL SELECT * FROM rest))
+SELECT paper, kind, label, CAST(page AS INTEGER) AS page, CAST(render_page AS INTEGER) AS render_page, CAST(x0 AS DOUBLE) AS x0, CAST(y0 AS DOUBLE) AS y0, CAST(x1 AS DOUBLE) AS x1, CAST(y1 AS DOUBLE) AS y1,
+  'p' || lpad(CAST(page AS VARCHAR), 3, '0') || '_' || replace(replace(label, ' ', '_'), '.', '') || '.png' AS file FROM every""")
+def extract_figures(spark, d):
+    analysed = F.col("paper_id") % 4 != 0
+    b = _boxes(spark, d).withColumns({"page": F.col("pos"), "pos": F.lit(0)})
+    caption = F.col("l_partkey") % 2 == 0
+    lines = F.array(F.array(F.concat(F.lit("Figure "), F.col("l_partkey"), F.lit(". words"))))
+    blocks = b.select("paper_id", "page", "pos", "box", F.when(caption, 0).otherwise(1).alias("type"), F.when(caption, lines).otherwise(F.array().cast("array<array<string>>")).alias("lines"))
+    ratios = b.select("paper_id", "page", "pos", ((F.col("l_partkey") % 100).cast("double") / 100).alias("ratio"))
+    found, _ = extraction.figures(_pictures(spark, d).filter(analysed), _layout_tables(spark, d).filter(analysed), blocks, blocks.limit(0), _pages(b), ratios)
+    return found.select(F.col("paper_id").alias("paper"), "kind", "label", F.col("page").cast("int").alias("page"), F.col("render_page").cast("int").alias("render_page"), *[F.col("box")[k].alias(k) for k in ("x0", "y0", "x1", "y1")], "file")
+
+
+@query("""SELECT doc_id, substr(array_to_string(list_filter(string_split(text, chr(10)), lambda x: x <> ''), ' '), 1, 500) AS caption FROM documents""")
+def picture_captions(spark, d):
+    return load(spark, d, "documents").select("doc_id", layout.joined_caption(F.split("text", "\n")).alias("caption"))
+
+
+@query("""SELECT conv_id, turn FROM conversations WHERE role = 'assistant' AND text IS NOT NULL""")
+def items_done(spark, d):
+    items = papers.require(load(spark, d, "conversations"), "conv_id", "turn").withColumn("analysis", F.when(F.col("role") == "assistant", F.col("text")))
+    return papers.done_items(items).select("conv_id", "turn")
+
+
+@query(_SCORED + f""", k AS (SELECT z.item_id, z.pos, z.text, z.role, z.confidence, z.role = 'unknown' AS unknown, round(z.confidence, 3) AS c, list_sort(list_intersect({_TERMS.format("z.text")}, {_TERMS.format("b.text")})) AS ov
+  FROM z JOIN benchmark b ON b.item_id = z.item_id - z.item_id % 2 WHERE score >= 2),
+l AS (SELECT *, row_number() OVER (PARTITION BY item_id, lower(text) ORDER BY unknown, c DESC, pos) AS n FROM k),
+m AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY unknown, c DESC, pos) AS rank FROM l WHERE n = 1)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, text, coalesce(nullif(concat_ws('; ', CASE WHEN confidence >= 0.55 THEN 'ocr_confidence_ok' END, CASE WHEN len(ov) > 0 THEN 'context_aligned:' || array_to_string(ov[1:5], ',') END,
+  CASE WHEN role IN ({_USEFUL}) THEN 'role=' || role END), ''), 'contextual_candidate') AS reason FROM m WHERE rank <= 18""")
+def ocr_reasons(spark, d):
+    return ocr.kept(ocr.scored(_fragments(spark, d), _contexts(spark, d))).select("item_id", "rank", "text", "reason")
+
+
+# The chunks of a paper here are stretches of its words, as it has no paragraphs.
+_PAPER_CHUNKS = r""", paper_words AS (SELECT doc_id, CASE WHEN doc_id % 3 = 2 THEN w ELSE list_concat(list_concat(list_concat(['Title', 'Abstract'], w[1:n]), list_concat(['Introduction', 'and', 'aims'], w[n + 1:n + 250])),
+  list_concat(list_concat(['Methods'], w[n + 251:n + 470]), list_concat(list_concat(['Results'], w[n + 471:n + 770]), list_concat(['Discussion'], w[n + 771:])))) END AS ws FROM doc_words WHERE doc_id IN (SELECT item_id FROM benchmark)),
+segments AS (SELECT doc_id, CAST(start AS BIGINT) AS start, CASE WHEN len(ws) * 2 > 750 THEN ws[start + 1:start + 250] ELSE ws END AS seg FROM (SELECT doc_id, ws, unnest(CASE WHEN len(ws) * 2 > 750 THEN range(0, len(ws), 210) ELSE [0] END) AS start FROM paper_words)),
+chunks AS (SELECT doc_id AS paper, start // 210 AS chunk_ix, array_to_string(seg, ' ') AS text, len(seg) AS n_words FROM segments WHERE len(seg) >= CASE WHEN start > 0 THEN 20 ELSE 1 END),
+tok AS (SELECT paper, chunk_ix, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM chunks),
+idx AS (SELECT paper, chunk_ix, dl, term, count(*) AS tf FROM (SELECT paper, chunk_ix, len(t) AS dl, unnest(t) AS term FROM tok) GROUP BY ALL),
+corpus AS (SELECT paper, count(*) AS n, avg(len(t)) AS avgdl FROM tok GROUP BY paper), df AS (SELECT paper, term, count(*) AS df FROM idx GROUP BY ALL),
+w0 AS (SELECT paper, term, avgdl, ln((n - df + 0.5) / (df + 0.5)) AS raw FROM df JOIN corpus USING (paper)),
+weighed AS (SELECT paper, term, avgdl, CASE WHEN raw < 0 THEN 0.25 * avg(raw) OVER (PARTITION BY paper) ELSE raw END AS okapi FROM w0),
+q AS (SELECT item_id, term, count(*) AS qf FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM benchmark) GROUP BY ALL),
+hit AS (SELECT item_id, chunk_ix, round(sum(qf * (SCORE)), 10) AS score FROM q JOIN weighed ON weighed.paper = q.item_id AND weighed.term = q.term JOIN idx ON idx.paper = q.item_id AND idx.term = q.term GROUP BY ALL),
+ranked AS (SELECT c.paper AS item_id, c.chunk_ix, text, n_words, row_number() OVER (PARTITION BY c.paper ORDER BY coalesce(score, 0.0) DESC, c.chunk_ix) AS rank, count(*) OVER (PARTITION BY c.paper) AS n_chunks FROM chunks c LEFT JOIN hit ON hit.item_id = c.paper AND hit.chunk_ix = c.chunk_ix QUALIFY rank <= 6),
+placed AS (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY CASE WHEN n_chunks < 3 THEN rank WHEN rank = 1 THEN 0 WHEN rank = 2 THEN 2 ELSE 1 END, chunk_ix) AS out_pos FROM ranked),
+local AS (SELECT item_id, string_agg(text, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY out_pos) AS local, count(*) AS retrieved_chunks, CAST(sum(n_words) AS BIGINT) AS retrieved_words FROM placed GROUP BY item_id)
+""".replace("SCORE", _BM25)
+
+
+@query(_PARTS + _PAPER_CHUNKS + """SELECT item_id, 'bm25' AS mode, md5(local) AS digest, retrieved_chunks, retrieved_words FROM local
+UNION ALL SELECT item_id, 'layered', md5('PAPER GLOBAL CONTEXT MAP:' || chr(10) || paper_map || chr(10) || chr(10) || '====' || chr(10) || chr(10) || 'FIGURE/TABLE LOCAL CONTEXT (BM25 top-6 chunks):' || chr(10) || local), retrieved_chunks, retrieved_words
+FROM local JOIN maps ON maps.doc_id = local.item_id""")
+def retrieved_contexts(spark, d):
+    items = load(spark, d, "benchmark").select("item_id", F.col("item_id").cast("string").alias("paper"), F.col("text").alias("caption"))
+    docs = load(spark, d, "documents").join(items.select(F.col("item_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").cast("string").alias("paper"), F.regexp_replace(_sectioned("doc_id", "text"), "\n{2,}", "\n").alias("text"))
+    out = None
+    for mode in ("bm25", "layered"):
+        rows = pipeline.contexts(items, docs, mode, top_k=6).select("item_id", F.lit(mode).alias("mode"), F.md5(F.col("context").cast("binary")).alias("digest"), "retrieved_chunks", "retrieved_words")
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@query(r"""WITH occ AS (SELECT doc_id, len(t) AS dl, unnest(t) AS term FROM (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS t FROM documents)), idx AS (SELECT doc_id, dl, term, count(*) AS tf FROM occ GROUP BY ALL)
+SELECT doc_id // 32 AS range, count(DISTINCT term) AS n_terms, count(*) AS n_postings, CAST(max(tf) AS INTEGER) AS max_tf, round(max(tf / dl), 9) AS max_share FROM idx GROUP BY 1""")
+def index_ranges(spark, d):
+    _, made = _library(spark, d)
+    rows = made.postings.filter("term <> ''").groupBy("range")
+    return rows.agg(F.count("term").alias("n_terms"), F.sum("n").alias("n_postings"), F.max("max_tf").alias("max_tf"), F.round(F.max("max_share"), 9).alias("max_share"))
+
+
+# What the queries' terms may score at most in each range, against the best chunk that the range has.
+@query(r"""WITH occ AS (SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM documents),
+q AS (SELECT DISTINCT item_id, term FROM (SELECT item_id, unnest(regexp_extract_all(lower(text), '[\p{L}\p{N}_]+')) AS term FROM benchmark))
+SELECT item_id, CAST(count(DISTINCT doc_id // 32) AS BIGINT) AS ranges, true AS no_more_are_scored FROM q JOIN occ USING (term) GROUP BY item_id""")
+def index_skipping(spark, d):
+    return index.skipped(*_library(spark, d), 6).select("item_id", "ranges", (F.col("scored") <= F.col("ranges")).alias("no_more_are_scored"))

@@ -52,7 +52,9 @@ def words(text: str | Column) -> Column:
 
 
 def first_words(text: str | Column, n: int) -> Column:
-    return F.array_join(F.slice(words(text), 1, n), " ")
+    """The first ``n`` words in single spaces; the text behind them isn't cut up."""
+    cut = F.split(F.coalesce(_c(text), F.lit("")), f"{SPACE}+", n + 2)  # one for an empty string before the first word, one for the rest
+    return F.array_join(F.slice(F.filter(cut, lambda w: w != ""), 1, n), " ")
 
 
 def collapsed(text: str | Column) -> Column:
@@ -107,21 +109,46 @@ def chunk_rows(papers: DataFrame, paper: str, text: str, **how) -> DataFrame:
     return rows.select(paper, "chunk_ix", F.array_join("_w", " ").alias("text"), F.size("_w").alias("n_words"))
 
 
+#: Before each line that begins with a heading of any kind; only a line feed ends a line.
+_HEADING_LINE = rf"(?idm)^(?=[^\S\n]*(?:{ABSTRACT_ENDS}|{SECTION_ENDS}))"
+
+
+def heading_parts(text: str | Column) -> Column:
+    """The text cut before its heading lines, in one scan: all sections are made of these parts."""
+    return F.split(F.coalesce(_c(text), F.lit("")), _HEADING_LINE)
+
+
+def _below(parts_: Column, begins: str, ends: str) -> Column:
+    """struct(body, ended) of the first part that ``begins``, without its heading, up to the first later part that ``ends``; null if none does.
+
+    Both patterns look at a part's beginning only, so what is long is copied once, and only where it is wanted.
+    """
+    first = F.array_position(F.transform(parts_, lambda p: p.rlike(begins)), True).cast("int")
+    rest = F.slice(parts_, first + F.lit(1), F.size(parts_))
+    stop = F.array_position(F.transform(rest, lambda p: p.rlike(ends)), True).cast("int")
+    body = F.array_join(F.slice(parts_, first, F.when(stop > 0, stop).otherwise(F.size(parts_))), "")
+    return F.when(first > 0, F.struct(F.regexp_replace(body, begins, "").alias("body"), (stop > 0).alias("ended")))
+
+
+def abstract_of(parts_: Column, text: Column) -> Column:
+    found = _below(parts_, r"(?i)\A\s*abstract\s*\n", rf"(?i)\A[^\S\n]*(?:{ABSTRACT_ENDS})")
+    cut = F.when(found["ended"], found["body"]).otherwise(F.substring(found["body"], 1, ABSTRACT_CHARS))
+    return F.coalesce(F.nullif(stripped(cut), F.lit("")), first_words(text, ABSTRACT_WORDS))
+
+
+def section_of(parts_: Column, headings: str, most: int) -> Column:
+    found = _below(parts_, rf"(?i)\A\s*(?:{headings})\b[^\n]*\n", rf"(?i)\A[^\S\n]*(?:{SECTION_ENDS})\b")
+    return first_words(F.coalesce(found["body"], F.lit("")), most)
+
+
 def abstract(text: str | Column) -> Column:
     """The abstract: from its heading to the next one, or ABSTRACT_CHARS; without one, the first words."""
-    c = F.coalesce(_c(text), F.lit(""))
-    body = F.regexp_extract(c, r"(?is)(?:^|\n)\s*abstract\s*\n(.*)$", 1)
-    end = F.regexp_instr(body, F.lit(rf"(?im)^\s*(?:{ABSTRACT_ENDS})"))
-    cut = F.when(end > 0, F.substring(body, F.lit(1), end - F.lit(1))).otherwise(F.substring(body, 1, ABSTRACT_CHARS))
-    return F.coalesce(F.nullif(stripped(cut), F.lit("")), first_words(c, ABSTRACT_WORDS))
+    return abstract_of(heading_parts(text), F.coalesce(_c(text), F.lit("")))
 
 
 def section(text: str | Column, headings: str, most: int) -> Column:
     """The first ``most`` words below a line that begins with one of the headings, up to the next known heading."""
-    c = F.coalesce(_c(text), F.lit(""))
-    body = F.regexp_extract(c, rf"(?is)(?:^|\n)\s*(?:{headings})\b[^\n]*\n(.*)$", 1)
-    end = F.regexp_instr(body, F.lit(rf"(?im)^\s*(?:{SECTION_ENDS})\b"))
-    return first_words(F.when(end > 0, F.substring(body, F.lit(1), end - F.lit(1))).otherwise(body), most)
+    return section_of(heading_parts(text), headings, most)
 
 
 def with_context_map(df: DataFrame, text: str, name: str = "paper_map", most: int = MAP_WORDS) -> DataFrame:
@@ -130,8 +157,8 @@ def with_context_map(df: DataFrame, text: str, name: str = "paper_map", most: in
     Each step is a column of its own, so that no part is computed twice.
     """
     budget = max(most, 500)
-    out = df.withColumn("_t", F.coalesce(_c(text), F.lit(""))).withColumn("_p0", abstract("_t"))
-    out = out.withColumns({f"_p{k}": section("_t", h, m) for k, (_, h, m) in enumerate(SECTIONS, 1)})
+    out = df.withColumn("_t", F.coalesce(_c(text), F.lit(""))).withColumn("_parts", heading_parts("_t")).withColumn("_p0", abstract_of(F.col("_parts"), F.col("_t")))
+    out = out.withColumns({f"_p{k}": section_of(F.col("_parts"), h, m) for k, (_, h, m) in enumerate(SECTIONS, 1)})
     names = ["Abstract", *[n for n, _, _ in SECTIONS]]
     out = out.withColumns({f"_p{k}": collapsed(f"_p{k}") for k in range(len(names))})
     parts = [F.when(F.col(f"_p{k}") != "", F.concat(F.lit(f"{n}: "), F.col(f"_p{k}"))) for k, n in enumerate(names)]
@@ -139,7 +166,7 @@ def with_context_map(df: DataFrame, text: str, name: str = "paper_map", most: in
     out = out.withColumn("_all", F.when(F.col("_all") != "", F.col("_all")).otherwise(first_words("_t", budget))).withColumn("_w", words("_all"))
     cut = F.when(F.size("_w") > budget, F.concat(F.array_join(F.slice("_w", 1, budget), " "), F.lit(" [paper map truncated]"))).otherwise(F.col("_all"))
     out = out.withColumn(name, F.when(F.col("_t") == "", F.lit("")).otherwise(cut))
-    return out.drop("_t", "_all", "_w", *[f"_p{k}" for k in range(len(names))])
+    return out.drop("_t", "_parts", "_all", "_w", *[f"_p{k}" for k in range(len(names))])
 
 
 def abstract_block(text: str | Column) -> Column:

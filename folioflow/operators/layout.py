@@ -84,12 +84,17 @@ def captions(blocks: DataFrame) -> DataFrame:
 
 
 def with_boundary(caps: DataFrame, pages: DataFrame) -> DataFrame:
-    """``caps`` with width, height, column and prev: the lowest edge of a caption above in the same column, or 0."""
+    """``caps`` with width, height, column and prev: the lowest edge of a caption above in the same column, or 0.
+
+    A sweep down each column: tops and lower edges in one order (at the same height tops come first), and at each top the
+    largest edge so far. A box that stands upside down is taken as if it were upright.
+    """
     own = caps.join(pages, ["paper_id", "page"]).withColumn("column", column_of(F.col("box"), F.col("width")))
-    above = own.select("paper_id", "page", "column", F.col("pos").alias("_p"), F.col("box.y1").alias("_y"))
-    pairs = own.select("paper_id", "page", "column", "pos", F.col("box.y0").alias("_top")).join(above, ["paper_id", "page", "column"]).filter("_p <> pos and _y < _top and _y > 0")
-    prev = pairs.groupBy("paper_id", "page", "pos").agg(F.max("_y").alias("prev"))
-    return own.join(prev, ["paper_id", "page", "pos"], "left").withColumn("prev", F.coalesce("prev", F.lit(0.0)))
+    top, edge = F.least("box.y0", "box.y1"), F.greatest("box.y0", "box.y1")
+    rows = own.withColumn("_e", F.explode(F.array(F.struct(top.alias("y"), F.lit(0).alias("kind")), F.struct(edge.alias("y"), F.lit(1).alias("kind")))))
+    sweep = Window.partitionBy("paper_id", "page", "column").orderBy("_e.y", "_e.kind").rowsBetween(Window.unboundedPreceding, 0)
+    above = F.max(F.when((F.col("_e.kind") == 1) & (F.col("_e.y") > 0), F.col("_e.y"))).over(sweep)
+    return rows.withColumn("prev", F.coalesce(above, F.lit(0.0))).filter("_e.kind = 0").drop("_e")
 
 
 def figure_regions(caps: DataFrame, visuals: DataFrame, texts: DataFrame) -> DataFrame:
@@ -107,11 +112,17 @@ def figure_regions(caps: DataFrame, visuals: DataFrame, texts: DataFrame) -> Dat
     seen = seen.withColumn("column", F.when(wide, "full").otherwise(F.col("column"))).withColumn("_in", in_column(F.col("box"), F.col("column"), F.col("width")))
     kept = seen.withColumn("_any", F.max("_in").over(own)).filter(F.col("_in") | ~F.col("_any"))
     grouped = kept.groupBy(*key, "pos", "cap", "width", "height", "prev").agg(F.struct(F.min("box.x0").alias("x0"), F.min("box.y0").alias("y0"), F.max("box.x1").alias("x1"), F.max("box.y1").alias("y1")).alias("v"))
-    m = LABEL_MARGIN
-    touches = (F.col("box.x1") > F.col("v.x0") - m) & (F.col("box.x0") < F.col("v.x1") + m) & (F.col("box.y1") > F.col("v.y0") - m) & (F.col("box.y0") < F.col("v.y1") + m)
-    labels = grouped.join(texts.select(*key, "box"), key).filter(near & (F.col("box") != F.col("cap")) & (width(F.col("box")) <= F.col("width") * LABEL_WIDTH) & touches)
-    rows = labels.select(*key, "pos", "width", "height", "box").unionByName(grouped.select(*key, "pos", "width", "height", F.col("v").alias("box")))
-    return rows.groupBy(*key, "pos", "width", "height").agg(hull(F.col("width"), F.col("height")).alias("region")).select(*key, "pos", "region")
+    m, b, v = LABEL_MARGIN, F.col("_b"), F.col("v")
+    touches = (b["x1"] > v["x0"] - m) & (b["x0"] < v["x1"] + m) & (b["y1"] > v["y0"] - m) & (b["y0"] < v["y1"] + m)
+    close = (b["y0"] <= F.col("cap.y0") + SLACK) & (b["y1"] >= F.col("prev") - SLACK) & (b != F.col("cap")) & (width(b) <= F.col("width") * LABEL_WIDTH)
+    labels = texts.select(F.col("paper_id").alias("_p"), F.col("page").alias("_g"), F.col("box").alias("_b"))
+    rows = grouped.join(labels, (F.col("paper_id") == F.col("_p")) & (F.col("page") == F.col("_g")) & close & touches, "left")
+    both = rows.groupBy(*key, "pos", "width", "height", "v").agg(*[f(f"_b.{k}").alias(k) for f, k in ((F.min, "x0"), (F.min, "y0"), (F.max, "x1"), (F.max, "y1"))])
+    region = F.struct(
+        F.greatest(F.lit(0.0), F.least(v["x0"], "x0") - PADDING).alias("x0"), F.greatest(F.lit(0.0), F.least(v["y0"], "y0") - PADDING).alias("y0"),
+        F.least(F.col("width"), F.greatest(v["x1"], "x1") + PADDING).alias("x1"), F.least(F.col("height"), F.greatest(v["y1"], "y1") + PADDING).alias("y1"),
+    )
+    return both.select(*key, "pos", region.alias("region"))
 
 
 def table_regions(caps: DataFrame, texts: DataFrame, max_height: float = 9_999.0) -> DataFrame:

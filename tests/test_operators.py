@@ -369,3 +369,44 @@ def test_sections_hold_the_whole_text(spark):
     words = [f"w{k}" for k in range(1_500)]
     paper = spark.createDataFrame([(" ".join(words),)], "text string").select(F.lit(3).alias("doc_id"), "text").select(queries._sectioned("doc_id", "text").alias("p")).first().p
     assert [w for w in paper.split() if w[0] == "w" and w[1:].isdigit()] == words
+
+
+def test_a_page_of_many_captions(spark):
+    """The boundary above each of 50,000 captions of one page, in one pass over their edges."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x, y, h = rng.integers(0, 500, 50_000), rng.integers(0, 90_000, 50_000) / 4, rng.integers(1, 40, 50_000)
+    rows = [("a", 1, k, (float(x[k]), float(y[k]), float(x[k]) + 60, float(y[k]) + float(h[k]))) for k in range(50_000)]
+    caps = spark.createDataFrame(rows, f"paper_id string, page int, pos int, box {BOX}")
+    pages = spark.createDataFrame([("a", 1, 612.0, 22_600.0)], "paper_id string, page int, width double, height double")
+    got = {r.pos: (r.column, r.prev) for r in layout.with_boundary(caps, pages).select("pos", "column", "prev").collect()}
+    assert len(got) == 50_000
+    edges = {}
+    for k, (column, _) in got.items():
+        edges.setdefault(column, []).append(y[k] + h[k])
+    edges = {c: np.sort(e) for c, e in edges.items()}
+    for k in range(0, 50_000, 97):
+        column, prev = got[k]
+        at = np.searchsorted(edges[column], y[k])
+        assert prev == (edges[column][at - 1] if at else 0)
+
+
+def test_trimming_is_linear(spark):
+    """A megabyte of blanks between two letters; with a pattern the cost grew with its square."""
+    import time
+
+    df = spark.createDataFrame([(" a" + " \t\n" * 350_000 + "b　\x1c",)], "t string")
+    began = time.monotonic()
+    got = df.select(F.length(text.stripped("t")).alias("n"), text.stripped("t").startswith("a ").alias("a"), text.first_words("t", 3).alias("w")).first()
+    assert (got.n, got.a, got.w) == (1_050_002, True, "a b") and time.monotonic() - began < 10
+    every = "".join(map(chr, range(0x3100)))
+    kept = [c for c in every if spark_space(c)]
+    assert text.SPACES == "".join(kept)
+
+
+def spark_space(c):
+    """The characters of SPACE: ASCII white space, separators and the four information separators, and next line."""
+    import unicodedata
+
+    return c in "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85" or unicodedata.category(c).startswith("Z")

@@ -170,6 +170,12 @@ def strip_region(box: Column, column: Column, prev: Column, page_width: Column)
     return F.when(box["y0"] - top >= LEAST_STRIP, F.struct(x0.alias("x0"), top.alias("y0"), x1.alias("x1"), box["y0"].alias("y1")))
 
 
+def strips(caps: DataFrame) -> DataFrame:
+    """(paper_id, page, pos, box): what is tested for being blank above captions of ``with_boundary``."""
+    rows = caps.select("paper_id", "page", "pos", strip_region(F.col("box"), F.col("column"), F.col("prev"), F.col("width")).alias("box"))
+    return rows.filter("box is not null")
+
+
 def fallback_regions(caps: DataFrame, ratios: DataFrame) -> DataFrame:
     """(paper_id, page, pos, region): the padded strip above a caption of ``with_boundary``, if it isn't blank.
 

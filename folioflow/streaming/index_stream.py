@@ -16,7 +16,7 @@ def latest(spark: SparkSession, folder: str) -> index.Index | None:
     """The newest whole version below ``folder``."""
     if not exists(spark, f"{folder}/versions"):
         return None
-    number = spark.read.json(f"{folder}/versions").agg(F.max("version")).first()[0]
+    number = spark.read.schema("version long").option("recursiveFileLookup", True).json(f"{folder}/versions").agg(F.max("version")).first()[0]
     return index.open_index(spark, f"{folder}/version={number}")
 
 

@@ -107,3 +107,18 @@ def test_terms_of_a_long_paper_lie_in_many_buckets(spark, monkeypatch):
 def test_empty_index(spark):
     made = index.build(spark.createDataFrame([], CHUNKS))
     assert made.papers.collect() == [] and index.top_k(spark.createDataFrame(asked(), QUERIES), made, 3).collect() == []
+
+
+def test_stream_of_batches_equals_one_build(spark, tmp_path):
+    from folioflow.streaming import index_stream
+
+    rows = corpus(papers=3, chunks=30)
+    source, folder, check = (f"file://{tmp_path}/{n}" for n in ("in", "index", "check"))
+    first = [(*r, False) for r in rows if r[0] in ("p0", "p1")] + [("p2", 0, "an older text", False)]
+    second = [(*r, None) for r in rows if r[0] not in ("p0", "p1")] + [("p1", None, None, True)]
+    assert index_stream.latest(spark, folder) is None
+    for batch in (first, second):
+        spark.createDataFrame(batch, index_stream.CHUNKS).coalesce(1).write.mode("append").parquet(source)
+        index_stream.grow_stream(spark, source, folder, check).awaitTermination()
+    made = index_stream.latest(spark, folder)
+    assert facts(made) == facts(index.build(spark.createDataFrame([r for r in rows if r[0] != "p1"], CHUNKS)))

@@ -19,6 +19,8 @@ EUROPE_PMC = "https://europepmc.org/backend/ptpmcrender.fcgi?accid="
 RESOLVER = "https://doi.org/"
 ARCHIVE = "https://www.ncbi.nlm.nih.gov/pmc/utils/oa/oa.fcgi?id="
 PMC_HOST = "pmc.ncbi.nlm.nih.gov"
+# Seconds between requests, of hosts that ask for less than PAUSE.
+PAUSE, PAUSES = 1.5, {"res.mdpi.com": 0.5, "europepmc.org": 1.0}
 
 
 def clean_doi(doi: str | Column) -> Column:

@@ -12,11 +12,13 @@ import tarfile
 import time
 from collections.abc import Callable, Iterator
 from typing import Protocol
+from urllib.parse import urlsplit
 
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .acquisition import PAUSE, PAUSES
 from .lifecycle import importable, scratch
 
 ATTEMPTS, FIRST_WAIT = 5, 3.0
@@ -47,24 +49,31 @@ class PdfReader(Protocol):
 
 
 class HttpFetcher:
-    """GET by the requests library (FTP by the standard one), with a pause before each call and an honest user agent."""
+    """GET by the requests library (FTP by the standard one), with a pause before each call and an honest user agent.
 
-    def __init__(self, pause: float = 1.5, timeout: float = 60, agent: str = "folioflow/1.0", referer: str = "", jitter: float = 0.8):
+    ``pauses`` and ``referers`` say what holds for a host; ``pause`` and ``referer`` hold for all others. Where
+    ``fetch_wave`` keeps the rate of a host, give a pause of 0 here.
+    """
+
+    def __init__(self, pause: float = PAUSE, timeout: float = 60, agent: str = "folioflow/1.0", referer: str = "", jitter: float = 0.8, pauses: dict[str, float] = PAUSES, referers: dict[str, str] | None = None):
         import requests
 
         self.session, self.pause, self.timeout, self.jitter = requests.Session(), pause, timeout, jitter
-        self.session.headers.update({"User-Agent": agent, "Accept": "application/pdf,*/*"} | ({"Referer": referer} if referer else {}))
+        self.referer, self.pauses, self.referers = referer, pauses if pause else {}, referers or {}
+        self.session.headers.update({"User-Agent": agent, "Accept": "application/pdf,*/*"})
 
     def get(self, url: str) -> tuple[bytes, str]:
         import random
 
-        time.sleep(self.pause + random.uniform(0, self.jitter))
+        host = urlsplit(url).hostname or ""
+        time.sleep(self.pauses.get(host, self.pause) + random.uniform(0, self.jitter))
+        referer = self.referers.get(host, self.referer)
         if url.startswith("ftp://"):
             from urllib.request import urlopen
 
             with urlopen(url, timeout=self.timeout) as answer:
                 return answer.read(), url
-        answer = self.session.get(url, timeout=self.timeout)
+        answer = self.session.get(url, timeout=self.timeout, headers={"Referer": referer} if referer else None)
         answer.raise_for_status()
         return answer.content, answer.url
 

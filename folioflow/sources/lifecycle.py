@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -67,6 +70,25 @@ def prepared_folder(spark: SparkSession, folder: str, clean: bool = False) -> st
     return folder
 
 
+def without_files(paths: DataFrame, path: str = "path") -> DataFrame:
+    """(path, gone): the files of ``paths`` are deleted by the tasks that hold their names; one that isn't there is not gone."""
+    name = paths.select(F.col(path).cast("string").alias("path"))
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            gone = []
+            for uri in frame["path"]:
+                store, where = fs.FileSystem.from_uri(uri)
+                try:
+                    store.delete_file(where)
+                    gone.append(True)
+                except FileNotFoundError:
+                    gone.append(False)
+            yield frame.assign(gone=gone)
+
+    return name.mapInPandas(run, "path string, gone boolean")
+
+
 def without_pdfs(spark: SparkSession, paths: Iterable[str], keep: bool = False) -> int:
     """Delete PDFs that a finished batch no longer needs, unless they are to be kept; how many are gone."""
     gone = 0
@@ -78,4 +100,4 @@ def without_pdfs(spark: SparkSession, paths: Iterable[str], keep: bool = False)
 
 def write_summary(summary: DataFrame, folder: str) -> None:
     """The run's summary, a row a paper, as one JSON file that replaces the one before."""
-    summary.coalesce(1).write.mode("overwrite").json(folder)
+    summary.repartition(1).write.mode("overwrite").json(folder)

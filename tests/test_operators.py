@@ -298,6 +298,10 @@ def test_files_of_a_run(spark, tmp_path):
     assert len(files) == 1 and json.loads((tmp_path / "out" / "summary" / files[0]).read_text()) == {"id": 0, "status": "ok"}
     (tmp_path / "out" / "paper.pdf").write_bytes(b"%PDF")
     assert lifecycle.without_pdfs(spark, [f"{out}/paper.pdf"], keep=True) == 0 and lifecycle.without_pdfs(spark, [f"{out}/paper.pdf", f"{out}/none.pdf"]) == 1
+    for k in range(5):
+        (tmp_path / "out" / f"{k}.pdf").write_bytes(b"%PDF")
+    gone = lifecycle.without_files(spark.createDataFrame([(f"file://{out}/{k}.pdf",) for k in range(7)], "path string").repartition(3))
+    assert sorted((r.path[-5], r.gone) for r in gone.collect()) == [(str(k), k < 5) for k in range(7)] and not list((tmp_path / "out").glob("*.pdf"))
     lifecycle.prepared_folder(spark, out, clean=True)
     assert os.listdir(out) == []
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from folioflow.functions import retrieval, text
+from folioflow.functions import index, retrieval, text
 from folioflow.sources import backends
 from folioflow.sources.papers import not_done
 
@@ -14,11 +14,12 @@ from . import prompts
 MODES = ("none", "bm25", "full", "layered")
 
 
-def contexts(items: DataFrame, papers: DataFrame, mode: str = "bm25", top_k: int = retrieval.TOP_K, chunk_words: int = text.CHUNK_WORDS, overlap: int = text.OVERLAP, max_words: int = 0) -> DataFrame:
+def contexts(items: DataFrame, papers: DataFrame, mode: str = "bm25", top_k: int = retrieval.TOP_K, chunk_words: int = text.CHUNK_WORDS, overlap: int = text.OVERLAP, max_words: int = 0, made: index.Index | None = None) -> DataFrame:
     """(item_id, context, label, retrieved_chunks, retrieved_words) of ``items`` (item_id, paper, caption) by mode.
 
     ``papers`` are (paper, text). Mode none gives no context; full the text; bm25 the best chunks for the caption;
-    layered the paper's map before them.
+    layered the paper's map before them. ``made`` is the stored index of the papers' chunks (``index.build`` of
+    ``text.chunk_rows`` with the same sizes), where there is one.
     """
     if mode not in MODES:
         raise ValueError(f"mode is one of {', '.join(MODES)}")
@@ -31,7 +32,8 @@ def contexts(items: DataFrame, papers: DataFrame, mode: str = "bm25", top_k: int
         return rows.select("item_id", F.coalesce("_f.text", F.lit("")).alias("context"), F.concat(F.lit("Full paper text"), F.coalesce("_f.note", F.lit(""))).alias("label"), zero.alias("retrieved_chunks"), zero.alias("retrieved_words"))
     chunks = text.chunk_rows(papers, "paper", "text", size=chunk_words, overlap=overlap)
     queries = items.select("item_id", "paper", F.coalesce("caption", F.lit(prompts.NOT_PROVIDED)).alias("query"))
-    local = retrieval.gathered(retrieval.retrieve(queries, chunks, top_k), chunks)
+    best = retrieval.retrieve(queries, chunks, top_k) if made is None else retrieval.reordered(index.top_k(queries, made, top_k))
+    local = retrieval.gathered(best, chunks)
     rows = items.select("item_id", "paper").join(local, "item_id", "left")
     context, label = F.coalesce("local", F.lit("")), f"Retrieved paper text (top {top_k} chunks)"
     if mode == "layered":

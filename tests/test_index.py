@@ -104,6 +104,19 @@ def test_terms_of_a_long_paper_lie_in_many_buckets(spark, monkeypatch):
     assert [r.chunk_ix for r in index.top_k(q, made, 3).orderBy("rank").collect()] == [59, 0, 1]
 
 
+def test_contexts_by_the_index(spark):
+    from folioflow.functions import text
+    from folioflow.plans import pipeline
+
+    rng = random.Random(8)
+    docs = spark.createDataFrame([(f"p{k}", " ".join(rng.choice(["cell", "gene", "the"]) + (f" w{rng.randrange(90)}" if rng.random() < 0.5 else "") for _ in range(700))) for k in range(4)], "paper string, text string")
+    items = spark.createDataFrame([(k, f"p{k % 5}", f"w{k} gene") for k in range(10)], "item_id long, paper string, caption string")
+    made = index.build(text.chunk_rows(docs, "paper", "text", size=60, overlap=10))
+    how = {"mode": "bm25", "top_k": 3, "chunk_words": 60, "overlap": 10}
+    want = sorted(map(tuple, pipeline.contexts(items, docs, **how).collect()))
+    assert sorted(map(tuple, pipeline.contexts(items, docs, made=made, **how).collect())) == want and any(r[1] for r in want)
+
+
 def test_empty_index(spark):
     made = index.build(spark.createDataFrame([], CHUNKS))
     assert made.papers.collect() == [] and index.top_k(spark.createDataFrame(asked(), QUERIES), made, 3).collect() == []

@@ -29,6 +29,11 @@ def _c(x: str | Column) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def bound(value: Column, body) -> Column:
+    """``body`` of ``value``, which is computed once however often the body has it: in functions of arrays nothing else shares it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def tokens(text: str | Column) -> Column:
     """Lower-case words: runs of letters, digits and underscores."""
     return F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit(r"[\p{L}\p{N}_]+"), F.lit(0))
@@ -70,8 +75,9 @@ def paragraphs(text: str | Column, separator: str = r"\n{2,}") -> Column:
 def sliding(word_list: Column, size: int = CHUNK_WORDS, overlap: int = OVERLAP) -> Column:
     """Overlapping segments of ``size`` words; a segment of fewer than LEAST_TAIL words is dropped."""
     check_chunking(size, overlap)
-    starts = F.sequence(F.lit(0), F.greatest(F.size(word_list) - F.lit(1), F.lit(0)), F.lit(size - overlap))
-    return F.filter(F.transform(starts, lambda s: F.slice(word_list, s + F.lit(1), F.lit(size))), lambda p: F.size(p) >= LEAST_TAIL)
+    starts = lambda w: F.sequence(F.lit(0), F.greatest(F.size(w) - F.lit(1), F.lit(0)), F.lit(size - overlap))
+    parts = bound(word_list, lambda w: F.transform(starts(w), lambda s: F.slice(w, s + F.lit(1), F.lit(size))))
+    return F.filter(parts, lambda p: F.size(p) >= LEAST_TAIL)
 
 
 def check_chunking(size: int, overlap: int) -> None:
@@ -123,17 +129,24 @@ def _below(parts_: Column, begins: str, ends: str) -> Column:
 
     Both patterns look at a part's beginning only, so what is long is copied once, and only where it is wanted.
     """
-    first = F.array_position(F.transform(parts_, lambda p: p.rlike(begins)), True).cast("int")
-    rest = F.slice(parts_, first + F.lit(1), F.size(parts_))
-    stop = F.array_position(F.transform(rest, lambda p: p.rlike(ends)), True).cast("int")
-    body = F.array_join(F.slice(parts_, first, F.when(stop > 0, stop).otherwise(F.size(parts_))), "")
-    return F.when(first > 0, F.struct(F.regexp_replace(body, begins, "").alias("body"), (stop > 0).alias("ended")))
+    none = F.lit(None).cast("struct<body:string,ended:boolean>")
+
+    def cut(p: Column, first: Column, stop: Column) -> Column:
+        body = F.array_join(F.slice(p, first, F.when(stop > 0, stop).otherwise(F.size(p))), "")
+        return F.struct(F.regexp_replace(body, begins, "").alias("body"), (stop > 0).alias("ended"))
+
+    def later(p: Column, first: Column) -> Column:
+        rest = F.slice(p, first + F.lit(1), F.size(p))
+        return bound(F.array_position(F.transform(rest, lambda x: x.rlike(ends)), True).cast("int"), lambda stop: cut(p, first, stop))
+
+    begin = lambda p: F.array_position(F.transform(p, lambda x: x.rlike(begins)), True).cast("int")
+    return bound(parts_, lambda p: bound(begin(p), lambda first: F.when(first > 0, later(p, first)).otherwise(none)))
 
 
 def abstract_of(parts_: Column, text: Column) -> Column:
     found = _below(parts_, r"(?i)\A\s*abstract\s*\n", rf"(?i)\A[^\S\n]*(?:{ABSTRACT_ENDS})")
-    cut = F.when(found["ended"], found["body"]).otherwise(F.substring(found["body"], 1, ABSTRACT_CHARS))
-    return F.coalesce(F.nullif(stripped(cut), F.lit("")), first_words(text, ABSTRACT_WORDS))
+    cut = bound(found, lambda f: stripped(F.when(f["ended"], f["body"]).otherwise(F.substring(f["body"], F.lit(1), F.lit(ABSTRACT_CHARS)))))
+    return bound(cut, lambda c: F.when(c != "", c).otherwise(first_words(text, ABSTRACT_WORDS)))
 
 
 def section_of(parts_: Column, headings: str, most: int) -> Column:

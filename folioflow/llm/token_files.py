@@ -1,15 +1,16 @@
 """Token ids in Arrow files: one stream of equal-length sequences with masks, read back by position without copies.
 
-Steps: (1) texts are encoded and stored, two bytes an id where the vocabulary allows it; (2) documents are dealt by ranges
-of doc_id, as many as their bytes are worth, and each task writes its range as one Arrow file: record batches of
-BATCH_SEQUENCES rows, each a fixed-size list of ids and one of mask bits. Documents follow one another without gaps
-across sequences; only a file's last sequence is padded, and the mask is false there. (3) The index (shard, file,
-doc_id, place in the shard, number of ids) is stored; it names only files of tasks that succeeded, so a task that runs again
-does no harm. (4) Readers open a file as a memory map (or by ranges, in other stores), and since all batches but the
+Steps: (1) the number of shards follows from the bytes of text, their bounds are quantiles of doc_id; (2) texts are encoded,
+two bytes an id where the vocabulary allows it, and go straight to their shard, sorted there; each task writes its
+shard as one Arrow file: record batches of BATCH_SEQUENCES rows, each a fixed-size list of ids and one of mask bits.
+Documents follow one another without gaps across sequences; only a file's last sequence is padded, and the mask is
+false there. (3) The index (shard, file, doc_id, place in the shard, number of ids) is stored; it names only files of
+tasks that succeeded, so a task that runs again does no harm. (4) Readers open a file as a memory map (or by ranges, in other stores), and since all batches but the
 last have as many sequences of one length, a token's place says which batch and which element it is.
 
-Shards are ranges of (doc_id, length, crc32, row), so rows that share a doc_id are split over shards too. The driver
-holds a row per shard. A task holds one batch of sequences and one document's ids.
+A doc_id that several bounds share has all shards between them, and its rows are dealt out to these by crc32 and repeats,
+so a task that runs again deals them alike. The driver holds a row per shard. A task holds one batch of sequences and
+one document's ids.
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ import os
 import re
 import uuid
 import zlib
+from collections import Counter
 from functools import lru_cache
 from itertools import pairwise
 
@@ -30,13 +32,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import safe_pieces
-from .common import discard, lean, prepare, scratch, stored, text_or_empty
+from .common import lean, prepare, scratch, stored, text_or_empty
 
 SEQUENCE, BATCH_SEQUENCES, END_ID = 2048, 64, 2
 #: Bytes of ids that a shard has at least (where there are cores for more shards) and about at most.
 LEAST_BYTES, MOST_BYTES = 2 << 20, 128 << 20
 CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES = 200_000, 64, 50, 8 << 20
-TOKENS = "doc_id long, ids binary"
+TOKENS = "doc_id long, ids binary, shard int"
+#: Bytes of ids for a byte of text, about; and what a null doc_id counts as among the bounds.
+IDS_A_BYTE, FIRST_ID = 0.5, -(1 << 63)
 INDEX = "shard int, file string, doc_id long, at long, n_tokens long"
 RECORDS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
@@ -115,17 +119,45 @@ def text_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(each), np.cumsum([0, *map(len, each)])
 
 
-def encoded(df: DataFrame, path: str, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """TOKENS: every text's ids and ``end_id``."""
+def shard_bounds(df: DataFrame, key: str = "doc_id", text: str = "text", width: int = 2) -> np.ndarray:
+    """The doc_ids at which new shards begin: quantiles, as many as the texts' bytes are worth."""
+    size = df.agg(F.sum(F.octet_length(F.col(text)) + F.lit(1))).first()[0] or 0
+    shards = tasks_for(df.sparkSession, int(size * IDS_A_BYTE * width / 2))
+    if shards == 1:
+        return np.zeros(0, np.int64)
+    at = F.percentile_approx(F.coalesce(F.col(key).cast("long"), F.lit(FIRST_ID)), [k / shards for k in range(1, shards)], max(10_000, 10 * shards))
+    return np.array(df.agg(at).first()[0] or [], np.int64)
+
+
+class Dealer:
+    """The shard of each row; rows of a doc_id with several shards go round them, beginning at their ids' crc32."""
+
+    def __init__(self, bounds: np.ndarray):
+        self.bounds, self.seen = bounds, Counter()
+
+    def shards(self, keys: list, rows: list[bytes]) -> list[int]:
+        values = np.array([FIRST_ID if k is None else k for k in keys], np.int64)
+        low, high = (np.searchsorted(self.bounds, values, side) for side in ("left", "right"))
+        out = low.tolist()
+        for k in np.flatnonzero(high > low).tolist():
+            name = (keys[k], zlib.crc32(rows[k]))
+            out[k] += (name[1] + self.seen[name]) % int(high[k] - low[k] + 1)
+            self.seen[name] += 1
+        return out
+
+
+def encoded(df: DataFrame, path: str, bounds: np.ndarray, end_id: int = END_ID, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """TOKENS: every text's ids and ``end_id``, and its shard by ``bounds``."""
 
     @lean("token files", tokenizer.cache_clear)
     def run(batches):
         kind = id_type(path)
-        end = np.array([end_id], kind)
+        end, dealer = np.array([end_id], kind), Dealer(bounds)
         for batch in batches:
-            ids, bounds = text_ids(path, batch.column(1))
-            rows = [np.append(ids[a:b], end).tobytes() for a, b in pairwise(bounds.tolist())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary())], ["doc_id", "ids"])
+            ids, offsets = text_ids(path, batch.column(1))
+            rows = [np.append(ids[a:b], end).tobytes() for a, b in pairwise(offsets.tolist())]
+            shards = dealer.shards(batch.column(0).to_pylist(), rows)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), pa.array(shards, pa.int32())], ["doc_id", "ids", "shard"])
 
     return df.select(F.col(key).cast("long").alias("doc_id"), text_or_empty(text).alias("text")).mapInArrow(run, TOKENS)
 
@@ -212,8 +244,8 @@ class Sequences:
 
 
 def write_files(tokens: DataFrame, folder: str, kind: np.dtype, shards: int, length: int = SEQUENCE, rows: int = BATCH_SEQUENCES) -> DataFrame:
-    """INDEX of the documents written, in ascending order of doc_id (null first), length, crc32 of ids. Evaluate it once only."""
-    order = [F.asc_nulls_first("doc_id"), F.octet_length("ids"), F.crc32("ids"), F.col("_row")]
+    """INDEX of the documents written, in ascending order of doc_id (null first), shard, crc32 of ids, length. Evaluate it once only."""
+    order = [F.asc_nulls_first("doc_id"), F.crc32("ids"), F.octet_length("ids")]
 
     def run(batches):
         shard, name, out = TaskContext.get().partitionId(), f"{folder}/{uuid.uuid4().hex}.arrow", None
@@ -232,7 +264,7 @@ def write_files(tokens: DataFrame, folder: str, kind: np.dtype, shards: int, len
             if out is not None:
                 out.close()
 
-    dealt = tokens.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(shards, *order).sortWithinPartitions(*order)
+    dealt = tokens.repartitionById(shards, F.col("shard")).sortWithinPartitions(*order)
     return dealt.select("doc_id", "ids").mapInArrow(run, INDEX)
 
 
@@ -277,14 +309,12 @@ def tasks_for(spark, size: int) -> int:
 def write_documents(df: DataFrame, path: str, folder: str | None = None, end_id: int = END_ID, length: int = SEQUENCE, key: str = "doc_id", text: str = "text") -> DataFrame:
     """The stored INDEX of the files of all documents, by the tokenizer at ``path``.
 
-    A null or empty text has the end alone. A null doc_id comes first; rows that share one follow by number of ids and
-    their crc32, and rows that repeat are each written. Other columns, whatever their names, are not read; an empty
+    A null or empty text has the end alone. A null doc_id comes first; rows that share one follow by shard, crc32 and number
+    of their ids, and rows that repeat are each written. Other columns, whatever their names, are not read; an empty
     table has an empty index and no files.
     """
     spark = prepare(df.sparkSession)
     kind = id_type(path)
-    tokens = stored(encoded(df, path, end_id, key, text), "tokens")
-    size = tokens.agg(F.coalesce(F.sum(F.octet_length("ids")), F.lit(0))).first()[0]
-    index = stored(write_files(tokens, folder or scratch(spark, "token-files"), kind, tasks_for(spark, size), length), "token-index")
-    discard(tokens)
-    return index
+    bounds = shard_bounds(df, key, text, kind.itemsize)
+    tokens = encoded(df, path, bounds, end_id, key, text)
+    return stored(write_files(tokens, folder or scratch(spark, "token-files"), kind, len(bounds) + 1, length), "token-index")

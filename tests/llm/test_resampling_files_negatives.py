@@ -179,8 +179,12 @@ def test_token_files_edges(spark, monkeypatch):
     docs = [(k, t) for k, t in enumerate(ODD)] + [(None, "b b"), (None, "a"), (None, None)] + [(4, "hot row")] * 60
     df = spark.createDataFrame([(k, t, 1, 2, 3) for k, t in docs], "doc_id long, text string, at int, `a.b` int, shard int").repartition(4)
     index = stored(token_files.write_documents(df, WORDS, length=32), "again")
+    rows = sorted(map(tuple, token_files.read_files(index).collect()), key=lambda r: r[1])
+    ends = [r[1] + r[2] for r in rows]
+    assert [r[1] for r in rows] == [0, *ends[:-1]]  # nothing between documents
+    assert [r[0] for r in rows] == sorted((k for k, _ in docs), key=lambda k: (k is not None, k or 0))
     want = plain_records([k for k, _ in docs], plain_ids([t for _, t in docs]))
-    assert sorted(map(tuple, token_files.read_files(index).collect()), key=lambda r: r[1]) == want
+    assert sorted(((k, n, c) for k, _, n, c in rows), key=repr) == sorted(((k, n, c) for k, _, n, c in want), key=repr)
     assert index.filter("doc_id = 4").select("shard").distinct().count() > 1  # rows of one key are dealt out
     empty = token_files.write_documents(df.limit(0), WORDS)
     assert empty.collect() == [] and token_files.read_files(empty).collect() == []
@@ -218,6 +222,16 @@ def test_negatives_are_the_plain_version(spark, small, monkeypatch):
         assert mined(df.repartition(3), lambda k: k % 20 == 0) == want
 
 
+def here(table, anchors, low, cap, k, same):
+    """``best_rows`` in the driver, where patched constants hold."""
+    slots = hard_negatives.Slots(anchors, low, cap, k, same)
+    for r in table.collect():
+        slots.add(hard_negatives.Block.of(bytes(r.ids), bytes(r.labels), bytes(r.ints), bytes(r.turned), anchors.ints.shape[1]))
+    found = slots.found().to_pandas()
+    found["rank"] = found.groupby(["anchor", "slot"]).cumcount() + 1
+    return table.sparkSession.createDataFrame(found, f"{hard_negatives.FOUND}, rank int")
+
+
 @pytest.mark.parametrize("dense", [0.0, 1.1])
 def test_ties_and_copies(spark, monkeypatch, dense):
     monkeypatch.setattr(hard_negatives, "DENSE", dense)
@@ -226,6 +240,7 @@ def test_ties_and_copies(spark, monkeypatch, dense):
     kinds = rng.integers(-2, 3, (6, 8)) / 4
     rows = [(int(k), kinds[rng.integers(0, 6) if k % 3 else 0].tolist(), int(rng.integers(0, 3))) for k in rng.permutation(300) - 20]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(4)
+    monkeypatch.setattr(hard_negatives, "best_rows", here)
     assert mined(df, lambda k: k % 10 == 0) == plain_negatives(rows, lambda k: k % 10 == 0)
     assert mined(df, lambda k: k % 10 == 0, positives=2, negatives=3, low=50) == plain_negatives(rows, lambda k: k % 10 == 0, 2, 3, 50)
 

@@ -16,7 +16,6 @@ one document's ids.
 from __future__ import annotations
 
 import os
-import re
 import uuid
 import zlib
 from collections import Counter
@@ -37,85 +36,116 @@ from .common import lean, prepare, scratch, stored, text_or_empty
 SEQUENCE, BATCH_SEQUENCES, END_ID = 2048, 64, 2
 #: Bytes of ids that a shard has at least (where there are cores for more shards) and about at most.
 LEAST_BYTES, MOST_BYTES = 2 << 20, 128 << 20
-CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES = 200_000, 64, 50, 8 << 20
+LINE_WORDS, CACHE_WORDS, CACHE_CHARS, BLOCK_BYTES = 200, 400_000, 64, 8 << 20
 TOKENS = "doc_id long, ids binary, shard int"
 #: Bytes of ids for a byte of text, about; and what a null doc_id counts as among the bounds.
 IDS_A_BYTE, FIRST_ID = 0.5, -(1 << 63)
 INDEX = "shard int, file string, doc_id long, at long, n_tokens long"
 RECORDS = "doc_id long, start long, n_tokens long, ids_crc32 long"
 
-# Words of ASCII without apostrophes, and what the tokenizer cuts them into; each part ends with one id that ends a word.
-_PLAIN, _PART = re.compile(r"[!-&(-~]+"), re.compile(r"[A-Za-z]+|[0-9]|[^A-Za-z0-9]+")
+#: Stands between words that are encoded together. It is one id, that ends a word with a zero byte, and no word without that byte has it.
+MARK = "\x00"
+
+
+#: A letter and the marks after it are always apart for the tokenizer, so a word's end marks are encoded on their own.
+_MARKED = r"^(?P<stem>(?s:.*)[A-Za-z])(?P<tail>[.,;:!?]+)$"
+
+
+class _Known:
+    """Words and their ids, side by side."""
+
+    def __init__(self):
+        self.clear()
+
+    def clear(self) -> None:
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.large_binary())
+
+    def add(self, words: pa.Array, ids: pa.Array) -> None:
+        """Remember short words; beyond CACHE_WORDS only these."""
+        short = pc.less_equal(pc.binary_length(words), CACHE_CHARS)
+        words, ids = words.filter(short), ids.filter(short)
+        if len(self.words) + len(words) > CACHE_WORDS:
+            self.clear()
+        self.words, self.ids = pa.concat_arrays([self.words, words]), pa.concat_arrays([self.ids, ids])
 
 
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
-    """The tokenizer, which ids end a word, and the remembered words."""
+    """The tokenizer, the id of MARK, and the remembered words (as ``_Known``)."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path)
     tok.encode_special_tokens = True
-    vocabulary = tok.get_vocab()
-    ends = np.zeros(1 + max(vocabulary.values()), bool)
-    ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
     tok.model._resize_cache(0)  # words come once
-    return tok, ends, {}
+    (mark,) = tok.encode(MARK, add_special_tokens=False).ids
+    return tok, mark, _Known()
 
 
 def id_type(path: str) -> np.dtype:
     """Two bytes an id if they are enough for the vocabulary, else four."""
-    return np.dtype("<u2" if len(tokenizer(path)[1]) <= 1 << 16 else "<u4")
-
-
-def _encoded(path: str, words: list[str]) -> dict[str, bytes]:
-    """Each word's ids. Plain words are encoded many at once; a line whose ids don't end as many parts as it has goes word by word."""
-    tok, ends, _ = tokenizer(path)
-    kind, out = id_type(path), {}
-    plain = [w for w in words if _PLAIN.fullmatch(w)]
-    lines = [plain[k : k + LINE_WORDS] for k in range(0, len(plain), LINE_WORDS)]
-    for line, e in zip(lines, tok.encode_batch_fast([" ".join(line) for line in lines], add_special_tokens=False), strict=True):
-        ids = np.array(e.ids, kind)
-        parts = np.cumsum([0, *(len(_PART.findall(w)) for w in line)])
-        last = np.append(0, np.flatnonzero(ends[ids]) + 1)
-        if len(last) == parts[-1] + 1 and last[-1] == len(ids):
-            raw, at = ids.tobytes(), (last[parts] * kind.itemsize).tolist()
-            out.update(zip(line, [raw[x:y] for x, y in pairwise(at)], strict=True))
-    rest = [w for w in words if w not in out]
-    for w, e in zip(rest, tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-        out[w] = np.array(e.ids, kind).tobytes()
-    return out
-
-
-def _batch_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    return np.dtype("<u2" if max(tokenizer(path)[0].get_vocab().values()) < 1 << 16 else "<u4")
+
+
+def _encoded(path: str, words: pa.Array, kind: np.dtype) -> pa.Array:
+    """The ids of each word as bytes, LINE_WORDS words at a time with MARK between them; words that hold MARK go one by one."""
+    tok, mark, _ = tokenizer(path)
+    odd = pc.match_substring(words, MARK)
+    plain = pc.if_else(odd, "", words)
+    starts = np.append(np.arange(0, len(words), LINE_WORDS), len(words))
+    lines = pc.binary_join(pa.ListArray.from_arrays(pa.array(starts, pa.int32()), plain.cast(pa.string())), f" {MARK} ").to_pylist()
+    each = [np.array(e.ids, kind) for e in tok.encode_batch_fast([f"{line} {MARK}" for line in lines], add_special_tokens=False)]
+    ids = np.concatenate([np.zeros(0, kind), *each])
+    ends = np.flatnonzero(ids == mark)
+    if len(ends) != len(words):
+        raise ValueError("words and their ids differ in number")
+    sizes = np.diff(np.append(-1, ends)) - 1
+    offsets = np.cumsum(np.append(0, sizes)) * kind.itemsize
+    out = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(words), [None, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(np.delete(ids, ends).tobytes())])
+    if not pc.any(odd).as_py():
+        return out
+    one = lambda w: np.array(tok.encode(w, add_special_tokens=False).ids, kind).tobytes()
+    return pa.array([one(w.as_py()) if o.as_py() else x.as_py() for w, o, x in zip(words, odd, out, strict=True)], pa.large_binary())
+
+
+def _word_ids(path: str, words: pa.Array, kind: np.dtype) -> pa.Array:
+    """The ids of each of some different words; what is remembered is not encoded again."""
+    known = tokenizer(path)[2]
+    found = pc.extract_regex(words, _MARKED)
+    marked = found.is_valid()
+    parts = pa.concat_arrays([pc.if_else(marked, found.field("stem"), words), pc.if_else(marked, found.field("tail"), pa.scalar("", pa.large_string()))])
+    numbered = pc.dictionary_encode(parts)
+    place = pc.index_in(numbered.dictionary, known.words)
+    fresh = numbered.dictionary.filter(place.is_null())
+    ids = _encoded(path, fresh, kind)
+    every, at = pa.concat_arrays([known.ids, ids]), place.to_numpy(zero_copy_only=False)
+    at = np.where(np.isnan(at), len(known.words) + np.cumsum(np.isnan(at)) - 1, at).astype(np.int64) if place.null_count else at
+    each = every.take(pa.array(at[numbered.indices.to_numpy()]))
+    known.add(fresh, ids)
+    return pc.binary_join_element_wise(each[: len(words)], each[len(words) :], pa.scalar(b"", pa.large_binary()))
+
+
+def _batch_ids(path: str, texts: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, one after the other, and where each text's begin (and the last one's end).
 
     The tokenizer drops white space and never joins what it separates, so Arrow cuts texts at white space and numbers the
-    words, and each different word is encoded once. Words that repeat are remembered, up to CACHE_WORDS.
+    words, and each different word of the batch is looked up or encoded once.
     """
-    known = tokenizer(path)[2]
     lists = pc.ascii_split_whitespace(texts.cast(pa.large_string()))
     numbered = pc.dictionary_encode(lists.values)
-    words = numbered.dictionary.to_pylist()
-    new = _encoded(path, [w for w in words if w not in known])
-    each = [new[w] if w in new else known[w] for w in words]
-    often = (np.bincount(numbered.indices.to_numpy(), minlength=len(words)) > 1).tolist()
-    kept = {w: x for w, x, o in zip(words, each, often, strict=True) if o and len(w) <= CACHE_CHARS}
-    if len(known) + len(kept.keys() & new.keys()) > CACHE_WORDS:
-        known.clear()
-    known.update(kept)
-    kind = id_type(path)
-    taken = pa.array(each, pa.large_binary()).take(numbered.indices)
+    if not len(numbered):
+        return np.zeros(0, kind), np.zeros(len(texts) + 1, np.int64)
+    taken = _word_ids(path, numbered.dictionary, kind).take(numbered.indices)
     bounds = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1) // kind.itemsize
     raw = taken.buffers()[2]
     return np.frombuffer(raw, kind, bounds[-1]) if raw else np.zeros(0, kind), bounds[lists.offsets.to_numpy()]
 
 
-def text_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def text_ids(path: str, texts: pa.Array, kind: np.dtype) -> tuple[np.ndarray, np.ndarray]:
     """As ``_batch_ids``, with texts of more than BLOCK_BYTES in parts cut at white space, so that its tables stay small."""
     if texts.nbytes <= 2 * BLOCK_BYTES:
-        return _batch_ids(path, texts)
-    each = [np.concatenate([_batch_ids(path, pa.array([part]))[0] for part in safe_pieces(t.as_py(), BLOCK_BYTES // 2)]) for t in texts]
+        return _batch_ids(path, texts, kind)
+    each = [np.concatenate([_batch_ids(path, pa.array([part]), kind)[0] for part in safe_pieces(t.as_py(), BLOCK_BYTES // 2)]) for t in texts]
     return np.concatenate(each), np.cumsum([0, *map(len, each)])
 
 
@@ -154,7 +184,7 @@ def encoded(df: DataFrame, path: str, bounds: np.ndarray, end_id: int = END_ID,
         kind = id_type(path)
         end, dealer = np.array([end_id], kind), Dealer(bounds)
         for batch in batches:
-            ids, offsets = text_ids(path, batch.column(1))
+            ids, offsets = text_ids(path, batch.column(1), kind)
             rows = [np.append(ids[a:b], end).tobytes() for a, b in pairwise(offsets.tolist())]
             shards = dealer.shards(batch.column(0).to_pylist(), rows)
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, pa.binary()), pa.array(shards, pa.int32())], ["doc_id", "ids", "shard"])

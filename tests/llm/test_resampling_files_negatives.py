@@ -14,7 +14,7 @@ from folioflow.llm import hard_negatives, importance, token_files
 from folioflow.llm.common import load, prepare, stored
 
 WORDS = public_tokenizers.path("word_bpe_49k.json")
-ODD = ["", None, "a", "  A  b\n\n c\t\n", "x" * 5000, "don't 12ab \x1c!\x1d z\x85 y 　w İΣς é é ́ I've'LL", "<|endoftext|> é漢字🙂", "a b " * 20_000, "9" * 300 + "a" * 300, "\r\n \t\x0b\x0c" * 20, "same text twice", "same text twice"]
+ODD = ["", None, "a", "  A  b\n\n c\t\n", "x" * 5000, "don't 12ab \x1c!\x1d z\x85 y 　w İΣς é é ́ I've'LL", "<|endoftext|> é漢字🙂", "a b " * 20_000, "9" * 300 + "a" * 300, "\r\n \t\x0b\x0c" * 20, "same text twice", "same text twice", "a\x00b \x00 c \x00\x00 d"]
 CLASHES = "doc_id long, text string, weight string, `x.y` string, stream string, ids string"
 
 
@@ -131,7 +131,7 @@ def test_ids_are_the_library(spark, small, monkeypatch):
     monkeypatch.setattr(token_files, "BLOCK_BYTES", 2_000)
     texts = [t or "" for t in ODD] + [r.text for r in load(spark, small, "documents").collect()]
     for part in (texts, texts[:4], texts[4:5]):
-        ids, bounds = token_files.text_ids(WORDS, pa.array(part, pa.string()))
+        ids, bounds = token_files.text_ids(WORDS, pa.array(part, pa.string()), np.dtype("<u2"))
         assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)] == [x[:-1] for x in plain_ids(part)]
 
 

@@ -20,6 +20,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from folioflow.sources.lifecycle import scratch
 
@@ -60,8 +61,9 @@ class Index:
 
 
 def _blocks(rows: DataFrame) -> DataFrame:
-    """Postings of rows (paper, term, part, range, found: array<struct<ix, tf, dl>>), which may share a range."""
-    found = F.array_sort(F.flatten(F.collect_list("found")))
+    """Postings of rows (paper, term, part, range, found: a struct<ix, tf, dl> or an array of them), which may share a range."""
+    found = F.collect_list("found")
+    found = F.sort_array(F.flatten(found) if isinstance(rows.schema["found"].dataType, ArrayType) else found)
     out = rows.groupBy(*_KEY, "range").agg(found.alias("f"))
     share = F.array_max(F.transform("f", lambda x: x["tf"] / F.nullif(x["dl"], F.lit(0))))  # a chunk without words is under the empty term alone
     return out.select(*_KEY, "range", F.array_max("f.tf").alias("max_tf"), share.alias("max_share"), F.size("f").alias("n"), F.col("f.ix").alias("chunks"), F.col("f.tf").alias("tfs"), F.col("f.dl").alias("sizes"))
@@ -92,7 +94,7 @@ def build(chunks: DataFrame, folder: str | None = None, buckets: int | None = No
     each = t.select("paper", "ix", F.size("_t").alias("dl"), F.explode(F.concat(F.array(F.lit("")), "_t")).alias("term"))
     tf = each.groupBy("paper", "ix", "dl", "term").agg(F.count(F.lit(1)).cast("int").alias("tf"))
     place = F.floor(F.col("ix") / F.lit(RANGE))
-    rows = tf.select("paper", "term", F.floor(place / F.lit(PART_RANGES)).cast("int").alias("part"), place.alias("range"), F.array(F.struct("ix", "tf", "dl")).alias("found"))
+    rows = tf.select("paper", "term", F.floor(place / F.lit(PART_RANGES)).cast("int").alias("part"), place.alias("range"), F.struct("ix", "tf", "dl").alias("found"))
     return _written(spark, rows, folder or scratch(spark, "index"), buckets)
 
 

@@ -9,7 +9,7 @@ from folioflow.operators import layout, ocr, tables
 from folioflow.sources import acquisition, papers
 
 from . import extraction, pipeline, prompts, run
-from .queries import _BM25, _BOXES, _COLUMN, _PARTS, _PICTURES, _ROWS, _SCORED, _TERMS, _USEFUL, _WORDS, _boxes, _contexts, _fragments, _library, _meta, _pages, _pictures, _rows, _sectioned, load, query
+from .queries import _BM25, _BOXES, _COLUMN, _PARTS, _PICTURES, _ROWS, _SCORED, _TERMS, _USEFUL, _WORDS, _boxes, _contexts, _fragments, _library, _meta, _pages, _pictures, _rows, _sectioned, _unmarked, load, query
 
 # --- layout -------------------------------------------------------------------------------------------------------
 
@@ -338,7 +338,7 @@ def retrieved_contexts(spark, d):
     docs = load(spark, d, "documents").join(items.select(F.col("item_id").alias("doc_id")), "doc_id", "left_semi").select(F.col("doc_id").cast("string").alias("paper"), F.regexp_replace(_sectioned("doc_id", "text"), "\n{2,}", "\n").alias("text"))
     out = None
     for mode in ("bm25", "layered"):
-        rows = pipeline.contexts(items, docs, mode, top_k=6).select("item_id", F.lit(mode).alias("mode"), F.md5(F.col("context").cast("binary")).alias("digest"), "retrieved_chunks", "retrieved_words")
+        rows = pipeline.contexts(items, docs, mode, top_k=6).select("item_id", F.lit(mode).alias("mode"), F.md5(_unmarked(F.col("context")).cast("binary")).alias("digest"), "retrieved_chunks", "retrieved_words")
         out = rows if out is None else out.unionByName(rows)
     return out
 

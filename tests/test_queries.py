@@ -29,3 +29,21 @@ def test_same_as_sql(spark, small, duck, name):
 
 def test_every_query_has_sql():
     assert set(queries.SQL) == set(queries.QUERIES)
+
+
+@pytest.mark.parametrize("name", ["abstract_section", "section_map", "retrieved_contexts"])
+def test_words_like_headings(spark, small, tmp_path, name):
+    """Texts whose parts begin with words that would be headings at the beginning of a line."""
+    odd = ["1.43.173.185", "2", "Results", "methods", "Abstract", "Keywords", "Material and methods", "references", "⁠", "⁠results", "1", "Introduction"]
+    plain = [f"w{k}" for k in range(1_200)]
+    texts = {k: o for k, o in enumerate(odd)} | {12 + k: f"{o} and so on" for k, o in enumerate(odd)}
+    for at in (0, 30, 280, 420, 500, 670, 800, 890, 1_190):
+        texts |= {len(texts) + k: " ".join([*plain[:at], o, *plain[at:]]) for k, o in enumerate(odd)}
+    d = str(tmp_path)
+    docs = pd.DataFrame({"doc_id": list(texts), "text": list(texts.values())})
+    spark.createDataFrame(docs, "doc_id long, text string").coalesce(1).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(k, "and results w3") for k in texts], "item_id long, text string").coalesce(1).write.parquet(f"{d}/benchmark.parquet")
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
+    assert rows(queries.QUERIES[name](spark, d).toPandas()) == rows(con.sql(queries.SQL[name]).df())

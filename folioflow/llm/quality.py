@@ -241,6 +241,6 @@ def scored(df: DataFrame, model: Model, threshold: float = THRESHOLD, key: str =
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(shared.value.score(x))], [*short, "score"])
 
     # mapInArrow takes no names with dots: columns go by number.
-    plain = df.withColumn(own, text_or_empty(text)).toDF(*short, own)
+    plain = df.select("*", text_or_empty(text).alias(own)).toDF(*short, own)
     out = plain.mapInArrow(run, schema_text(plain.drop(own)) + ", score double").toDF(*names, "score")
     return out.withColumns({"held_out": remainder(key, FOLDS) == 0, "predicted": (F.col("score") >= threshold).cast("int")})

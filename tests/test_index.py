@@ -135,3 +135,21 @@ def test_stream_of_batches_equals_one_build(spark, tmp_path):
         index_stream.grow_stream(spark, source, folder, check).awaitTermination()
     made = index_stream.latest(spark, folder)
     assert facts(made) == facts(index.build(spark.createDataFrame([r for r in rows if r[0] != "p1"], CHUNKS)))
+
+
+def test_terms_are_broadcast_however_long_the_paper(spark, monkeypatch):
+    """A query's terms are counted once, not once for each part of the paper, and ranges may lie across Arrow batches."""
+    monkeypatch.setattr(index, "RANGE", 2)
+    monkeypatch.setattr(index, "PART_RANGES", 1)
+    monkeypatch.setattr(index, "MOST_BROADCAST", 2)
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        made = index.build(spark.createDataFrame([("p", k, f"hot w{k}") for k in range(60)] + [(None, 0, "hot"), ("p", 60, None)], CHUNKS))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    q = spark.createDataFrame([(1, "p", "hot w59")], QUERIES)
+    assert index.weighed_terms(q, made, "bm25").count() == 2
+    assert index._ranges(q, made, 3, "bm25")[2]
+    assert [r.chunk_ix for r in index.top_k(q, made, 3).orderBy("rank").collect()] == [59, 0, 1]
+    assert sum(r.df for r in made.terms.filter("term = 'hot'").collect()) == 61

@@ -90,11 +90,15 @@ def with_boundary(caps: DataFrame, pages: DataFrame) -> DataFrame:
     largest edge so far. A box that stands upside down is taken as if it were upright.
     """
     own = caps.join(pages, ["paper_id", "page"]).withColumn("column", column_of(F.col("box"), F.col("width")))
+    names = own.columns
     top, edge = F.least("box.y0", "box.y1"), F.greatest("box.y0", "box.y1")
-    rows = own.withColumn("_e", F.explode(F.array(F.struct(top.alias("y"), F.lit(0).alias("kind")), F.struct(edge.alias("y"), F.lit(1).alias("kind")))))
-    sweep = Window.partitionBy("paper_id", "page", "column").orderBy("_e.y", "_e.kind").rowsBetween(Window.unboundedPreceding, 0)
-    above = F.max(F.when((F.col("_e.kind") == 1) & (F.col("_e.y") > 0), F.col("_e.y"))).over(sweep)
-    return rows.withColumn("prev", F.coalesce(above, F.lit(0.0))).filter("_e.kind = 0").drop("_e")
+    # Only the row of a caption's top has its columns.
+    row = F.struct(*names)
+    ends = F.array(F.struct(top.alias("y"), F.lit(0).alias("kind"), row.alias("row")), F.struct(edge.alias("y"), F.lit(1).alias("kind"), F.when(F.lit(False), row).alias("row")))
+    rows = own.select("paper_id", "page", "column", F.explode(ends).alias("_e")).select("paper_id", "page", "column", "_e.*")
+    sweep = Window.partitionBy("paper_id", "page", "column").orderBy("y", "kind").rowsBetween(Window.unboundedPreceding, 0)
+    above = F.max(F.when((F.col("kind") == 1) & (F.col("y") > 0), F.col("y"))).over(sweep)
+    return rows.withColumn("prev", F.coalesce(above, F.lit(0.0))).filter("kind = 0").select("row.*", "prev")
 
 
 def figure_regions(caps: DataFrame, visuals: DataFrame, texts: DataFrame) -> DataFrame:

@@ -1,6 +1,7 @@
 """Every query that has SQL gives the same rows as DuckDB."""
 
 import os
+import re
 
 import duckdb
 import pandas as pd
@@ -47,3 +48,11 @@ def test_words_like_headings(spark, small, tmp_path, name):
     for t in ("documents", "benchmark"):
         con.sql(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{d}/{t}.parquet/*.parquet')")
     assert rows(queries.QUERIES[name](spark, d).toPandas()) == rows(con.sql(queries.SQL[name]).df())
+
+
+@pytest.mark.parametrize("name", ["prev_boundary", "figure_region", "fallback_region", "next_page", "region_cascade", "extract_figures"])
+def test_layout_is_dealt_out(spark, small, name):
+    """Shuffles of boxes begin with many partitions, whatever the session's number is."""
+    plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
+    found = [int(x) for x in re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), ENSURE", plan)]
+    assert found and min(found) >= 400

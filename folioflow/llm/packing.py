@@ -26,7 +26,7 @@ from .common import lean, stored, text_or_empty
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
 FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 12, 50_000
-CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES = 200_000, 64, 50, 8 << 20
+CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES, WIDE_BYTES = 200_000, 64, 50, 4 << 20, 1 << 28
 
 # A word is white space with the run after it, less full stops and the like: cutting before white space that follows
 # another character is always safe, and so is cutting between a letter and a mark that isn't an apostrophe.
@@ -80,26 +80,31 @@ def _batch_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     Long words are not remembered.
     """
     known = _tokenizer(path)[2]
-    texts = texts.cast(pa.large_string())
+    # Offsets of four bytes reach, unless a text has a giant run that can't be cut; what is used up goes at once.
+    wide = texts.nbytes > WIDE_BYTES
+    texts = texts.cast(pa.large_string() if wide else pa.string())
     # A mark that is in no text; none of them begins as it ends, so with text around it stays the only one at its place.
     mark = next(m for m in chain(["\x00"], (f"\x00{n}\x01" for n in count())) if not pc.any(pc.match_substring(texts, m)).as_py())
     for cut in _CUTS:
         texts = pc.replace_substring_regex(texts, cut, f"\\1{mark}\\2")
     lists = pc.split_pattern(texts, mark)
-    numbered = pc.dictionary_encode(lists.values)
-    words, codes = numbered.dictionary.to_pylist(), numbered.indices.to_numpy()
+    del texts
+    numbered, ends = pc.dictionary_encode(lists.values), lists.offsets.to_numpy()
+    del lists
+    words, codes = numbered.dictionary.to_pylist(), numbered.indices
+    del numbered
     new = _encoded(path, [w for w in words if w not in known])
     each = [new[w] if w in new else known[w] for w in words]
-    often = (np.bincount(codes, minlength=len(words)) > 1).tolist()
+    often = (np.bincount(codes.to_numpy(), minlength=len(words)) > 1).tolist()
     kept = {w: x for w, x, o in zip(words, each, often, strict=True) if o and len(w) <= CACHE_CHARS}
     if len(known) + len(kept.keys() & new.keys()) > CACHE_WORDS:
         known.clear()
     known.update(kept)
-    taken = pa.array(each, pa.large_binary()).take(numbered.indices)
-    bounds = np.frombuffer(taken.buffers()[1], "<i8", len(taken) + 1) // 4
+    del words, new, kept, often
+    taken = pa.array(each, pa.large_binary() if wide else pa.binary()).take(codes)
+    bounds = np.frombuffer(taken.buffers()[1], "<i8" if wide else "<i4", len(taken) + 1).take(ends) // 4
     raw = taken.buffers()[2]
-    ids = np.frombuffer(raw, "<u4", bounds[-1]) if raw else np.zeros(0, "<u4")
-    return ids, bounds[lists.offsets.to_numpy()]
+    return np.frombuffer(raw, "<u4", bounds[-1]) if raw else np.zeros(0, "<u4"), bounds
 
 
 def _text_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -113,6 +113,27 @@ def test_words_of_any_kind(monkeypatch, block):
     assert [k for a, n in packing._slices(column) for k in range(a, a + n)] == list(range(len(texts)))
 
 
+def test_packing_memory(monkeypatch):
+    """What Arrow holds while a batch of 8 MB is encoded, and that offsets of four and eight bytes give the same."""
+    r = random.Random(3)
+    words = ["".join(r.choices("abcdefgh", k=r.randint(1, 8))) for _ in range(5_000)]
+    texts = pa.array([" ".join(r.choices(words, k=400)) for _ in range(3_700)])
+    assert 6 << 20 < texts.nbytes < 8 << 20
+    usual, pool = pa.default_memory_pool(), pa.proxy_memory_pool(pa.default_memory_pool())
+    packing._text_ids(JSON, texts[:1])
+    pa.set_memory_pool(pool)
+    try:
+        for start, n in packing._slices(texts):
+            packing._text_ids(JSON, texts.slice(start, n))
+        assert pool.max_memory() < 40e6
+    finally:
+        pa.set_memory_pool(usual)
+    ids, bounds = packing._text_ids(JSON, pa.array(["a b", "", "c. d"]))
+    monkeypatch.setattr(packing, "WIDE_BYTES", 0)
+    wide = packing._text_ids(JSON, pa.array(["a b", "", "c. d"]))
+    assert ids.tolist() == wide[0].tolist() and bounds.tolist() == wide[1].tolist()
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plans_are_valid_and_small(seed):
     r = random.Random(seed)

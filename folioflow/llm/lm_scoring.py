@@ -45,6 +45,8 @@ LEVEL_FEATURES, PARTS, RATES = ((0, 1, 2, 3), (0, 1, 2, 3), (0, 1, 3), (0, 1)),
 GROUPS, GROUP_STEPS = 8, 12
 ROUNDS, TOKENS_A_SHARD, MOST_SHARDS, BLOCK = 2, 8_000_000, 4_096, 1 << 11
 BATCH, RUN_TOKENS, COUNTER_WORDS = 4_096, 50_000, 500_000
+#: A summed table comes to the driver in parts of about so many bytes, whatever the session's number of partitions.
+PART_BYTES = 4 << 20
 ALPHA = 0.1
 #: What stands for the end of a text among tokens; it holds white space, so no word equals it.
 END_TOKEN = b"\n"
@@ -278,8 +280,11 @@ def _runs(values, most: int = RUN_TOKENS):
         yield np.concatenate(parts).astype(np.int64), np.array(starts)
 
 
-def _summed(parts: DataFrame, weigh: bool) -> DataFrame:
-    """Sums of (block, value, used) by block; with ``weigh``, means weighted by ``used`` and its mean. Parts stream, a sum is held."""
+def _summed(parts: DataFrame, weigh: bool, cells: int) -> DataFrame:
+    """Sums of (block, value, used) by block; with ``weigh``, means weighted by ``used`` and its mean. Parts stream, a sum is held.
+
+    ``cells``: numbers in the whole table.
+    """
     kind = np.int8 if weigh else np.float32
 
     def merge(batches):
@@ -303,7 +308,7 @@ def _summed(parts: DataFrame, weigh: bool) -> DataFrame:
         if now is not None:
             yield out()
 
-    return parts.repartition("block").sortWithinPartitions("block").mapInArrow(merge, "block int, value binary, used binary")
+    return parts.repartition(-(-4 * cells // PART_BYTES), "block").sortWithinPartitions("block").mapInArrow(merge, "block int, value binary, used binary")
 
 
 def _bytes(x: np.ndarray) -> np.ndarray:
@@ -347,8 +352,9 @@ def profiles(rows: DataFrame, model: Model, shards: int) -> np.ndarray:
 
     parts = rows.select("ids").coalesce(shards).mapInArrow(run, "block int, value binary, used binary")
     out = np.zeros((len(top), TOP + 1), np.float32)
-    for at, value, _ in _collected(_summed(parts, False)):
+    for at, value, _ in _collected(_summed(parts, False, out.size)):
         out[at] = value
+    shared.destroy()
     return out[FIRST:]
 
 
@@ -391,7 +397,7 @@ def _round(rows: DataFrame, model: Model, shards: int) -> None:
         yield from _blocks(change, own.used - own.model.used, _bytes)
 
     parts = rows.select("ids").coalesce(shards).mapInArrow(train, "block int, value binary, used binary")
-    for at, change, used in _collected(_summed(parts, True)):
+    for at, change, used in _collected(_summed(parts, True, model.weights.size)):
         model.weights[at] = _bytes(model.weights[at] + change)
         model.used[at] += used
     shared.destroy()
@@ -433,7 +439,9 @@ def train(rows: DataFrame, model: Model) -> Model:
 
 def scored(rows: DataFrame, model: Model, counts: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of ``numbered`` rows."""
-    shared = rows.sparkSession.sparkContext.broadcast(_lean(model))
+    lean = _lean(model)
+    lean.used = None
+    shared = rows.sparkSession.sparkContext.broadcast(lean)
     names = ["_row", "doc_id", "held", "n_tokens", "n_known", "base_score", "score", "rare"]
     kinds = (pa.int64(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64())
     schema = "_row long, doc_id long, held boolean, n_tokens long, n_known long, base_score double, score double, rare array<struct<h:long,n:int>>"

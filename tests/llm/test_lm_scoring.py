@@ -2,7 +2,9 @@ import math
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from folioflow.llm import lm_scoring
 from folioflow.llm.common import load, prepare
@@ -156,3 +158,21 @@ def test_table_grows_with_the_corpus():
     ends = np.cumsum([0, *lm_scoring.PARTS]) << (m.rows_log2 - 4)
     used = np.flatnonzero(own.used)
     assert len(m.weights) == 1 << 20 and all(((used >= a) & (used < b)).any() for a, b in zip(ends, ends[1:], strict=False))
+
+
+def test_sums_come_in_small_parts(spark, monkeypatch):
+    """However few partitions the session has: else a part of 29 MB came to the driver at once."""
+    monkeypatch.setattr(lm_scoring, "PART_BYTES", 1 << 20)
+    blocks, n = 64, lm_scoring.BLOCK
+    one = lambda k: (k % blocks, np.full((n, 16), k // blocks + 1, np.int8).tobytes(), np.ones(n, np.float32).tobytes())
+    parts = spark.createDataFrame([one(k) for k in range(2 * blocks)], "block int, value binary, used binary")
+    usual = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", 1)
+    try:
+        merged = lm_scoring._summed(parts, True, blocks * n * 16)
+        sizes = merged.groupBy(F.spark_partition_id()).agg(F.sum(F.octet_length("value") + F.octet_length("used")).alias("n")).collect()
+        assert max(r.n for r in sizes) <= 3 * lm_scoring.PART_BYTES
+        got = {at.start // n: (value.min(), value.max(), used.max()) for at, value, used in lm_scoring._collected(merged)}
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", usual)
+    assert got == {k: (1.5, 1.5, 1.0) for k in range(blocks)}

@@ -21,11 +21,11 @@ rows are hot in that join: whatever is frequent in training is in the head, and
 
 from __future__ import annotations
 
-from collections import Counter
-from itertools import repeat
+from itertools import pairwise, repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -66,33 +66,53 @@ def tokens(text: str) -> list[bytes]:
     return text.encode().lower().split()
 
 
+def words_of(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The ``tokens`` of all texts, one after the other, and where each text's begin (and the last one's end); cut by Arrow."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    words, ends = lists.flatten().cast(pa.binary()), lists.offsets.to_numpy() - lists.offsets[0].as_py()
+    whole = pc.greater(pc.binary_length(words), 0)  # white space at the beginning or end of a text leaves an empty word there
+    if whole.true_count < len(words):
+        ends = np.append(0, np.cumsum(whole.to_numpy(zero_copy_only=False)))[ends]
+        words = words.filter(whole)
+    return words, ends
+
+
 def token_counts(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(token, c, m): how often each token occurs in training rows and in all, END_TOKEN once a row.
 
     Counted in each task before they shuffle.
     """
 
-    def run(batches):
-        def out(counts):
-            for held, count in enumerate(counts):
-                n = pa.array(count.values(), pa.int64(), size=len(count))
-                yield pa.RecordBatch.from_arrays([pa.array(count, pa.binary(), size=len(count)), pa.array(np.zeros(len(n), np.int64)) if held else n, n], ["token", "c", "m"])
+    def counted(texts, held):
+        found = pc.value_counts(words_of(texts)[0])
+        token, m = pa.concat_arrays([found.field(0), pa.array([END_TOKEN])]), pa.concat_arrays([found.field(1), pa.array([len(texts)])])
+        return pa.table({"token": token, "c": pa.array(np.zeros(len(m), np.int64)) if held else m, "m": m})
 
-        counts = (Counter(), Counter())
+    def run(batches):
+        waiting, size = [], 0
         for batch in batches:
-            for value, held in zip(batch.column(0), batch.column(1).to_pylist(), strict=True):
-                own = counts[held]
-                own.update(tokens(value.as_py()))
-                own[END_TOKEN] += 1
-                if len(own) > COUNTER_WORDS:
-                    yield from out(counts)
-                    counts = (Counter(), Counter())
-        yield from out(counts)
+            texts, held = batch.columns
+            new = [counted(texts.filter(mask), h) for mask, h in ((pc.invert(held), False), (held, True)) if mask.true_count]
+            waiting, size = waiting + new, size + sum(map(len, new))
+            if size > 2 * COUNTER_WORDS:
+                waiting = [_added(waiting)]
+                size = len(waiting[0])
+                if size > COUNTER_WORDS:
+                    yield from waiting[0].to_batches()
+                    waiting, size = [], 0
+        if waiting:
+            yield from _added(waiting).to_batches()
 
     partial = df.select(text_or_empty(text).alias("text"), (remainder(key, FOLDS) == 0).alias("held")).mapInArrow(run, "token binary, c long, m long")
     return partial.groupBy("token").agg(F.sum("c").alias("c"), F.sum("m").alias("m"))
 
 
+def _added(counts: list[pa.Table]) -> pa.Table:
+    """One row a token of these tables, with its counts added up."""
+    both = pa.concat_tables(counts).group_by("token", use_threads=False).aggregate([("c", "sum"), ("m", "sum")])
+    return both.select(["token", "c_sum", "m_sum"]).rename_columns(["token", "c", "m"])
+
+
 class Model:
     """The head's codes and counts, the unigram tables by node, and the weights."""
 
@@ -190,18 +210,41 @@ def log_probabilities(model: Model, ids: np.ndarray, history: np.ndarray) -> np.
     return out
 
 
+def as_items(table: np.ndarray) -> np.ndarray:
+    """``table`` with each row as one item, which numpy moves at once and not number by number."""
+    return table.view(f"V{table.itemsize * table.shape[1]}").ravel()
+
+
+def grouped(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The distinct ``rows``, how often each occurs, positions in the order of their rows, and where each row begins there."""
+    if not len(rows):
+        return rows, rows, rows, rows
+    low, bits = rows.min(), (len(rows) - 1).bit_length()
+    key = (rows - low).astype(np.uint32 if int(rows.max() - low) >> (32 - bits) == 0 else np.uint64)  # four bytes sort faster
+    key <<= bits
+    key |= np.arange(len(rows), dtype=key.dtype)
+    key.sort()
+    order = (key & key.dtype.type((1 << bits) - 1)).astype(np.int64)
+    key >>= bits
+    starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key.take(starts).astype(np.int64) + low, np.diff(np.append(starts, len(rows))), order, starts
+
+
+def sums(gradients: np.ndarray, times: np.ndarray, order: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """The sums of the ``gradients`` (a row each) that ``grouped`` puts together."""
+    out, many = gradients.take(order.take(starts), 0), np.flatnonzero(times > 1)
+    if len(many):  # most rows occur once and need no sum
+        each = times.take(many)
+        alike = gradients.take(order[np.repeat(times > 1, times)], 0)
+        total = np.add.reduceat(alike.view(np.complex64), np.cumsum(each) - each, 0)  # two columns in one number
+        as_items(out).put(many, as_items(total), mode="clip")
+    return out
+
+
 def summed_by_row(rows: np.ndarray, gradients: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The distinct ``rows``, how often each occurs, and the sums of the ``gradients`` (a row each) that share one."""
-    key = (rows.astype(np.uint64) << np.uint64(32)) | np.arange(len(rows), dtype=np.uint64)
-    key.sort()
-    order, sorted_rows = (key & np.uint64(0xFFFFFFFF)).astype(np.int64), (key >> np.uint64(32)).astype(np.int64)
-    starts = np.flatnonzero(np.append(True, sorted_rows[1:] != sorted_rows[:-1])[: len(rows)])
-    times = np.diff(np.append(starts, len(rows)))
-    out, many = gradients.take(order[starts], 0), times > 1
-    if many.any():  # most rows occur once and need no sum
-        each = times[many]
-        out[many] = np.add.reduceat(gradients.take(order[np.repeat(many, times)], 0), np.cumsum(each) - each, 0)
-    return sorted_rows[starts], times, out
+    row, times, *where = grouped(rows)
+    return row, times, sums(gradients, times, *where)
 
 
 class Trainer:
@@ -209,6 +252,7 @@ class Trainer:
 
     def __init__(self, model: Model):
         self.model, self.weights, self.used = model, model.floats(), model.used.copy()
+        self.items = as_items(self.weights)
 
     def learn(self, ids: np.ndarray, history: np.ndarray) -> None:
         """Steps over batches: of tokens that share a row, the gradients are summed."""
@@ -219,17 +263,20 @@ class Trainer:
             for level, node, digit in _digits(y):
                 s = self.model.prior.take(node, 0)
                 rows = [table_rows(h[f], node, f, self.model.rows_log2) for f in LEVEL_FEATURES[level]]
-                for r in rows:
-                    s += self.weights.take(r, 0)
+                now = [self.weights.take(r, 0) for r in rows]
+                for w in now:
+                    s += w
                 np.exp(s, s)
                 s *= np.reciprocal(s @ _ONES)[:, None]
                 s.ravel()[each + digit] -= 1
-                for f, r in zip(LEVEL_FEATURES[level], rows, strict=True):
-                    row, times, step = summed_by_row(r, s)
+                for f, r, w in zip(LEVEL_FEATURES[level], rows, now, strict=True):
+                    row, times, order, starts = grouped(r)
+                    step = sums(s, times, order, starts)
                     used = self.used.take(row) + times.astype(np.float32)
-                    self.used[row] = used
-                    step *= (np.float32(RATES[f]) / np.sqrt(used))[:, None]
-                    self.weights[row] -= step
+                    self.used.put(row, used, mode="clip")
+                    step *= (np.float32(-RATES[f]) / np.sqrt(used))[:, None]
+                    step += w.take(order.take(starts), 0)
+                    self.items.put(row, as_items(step), mode="clip")
 
 
 def numbered(df: DataFrame, model: Model, common: dict[bytes, int], key: str, text: str) -> DataFrame:
@@ -239,28 +286,34 @@ def numbered(df: DataFrame, model: Model, common: dict[bytes, int], key: str, te
 
     def run(batches):
         numbers, counts = shared.value
+        by_rank = pa.array([t for t in numbers if t != END_TOKEN], pa.binary())
         by_hash = {xxhash.xxh64_intdigest(t, seed=42): c for t, c in counts.items()}
+        frequent = np.sort(np.fromiter(by_hash, np.uint64, len(by_hash)))
+        there = np.array([by_hash[h] for h in frequent.tolist()], np.int64)
         for batch in batches:
-            texts, names = batch.column(batch.num_columns - 1), batch.schema.names[:-1]
-            ids, known, mass, offsets, hashes, each = [], [], [], [0], [], []
-            for value in texts:
-                words = tokens(value.as_py())
-                own = np.fromiter(map(numbers.get, words, repeat(RARE)), np.uint16, len(words))
-                ids.append(np.append(own, np.uint16(END)).tobytes())
-                found = Counter(xxhash.xxh64_intdigest(words[k], seed=42) for k in np.flatnonzero(own == RARE).tolist())
-                there, total = [0, 0], 0.0
-                for h in found.keys() & by_hash.keys():
-                    n, c = found.pop(h), by_hash[h]
-                    there = [there[0] + n, there[1] + n * (c > 0)]
-                    total += n * float(np.log10(c + ALPHA))
-                known.append(there)
-                mass.append(total)
-                hashes.append(np.fromiter(found, np.uint64, len(found)).view(np.int64))
-                each.append(np.fromiter(found.values(), np.int32, len(found)))
-                offsets.append(offsets[-1] + len(found))
-            rare = pa.StructArray.from_arrays([pa.array(np.concatenate([np.zeros(0, np.int64), *hashes])), pa.array(np.concatenate([np.zeros(0, np.int32), *each]))], ["h", "n"])
-            common_ = pa.StructArray.from_arrays([pa.array([x[0] for x in known], pa.int64()), pa.array([x[1] for x in known], pa.int64()), pa.array(mass, pa.float64())], ["n", "known", "log"])
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(ids, pa.binary()), common_, pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), rare)], [*names, "ids", "common", "rare"])
+            words, ends = words_of(batch.column(batch.num_columns - 1))
+            texts = len(ends) - 1
+            found = pc.index_in(words, value_set=by_rank)
+            ids = (found.fill_null(RARE - FIRST).to_numpy() + FIRST).astype(np.uint16)
+            ids = np.insert(ids, ends[1:], np.uint16(END)).tobytes()
+            starts = (ends + np.arange(texts + 1)).tolist()
+            # A row for each text and rare token of it, with how often it stands there.
+            missing = words.filter(found.is_null()).to_numpy(zero_copy_only=False)
+            hashes = np.fromiter(map(xxhash.xxh64_intdigest, missing, repeat(42)), np.uint64, len(missing))
+            at = np.repeat(np.arange(texts), np.diff(ends))[found.is_null().to_numpy(zero_copy_only=False)]
+            order = np.lexsort((hashes, at))
+            hashes, at = hashes[order], at[order]
+            first = np.flatnonzero(np.append(True, (hashes[1:] != hashes[:-1]) | (at[1:] != at[:-1]))[: len(at)])
+            n, hashes, at = np.diff(np.append(first, len(at))), hashes[first], at[first]
+            near = np.searchsorted(frequent, hashes)
+            held = (frequent[np.minimum(near, len(frequent) - 1)] == hashes) if len(frequent) else np.zeros(len(hashes), bool)
+            c, k, many = there[near[held]], at[held], n[held]
+            parts = ((many, np.int64), (many * (c > 0), np.int64), (many * np.log10(c + ALPHA), np.float64))
+            common_ = pa.StructArray.from_arrays([pa.array(np.bincount(k, w, texts).astype(kind)) for w, kind in parts], ["n", "known", "log"])
+            rare = pa.StructArray.from_arrays([pa.array(hashes[~held].view(np.int64)), pa.array(n[~held].astype(np.int32))], ["h", "n"])
+            offsets = np.append(0, np.cumsum(np.bincount(at[~held], minlength=texts))).astype(np.int32)
+            raw = pa.array([ids[2 * a : 2 * b] for a, b in pairwise(starts)], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], raw, common_, pa.ListArray.from_arrays(pa.array(offsets), rare)], [*batch.schema.names[:-1], "ids", "common", "rare"])
 
     rows = df.select(F.monotonically_increasing_id().alias("_row"), F.col(key).cast("long").alias("doc_id"), (remainder(key, FOLDS) == 0).alias("held"), F.pmod(F.xxhash64(F.col(key)), F.lit(ROUNDS)).cast("int").alias("part"), text_or_empty(text).alias("text"))
     return rows.mapInArrow(run, "_row long, doc_id long, held boolean, part int, ids binary, common struct<n:long,known:long,log:double>, rare array<struct<h:long,n:int>>")

@@ -1,9 +1,13 @@
 import math
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from folioflow.llm import lm_scoring
@@ -176,3 +180,55 @@ def test_sums_come_in_small_parts(spark, monkeypatch):
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", usual)
     assert got == {k: (1.5, 1.5, 1.0) for k in range(blocks)}
+
+
+def test_words_are_cut_by_arrow():
+    """The same words as `tokens` cuts, in less than 3/4 of its time: counting and numbering word by word took most of 940 ns a token."""
+    odd = ["", "   ", " a  B\t", "\x1c\x1dx\x1f y\x00z\x85", "\n\v\f\r", "É é Ünï  x y", "Z" * 70_000, "end "]
+    words, ends = lm_scoring.words_of(pa.array(odd))
+    want = [lm_scoring.tokens(t) for t in odd]
+    assert words.to_pylist() == [w for t in want for w in t] and ends.tolist() == np.cumsum([0, *map(len, want)]).tolist()
+    assert [len(x) for x in lm_scoring.words_of(pa.array([], pa.string()))] == [0, 1]
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"word{k}" for k in rng.zipf(1.2, 2_000) % 100_000) for _ in range(100)]
+
+    def seconds(run):
+        began = time.process_time()
+        run()
+        return time.process_time() - began
+
+    plain = min(seconds(lambda: Counter(w for t in texts for w in lm_scoring.tokens(t))) for _ in range(3))
+    assert min(seconds(lambda: pc.value_counts(lm_scoring.words_of(pa.array(texts))[0])) for _ in range(3)) < 0.75 * plain
+
+
+def test_counts_of_many_batches(spark, monkeypatch):
+    """Counts that a task adds up now and then are those of plain counting."""
+    monkeypatch.setattr(lm_scoring, "COUNTER_WORDS", 40)
+    texts = [" ".join(f"w{(k * j) % (7 + k)}" for j in range(30)) for k in range(200)]
+    usual = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", 3)
+    try:
+        out = lm_scoring.token_counts(prepare(spark).createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)).collect()
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", usual)
+    c, m = Counter(), Counter()
+    for k, t in enumerate(texts):
+        m.update([*lm_scoring.tokens(t), lm_scoring.END_TOKEN])
+        if zlib.crc32(str(k).encode()) % 10:
+            c.update([*lm_scoring.tokens(t), lm_scoring.END_TOKEN])
+    assert {bytes(r.token): (r.c, r.m) for r in out} == {t: (c[t], n) for t, n in m.items()}
+
+
+def test_rare_tokens_are_numbered(spark):
+    """Of a text's rare tokens those with a known count are summed, the others listed once with how often they stand there."""
+    model = lm_scoring.Model([(b"a", 9), (lm_scoring.END_TOKEN, 4)], 20, 9)
+    df = prepare(spark).createDataFrame([(1, "A x y x"), (2, None), (3, "z z a q x")], "doc_id long, text string").coalesce(1)
+    rows = {r.doc_id: r for r in lm_scoring.numbered(df, model, {b"x": 3, b"q": 0}, "doc_id", "text").collect()}
+    number = {b"a": 2, b"\n": 0}
+    for k, words in ((1, [b"a", b"x", b"y", b"x"]), (2, []), (3, [b"z", b"z", b"a", b"q", b"x"])):
+        assert np.frombuffer(rows[k].ids, np.uint16).tolist() == [number.get(w, 1) for w in [*words, b"\n"]]
+        known = [w for w in words if w in (b"x", b"q")]
+        log = sum(math.log10({b"x": 3, b"q": 0}[w] + 0.1) for w in known)
+        assert (rows[k].common.n, rows[k].common.known, rows[k].common.log) == (len(known), known.count(b"x"), pytest.approx(log))
+        rest = Counter(np.uint64(xxhash.xxh64_intdigest(w, seed=42)).astype(np.int64) for w in words if w in (b"y", b"z"))
+        assert {x.h: x.n for x in rows[k].rare} == rest

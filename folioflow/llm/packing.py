@@ -8,7 +8,6 @@ entries are broadcast; their number follows from the distinct lengths, not from
 
 from __future__ import annotations
 
-import re
 import zlib
 from bisect import bisect_right
 from functools import lru_cache
@@ -26,18 +25,38 @@ from .common import lean, stored, text_or_empty
 CAPACITY = 2048
 #: Nodes of one search for a filling, of the search over whole plans, and the pieces that share a ranking cell.
 FILL_NODES, PLAN_TRIES, CELL_ROWS = 4_000, 12, 50_000
-CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES, WIDE_BYTES = 200_000, 64, 50, 4 << 20, 1 << 28
+CACHE_WORDS, CACHE_CHARS, LINE_WORDS, BLOCK_BYTES, WIDE_BYTES = 400_000, 64, 50, 4 << 20, 1 << 28
 
 # A word is white space with the run after it, less full stops and the like: cutting before white space that follows
 # another character is always safe, and so is cutting between a letter and a mark that isn't an apostrophe.
 _CUTS = (f"([^{SPACE}])([{SPACE}])", "([A-Za-z])([.,;:!?])")
-_ONE_SPACE = re.compile(f"[ \n][^{SPACE}]+")
+# Where no two spaces stand together, a space needs no look at what is before it.
+_TWO_SPACES, _OTHER_SPACE = f"[{SPACE}][{SPACE}]", (f"([^{SPACE}])([{SPACE.replace(' ', '')}])", _CUTS[1])
+_ONE_SPACE = f"^[ \n][^{SPACE}]+$"
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 
+class _Known:
+    """Words and their ids, side by side, from the oldest to the newest."""
+
+    def __init__(self):
+        self.words, self.ids = pa.array([], pa.string()), pa.array([], pa.binary())
+
+    def __len__(self) -> int:
+        return len(self.words)
+
+    def add(self, words: pa.Array, ids: pa.Array) -> None:
+        """Remember short words; beyond CACHE_WORDS only the newer half of all."""
+        short = pc.less_equal(pc.binary_length(words), CACHE_CHARS)
+        both = ((self.words, words.filter(short).cast(pa.string())), (self.ids, ids.filter(short).cast(pa.binary())))
+        many = len(self) + short.true_count
+        kept = CACHE_WORDS // 2 if many > CACHE_WORDS else many
+        self.words, self.ids = (pa.concat_arrays([old.slice(min(len(old), many - kept)), new.slice(max(0, many - kept - len(old)))]) for old, new in both)
+
+
 @lru_cache(maxsize=4)
 def _tokenizer(path: str):
-    """The tokenizer, which ids begin with a space or line break, and the remembered words."""
+    """The tokenizer, which ids begin with a space or line break, and the remembered words (as ``_Known``)."""
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -48,36 +67,37 @@ def _tokenizer(path: str):
     spaced = np.zeros(1 + max(tok.get_vocab().values()), bool)
     spaced[[i for token, i in tok.get_vocab().items() if token.startswith(("\u0120", "\u010a"))]] = True  # as byte-level BPE writes them
     tok.model._resize_cache(0)  # words come once
-    return tok, spaced, {}
+    return tok, spaced, _Known()
 
 
-def _encoded(path: str, words: list[str]) -> dict[str, bytes]:
+def _encoded(path: str, words: pa.Array) -> pa.Array:
     """Each word's ids; words of a space or line break and then no other white space are encoded many at once.
 
     These two are found at a token's start only, so in a line of such words an id that begins with one begins a word.
     """
     tok, spaced, _ = _tokenizer(path)
-    out: dict[str, bytes] = {}
-    plain = [w for w in words if _ONE_SPACE.fullmatch(w)]
-    lines = [plain[k : k + LINE_WORDS] for k in range(0, len(plain), LINE_WORDS)]
-    for part, e in zip(lines, tok.encode_batch_fast(["".join(part) for part in lines], add_special_tokens=False), strict=True):
-        ids = np.array(e.ids, "<u4")
-        starts = np.flatnonzero(spaced[ids])
-        if len(starts) == len(part) and starts[0] == 0:
-            raw, ends = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
-            out.update(zip(part, [raw[x:y] for x, y in pairwise(ends)], strict=True))
-    rest = [w for w in words if w not in out]
-    for w, e in zip(rest, tok.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-        out[w] = np.array(e.ids, "<u4").tobytes()
-    return out
+    kind = pa.large_binary() if pa.types.is_large_string(words.type) else pa.binary()
+    at = np.flatnonzero(pc.match_substring_regex(words, _ONE_SPACE).to_numpy(zero_copy_only=False))
+    lines = np.append(np.arange(0, len(at), LINE_WORDS), len(at))
+    joined = pc.binary_join(pa.LargeListArray.from_arrays(pa.array(lines), words.take(pa.array(at))), pa.scalar("", words.type)).to_pylist()
+    each = [np.array(e.ids, "<u4") for e in tok.encode_batch_fast(joined, add_special_tokens=False)]
+    ids, sizes = np.concatenate([np.zeros(0, "<u4"), *each]), np.array([len(x) for x in each], np.int64)
+    begin, ends = spaced[ids], np.cumsum(sizes)
+    sound = (np.diff(np.append(0, np.append(0, np.cumsum(begin))[ends])) == np.diff(lines)) & begin[ends - sizes]
+    ids, at = ids[np.repeat(sound, sizes)], at[np.repeat(sound, np.diff(lines))]
+    offsets = (4 * np.append(np.flatnonzero(spaced[ids]), len(ids))).astype("<i8" if kind == pa.large_binary() else "<i4")
+    many = pa.Array.from_buffers(kind, len(at), [None, pa.py_buffer(offsets.tobytes()), pa.py_buffer(ids.tobytes())])
+    alone = np.delete(np.arange(len(words)), at)
+    rest = tok.encode_batch_fast(words.take(pa.array(alone)).to_pylist(), add_special_tokens=False)
+    place = np.empty(len(words), np.int64)
+    place[np.append(at, alone)] = np.arange(len(words))
+    return pa.concat_arrays([many, pa.array([np.array(e.ids, "<u4").tobytes() for e in rest], kind)]).take(pa.array(place))
 
 
 def _batch_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The ids of all texts, one after the other, and where each text's begin (and the last one's end).
 
-    Texts are cut into words and the words numbered by Arrow; Python sees each different word of the batch once. Words
-    that occur more than once in a batch are remembered, up to CACHE_WORDS; beyond that only those of this batch are kept.
-    Long words are not remembered.
+    Texts are cut into words, and these numbered and looked up among the remembered ones, by Arrow; only the others are encoded.
     """
     known = _tokenizer(path)[2]
     # Offsets of four bytes reach, unless a text has a giant run that can't be cut; what is used up goes at once.
@@ -85,23 +105,25 @@ def _batch_ids(path: str, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     texts = texts.cast(pa.large_string() if wide else pa.string())
     # A mark that is in no text; none of them begins as it ends, so with text around it stays the only one at its place.
     mark = next(m for m in chain(["\x00"], (f"\x00{n}\x01" for n in count())) if not pc.any(pc.match_substring(texts, m)).as_py())
-    for cut in _CUTS:
+    cuts = _CUTS
+    if not pc.any(pc.match_substring_regex(texts, _TWO_SPACES)).as_py():
+        texts, cuts = pc.replace_substring(texts, " ", f"{mark} "), _OTHER_SPACE
+    for cut in cuts:
         texts = pc.replace_substring_regex(texts, cut, f"\\1{mark}\\2")
     lists = pc.split_pattern(texts, mark)
     del texts
     numbered, ends = pc.dictionary_encode(lists.values), lists.offsets.to_numpy()
     del lists
-    words, codes = numbered.dictionary.to_pylist(), numbered.indices
+    words, codes = numbered.dictionary, numbered.indices
     del numbered
-    new = _encoded(path, [w for w in words if w not in known])
-    each = [new[w] if w in new else known[w] for w in words]
-    often = (np.bincount(codes.to_numpy(), minlength=len(words)) > 1).tolist()
-    kept = {w: x for w, x, o in zip(words, each, often, strict=True) if o and len(w) <= CACHE_CHARS}
-    if len(known) + len(kept.keys() & new.keys()) > CACHE_WORDS:
-        known.clear()
-    known.update(kept)
-    del words, new, kept, often
-    taken = pa.array(each, pa.large_binary() if wide else pa.binary()).take(codes)
+    found = pc.index_in(words, value_set=known.words.cast(words.type))
+    fresh, new = words.filter(found.is_null()), found.is_null().to_numpy(zero_copy_only=False)
+    del words
+    ids = _encoded(path, fresh)
+    place = np.where(new, len(known) + np.cumsum(new) - 1, found.fill_null(0).to_numpy())
+    taken = pa.concat_arrays([known.ids.cast(ids.type), ids]).take(pa.array(place)).take(codes)
+    known.add(fresh, ids)
+    del fresh, ids
     bounds = np.frombuffer(taken.buffers()[1], "<i8" if wide else "<i4", len(taken) + 1).take(ends) // 4
     raw = taken.buffers()[2]
     return np.frombuffer(raw, "<u4", bounds[-1]) if raw else np.zeros(0, "<u4"), bounds

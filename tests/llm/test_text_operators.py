@@ -134,6 +134,18 @@ def test_packing_memory(monkeypatch):
     assert ids.tolist() == wide[0].tolist() and bounds.tolist() == wide[1].tolist()
 
 
+def test_single_spaces_and_words_met_once(monkeypatch):
+    """Texts with and without spaces that stand together, one after the other; of 3,000 words met once in each text none is encoded again."""
+    packing._tokenizer.cache_clear()
+    tok = packing._tokenizer(JSON)[0]
+    for texts in ([" a b\nc. d\u3000e", "x y, z"], ["a  b \n c", " a b"], ["\x00 a b\n", "\x000\x01 c d"], ["a b", ""]):
+        assert split_ids(texts) == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    text, met, encoded = " ".join(f"q{k}z" for k in range(3_000)), [], packing._encoded
+    monkeypatch.setattr(packing, "_encoded", lambda path, words: met.append(len(words)) or encoded(path, words))
+    assert split_ids([text]) == split_ids([text]) == [tok.encode(text, add_special_tokens=False).ids]
+    assert met == [3_000, 0]
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_plans_are_valid_and_small(seed):
     r = random.Random(seed)

@@ -228,14 +228,23 @@ def labelled_tables(tables: DataFrame) -> DataFrame:
     return rows.withColumn("label", F.when(F.col("_word") != "", F.concat(F.lit("Table "), "_word")).otherwise(F.concat(F.lit("Table_"), F.col("_place").cast("string")))).drop("_word", "_place")
 
 
-def figure_items(pictures: DataFrame, tables: DataFrame) -> DataFrame:
-    """One list of labelled pictures and then tables: paper_id, place (from 1), kind, label, page, box, caption, file."""
+def listed(pictures: DataFrame, tables: DataFrame) -> DataFrame:
+    """Labelled pictures and tables together: paper_id, kind, pos, label, page, box, caption."""
     rows = None
     for kind, part in (("figure", pictures), ("table", tables)):
         part = part.select("paper_id", F.lit(kind).alias("kind"), "pos", "label", "page", "box", "caption")
         rows = part if rows is None else rows.unionByName(part)
-    order = Window.partitionBy("paper_id").orderBy(F.col("kind") == "table", "pos")
-    return rows.withColumns({"place": F.row_number().over(order), "file": image_name(F.col("page"), F.col("label"))}).drop("pos")
+    return rows
+
+
+def place() -> Column:
+    """The place (from 1) of an item of ``listed`` in its paper's list: pictures and then tables."""
+    return F.row_number().over(Window.partitionBy("paper_id").orderBy(F.col("kind") == "table", "pos"))
+
+
+def figure_items(pictures: DataFrame, tables: DataFrame) -> DataFrame:
+    """One list of labelled pictures and then tables: paper_id, place (from 1), kind, label, page, box, caption, file."""
+    return listed(pictures, tables).withColumns({"place": place(), "file": image_name(F.col("page"), F.col("label"))}).drop("pos")
 
 
 def image_name(page: Column, label: Column) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioflow.operators import layout
-from folioflow.sources.papers import or_else_on_demand
+from folioflow.sources.papers import kept, or_else_on_demand
 
 
 def caption_items(blocks: DataFrame, drawings: DataFrame, pages: DataFrame, ratios: DataFrame | None = None) -> DataFrame:
@@ -28,12 +28,14 @@ def figures(pictures: DataFrame, tables: DataFrame, blocks: DataFrame, drawings:
     A paper's items are the pictures and tables of its layout analysis (paper_id, pos, page, box, caption); of a paper of
     ``pages`` that has none of them, those that its captions show. Captions are looked for in those papers alone.
     """
-    kept, skipped = layout.split_pictures(layout.labelled_pictures(pictures))
-    first = layout.figure_items(kept, layout.labelled_tables(tables)).withColumn("render_page", F.col("page"))
-
+    pics, skipped = layout.split_pictures(layout.labelled_pictures(pictures))
 
     def by_captions(lacking: DataFrame) -> DataFrame:
-        own = lambda df: df.join(lacking, "paper_id", "left_semi")
-        return caption_items(own(blocks), own(drawings), own(pages), None if ratios is None else own(ratios))
-
-    return or_else_on_demand(pages.select("paper_id").distinct(), first, by_captions, "paper_id"), skipped
+        own = lambda df, name: kept(df.join(lacking, "paper_id", "left_semi"), name)
+        return caption_items(own(blocks, "blocks"), own(drawings, "drawings"), own(pages, "pages"), None if ratios is None else own(ratios, "ratios")).drop("file")
+
+    # Only what can't be told from the rest is stored. A caption's item has a render_page and no place.
+    out = or_else_on_demand(pages.select("paper_id").distinct(), layout.listed(pics, layout.labelled_tables(tables)), by_captions, "paper_id")
+    first = F.col("render_page").isNull()
+    out = out.withColumns({"place": F.when(first, layout.place()), "file": layout.image_name(F.col("page"), F.col("label"))})
+    return out.withColumns({"pos": F.when(~first, F.col("pos")), "render_page": F.coalesce("render_page", "page")}), skipped

@@ -9,7 +9,7 @@ from folioflow.operators import layout, ocr, tables
 from folioflow.sources import acquisition, papers
 
 from . import extraction, pipeline, prompts, run
-from .queries import _BM25, _BOXES, _COLUMN, _PARTS, _PICTURES, _ROWS, _SCORED, _TERMS, _USEFUL, _WORDS, _boxes, _contexts, _fragments, _library, _meta, _pages, _pictures, _rows, _sectioned, _unmarked, load, query
+from .queries import _BM25, _BOXES, _COLUMN, _PARTS, _PICTURES, _ROWS, _SCORED, _TERMS, _USEFUL, _WORDS, _boxes, _contexts, _fragments, _library, _meta, _pages, _pictures, _rows, _sectioned, _stored_boxes, _unmarked, load, query
 
 # --- layout -------------------------------------------------------------------------------------------------------
 
@@ -26,10 +26,11 @@ tabs AS (SELECT *, coalesce(named, 'Table_' || row_number() OVER (PARTITION BY p
 """
 
 
-def _layout_tables(spark, d):
+def _layout_tables(spark, d, boxes=None):
     k = F.col("l_partkey") % 3
     caption = F.when(k == 0, F.concat(F.lit("TABLE  S"), F.col("l_partkey"), F.lit(": x"))).when(k == 1, "no number")
-    return _boxes(spark, d).withColumns({"caption": caption, "page": F.when(F.col("l_partkey") % 9 != 0, F.col("pos"))})
+    boxes = _boxes(spark, d) if boxes is None else boxes
+    return boxes.withColumns({"caption": caption, "page": F.when(F.col("l_partkey") % 9 != 0, F.col("pos"))})
 
 
 @query(_TABLES + "SELECT paper, pos, label FROM tabs")
@@ -282,12 +283,13 @@ SELECT paper, kind, label, CAST(page AS INTEGER) AS page, CAST(render_page AS IN
   'p' || lpad(CAST(page AS VARCHAR), 3, '0') || '_' || replace(replace(label, ' ', '_'), '.', '') || '.png' AS file FROM every""")
 def extract_figures(spark, d):
     analysed = F.col("paper_id") % 4 != 0
-    b = _boxes(spark, d).withColumns({"page": F.col("pos"), "pos": F.lit(0)})
+    boxes = _stored_boxes(spark, d)
+    b = boxes.withColumns({"page": F.col("pos"), "pos": F.lit(0)})
     caption = F.col("l_partkey") % 2 == 0
     lines = F.array(F.array(F.concat(F.lit("Figure "), F.col("l_partkey"), F.lit(". words"))))
     blocks = b.select("paper_id", "page", "pos", "box", F.when(caption, 0).otherwise(1).alias("type"), F.when(caption, lines).otherwise(F.array().cast("array<array<string>>")).alias("lines"))
     ratios = b.select("paper_id", "page", "pos", ((F.col("l_partkey") % 100).cast("double") / 100).alias("ratio"))
-    found, _ = extraction.figures(_pictures(spark, d).filter(analysed), _layout_tables(spark, d).filter(analysed), blocks, blocks.limit(0), _pages(b), ratios)
+    found, _ = extraction.figures(_pictures(spark, d, boxes).filter(analysed), _layout_tables(spark, d, boxes).filter(analysed), blocks, blocks.limit(0), _pages(b), ratios)
     return found.select(F.col("paper_id").alias("paper"), "kind", "label", F.col("page").cast("int").alias("page"), F.col("render_page").cast("int").alias("render_page"), *[F.col("box")[k].alias(k) for k in ("x0", "y0", "x1", "y1")], "file")
 
 

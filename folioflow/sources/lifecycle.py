@@ -54,6 +54,22 @@ def scratch(spark: SparkSession, name: str) -> str:
     return path
 
 
+#: Bytes of a source that a bucket of ``bucketed`` stands for, and the least number of buckets.
+BUCKET_BYTES, LEAST_BUCKETS = 4 << 20, 8
+
+
+def buckets_of(spark: SparkSession, path: str) -> int:
+    """How many buckets the rows of the file or folder ``path`` are worth."""
+    return max(LEAST_BUCKETS, -(-signature(spark, path)[1] // BUCKET_BYTES))
+
+
+def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
+    """``df``, which lies in ``buckets`` partitions by ``key``, stored: windows and groups of a key's rows, and joins with them, move none of them."""
+    spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
+    df.write.bucketBy(buckets, key).option("path", scratch(spark, name)).format("parquet").saveAsTable(table)
+    return spark.table(table)
+
+
 def signature(spark: SparkSession, path: str) -> tuple:
     """What tells one state of a file or folder from another: path, bytes, files and time."""
     store, where = _hadoop(spark, path)

@@ -90,19 +90,20 @@ def or_else(first: DataFrame, second: DataFrame, *keys: str) -> DataFrame:
     return union_items(first, not_done(second, first, *keys))
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df``, computed once: written to the shared folder and read from there."""
+    spark = df.sparkSession
+    path = scratch(spark, name)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
 def or_else_on_demand(wanted: DataFrame, first: DataFrame, second: Callable[[DataFrame], DataFrame], *keys: str) -> DataFrame:
     """``first``, and what ``second`` makes of the rows of ``wanted`` whose keys it lacks: nothing else is given to ``second``.
 
     ``first`` is computed once and stored, since both the result and what is lacking are read from it. What is lacking is
     stored too, so that a costly ``second`` never sees a row because a join is planned anew.
     """
-    spark = first.sparkSession
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        path = scratch(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     found = kept(first, "first")
     return union_items(found, second(kept(not_done(wanted, found, *keys), "lacking")))
 

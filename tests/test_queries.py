@@ -7,6 +7,7 @@ import duckdb
 import pandas as pd
 import pytest
 
+from folioflow.operators import layout
 from folioflow.plans import more_queries, queries  # noqa: F401  (registers its queries)
 
 
@@ -56,3 +57,15 @@ def test_layout_is_dealt_out(spark, small, name):
     plan = queries.QUERIES[name](spark, small)._jdf.queryExecution().executedPlan().toString()
     found = [int(x) for x in re.findall(r"Exchange hashpartitioning\(.*, (\d+)\), ENSURE", plan)]
     assert found and min(found) >= 400
+
+
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_lines_are_dealt_out_once(spark, small):
+    """The result reads no line of the table again, and tables and pictures of stored boxes are labelled where they lie."""
+    assert "l_orderkey" not in plan(queries.QUERIES["extract_figures"](spark, small))
+    boxes = queries._stored_boxes(spark, small)
+    assert "Exchange" not in plan(layout.labelled_pictures(queries._pictures(spark, small, boxes)))
+    assert "Exchange" not in plan(layout.labelled_tables(more_queries._layout_tables(spark, small, boxes)))

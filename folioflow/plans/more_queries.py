@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from folioflow.functions import index, retrieval, text
 from folioflow.operators import layout, ocr, tables
-from folioflow.sources import acquisition, papers
+from folioflow.sources import acquisition, lifecycle, papers
 
 from . import extraction, pipeline, prompts, run
 from .queries import _BM25, _BOXES, _COLUMN, _PARTS, _PICTURES, _ROWS, _SCORED, _TERMS, _USEFUL, _WORDS, _boxes, _contexts, _fragments, _library, _meta, _pages, _pictures, _rows, _sectioned, _stored_boxes, _unmarked, load, query
@@ -290,6 +290,7 @@ def extract_figures(spark, d):
     blocks = b.select("paper_id", "page", "pos", "box", F.when(caption, 0).otherwise(1).alias("type"), F.when(caption, lines).otherwise(F.array().cast("array<array<string>>")).alias("lines"))
     ratios = b.select("paper_id", "page", "pos", ((F.col("l_partkey") % 100).cast("double") / 100).alias("ratio"))
     found, _ = extraction.figures(_pictures(spark, d, boxes).filter(analysed), _layout_tables(spark, d, boxes).filter(analysed), blocks, blocks.limit(0), _pages(b), ratios)
+    lifecycle.discard(boxes)  # the items are read from what figures() has stored
     return found.select(F.col("paper_id").alias("paper"), "kind", "label", F.col("page").cast("int").alias("page"), F.col("render_page").cast("int").alias("render_page"), *[F.col("box")[k].alias(k) for k in ("x0", "y0", "x1", "y1")], "file")
 
 

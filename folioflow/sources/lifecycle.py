@@ -66,8 +66,19 @@ def buckets_of(spark: SparkSession, path: str) -> int:
 def bucketed(df: DataFrame, name: str, buckets: int, key: str) -> DataFrame:
     """``df``, which lies in ``buckets`` partitions by ``key``, stored: windows and groups of a key's rows, and joins with them, move none of them."""
     spark, table = df.sparkSession, f"{name}_{uuid.uuid4().hex}"
-    df.write.bucketBy(buckets, key).option("path", scratch(spark, name)).format("parquet").saveAsTable(table)
-    return spark.table(table)
+    path = scratch(spark, name)
+    df.write.bucketBy(buckets, key).option("path", path).format("parquet").saveAsTable(table)
+    out = spark.table(table)
+    out._folioflow_table = table, path
+    return out
+
+
+def discard(df: DataFrame) -> None:
+    """Delete a table of ``bucketed`` that nothing will read again."""
+    table, path = df._folioflow_table
+    df.sparkSession.sql(f"DROP TABLE {table}")
+    store, where = _hadoop(df.sparkSession, path)
+    store.delete(where, True)
 
 
 def signature(spark: SparkSession, path: str) -> tuple:

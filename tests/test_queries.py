@@ -64,8 +64,10 @@ def plan(df):
 
 
 def test_lines_are_dealt_out_once(spark, small):
-    """The result reads no line of the table again, and tables and pictures of stored boxes are labelled where they lie."""
+    """The result reads no line of the table again nor the stored boxes, which are gone, and tables and pictures of stored boxes are labelled where they lie."""
+    before = {t.name for t in spark.catalog.listTables()}
     assert "l_orderkey" not in plan(queries.QUERIES["extract_figures"](spark, small))
+    assert {t.name for t in spark.catalog.listTables()} == before
     boxes = queries._stored_boxes(spark, small)
     assert "Exchange" not in plan(layout.labelled_pictures(queries._pictures(spark, small, boxes)))
     assert "Exchange" not in plan(layout.labelled_tables(more_queries._layout_tables(spark, small, boxes)))
